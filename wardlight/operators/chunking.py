@@ -23,11 +23,9 @@ def note_sections(
     notes: DataFrame, keep: Sequence[str], text: str = "TEXT", pattern: str | None = None
 ) -> DataFrame:
     """One row per non-blank section; a section starts at a header line."""
-    return (
-        notes.select(*keep, F.posexplode(raw_sections(F.col(text), pattern)).alias("raw_index", "s"))
-        .select(*keep, "raw_index", strip(F.col("s.body")).alias("section_text"))
-        .filter(F.col("section_text") != "")
-    )
+    bodies = F.transform(raw_sections(F.col(text), pattern), lambda s: strip(s["body"]))
+    filled = F.filter(bodies, lambda b: b != "")
+    return notes.select(*keep, F.posexplode(filled).alias("section_index", "section_text"))
 
 
 def chunk_notes(

@@ -3,15 +3,19 @@
 from __future__ import annotations
 
 import math
+import sys
 from collections.abc import Iterator, Sequence
 from functools import reduce
 
 import numpy as np
 import pyarrow as pa
+from pyspark import cloudpickle
 from pyspark.ml.feature import BucketedRandomProjectionLSH, BucketedRandomProjectionLSHModel
 from pyspark.ml.functions import array_to_vector
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
+from pyspark.sql.pandas.types import to_arrow_schema
 
 from wardlight.functions.vectors import cosine, l2_normalise
 
@@ -21,6 +25,9 @@ QUESTIONS_PER_PASS = 1024
 # Similarities that agree to this many decimals are ordered by chunk key.
 TIE_DECIMALS = 9
 
+# Send the helpers below with the task, so executors need not have this package.
+cloudpickle.register_pickle_by_value(sys.modules[__name__])
+
 
 def top_k_chunks(
     chunks: DataFrame,
@@ -38,7 +45,9 @@ def top_k_chunks(
         chunks = chunks.filter(F.col("ICUSTAY_ID").isin(list(stays)))
     return (
         chunks.filter(F.col("embedding").isNotNull())
-        .withColumn("cosine_similarity", cosine(F.col("embedding"), question))
+        .withColumn("_question", question)
+        .withColumn("cosine_similarity", cosine(F.col("embedding"), F.col("_question")))
+        .drop("_question")
         .orderBy(
             F.round("cosine_similarity", TIE_DECIMALS).desc_nulls_last(),
             *[F.col(c) for c in CHUNK_KEY],
@@ -81,13 +90,14 @@ def top_k_batch(
 
 def _one_pass(chunks: DataFrame, questions: DataFrame, allowed: DataFrame | None) -> DataFrame:
     rows = questions.orderBy("question_id").collect()
-    id_type = questions.schema["question_id"].dataType.simpleString()
-    key_types = {c: chunks.schema[c].dataType.simpleString() for c in (*CHUNK_KEY, "ICUSTAY_ID")}
-    out_schema = (
-        f"question_id {id_type}, "
-        + ", ".join(f"{c} {key_types[c]}" for c in CHUNK_KEY)
-        + ", cosine_similarity double"
+    out_schema = T.StructType(
+        [
+            T.StructField("question_id", questions.schema["question_id"].dataType),
+            *[T.StructField(c, chunks.schema[c].dataType) for c in CHUNK_KEY],
+            T.StructField("cosine_similarity", T.DoubleType()),
+        ]
     )
+    arrow_schema = to_arrow_schema(out_schema)
     ids = [r.question_id for r in rows]
     limits = [int(r.k) for r in rows]
     matrix = _unit_rows(np.array([r.embedding for r in rows], dtype=np.float64).reshape(len(rows), -1))
@@ -121,10 +131,9 @@ def _one_pass(chunks: DataFrame, questions: DataFrame, allowed: DataFrame | None
                 kept[q] = _merge_best(kept[q], sims[:, q], keys, limit)
         hits = [(ids[q], *row) for q, found in enumerate(kept) for row in found]
         if hits:
-            question, first, second, sim = zip(*hits)
             yield pa.RecordBatch.from_arrays(
-                [pa.array(question), pa.array(first), pa.array(second), pa.array(sim, pa.float64())],
-                names=["question_id", *CHUNK_KEY, "cosine_similarity"],
+                [pa.array(cells, field.type) for cells, field in zip(zip(*hits), arrow_schema)],
+                schema=arrow_schema,
             )
 
     usable = chunks.filter(F.col("embedding").isNotNull()).select(*CHUNK_KEY, "ICUSTAY_ID", "embedding")

@@ -357,7 +357,7 @@ ORACLE: dict[str, str] = {
         f AS (SELECT name, q1 - 1.5::DOUBLE * (q3 - q1) AS lo, q3 + 1.5::DOUBLE * (q3 - q1) AS hi
               FROM (SELECT name, quantile_cont(valuenum, 0.25) AS q1, quantile_cont(valuenum, 0.75) AS q3
                     FROM m GROUP BY name))
-        SELECT event_id, name, round(valuenum, 6) AS valuenum, round(lo, 6) AS fence_low, round(hi, 6) AS fence_high,
+        SELECT event_id, name, round(valuenum, 9) AS valuenum, round(lo, 9) AS fence_low, round(hi, 9) AS fence_high,
             CAST(valuenum < lo OR valuenum > hi AS INTEGER) AS is_outlier
         FROM m JOIN f USING (name)""",
     ),
@@ -473,7 +473,8 @@ ORACLE: dict[str, str] = {
     "note_sections": _with_chunks(
         "px_notes",
         [("px_notes", "c")],
-        "SELECT note_id, (i - 1)::INTEGER AS raw_index, x AS section_text FROM c_sections WHERE x <> ''",
+        """SELECT note_id, (row_number() OVER (PARTITION BY note_id ORDER BY i) - 1)::INTEGER AS section_index,
+            x AS section_text FROM c_sections WHERE x <> ''""",
     ),
     "note_windows": r"""
         WITH t AS (SELECT doc_id, regexp_replace(text, '^\s+|\s+$', '', 'g') AS x FROM documents),
@@ -481,9 +482,9 @@ ORACLE: dict[str, str] = {
               FROM (SELECT *, unnest(generate_series(0,
                         greatest(CAST(ceil((length(x) - 1600) / 1280.0) AS BIGINT), 0))) AS i FROM t WHERE x <> '')),
         s AS (SELECT doc_id, i, regexp_replace(raw, '^\s+|\s+$', '', 'g') AS z,
-                  i * 1280 + length(raw) - length(regexp_replace(raw, '^\s+', '')) AS at FROM w)
+                  i * 1280 + length(raw) - length(regexp_replace(raw, '^\s+', '')) AS start FROM w)
         SELECT doc_id AS note_id, (row_number() OVER (PARTITION BY doc_id ORDER BY i) - 1)::INTEGER AS chunk_index,
-            at::INTEGER AS char_start, z AS chunk_text
+            start::INTEGER AS char_start, z AS chunk_text
         FROM s WHERE z <> ''""",
     "note_chunks": _with_chunks(
         "px_notes",
@@ -642,8 +643,8 @@ ORACLE: dict[str, str] = {
     ),
     "cost_rate": _q(
         "px_metrics",
-        """SELECT window_start, provider, round(c, 6) AS cost_usd, round(c / 3600::DOUBLE, 6) AS usd_per_second,
-            round(c, 6) AS usd_per_hour
+        """SELECT window_start, provider, round(c, 12) AS cost_usd, round(c / 3600::DOUBLE, 12) AS usd_per_second,
+            round(c, 12) AS usd_per_hour
         FROM (SELECT time_bucket(INTERVAL '1 hour', queried_at) AS window_start, provider, sum(estimated_cost_usd) AS c
               FROM px_metrics GROUP BY ALL)""",
     ),

@@ -37,26 +37,32 @@ PATTERN = tx.header_pattern(px.LINE_HEADERS, colon=False)
 HASH_DIM = 256
 
 
-def _out(df: DataFrame) -> DataFrame:
-    """Lower-case names, zone-less timestamps, doubles rounded to 6 places."""
+def _out(df: DataFrame, places: int) -> DataFrame:
+    """Lower-case names, zone-less timestamps, rounded doubles."""
 
     def cell(field: T.StructField) -> Column:
         c = F.col(f"`{field.name}`")
         if isinstance(field.dataType, T.TimestampType):
             c = c.cast("timestamp_ntz")
         elif isinstance(field.dataType, T.DoubleType):
-            c = F.round(c, 6)
+            c = F.round(c, places)
         return c.alias(field.name.lower())
 
     return df.select(*[cell(f) for f in df.schema.fields])
 
 
+# Queries whose values can end in a 5 at the seventh decimal are shown with more.
+_PLACES = {"outlier_flags": 9, "cost_rate": 12}
+
+
 def _query(build: Query) -> Query:
+    name = build.__name__
+
     def run(spark: SparkSession, sf: str) -> DataFrame:
-        return _out(build(use_utc(spark), sf))
+        return _out(build(use_utc(spark), sf), _PLACES.get(name, 6))
 
-    run.__name__ = run.__qualname__ = build.__name__
-    _QUERIES[build.__name__] = run
+    run.__name__ = run.__qualname__ = name
+    _QUERIES[name] = run
     return build
 
 
