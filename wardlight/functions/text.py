@@ -34,9 +34,12 @@ CHARS_PER_TOKEN = 4
 CHUNK_CHARS = 400 * CHARS_PER_TOKEN
 OVERLAP_CHARS = 80 * CHARS_PER_TOKEN
 
-_BLANK = r"[\s\x1c-\x1f]"
-_LEADING = rf"(?U)^{_BLANK}+"
-_EDGES = rf"(?U)^{_BLANK}+|{_BLANK}+$"
+# Every character that counts as blank.
+BLANKS = (
+    "\t\n\x0b\x0c\r\x1c\x1d\x1e\x1f \x85\xa0\u1680"
+    "\u2000\u2001\u2002\u2003\u2004\u2005\u2006\u2007\u2008\u2009\u200a"
+    "\u2028\u2029\u202f\u205f\u3000"
+)
 
 # Windows cut from one piece of a long text: see overlapping_windows.
 _WINDOWS_PER_PIECE = 64
@@ -44,15 +47,16 @@ _WINDOWS_PER_PIECE = 64
 
 def header_pattern(headers: tuple[str, ...] = SECTION_HEADERS, colon: bool = True) -> str:
     """Zero-width match before every header at the start of a line."""
-    return rf"(?im)(?=^(?:{'|'.join(headers)}){r'\s*:' if colon else ''})"
+    return rf"(?im)^(?=(?:{'|'.join(headers)}){r'\s*:' if colon else ''})"
 
 
 def strip(text: Column) -> Column:
-    return F.regexp_replace(text, _EDGES, "")
+    """Trim by character set: looks at the ends only, unlike a pattern."""
+    return F.btrim(text, F.lit(BLANKS))
 
 
 def leading_blanks(text: Column) -> Column:
-    return F.length(text) - F.length(F.regexp_replace(text, _LEADING, ""))
+    return F.length(text) - F.length(F.ltrim(text, F.lit(BLANKS)))
 
 
 def word_count(text: Column) -> Column:

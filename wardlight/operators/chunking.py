@@ -16,7 +16,7 @@ from wardlight.functions.text import (
     raw_sections,
     strip,
 )
-from wardlight.operators.joins import balanced_join
+from wardlight.operators.joins import balanced_join, spread_if_small
 
 
 def note_sections(
@@ -38,12 +38,14 @@ def chunk_notes(
 ) -> DataFrame:
     """One row per chunk: the ``keep`` columns, its number, text and true offset.
 
-    A narrow transformation: notes of any length are split inside their own task.
+    A narrow transformation, apart from sharing out a small input: every note is
+    split inside its own task.
     """
     chunks = note_chunks(
         F.col(text), pattern or header_pattern(SECTION_HEADERS), size, overlap
     )
-    return notes.select(*keep, F.posexplode(chunks).alias("chunk_index", "c")).select(
+    spread = spread_if_small(notes.select(*dict.fromkeys([*keep, text])), *keep)
+    return spread.select(*keep, F.posexplode(chunks).alias("chunk_index", "c")).select(
         *keep,
         "chunk_index",
         F.col("c.section").alias("section_index"),

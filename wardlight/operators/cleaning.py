@@ -8,7 +8,7 @@ from pyspark.sql import functions as F
 from wardlight.functions.text import word_count
 from wardlight.functions.times import age_at
 from wardlight.operators.joins import balanced_join
-from wardlight.operators.quantiles import exact_percentiles
+from wardlight.operators.quantiles import MAX_BROADCAST_GROUPS, exact_percentiles
 
 # Item codes of each vital sign and laboratory value.
 VITAL_CODES: dict[str, tuple[int, ...]] = {
@@ -56,14 +56,14 @@ def require_keys(df: DataFrame, *keys: str) -> DataFrame:
 def named_codes(df: DataFrame, code: str, codes: dict[str, tuple[int, ...]], name: str) -> DataFrame:
     """Add the measurement name of each code and drop rows of unknown codes.
 
-    The lookup is a constant map, so there is no join, and the list of known
+    The lookup is a constant expression, so there is no join, and the list of known
     codes is a filter that reaches the file scan.
     """
-    pairs = [(c, n) for n, cs in codes.items() for c in cs]
-    lookup = F.create_map(*[F.lit(x) for pair in pairs for x in pair])
-    return df.filter(F.col(code).isin([c for c, _ in pairs])).withColumn(
-        name, F.try_element_at(lookup, F.col(code).cast("int"))
-    )
+    known = df.filter(F.col(code).isin([c for members in codes.values() for c in members]))
+    label = F
+    for measure, members in codes.items():
+        label = label.when(F.col(code).isin(*members), measure)
+    return known.withColumn(name, label)
 
 
 def patient_stays(stays: DataFrame, patients: DataFrame, admissions: DataFrame) -> DataFrame:
@@ -185,9 +185,20 @@ def unit_normalised(
     return df.withColumn("value_std", out)
 
 
-def outlier_flags(df: DataFrame, name: str, value: str = "VALUENUM", reach: float = 1.5) -> DataFrame:
-    """Add the quartile fences of each measurement and ``is_outlier``; drop nothing."""
-    quartiles = exact_percentiles(df, [name], value, {"_q1": 0.25, "_q3": 0.75})
+def outlier_flags(
+    df: DataFrame,
+    name: str,
+    value: str = "VALUENUM",
+    reach: float = 1.5,
+    name_bound: int | None = None,
+) -> DataFrame:
+    """Add the quartile fences of each measurement and ``is_outlier``; drop nothing.
+
+    ``name_bound`` is the number of names there can be, where a code list fixes it.
+    """
+    quartiles = exact_percentiles(
+        df, [name], value, {"_q1": 0.25, "_q3": 0.75}, group_bound=name_bound
+    )
     spread = F.col("_q3") - F.col("_q1")
     fences = quartiles.select(
         name,
@@ -195,6 +206,8 @@ def outlier_flags(df: DataFrame, name: str, value: str = "VALUENUM", reach: floa
         (F.col("_q3") + reach * spread).alias("fence_high"),
     )
     outside = (F.col(value) < F.col("fence_low")) | (F.col(value) > F.col("fence_high"))
-    return balanced_join(df, fences, name, [value], "left").withColumn(
-        "is_outlier", outside.cast("int")
-    )
+    if name_bound is not None and name_bound <= MAX_BROADCAST_GROUPS:
+        joined = df.join(F.broadcast(fences), name, "left")
+    else:
+        joined = balanced_join(df, fences, name, [value], "left")
+    return joined.withColumn("is_outlier", outside.cast("int"))

@@ -28,10 +28,15 @@ def term_vectors(df: DataFrame, text: str = "chunk_text", dim: int = DIMENSION)
     return HashingTF(inputCol="_words", outputCol="_tf", numFeatures=dim).transform(words).drop("_words")
 
 
+def unit_embedding(df: DataFrame) -> DataFrame:
+    """Add ``embedding``: the vector ``_tf`` scaled to length 1."""
+    scaled = Normalizer(inputCol="_tf", outputCol="_unit", p=2.0).transform(df)
+    return scaled.withColumn("embedding", vector_to_array("_unit", "float32")).drop("_unit")
+
+
 def embed_hashed(df: DataFrame, text: str = "chunk_text", dim: int = DIMENSION) -> DataFrame:
     """Add ``embedding``: unit-length hashed term counts, computed in the JVM."""
-    unit = Normalizer(inputCol="_tf", outputCol="_unit", p=2.0).transform(term_vectors(df, text, dim))
-    return unit.withColumn("embedding", vector_to_array("_unit", "float32")).drop("_tf", "_unit")
+    return unit_embedding(term_vectors(df, text, dim)).drop("_tf")
 
 
 def embed_with(

@@ -8,11 +8,29 @@ from pyspark.sql import functions as F
 SALTS = 32
 
 
+# Tables up to this size may sit in one row group, which one task would read alone.
+SMALL_TABLE_BYTES = 256 << 20
+
+
+def estimated_bytes(df: DataFrame) -> int:
+    """Catalyst's size estimate of the result."""
+    return int(str(df._jdf.queryExecution().optimizedPlan().stats().sizeInBytes()))
+
+
 def fits_broadcast(df: DataFrame) -> bool:
     """True when Catalyst's size estimate is below the session's broadcast limit."""
-    limit = df.sparkSession.conf.get("spark.sql.autoBroadcastJoinThreshold")
-    size = df._jdf.queryExecution().optimizedPlan().stats().sizeInBytes()
-    return 0 <= int(str(size)) <= _as_bytes(limit)
+    limit = _as_bytes(df.sparkSession.conf.get("spark.sql.autoBroadcastJoinThreshold"))
+    return estimated_bytes(df) <= limit
+
+
+def spread_if_small(df: DataFrame, *keys: str) -> DataFrame:
+    """Share a small table among all cores before work that is heavy per row.
+
+    A large table already comes in as many splits and stays as it is.
+    """
+    if df.isStreaming or estimated_bytes(df) > SMALL_TABLE_BYTES:
+        return df
+    return df.repartition(df.sparkSession.sparkContext.defaultParallelism, *keys)
 
 
 def _as_bytes(text: str) -> int:

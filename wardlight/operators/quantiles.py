@@ -8,6 +8,8 @@ from pyspark.sql import functions as F
 # Groups up to this size are ranked whole; larger ones only near the target rank.
 SMALL_GROUP = 100_000
 ACCURACY = 20_000
+# Brackets of so many groups are a few hundred kilobytes.
+MAX_BROADCAST_GROUPS = 5_000
 
 
 def exact_percentiles(
@@ -17,6 +19,7 @@ def exact_percentiles(
     probs: dict[str, float],
     small_group: int = SMALL_GROUP,
     accuracy: int = ACCURACY,
+    group_bound: int | None = None,
 ) -> DataFrame:
     """One row per group with a linearly interpolated percentile per entry of ``probs``.
 
@@ -26,6 +29,9 @@ def exact_percentiles(
     value. Both counts combine before the shuffle, and the ranking then covers a
     few thousandths of a large group. A rank outside its bracket raises an error
     rather than giving a wrong value.
+
+    ``group_bound`` states how many groups there can be at most, where that is known;
+    if they are few, their brackets are broadcast and the values are not shuffled.
     """
     names = list(probs)
     base = df.select(*groups, F.col(value).cast("double").alias("_v")).filter(F.col("_v").isNotNull())
@@ -54,7 +60,10 @@ def exact_percentiles(
         ],
     )
 
-    joined = _with_brackets(base, brackets, groups)
+    if group_bound is not None and group_bound <= MAX_BROADCAST_GROUPS:
+        joined = base.join(F.broadcast(brackets), groups)
+    else:
+        joined = _with_brackets(base, brackets, groups)
     v = F.col("_v")
     inside = _any([(v >= F.col(f"_lo{i}")) & (v <= F.col(f"_hi{i}")) for i in range(len(names))])
     # A value outside stands at the closest bracket end below it, after the values there.

@@ -248,7 +248,7 @@ def _usage(source: str) -> str:
     return f"""
         SELECT provider, count(*) AS total_queries, round(avg(latency_ms), 6) AS avg_latency_ms,
             round(quantile_cont(latency_ms, 0.95), 6) AS p95_latency_ms,
-            sum(tokens_used)::BIGINT AS total_tokens, round(sum(estimated_cost_usd), 6) AS total_cost_usd
+            sum(tokens_used)::BIGINT AS total_tokens, round(sum(estimated_cost_usd), 8) AS total_cost_usd
         FROM {source} GROUP BY provider"""
 
 
@@ -257,7 +257,7 @@ def _le_columns() -> str:
     return ", ".join(cells) + ", count(*) AS n"
 
 
-def _quantile(q: float) -> str:
+def _quantile(q: float, places: int = 6) -> str:
     arms = []
     for i, bound in enumerate(_BOUNDS):
         low, before = (_BOUNDS[i - 1], f"le{i - 1}") if i else (0.0, "0")
@@ -265,7 +265,7 @@ def _quantile(q: float) -> str:
             f"WHEN le{i} >= {q}::DOUBLE * n THEN {low}::DOUBLE + {bound - low}::DOUBLE"
             f" * (({q}::DOUBLE * n - {before}) / (le{i} - {before}))"
         )
-    return f"round(CASE {' '.join(arms)} ELSE {_BOUNDS[-1]}::DOUBLE END, 6)"
+    return f"round(CASE {' '.join(arms)} ELSE {_BOUNDS[-1]}::DOUBLE END, {places})"
 
 
 def _status(value: str, yellow: float, red: float) -> str:
@@ -357,7 +357,7 @@ ORACLE: dict[str, str] = {
         f AS (SELECT name, q1 - 1.5::DOUBLE * (q3 - q1) AS lo, q3 + 1.5::DOUBLE * (q3 - q1) AS hi
               FROM (SELECT name, quantile_cont(valuenum, 0.25) AS q1, quantile_cont(valuenum, 0.75) AS q3
                     FROM m GROUP BY name))
-        SELECT event_id, name, round(valuenum, 9) AS valuenum, round(lo, 9) AS fence_low, round(hi, 9) AS fence_high,
+        SELECT event_id, name, round(valuenum, 6) AS valuenum, round(lo, 9) AS fence_low, round(hi, 9) AS fence_high,
             CAST(valuenum < lo OR valuenum > hi AS INTEGER) AS is_outlier
         FROM m JOIN f USING (name)""",
     ),
@@ -367,7 +367,7 @@ ORACLE: dict[str, str] = {
             round(CASE WHEN name IN ('map', 'pao2') AND valueuom = 'kPa' THEN valuenum * 7.50062::DOUBLE
                        WHEN name = 'creatinine' AND valueuom = 'umol/L' THEN valuenum * (1::DOUBLE / 88.42::DOUBLE)
                        WHEN name = 'bilirubin' AND valueuom = 'umol/L' THEN valuenum * (1::DOUBLE / 17.104::DOUBLE)
-                       ELSE valuenum END, 6) AS value_std
+                       ELSE valuenum END, 9) AS value_std
         FROM px_chart JOIN codes USING (itemid)""",
     ),
     "score_spine": _q("px_icu spine", "SELECT * FROM spine"),
@@ -587,7 +587,7 @@ ORACLE: dict[str, str] = {
     "cost_24h": _q(
         "px_metrics recent",
         """SELECT provider, count(*) AS query_count, round(avg(latency_ms), 6) AS avg_latency_ms,
-            sum(tokens_used)::BIGINT AS total_tokens, round(sum(estimated_cost_usd), 6) AS total_cost_usd
+            sum(tokens_used)::BIGINT AS total_tokens, round(sum(estimated_cost_usd), 8) AS total_cost_usd
         FROM recent GROUP BY provider""",
     ),
     "tier_counts": _q(
@@ -625,7 +625,7 @@ ORACLE: dict[str, str] = {
     "query_counter": _q(
         "px_metrics",
         """SELECT provider, 'all' AS risk_tier, count(*) AS queries_total, sum(tokens_used)::BIGINT AS tokens_total,
-            round(sum(estimated_cost_usd), 6) AS cost_usd_total FROM px_metrics GROUP BY provider""",
+            round(sum(estimated_cost_usd), 8) AS cost_usd_total FROM px_metrics GROUP BY provider""",
     ),
     "query_rate": _q(
         "px_metrics",
@@ -643,16 +643,16 @@ ORACLE: dict[str, str] = {
     ),
     "cost_rate": _q(
         "px_metrics",
-        """SELECT window_start, provider, round(c, 12) AS cost_usd, round(c / 3600::DOUBLE, 12) AS usd_per_second,
-            round(c, 12) AS usd_per_hour
+        """SELECT window_start, provider, round(c, 8) AS cost_usd, round(c / 3600::DOUBLE, 12) AS usd_per_second,
+            round(c, 8) AS usd_per_hour
         FROM (SELECT time_bucket(INTERVAL '1 hour', queried_at) AS window_start, provider, sum(estimated_cost_usd) AS c
               FROM px_metrics GROUP BY ALL)""",
     ),
     "panel_status": _q(
         _ALERTS + " px_metrics recent",
-        f"""SELECT panel, label, round(value, 6) AS value, status FROM (
+        f"""SELECT panel, label, round(value, 8) AS value, status FROM (
             SELECT 'p95_latency_seconds' AS panel, provider AS label, v AS value, {_status('v', 5, 15)} AS status
-            FROM (SELECT provider, {_quantile(0.95)} AS v
+            FROM (SELECT provider, {_quantile(0.95, 12)} AS v
                   FROM (SELECT provider, {_le_columns()} FROM px_metrics GROUP BY provider))
             UNION ALL
             SELECT 'cost_usd_24h', provider, c, {_status('c', 1, 5)}
@@ -676,7 +676,7 @@ ORACLE: dict[str, str] = {
     "stream_metrics": _q(
         "px_metrics",
         "SELECT time_bucket(INTERVAL '5 minutes', queried_at) AS window_start, provider, count(*) AS queries, "
-        "sum(tokens_used)::BIGINT AS tokens, round(sum(estimated_cost_usd), 6) AS cost_usd, "
+        "sum(tokens_used)::BIGINT AS tokens, round(sum(estimated_cost_usd), 8) AS cost_usd, "
         + ", ".join(f"count(*) FILTER (latency_ms <= {b * 1000}) AS le_{i}" for i, b in enumerate(_BOUNDS))
         + " FROM px_metrics GROUP BY ALL",
     ),

@@ -56,29 +56,33 @@ def hours(n: Column) -> Column:
 
 
 def k_of(props: str = "props") -> Column:
-    return F.get_json_object(props, "$.k").cast("int")
+    """The number in ``{"k": n}``, without parsing the JSON."""
+    return F.translate(props, '{"k: }', "").try_cast("int")
 
 
 def as_chart(events: DataFrame) -> DataFrame:
     """Chart and lab events; works on a batch or a stream of events."""
     stay = F.expr("user_id div 15")
     raw, k = F.col("value"), F.col("k")
-    code = F.concat_ws("_", "event_type", (k % 2).cast("string"))
-    item = F.coalesce(
-        F.try_element_at(F.create_map(*[F.lit(x) for p in ITEM_OF.items() for x in p]), code), F.lit(0)
-    )
-    num = lambda x: F.lit(float(x))
-    value = (
-        F.when(code.isin("view_0", "view_1"), num(60) + raw / num(2))
-        .when(code == "click_0", num(15) - F.floor(raw / num(25)).cast("double"))
-        .when(code == "click_1", num(100) - raw / num(20))
-        .when(code == "purchase_0", raw / num(30))
-        .when(code == "purchase_1", raw / num(20))
-        .when(code == "signup_0", num(20) + raw * num(4))
-        .when(code == "signup_1", num(60) + raw)
-        .when(code == "error_0", num(21) + k * num(0.3))
-        .otherwise(raw)
-    )
+
+    def num(x: float) -> Column:
+        return F.lit(float(x))
+
+    # Values scaled to clinical ranges, for even and odd k.
+    scaled = {
+        "view": (num(60) + raw / num(2), num(60) + raw / num(2)),
+        "click": (num(15) - F.floor(raw / num(25)).cast("double"), num(100) - raw / num(20)),
+        "purchase": (raw / num(30), raw / num(20)),
+        "signup": (num(20) + raw * num(4), num(60) + raw),
+        "error": (num(21) + k * num(0.3), raw),
+    }
+    item, value = F, F
+    for kind, (even, odd) in scaled.items():
+        hit = F.col("event_type") == kind
+        codes = [F.lit(ITEM_OF.get(f"{kind}_{parity}", 0)) for parity in (0, 1)]
+        item = item.when(hit, F.when(k % 2 == 0, codes[0]).otherwise(codes[1]))
+        value = value.when(hit, F.when(k % 2 == 0, even).otherwise(odd))
+    item, value = item.otherwise(0), value.otherwise(raw)
     return events.withColumn("k", k_of()).select(
         stay.alias("SUBJECT_ID"),
         stay.alias("HADM_ID"),

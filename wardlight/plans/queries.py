@@ -37,32 +37,41 @@ PATTERN = tx.header_pattern(px.LINE_HEADERS, colon=False)
 HASH_DIM = 256
 
 
-def _out(df: DataFrame, places: int) -> DataFrame:
+# Money is a multiple of 1e-8 USD and converted values of 1e-9, so these columns are
+# shown at that grain: rounding them coarser would have to break exact ties.
+_PLACES = {
+    "cost_usd": 8,
+    "total_cost_usd": 8,
+    "cost_usd_total": 8,
+    "usd_per_hour": 8,
+    "usd_per_second": 12,
+    "value": 8,
+    "value_std": 9,
+    "fence_low": 9,
+    "fence_high": 9,
+}
+
+
+def _out(df: DataFrame) -> DataFrame:
     """Lower-case names, zone-less timestamps, rounded doubles."""
 
     def cell(field: T.StructField) -> Column:
-        c = F.col(f"`{field.name}`")
+        name, c = field.name.lower(), F.col(f"`{field.name}`")
         if isinstance(field.dataType, T.TimestampType):
             c = c.cast("timestamp_ntz")
         elif isinstance(field.dataType, T.DoubleType):
-            c = F.round(c, places)
-        return c.alias(field.name.lower())
+            c = F.round(c, _PLACES.get(name, 6))
+        return c.alias(name)
 
     return df.select(*[cell(f) for f in df.schema.fields])
 
 
-# Queries whose values can end in a 5 at the seventh decimal are shown with more.
-_PLACES = {"outlier_flags": 9, "cost_rate": 12}
-
-
 def _query(build: Query) -> Query:
-    name = build.__name__
-
     def run(spark: SparkSession, sf: str) -> DataFrame:
-        return _out(build(use_utc(spark), sf), _PLACES.get(name, 6))
+        return _out(build(use_utc(spark), sf))
 
-    run.__name__ = run.__qualname__ = name
-    _QUERIES[name] = run
+    run.__name__ = run.__qualname__ = build.__name__
+    _QUERIES[build.__name__] = run
     return build
 
 
@@ -155,14 +164,16 @@ def notes_clean(spark: SparkSession, sf: str) -> DataFrame:
     ).drop("TEXT")
 
 
+_CODES = {**cleaning.VITAL_CODES, **cleaning.LAB_CODES}
+
+
 def _measures(spark: SparkSession, sf: str) -> DataFrame:
-    both = {**cleaning.VITAL_CODES, **cleaning.LAB_CODES}
-    return cleaning.named_codes(px.chart(spark, sf), "ITEMID", both, "name")
+    return cleaning.named_codes(px.chart(spark, sf), "ITEMID", _CODES, "name")
 
 
 @_query
 def outlier_flags(spark: SparkSession, sf: str) -> DataFrame:
-    return cleaning.outlier_flags(_measures(spark, sf), "name").select(
+    return cleaning.outlier_flags(_measures(spark, sf), "name", name_bound=len(_CODES)).select(
         "event_id", "name", "VALUENUM", "fence_low", "fence_high", "is_outlier"
     )
 
@@ -381,7 +392,7 @@ def note_stay_join(spark: SparkSession, sf: str) -> DataFrame:
 def embed_hashed(spark: SparkSession, sf: str) -> DataFrame:
     """Every chunk of every note embedded; term totals and lengths are shown."""
     made = chunking.chunk_notes(px.notes(spark, sf), ["note_id"], pattern=PATTERN)
-    both = embedding.term_vectors(embedding.embed_hashed(made, dim=HASH_DIM), dim=HASH_DIM)
+    both = embedding.unit_embedding(embedding.term_vectors(made, dim=HASH_DIM))
     terms = F.aggregate(vector_to_array("_tf"), F.lit(0.0), lambda a, x: a + x)
     return both.select(
         "note_id",

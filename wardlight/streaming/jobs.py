@@ -122,8 +122,10 @@ def run_embedding(
     """
 
     def prepare(batch: DataFrame) -> DataFrame:
-        chunks = embed(chunk_notes(batch, keep, pattern=pattern))
-        return batch.select(key).distinct().join(chunks, key, "left")
+        # The texts move once; chunks, vectors and the join below stay in place.
+        by_note = batch.repartition(key)
+        chunks = embed(chunk_notes(by_note, keep, pattern=pattern))
+        return by_note.select(key).distinct().join(chunks, key, "left")
 
     write_versions(notes, path, checkpoint, prepare, mode="append").awaitTermination()
     return latest_children(spark, path, key).filter(F.col("chunk_index").isNotNull())
