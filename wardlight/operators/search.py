@@ -75,7 +75,7 @@ def top_k_batch(
     """
     if k is not None:
         questions = questions.withColumn("k", F.lit(int(k)))
-    questions = questions.select("question_id", "embedding", "k")
+    questions = questions.select("question_id", "embedding", "k").filter(F.col("embedding").isNotNull())
     total = questions.count()
     passes = max(1, math.ceil(total / QUESTIONS_PER_PASS))
     part = F.pmod(F.xxhash64("question_id"), F.lit(passes))
@@ -100,7 +100,7 @@ def _one_pass(chunks: DataFrame, questions: DataFrame, allowed: DataFrame | None
     arrow_schema = to_arrow_schema(out_schema)
     ids = [r.question_id for r in rows]
     limits = [int(r.k) for r in rows]
-    matrix = _unit_rows(np.array([r.embedding for r in rows], dtype=np.float64).reshape(len(rows), -1))
+    matrix = _unit_rows(np.array([r.embedding for r in rows], dtype=np.float64, ndmin=2))
 
     stay_of: dict | None = None
     if allowed is not None:
