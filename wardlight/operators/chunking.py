@@ -54,6 +54,29 @@ def chunk_notes(
     )
 
 
+# Columns of a stored chunk; any other goes into its metadata.
+CHUNK_COLUMNS = (
+    "note_id",
+    "SUBJECT_ID",
+    "HADM_ID",
+    "ICUSTAY_ID",
+    "note_category",
+    "CHARTTIME",
+    "chunk_index",
+    "chunk_text",
+    "embedding",
+)
+
+
+def with_metadata(chunks: DataFrame, columns: Sequence[str] = CHUNK_COLUMNS) -> DataFrame:
+    """Move every column not in ``columns`` into a JSON text ``metadata``."""
+    known = {c.lower() for c in columns}
+    extra = [c for c in chunks.columns if c.lower() not in known]
+    kept = [c for c in chunks.columns if c.lower() in known]
+    packed = F.to_json(F.struct(*extra), {"ignoreNullFields": "false"}) if extra else F.lit("{}")
+    return chunks.select(*kept, packed.alias("metadata"))
+
+
 def note_stays(notes: DataFrame, stays: DataFrame, key: str = "note_id") -> DataFrame:
     """Add ICUSTAY_ID: the first stay of the admission that covers the chart time.
 

@@ -491,6 +491,47 @@ ORACLE: dict[str, str] = {
         [("px_notes", "c")],
         "SELECT c.*, category FROM c JOIN px_notes USING (note_id)",
     ),
+    "chunk_metadata": _with_chunks(
+        "px_notes",
+        [("px_notes", "c")],
+        """SELECT note_id, category AS note_category, chunk_index,
+            '{"ISERROR":' || coalesce(iserror::VARCHAR, 'null') || ',"char_start":' || char_start || '}' AS metadata
+        FROM c JOIN px_notes USING (note_id)""",
+    ),
+    "embed_questions": r"""
+        SELECT conv_id, turn, 256 AS dims, len(regexp_split_to_array(regexp_replace(text, '\s+$', ''), '\s')) AS terms,
+            1.0::DOUBLE AS length
+        FROM conversations WHERE role = 'user'""",
+    "table_checks": _q(
+        _ALERTS + " px_notes",
+        " UNION ALL ".join(
+            f"SELECT '{t}' AS table_name, '{rule}' AS rule, count(*) AS rows, count(*) FILTER (NOT coalesce({ok}, false)) AS broken"
+            f" FROM {source}"
+            for t, source, rule, ok in [
+                ("alerts", "alerts", "icustay_id is set", "icustay_id IS NOT NULL"),
+                ("alerts", "alerts", "sofa_total in range", "sofa_total BETWEEN 0 AND 24"),
+                ("alerts", "alerts", "risk_tier is known", "risk_tier IN ('low', 'moderate', 'high', 'critical')"),
+                *[
+                    ("alerts", "alerts", f"sofa_{o} in range", f"sofa_{o} BETWEEN 0 AND 4")
+                    for o in ("resp", "coag", "liver", "cardio", "cns", "renal")
+                ],
+                ("chunks", "embeddings", "note_id is set", "vec_id IS NOT NULL"),
+                ("chunks", "embeddings", "chunk_index is set", "true"),
+                ("chunks", "embeddings", "chunk_text is set", "true"),
+                ("chunks", "embeddings", "embedding has the right length", "len(embedding) = 64"),
+                ("questions", "(SELECT DISTINCT label FROM embeddings)", "question is short enough", "true"),
+                ("questions", "(SELECT DISTINCT label FROM embeddings)", "top_k in range", "label + 3 BETWEEN 1 AND 50"),
+                ("questions", "(SELECT DISTINCT label FROM embeddings)", "tiers are known", "true"),
+                ("notes", "px_notes", "store time is set", "storetime IS NOT NULL"),
+                ("notes", "px_notes", "text is long enough", "length(text) > 50"),
+            ]
+        ),
+    ),
+    "duplicate_notes": _q(
+        "px_notes",
+        """SELECT subject_id, hadm_id, category, charttime, count(*) AS copies FROM px_notes GROUP BY ALL
+        HAVING count(*) > 1""",
+    ),
     "note_tokens": r"""
         SELECT doc_id AS note_id, ceil(length(text) / 4.0)::INTEGER AS tokens,
             len(regexp_split_to_array(text, '\s+'))::INTEGER AS words,
@@ -525,10 +566,11 @@ ORACLE: dict[str, str] = {
         FROM px_vectors c, q ORDER BY round(list_cosine_similarity(c.v, q.v), 9) DESC, note_id LIMIT 10""",
     ),
     "cosine_topk_by_stay": _q(
-        "px_vectors cells",
+        _ALERTS + " px_vectors cells",
         """, q AS (SELECT list(m ORDER BY pos) AS v FROM (SELECT pos, avg(x) AS m FROM cells GROUP BY pos))
         SELECT note_id, icustay_id, round(list_cosine_similarity(c.v, q.v), 6) AS cosine_similarity
-        FROM px_vectors c, q WHERE icustay_id IN (1, 4, 7)
+        FROM px_vectors c, q
+        WHERE icustay_id IN (SELECT icustay_id FROM alerts ORDER BY sofa_total DESC, icustay_id LIMIT 5)
         ORDER BY round(list_cosine_similarity(c.v, q.v), 9) DESC, note_id LIMIT 10""",
     ),
     "cosine_topk_batch": _q(

@@ -13,6 +13,7 @@ from pyspark.sql import types as T
 from wardlight.functions import text as tx
 from wardlight.functions import vectors as vx
 from wardlight.operators import (
+    checks,
     chunking,
     cleaning,
     context,
@@ -350,6 +351,30 @@ def high_risk_view(spark: SparkSession, sf: str) -> DataFrame:
     return scoring.high_risk_view(alerts, px.chunks(spark, sf))
 
 
+@_query
+def table_checks(spark: SparkSession, sf: str) -> DataFrame:
+    """Rows that break a constraint, per served table and rule."""
+    tables = {
+        "alerts": (scoring.latest_alerts(_scores(spark, sf)), checks.alert_rules()),
+        "chunks": (px.chunks(spark, sf), checks.chunk_rules(dim=64)),
+        "questions": (px.questions(spark, sf), checks.question_rules()),
+        "notes": (
+            px.notes(spark, sf),
+            {"store time is set": F.col("STORETIME").isNotNull(), "text is long enough": F.length("TEXT") > 50},
+        ),
+    }
+    found = None
+    for name, (df, rules) in tables.items():
+        one = checks.broken_rules(df, rules).select(F.lit(name).alias("table_name"), "rule", "rows", "broken")
+        found = one if found is None else found.unionByName(one)
+    return found
+
+
+@_query
+def duplicate_notes(spark: SparkSession, sf: str) -> DataFrame:
+    return checks.duplicate_keys(px.notes(spark, sf), ["SUBJECT_ID", "HADM_ID", "CATEGORY", "CHARTTIME"])
+
+
 # --- text ------------------------------------------------------------------
 
 
@@ -371,6 +396,14 @@ def note_chunks(spark: SparkSession, sf: str) -> DataFrame:
     return chunking.chunk_notes(px.notes(spark, sf), ["note_id", "CATEGORY"], pattern=PATTERN).drop("section_index")
 
 
+@_query
+def chunk_metadata(spark: SparkSession, sf: str) -> DataFrame:
+    """Chunks in their stored form: all further columns as JSON text."""
+    notes = px.notes(spark, sf).withColumnRenamed("CATEGORY", "note_category")
+    made = chunking.chunk_notes(notes, ["note_id", "note_category", "ISERROR"], pattern=PATTERN)
+    return chunking.with_metadata(made.drop("section_index")).drop("chunk_text")
+
+
 @_query
 def note_tokens(spark: SparkSession, sf: str) -> DataFrame:
     return px.notes(spark, sf).select(
@@ -403,6 +436,38 @@ def embed_hashed(spark: SparkSession, sf: str) -> DataFrame:
     )
 
 
+def _user_turns(spark: SparkSession, sf: str) -> DataFrame:
+    return px.table(spark, sf, "conversations").filter("role = 'user'").withColumn(
+        "question_id", F.concat_ws("-", "conv_id", "turn")
+    )
+
+
+@_query
+def embed_questions(spark: SparkSession, sf: str) -> DataFrame:
+    """Every user turn embedded in the way the chunks are."""
+    made = embedding.unit_embedding(embedding.term_vectors(_user_turns(spark, sf), "text", HASH_DIM))
+    terms = F.aggregate(vector_to_array("_tf"), F.lit(0.0), lambda a, x: a + x)
+    return made.select(
+        "conv_id",
+        "turn",
+        F.size("embedding").alias("dims"),
+        terms.cast("bigint").alias("terms"),
+        F.round(vx.norm(F.col("embedding")), 4).alias("length"),
+    )
+
+
+@_query
+def retrieve_notes(spark: SparkSession, sf: str) -> DataFrame:
+    """The five closest note chunks of every user turn, from texts alone."""
+    made = chunking.chunk_notes(px.notes(spark, sf), ["note_id", "HADM_ID"], pattern=PATTERN)
+    chunks = px.stored(
+        embedding.embed_hashed(made, dim=HASH_DIM).withColumn("ICUSTAY_ID", F.col("HADM_ID")), "chunk-vectors"
+    )
+    asked = px.stored(embedding.embed_hashed(_user_turns(spark, sf), "text", HASH_DIM), "question-vectors")
+    found = search.top_k_batch(chunks, asked, k=5)
+    return found.select("question_id", "rank", "note_id", "chunk_index", "cosine_similarity")
+
+
 @_query
 def embed_incremental(spark: SparkSession, sf: str) -> DataFrame:
     """Only new and changed notes are chunked and embedded."""
@@ -437,7 +502,11 @@ def cosine_topk(spark: SparkSession, sf: str) -> DataFrame:
 
 @_query
 def cosine_topk_by_stay(spark: SparkSession, sf: str) -> DataFrame:
-    found = search.top_k_chunks(px.chunks(spark, sf), px.mean_vector(spark, sf), 10, stays=[1, 4, 7])
+    """As cosine_topk, among the notes of the five stays at highest risk."""
+    alerts = scoring.latest_alerts(_scores(spark, sf))
+    # At most top_k rows.
+    stays = [r.ICUSTAY_ID for r in scoring.risk_list(alerts, top_k=5).select("ICUSTAY_ID").collect()]
+    found = search.top_k_chunks(px.chunks(spark, sf), px.mean_vector(spark, sf), 10, stays=stays)
     return found.select("note_id", "ICUSTAY_ID", "cosine_similarity")
 
 
