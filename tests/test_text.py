@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import datetime as dt
+import random
 import re
 
 import pytest
@@ -133,3 +135,28 @@ def test_note_stays(spark):
     )
     got = {r.note_id: r.ICUSTAY_ID for r in note_stays(notes, stays).collect()}
     assert got == {1: 70, 2: 70, 3: None, 4: None, 5: None}
+
+
+@pytest.mark.parametrize("broadcast", [True, False])
+def test_note_stays_with_overlaps(spark, monkeypatch, broadcast):
+    if not broadcast:
+        monkeypatch.setattr("wardlight.operators.joins.fits_broadcast", lambda df: False)
+    rng = random.Random(11)
+    t0 = dt.datetime(2024, 1, 1)
+    hour = lambda a, b: t0 + dt.timedelta(hours=rng.randint(a, b))
+    stays = []
+    for i in range(60):
+        begin = hour(0, 200)
+        stays.append((i, rng.randint(0, 3), begin, begin + dt.timedelta(hours=rng.randint(0, 90))))
+    stays += [(90, 0, None, hour(0, 9)), (91, 0, t0, None)]
+    notes = [(i, rng.randint(0, 4), hour(-10, 300)) for i in range(400)] + [(900, 1, None), (901, None, t0)]
+    want = {}
+    for n, h, t in notes:
+        hits = [(a, i) for i, hadm, a, b in stays if hadm == h and t and a and b and a <= t <= b]
+        want[n] = min(hits)[1] if hits else None
+    got = note_stays(
+        spark.createDataFrame(notes, "note_id int, HADM_ID int, CHARTTIME timestamp"),
+        spark.createDataFrame(stays, "ICUSTAY_ID int, HADM_ID int, INTIME timestamp, OUTTIME timestamp"),
+    )
+    rows = got.collect()
+    assert len(rows) == len(notes) and {r.note_id: r.ICUSTAY_ID for r in rows} == want

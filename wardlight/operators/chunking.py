@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from wardlight.functions.text import (
@@ -80,14 +80,49 @@ def with_metadata(chunks: DataFrame, columns: Sequence[str] = CHUNK_COLUMNS) ->
 def note_stays(notes: DataFrame, stays: DataFrame, key: str = "note_id") -> DataFrame:
     """Add ICUSTAY_ID: the first stay of the admission that covers the chart time.
 
-    Only keys and times take part in the interval join; note texts move once, in
-    the join by note key. Notes outside every stay keep a NULL stay.
+    That is the stay with the least INTIME among those ending at or after the chart
+    time, provided it has begun by then. A running minimum over the end times, latest
+    first, gives it without pairing notes with stays. Each distinct chart time of an
+    admission is looked up once, and an admission is cut into days: the minimum over
+    all later days needs one row per day only. Notes outside every stay keep a NULL
+    stay.
     """
-    spans = stays.select("HADM_ID", "ICUSTAY_ID", "INTIME", "OUTTIME")
-    hits = (
-        balanced_join(notes.select(key, "HADM_ID", "CHARTTIME"), spans, "HADM_ID", [key])
-        .filter(F.col("CHARTTIME").between(F.col("INTIME"), F.col("OUTTIME")))
-        .groupBy(key)
-        .agg(F.min(F.struct("INTIME", "ICUSTAY_ID"))["ICUSTAY_ID"].alias("ICUSTAY_ID"))
+    at = lambda c: F.col(c).cast("timestamp")
+    ends = stays.filter(F.col("INTIME").isNotNull() & F.col("OUTTIME").isNotNull()).select(
+        "HADM_ID",
+        at("OUTTIME").alias("t"),
+        F.struct(at("INTIME").alias("begin"), F.col("ICUSTAY_ID").alias("id")).alias("stay"),
+        F.lit(False).alias("asked"),
     )
-    return notes.join(hits, key, "left")
+    asked = (
+        notes.filter(F.col("HADM_ID").isNotNull() & F.col("CHARTTIME").isNotNull())
+        .select("HADM_ID", at("CHARTTIME").alias("t"))
+        .distinct()
+        .withColumn("asked", F.lit(True))
+    )
+    points = ends.unionByName(asked, allowMissingColumns=True).withColumn("day", F.to_date("t"))
+
+    later_days = Window.partitionBy("HADM_ID").orderBy(F.col("day").desc()).rowsBetween(
+        Window.unboundedPreceding, -1
+    )
+    by_day = (
+        points.groupBy("HADM_ID", "day")
+        .agg(F.min("stay").alias("first_of_day"))
+        .select("HADM_ID", "day", F.min("first_of_day").over(later_days).alias("later"))
+    )
+    rest_of_day = Window.partitionBy("HADM_ID", "day").orderBy(F.col("t").desc()).rangeBetween(
+        Window.unboundedPreceding, Window.currentRow
+    )
+    first = F.least("same_day", "later")
+    found = (
+        points.withColumn("same_day", F.min("stay").over(rest_of_day))
+        .filter("asked")
+        .join(by_day, ["HADM_ID", "day"])
+        .select(
+            "HADM_ID",
+            F.col("t").alias("_at"),
+            F.when(first["begin"] <= F.col("t"), first["id"]).alias("ICUSTAY_ID"),
+        )
+    )
+    timed = notes.withColumn("_at", at("CHARTTIME"))
+    return balanced_join(timed, found, ["HADM_ID", "_at"], [key], "left").drop("_at")

@@ -44,7 +44,7 @@ def _as_bytes(text: str) -> int:
 def salted_join(
     facts: DataFrame,
     spans: DataFrame,
-    on: str,
+    on: str | list[str],
     spread: list[str],
     how: str = "inner",
     salts: int = SALTS,
@@ -59,11 +59,12 @@ def salted_join(
         "_salt", F.pmod(F.xxhash64(*spread), F.lit(salts)).cast("int")
     )
     repeated = spans.withColumn("_salt", F.explode(F.sequence(F.lit(0), F.lit(salts - 1))))
-    return salted.join(repeated, [on, "_salt"], how).drop("_salt")
+    keys = [on] if isinstance(on, str) else list(on)
+    return salted.join(repeated, [*keys, "_salt"], how).drop("_salt")
 
 
 def balanced_join(
-    facts: DataFrame, spans: DataFrame, on: str, spread: list[str], how: str = "inner"
+    facts: DataFrame, spans: DataFrame, on: str | list[str], spread: list[str], how: str = "inner"
 ) -> DataFrame:
     """Plain join (Catalyst broadcasts) when ``spans`` is small, else salted."""
     if fits_broadcast(spans):
