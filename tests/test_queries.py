@@ -8,11 +8,11 @@ import numpy as np
 import pytest
 from compare import difference, duck
 
-import __spark_entry__ as spark_entry
+from wardlight.plans.oracle import ORACLE
+from wardlight.plans.queries import all_queries
 
 SF = os.environ.get("TEST_SF_DIR", "/root/testdata/sf0.001")
-QUERIES = spark_entry.queries()
-ORACLE = spark_entry.oracle_sql()
+QUERIES = all_queries()
 # Without a SQL twin: approximate search and search by hashed texts. test_search compares
 # both with brute force.
 NO_TWIN = {"ann_lsh", "retrieve_notes"}
