@@ -4,10 +4,12 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
+import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from wardlight.llm import exact_dedup, mixing
+from wardlight.llm import exact_dedup, lm_scoring, mixing, secrets, token_counts, warc
+from wardlight.llm.byte_bpe import Tokenizer
 from wardlight.llm.sql import LLM_ORACLE
 from wardlight.session import use_utc
 
@@ -18,11 +20,43 @@ def table(spark: SparkSession, sf: str, name: str) -> DataFrame:
     return use_utc(spark).read.parquet(f"{sf}/{name}.parquet")
 
 
+def tokenizer(spark: SparkSession) -> Tokenizer:
+    path = public_tokenizers.path("byte_bpe_multi_50k.tiktoken")
+    return Tokenizer(spark, path, public_tokenizers.PATTERN)
+
+
 def op2_mix_sources(spark: SparkSession, sf: str) -> DataFrame:
     mixed = mixing.mix(table(spark, sf, "documents"))
     return mixed.select("doc_id", *mixing.OUTPUTS)
 
 
+def op4_token_counts(spark: SparkSession, sf: str) -> DataFrame:
+    histogram = token_counts.length_histogram(table(spark, sf, "documents"), tokenizer(spark))
+    return token_counts.context_table(histogram)
+
+
+def op5_lm_scores(spark: SparkSession, sf: str) -> DataFrame:
+    scores = lm_scoring.score(table(spark, sf, "documents")).withColumnRenamed("id", "doc_id")
+    rounded = [F.round(c, 4).alias(c) for c in ("log_score", "mean_log_score")]
+    return scores.select("doc_id", "n_words", "n_scored", "n_backed_off", *rounded)
+
+
+def op6_byte_bpe(spark: SparkSession, sf: str) -> DataFrame:
+    bpe = tokenizer(spark)
+    encoded = table(spark, sf, "documents").select("doc_id", bpe.encode("text").alias("ids"))
+    both = encoded.select("doc_id", "ids", bpe.decode("ids").alias("decoded"))
+    return both.select(
+        "doc_id",
+        F.expr("CAST(octet_length(ids) div 4 AS BIGINT)").alias("n_tokens"),
+        F.sha2("ids", 256).alias("ids_sha256"),
+        F.sha2("decoded", 256).alias("decoded_sha256"),
+    )
+
+
+def op7_warc_derivatives(spark: SparkSession, sf: str) -> DataFrame:
+    return warc.derivatives(warc.pages_as_responses(table(spark, sf, "pages")))
+
+
 def op9_exact_dedup(spark: SparkSession, sf: str) -> DataFrame:
     index = exact_dedup.create_index(spark)
     batch = exact_dedup.index_documents(table(spark, sf, "documents"), index)
@@ -35,10 +69,26 @@ def op9_exact_dedup(spark: SparkSession, sf: str) -> DataFrame:
     )
 
 
+def op10_secrets(spark: SparkSession, sf: str) -> DataFrame:
+    return secrets.find_secrets(table(spark, sf, "documents")).select(
+        F.col("id").alias("doc_id"),
+        "n_assign",
+        "n_access",
+        "n_hex",
+        F.sha2("base", 256).alias("base_sha256"),
+        "spans",
+    )
+
+
 def llm_queries() -> dict[str, Query]:
     return {
         "op2_mix_sources": op2_mix_sources,
+        "op4_token_counts": op4_token_counts,
+        "op5_lm_scores": op5_lm_scores,
+        "op6_byte_bpe": op6_byte_bpe,
+        "op7_warc_derivatives": op7_warc_derivatives,
         "op9_exact_dedup": op9_exact_dedup,
+        "op10_secrets": op10_secrets,
     }
 
 

@@ -46,10 +46,91 @@ FROM (SELECT doc_id, sha256(coalesce(text, '')) AS text_sha256 FROM documents)
 WINDOW same AS (PARTITION BY text_sha256)
 """
 
+WARC = r"""
+WITH r AS (
+  SELECT page_id, coalesce(html, '') AS payload, url AS target_uri, '2024-01-01T00:00:00Z' AS warc_date,
+         sha256(coalesce(html, '')) AS body_hash,
+         md5('response' || chr(31) || coalesce(CAST(page_id AS VARCHAR), '') || chr(31) || coalesce(url, '')
+             || chr(31) || sha256(coalesce(html, ''))) AS h
+  FROM pages),
+t0 AS (SELECT *, regexp_replace(payload, '(?s)<!--.*?(?:-->|\z)', '', 'g') AS t FROM r),
+t1 AS (SELECT * REPLACE (regexp_replace(t, '(?is)<script\b.*?(?:</script\s*>|\z)', '', 'g') AS t) FROM t0),
+t2 AS (SELECT * REPLACE (regexp_replace(t, '(?is)<style\b.*?(?:</style\s*>|\z)', '', 'g') AS t) FROM t1),
+t3 AS (SELECT * REPLACE (regexp_replace(t, '(?is)<head\b.*?(?:</head\s*>|\z)', '', 'g') AS t) FROM t2),
+t4 AS (SELECT * REPLACE (regexp_replace(t, '(?i)</?(?:p|div|li|ul|ol|h[1-6]|br|tr|table|td|th|article|section|nav|footer|header|blockquote|pre|body)\b[^>]*>', chr(10), 'g') AS t) FROM t3),
+t5 AS (SELECT * REPLACE (regexp_replace(t, '</?[A-Za-z!?][^>]*>', '', 'g') AS t) FROM t4),
+t6 AS (SELECT * REPLACE (replace(replace(replace(replace(replace(replace(replace(replace(replace(t,
+         '&lt;', '<'), '&gt;', '>'), '&quot;', '"'), '&apos;', chr(39)), '&#39;', chr(39)), '&nbsp;', ' '),
+         '&copy;', chr(169)), '&middot;', chr(183)), '&amp;', '&') AS t) FROM t5),
+t7 AS (SELECT * REPLACE (regexp_replace(t, '[ \t\x0B\f\r\x{A0}]+', ' ', 'g') AS t) FROM t6),
+t8 AS (SELECT * REPLACE (trim(regexp_replace(t, ' ?\n[ \n]*', chr(10), 'g'), ' ' || chr(10)) AS t) FROM t7),
+blocks AS (
+  SELECT *, '<urn:uuid:' || h[1:8] || '-' || h[9:12] || '-' || h[13:16] || '-' || h[17:20] || '-' || h[21:32] || '>' AS refers_to,
+         'http-status: 200' || e || 'title: ' || trim(regexp_replace(regexp_extract(payload, '(?is)<title[^>]*>(.*?)</title', 1), '\s+', ' ', 'g'), ' ')
+         || e || 'http-header: Content-Type: text/html; charset=utf-8'
+         || e || 'http-header: Content-Length: ' || strlen(payload)
+         || array_to_string(list_transform(regexp_extract_all(payload, '(?i)<a\s[^>]*?href\s*=\s*["'']([^"'']*)["'']', 1),
+                                           lambda x: e || 'outlink: ' || x || ' L a/@href'), '')
+         || e AS meta
+  FROM (SELECT *, chr(13) || chr(10) AS e FROM t8)),
+records AS (
+  SELECT *, 'metadata' AS warc_type, 'application/warc-fields' AS content_type, meta AS block FROM blocks
+  UNION ALL
+  SELECT *, 'conversion', 'text/plain; charset=utf-8', t FROM blocks),
+named AS (
+  SELECT *, md5(warc_type || chr(31) || refers_to) AS k, CAST(strlen(block) AS BIGINT) AS content_length,
+         'sha256:' || sha256(block) AS block_digest, 'sha256:' || body_hash AS source_digest
+  FROM records),
+ids AS (
+  SELECT *, '<urn:uuid:' || k[1:8] || '-' || k[9:12] || '-' || k[13:16] || '-' || k[17:20] || '-' || k[21:32] || '>' AS record_id
+  FROM named)
+SELECT page_id, warc_type, record_id, refers_to, target_uri, warc_date, content_type, content_length,
+       block_digest, source_digest,
+       'WARC/1.1' || e || 'WARC-Type: ' || warc_type || e || 'WARC-Record-ID: ' || record_id || e
+       || 'WARC-Refers-To: ' || refers_to || coalesce(e || 'WARC-Target-URI: ' || target_uri, '') || e
+       || 'WARC-Date: ' || warc_date || e || 'WARC-Source-Payload-Digest: ' || source_digest || e
+       || 'WARC-Block-Digest: ' || block_digest || e || 'Content-Type: ' || content_type || e
+       || 'Content-Length: ' || content_length AS warc_header,
+       block
+FROM ids
+"""
+
+LM = r"""
+WITH texts AS (
+  SELECT doc_id, regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ',
+         'abcdefghijklmnopqrstuvwxyz'), '[^\x20\x09-\x0D]+') AS words
+  FROM documents),
+sizes AS (SELECT doc_id, CAST(sum(len(words)) AS BIGINT) AS n_words FROM texts GROUP BY 1),
+own1 AS (SELECT doc_id, w, count(*) AS own FROM (SELECT doc_id, unnest(words) AS w FROM texts) GROUP BY ALL),
+c1 AS (SELECT w, sum(own) AS c FROM own1 GROUP BY 1),
+own2 AS (
+  SELECT doc_id, p.a AS a, p.b AS b, count(*) AS own
+  FROM (SELECT doc_id, unnest(list_transform(range(1, len(words)), lambda i: {'a': words[i], 'b': words[i + 1]})) AS p FROM texts)
+  GROUP BY ALL),
+c2 AS (SELECT a, b, sum(own) AS c FROM own2 GROUP BY ALL),
+asked AS (
+  SELECT doc_id, a, b, own, c - own AS pair, CASE WHEN c > own THEN a ELSE b END AS w
+  FROM own2 JOIN c2 USING (a, b)),
+parts AS (
+  SELECT k.doc_id, k.own, k.pair, greatest(c1.c - o.own, 0.5) AS others
+  FROM asked k JOIN own1 o ON k.doc_id IS NOT DISTINCT FROM o.doc_id AND k.w = o.w JOIN c1 ON k.w = c1.w),
+sums AS (
+  SELECT p.doc_id, sum(own) AS n_scored, sum(CASE WHEN pair > 0 THEN 0 ELSE own END) AS n_backed_off,
+         sum(own * (CASE WHEN pair > 0 THEN ln(pair) - ln(others)
+             ELSE ln(0.4) + ln(others) - ln(greatest((SELECT sum(n_words) FROM sizes) - s.n_words, 1)) END)) AS log_score
+  FROM parts p JOIN sizes s ON p.doc_id IS NOT DISTINCT FROM s.doc_id GROUP BY 1)
+SELECT s.doc_id, s.n_words, CAST(coalesce(n_scored, 0) AS BIGINT) AS n_scored,
+       CAST(coalesce(n_backed_off, 0) AS BIGINT) AS n_backed_off, round(coalesce(log_score, 0), 4) AS log_score,
+       round(log_score / n_scored, 4) AS mean_log_score
+FROM sizes s LEFT JOIN sums t ON s.doc_id IS NOT DISTINCT FROM t.doc_id
+"""
+
 LLM_ORACLE = {
     "op2_mix_sources": MIX.replace("{documents}", "documents")
     + """
 SELECT doc_id, CAST(size AS BIGINT) AS size, source_size, target, CAST(repeats AS BIGINT) AS repeats,
        part, CAST(repeats * size + part AS BIGINT) AS taken FROM mixed""",
+    "op5_lm_scores": LM,
+    "op7_warc_derivatives": WARC,
     "op9_exact_dedup": DEDUP,
 }
