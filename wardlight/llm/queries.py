@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from wardlight.llm import exact_dedup, lm_scoring, mixing, secrets, token_counts, warc
+from wardlight.llm import exact_dedup, lm_scoring, lz_fingerprint, mixing, secrets, token_counts, warc
 from wardlight.llm.byte_bpe import Tokenizer
 from wardlight.llm.sql import LLM_ORACLE
 from wardlight.session import use_utc
@@ -57,6 +57,10 @@ def op7_warc_derivatives(spark: SparkSession, sf: str) -> DataFrame:
     return warc.derivatives(warc.pages_as_responses(table(spark, sf, "pages")))
 
 
+def op8_lz_fingerprints(spark: SparkSession, sf: str) -> DataFrame:
+    return lz_fingerprint.with_next(table(spark, sf, "documents"))
+
+
 def op9_exact_dedup(spark: SparkSession, sf: str) -> DataFrame:
     index = exact_dedup.create_index(spark)
     batch = exact_dedup.index_documents(table(spark, sf, "documents"), index)
@@ -87,6 +91,7 @@ def llm_queries() -> dict[str, Query]:
         "op5_lm_scores": op5_lm_scores,
         "op6_byte_bpe": op6_byte_bpe,
         "op7_warc_derivatives": op7_warc_derivatives,
+        "op8_lz_fingerprints": op8_lz_fingerprints,
         "op9_exact_dedup": op9_exact_dedup,
         "op10_secrets": op10_secrets,
     }
