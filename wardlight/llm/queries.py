@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from wardlight.llm import exact_dedup, lm_scoring, lz_fingerprint, mixing, secrets, token_counts, warc
+from wardlight.llm import exact_dedup, lm_scoring, lz_fingerprint, mixing, secrets, token_counts, toxicity, warc
 from wardlight.llm.byte_bpe import Tokenizer
 from wardlight.llm.sql import LLM_ORACLE
 from wardlight.session import use_utc
@@ -25,6 +25,10 @@ def tokenizer(spark: SparkSession) -> Tokenizer:
     return Tokenizer(spark, path, public_tokenizers.PATTERN)
 
 
+def op1_toxicity(spark: SparkSession, sf: str) -> DataFrame:
+    return toxicity.score_documents(table(spark, sf, "documents"), table(spark, sf, "labels"))
+
+
 def op2_mix_sources(spark: SparkSession, sf: str) -> DataFrame:
     mixed = mixing.mix(table(spark, sf, "documents"))
     return mixed.select("doc_id", *mixing.OUTPUTS)
@@ -86,6 +90,7 @@ def op10_secrets(spark: SparkSession, sf: str) -> DataFrame:
 
 def llm_queries() -> dict[str, Query]:
     return {
+        "op1_toxicity": op1_toxicity,
         "op2_mix_sources": op2_mix_sources,
         "op4_token_counts": op4_token_counts,
         "op5_lm_scores": op5_lm_scores,
