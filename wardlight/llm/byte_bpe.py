@@ -26,6 +26,7 @@ from collections.abc import Iterator
 
 import ahocorasick
 import numpy as np
+import public_tokenizers
 import pyarrow as pa
 import regex
 from pyspark.sql import Column, SparkSession
@@ -223,3 +224,8 @@ class Tokenizer:
     def count(self, text: str | Column) -> Column:
         """How many tokens a text has."""
         return self._count(text)
+
+
+def public_tokenizer(spark: SparkSession, name: str = "byte_bpe_multi_50k.tiktoken") -> Tokenizer:
+    """A public vocabulary by the name of its ranks file."""
+    return Tokenizer(spark, public_tokenizers.path(name), public_tokenizers.PATTERN)

@@ -18,7 +18,7 @@ from __future__ import annotations
 
 import uuid
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from wardlight.llm.common import cut_lineage, whole_text
@@ -94,12 +94,13 @@ def index_documents(docs: DataFrame, index: str) -> DataFrame:
 
 def keep_documents(docs: DataFrame) -> DataFrame:
     """The documents that stay, with all their columns."""
+
+    def key(digest: Column, id: Column) -> Column:
+        return F.concat_ws(":", F.hex(digest), F.coalesce(id.cast("string"), F.lit("null")))
+
     index = create_index(docs.sparkSession)
     index_documents(docs, index)
-    held = docs.sparkSession.table(index).select(
-        F.col("digest").alias("__digest"), F.col("keep_id").alias("__keep")
-    )
-    keyed = docs.withColumn("__own", F.unhex(F.sha2(whole_text(), 256)))
-    own = F.col("__own") == F.col("__digest")
-    kept = keyed.join(held, own & F.col("doc_id").eqNullSafe(F.col("__keep")), "left_semi")
-    return kept.dropDuplicates(["doc_id", "__own"]).drop("__own")
+    own = F.unhex(F.sha2(whole_text(), 256))
+    held = docs.sparkSession.table(index).select(key(F.col("digest"), F.col("keep_id")).alias("__key"))
+    keyed = docs.withColumn("__key", key(own, F.col("doc_id").cast("long")))
+    return keyed.join(held, "__key", "left_semi").dropDuplicates(["__key"]).drop("__key")

@@ -4,12 +4,12 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
-import public_tokenizers
+import corpus_pipeline
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from wardlight.llm import exact_dedup, lm_scoring, lz_fingerprint, mixing, secrets, token_counts, toxicity, warc
-from wardlight.llm.byte_bpe import Tokenizer
+from wardlight.llm import exact_dedup, lm_scoring, lz_fingerprint, mixing, ngram_join, secrets, token_counts, toxicity, warc
+from wardlight.llm.byte_bpe import public_tokenizer
 from wardlight.llm.sql import LLM_ORACLE
 from wardlight.session import use_utc
 
@@ -20,11 +20,6 @@ def table(spark: SparkSession, sf: str, name: str) -> DataFrame:
     return use_utc(spark).read.parquet(f"{sf}/{name}.parquet")
 
 
-def tokenizer(spark: SparkSession) -> Tokenizer:
-    path = public_tokenizers.path("byte_bpe_multi_50k.tiktoken")
-    return Tokenizer(spark, path, public_tokenizers.PATTERN)
-
-
 def op1_toxicity(spark: SparkSession, sf: str) -> DataFrame:
     return toxicity.score_documents(table(spark, sf, "documents"), table(spark, sf, "labels"))
 
@@ -34,8 +29,12 @@ def op2_mix_sources(spark: SparkSession, sf: str) -> DataFrame:
     return mixed.select("doc_id", *mixing.OUTPUTS)
 
 
+def op3_ngram_join(spark: SparkSession, sf: str) -> DataFrame:
+    return ngram_join.join_documents(table(spark, sf, "documents")).withColumnRenamed("id", "doc_id")
+
+
 def op4_token_counts(spark: SparkSession, sf: str) -> DataFrame:
-    histogram = token_counts.length_histogram(table(spark, sf, "documents"), tokenizer(spark))
+    histogram = token_counts.length_histogram(table(spark, sf, "documents"), public_tokenizer(spark))
     return token_counts.context_table(histogram)
 
 
@@ -46,7 +45,7 @@ def op5_lm_scores(spark: SparkSession, sf: str) -> DataFrame:
 
 
 def op6_byte_bpe(spark: SparkSession, sf: str) -> DataFrame:
-    bpe = tokenizer(spark)
+    bpe = public_tokenizer(spark)
     encoded = table(spark, sf, "documents").select("doc_id", bpe.encode("text").alias("ids"))
     both = encoded.select("doc_id", "ids", bpe.decode("ids").alias("decoded"))
     return both.select(
@@ -90,8 +89,10 @@ def op10_secrets(spark: SparkSession, sf: str) -> DataFrame:
 
 def llm_queries() -> dict[str, Query]:
     return {
+        "pipeline": corpus_pipeline.run,
         "op1_toxicity": op1_toxicity,
         "op2_mix_sources": op2_mix_sources,
+        "op3_ngram_join": op3_ngram_join,
         "op4_token_counts": op4_token_counts,
         "op5_lm_scores": op5_lm_scores,
         "op6_byte_bpe": op6_byte_bpe,
