@@ -19,7 +19,7 @@ Documents of a tile are chained to its least member, not paired; chains give can
 Each group is cut into blocks of bounded total size and all pairs of its blocks are searched:
 an R-tree over one block, queried by the other. Pairs that are connected already are not verified
 again, and only links that connect something are given out, at most one per document and block
-pair. Equal sets are one point from the start (a class), so copies cost nothing.
+pair. Equal sets are one point (a class): a task gives out the tiles of a set once, so copies cost little.
 
 Defined cases: A-Z is lower-cased; words are what ASCII white space separates. With fewer
 words than a shingle has, the whole sequence is one shingle. NULL, empty and blank texts have the empty set and
@@ -49,6 +49,7 @@ GROUPS = 32  # coordinates of the points in an R-tree
 BOX = 16  # children of an R-tree box
 BLOCK_SHINGLES = 500_000  # shingles of a block, about
 WORDS_KEPT = 200_000
+NODES_KEPT = 500_000
 
 _U = np.uint64
 FACTORS = np.array([0x9E3779B97F4A7C15, 0xC2B2AE3D27D4EB4F, 0x165667B19E3779F9], _U)
@@ -86,29 +87,29 @@ def shingle_set(text: str, size: int = WORDS) -> np.ndarray:
     return np.unique(total)
 
 
-def band_of(n: int, percent: int) -> int:
-    return int(np.searchsorted(band_starts(percent), n, side="right")) - 1
-
-
 _STARTS: dict[int, np.ndarray] = {}
 
 
 def band_starts(percent: int) -> np.ndarray:
-    """Band k holds sizes from (100 / percent)^k on."""
+    """Band k holds sizes from this on, up to the start of band k + 1.
+
+    A band spans two steps of the threshold, so a set links within its band or, if it is in the
+    lower half of it, with the band below.
+    """
     if percent not in _STARTS:
-        _STARTS[percent] = (100 / percent) ** np.arange(1 + int(44 / np.log(100 / percent)))
+        step = (100 / percent) ** 2
+        _STARTS[percent] = step ** np.arange(1 + int(44 / np.log(step)))
     return _STARTS[percent]
 
 
 def tile_keys(h: np.ndarray, percent: int = PERCENT) -> np.ndarray:
-    """Keys of the tiles a set belongs to, in its own band and as the larger one in the band below."""
-    out = []
-    own = band_of(len(h), percent)
+    """Keys of the tiles of a set: in its own band and, as the larger one, in the band below."""
+    out, starts = [], band_starts(percent)
+    own = int(np.searchsorted(starts, len(h), side="right")) - 1
     counted = np.concatenate([np.zeros(1, _U), np.cumsum(mix((h & _U(0xFFFFF)) + _U(1)))])
-    for band in (own, own - 1):
-        if band < 0:
-            continue
-        differ = int(band_starts(percent)[band + 1] * (100 - percent) / percent)
+    below = own > 0 and len(h) * percent <= 100 * starts[own] + 1e-6
+    for band in (own, own - 1) if below else (own,):
+        differ = int(starts[band + 1] * (100 - percent) / percent + 1e-6)
         if not differ:
             continue  # sets of this band link only when equal
         parts = differ + 1 + SLACK
@@ -127,21 +128,34 @@ def set_name(h: np.ndarray) -> np.ndarray:
     return mix(np.array([h.sum(dtype=_U) ^ _U(len(h) * 0x9E3779B1)], _U))
 
 
-POINTS = "id long, mark long, n long, node long, tiles array<long>"
+POINTS = "id long, mark long, n long, node long"
 
 
-def points(size: int, percent: int, batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """(id, mark, text) to size, name of the set and tiles; the mark is passed on."""
+def points(size: int, batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """(id, mark, text) to size and name of the set; the mark is passed on."""
     for batch in slices(batches):
         sets = [shingle_set(t, size) for t in texts_of(batch["text"])]
-        tiles = [tile_keys(h, percent) if len(h) else h for h in sets]
-        ends = np.concatenate([[0], np.cumsum([len(t) for t in tiles])]).astype(np.int32)
         names = np.concatenate([set_name(h) for h in sets]).view(np.int64)
-        flat = pa.array(np.concatenate(tiles).view(np.int64))
-        yield pa.RecordBatch.from_arrays(
-            [batch["id"], batch["mark"], pa.array([len(h) for h in sets], pa.int64()), pa.array(names), pa.ListArray.from_arrays(pa.array(ends), flat)],
-            names=["id", "mark", "n", "node", "tiles"],
-        )
+        columns = [batch["id"], batch["mark"], pa.array([len(h) for h in sets], pa.int64()), pa.array(names)]
+        yield pa.RecordBatch.from_arrays(columns, names=["id", "mark", "n", "node"])
+
+
+def tiles(size: int, percent: int, batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """Texts to rows of (tile, node). A set met before in this task is not given out again."""
+    seen: set[int] = set()
+    for batch in slices(batches):
+        keys, nodes = [np.zeros(0, _U)], [np.zeros(0, _U)]
+        for text in texts_of(batch["text"]):
+            h = shingle_set(text, size)
+            name = int(set_name(h)[0])
+            if len(h) and name not in seen:
+                if len(seen) >= NODES_KEPT:
+                    seen.clear()
+                seen.add(name)
+                keys.append(tile_keys(h, percent))
+                nodes.append(np.full(len(keys[-1]), name, _U))
+        flat = {"tile": np.concatenate(keys).view(np.int64), "node": np.concatenate(nodes).view(np.int64)}
+        yield pa.RecordBatch.from_pydict(flat)
 
 
 def chains(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -269,10 +283,8 @@ def classes_with_components(
 ) -> DataFrame:
     """Per class of equal sets: ``node``, ``root`` of its component and ``component_id``."""
     classes = cut_lineage(rows.filter("n > 0").groupBy("node").agg(F.min("id").alias("least_id"), F.first("n").alias("n")))
-    reps = classes.select(F.col("node").alias("__node"), F.col("least_id").alias("__id"))
-    single = rows.filter("n > 0").join(reps, (F.col("node") == F.col("__node")) & F.col("id").eqNullSafe(F.col("__id")), "left_semi")
-    tiles = single.select(F.explode("tiles").alias("tile"), "node")
-    edges = tiles.repartition("tile").sortWithinPartitions("tile", "node").mapInArrow(chains, "a long, b long")
+    placed = docs.select(whole_text().alias("text")).mapInArrow(partial(tiles, size, percent), "tile long, node long")
+    edges = placed.repartition("tile").sortWithinPartitions("tile", "node").mapInArrow(chains, "a long, b long")
     candidates = cut_lineage(components(edges).withColumnRenamed("root", "grp"))
 
     with_size = candidates.join(classes, "node")
@@ -308,7 +320,7 @@ def join_documents(
     docs: DataFrame, id_col: str = "doc_id", size: int = WORDS, percent: int = PERCENT
 ) -> DataFrame:
     """Per row: ``id``, ``n_shingles`` and ``component_id``, the least id that links reach."""
-    rows = cut_lineage(marked(docs, id_col).mapInArrow(partial(points, size, percent), POINTS))
+    rows = cut_lineage(marked(docs, id_col).mapInArrow(partial(points, size), POINTS))
     found = classes_with_components(rows, docs, id_col, size, percent)
     some = rows.filter("n > 0").select("id", "n", "node").join(found, "node")
     none = rows.filter("n = 0").select("id", "n", F.col("id").alias("component_id"))
@@ -320,7 +332,7 @@ def keep_first(docs: DataFrame, size: int = WORDS, percent: int = PERCENT) -> Da
 
     Of rows with equal id and text one stays. Documents without words all stay, but for such rows.
     """
-    rows = cut_lineage(marked(docs, "doc_id").mapInArrow(partial(points, size, percent), POINTS))
+    rows = cut_lineage(marked(docs, "doc_id").mapInArrow(partial(points, size), POINTS))
     found = classes_with_components(rows, docs, "doc_id", size, percent).select("node", "root")
     least = F.min(F.struct(F.col("id").isNull().alias("none"), "id", "mark")).alias("r")
     some = rows.filter("n > 0").join(found, "node").groupBy("root").agg(least).select("r.id", "r.mark")
