@@ -128,3 +128,12 @@ def test_high_risk_view_counts_chunks(spark):
     view = scoring.high_risk_view(alerts(spark, 60), chunks(spark)).collect()
     assert {r.risk_tier for r in view} == {"high", "critical"}
     assert {r.ICUSTAY_ID: r.embedded_note_chunks for r in view if r.ICUSTAY_ID in (200002, 200055)} == {200002: 10, 200055: 0}
+
+
+def test_top_k_missing_and_large(spark):
+    alerts = spark.createDataFrame(
+        [(i, i % 20, "high", i) for i in range(90)], "ICUSTAY_ID int, sofa_total int, risk_tier string, x int"
+    )
+    asked = spark.createDataFrame([("a", None, None), ("b", None, 80)], "question_id string, tiers array<string>, top_k int")
+    rows = context.risk_lists(asked, alerts).groupBy("question_id").count().collect()
+    assert {r.question_id: r["count"] for r in rows} == {"a": 10, "b": 80}

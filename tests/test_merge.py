@@ -75,3 +75,12 @@ def test_not_embedded_sees_new_and_changed_notes(spark):
         "note_id", merge.content_hash(F.col("t")).alias("content_hash")
     )
     assert {r.note_id for r in merge.not_embedded(notes, done).collect()} == {2, 3}
+
+
+def test_repeated_keys_in_updates(spark):
+    target = spark.createDataFrame([(1, "a", 0)], "k int, v string, at int")
+    rows = spark.createDataFrame([(1, "y", 2), (1, "z", 1), (2, "b", 1), (2, "c", 2)], "k int, v string, at int")
+    merged = merge.merge_by_key(target, rows, ["k"], order=["at"])
+    assert sorted(tuple(r) for r in merged.collect()) == [(1, "y", 2), (2, "c", 2)]
+    added = merge.insert_absent(target, rows, ["k"], order=["at"])
+    assert sorted(tuple(r) for r in added.collect()) == [(1, "a", 0), (2, "b", 1)]

@@ -46,3 +46,8 @@ def test_nulls_are_left_out(spark):
     df = spark.createDataFrame([("a", 1.0), ("a", None), ("a", 3.0), ("b", None)], "g string, v double")
     rows = exact_percentiles(df, ["g"], "v", {"m": 0.5}).collect()
     assert [(r.g, r.m) for r in rows] == [("a", 2.0)]
+
+
+def test_nan_is_left_out(spark):
+    df = spark.createDataFrame([("a", float(i)) for i in range(1, 11)] + [("a", float("nan"))], "g string, v double")
+    assert exact_percentiles(df, ["g"], "v", {"p95": 0.95}).collect()[0].p95 == pytest.approx(9.55)

@@ -8,7 +8,7 @@ import random
 import pytest
 from pyspark.sql import functions as F
 
-from wardlight.operators import joins, rolling, scoring
+from wardlight.operators import rolling, scoring
 
 T0 = dt.datetime(2024, 3, 1, 5, 17, 23, 456789)
 H = dt.timedelta(hours=1)
@@ -77,13 +77,6 @@ def test_rolling_equals_loops(spark, seed, block):
     assert got == expected([s for s in stays if s[3]], vitals, labs)
 
 
-def test_rolling_with_salted_lab_join(spark, monkeypatch):
-    monkeypatch.setattr(joins, "fits_broadcast", lambda df: False)
-    stays, vitals, labs = random_case(4)
-    got = actual(rolling.rolling_worst(*frames(spark, stays, vitals, labs)))
-    assert got == expected([s for s in stays if s[3]], vitals, labs)
-
-
 def test_window_edges_and_lab_fan_out(spark):
     stays = [(1, 10, T0, T0 + 25 * H), (2, 10, T0, T0 + 24 * H)]
     labs = [

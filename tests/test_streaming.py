@@ -40,6 +40,18 @@ def test_hourly_vitals_over_many_batches(spark, tmp_path):
     assert spark.read.parquet(str(tmp_path / "out")).select("batch_id").distinct().count() >= 4
 
 
+def test_late_readings_count(spark, tmp_path):
+    t = dt.datetime(2024, 1, 1, 5)
+    schema = "ICUSTAY_ID int, ITEMID int, CHARTTIME timestamp, VALUENUM double, ERROR int"
+    path = str(tmp_path / "in")
+    for at, value in ((t, 80.0), (t + dt.timedelta(hours=40), 70.0), (t, 60.0)):
+        rows = [(1, 456, at, value, None)]
+        spark.createDataFrame(rows, schema).coalesce(1).write.mode("append").parquet(path)
+    stream = spark.readStream.schema(schema).option("maxFilesPerTrigger", 1).parquet(path)
+    got = jobs.run_hourly_vitals(spark, stream, str(tmp_path / "out"), str(tmp_path / "cp"))
+    assert {r.hour_bucket: (r.mean_val, r.measurement_count) for r in got.collect()}[t] == (70.0, 2)
+
+
 def test_restarted_stream_reads_only_new_files(spark, tmp_path):
     source, out, cp = (str(tmp_path / x) for x in ("in", "out", "cp"))
     chart = px.chart(spark, SF)

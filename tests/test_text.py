@@ -137,10 +137,7 @@ def test_note_stays(spark):
     assert got == {1: 70, 2: 70, 3: None, 4: None, 5: None}
 
 
-@pytest.mark.parametrize("broadcast", [True, False])
-def test_note_stays_with_overlaps(spark, monkeypatch, broadcast):
-    if not broadcast:
-        monkeypatch.setattr("wardlight.operators.joins.fits_broadcast", lambda df: False)
+def test_note_stays_with_overlaps(spark):
     rng = random.Random(11)
     t0 = dt.datetime(2024, 1, 1)
     hour = lambda a, b: t0 + dt.timedelta(hours=rng.randint(a, b))
@@ -160,3 +157,12 @@ def test_note_stays_with_overlaps(spark, monkeypatch, broadcast):
     )
     rows = got.collect()
     assert len(rows) == len(notes) and {r.note_id: r.ICUSTAY_ID for r in rows} == want
+
+
+def test_header_line_starts(spark):
+    from wardlight.functions.text import header_pattern, raw_sections
+
+    texts = ["intro\rPlan: a", "intro\u2028Plan: a", "intro\nPlan\u00a0: a", "intro\nPlan: a"]
+    df = spark.createDataFrame([(i, t) for i, t in enumerate(texts)], "i int, t string")
+    got = df.orderBy("i").select(raw_sections(F.col("t"), header_pattern(("Plan",))).alias("s")).collect()
+    assert [len(r.s) for r in got] == [1, 1, 2, 2]

@@ -46,8 +46,11 @@ _WINDOWS_PER_PIECE = 64
 
 
 def header_pattern(headers: tuple[str, ...] = SECTION_HEADERS, colon: bool = True) -> str:
-    """Zero-width match before every header at the start of a line."""
-    return rf"(?im)^(?=(?:{'|'.join(headers)}){r'\s*:' if colon else ''})"
+    """Zero-width match before every header at the start of a line.
+
+    Only a line feed ends a line, and blanks are those of Unicode.
+    """
+    return rf"(?imdU)^(?=(?:{'|'.join(headers)}){r'\s*:' if colon else ''})"
 
 
 def strip(text: Column) -> Column:

@@ -16,7 +16,6 @@ from wardlight.functions.text import (
     raw_sections,
     strip,
 )
-from wardlight.operators.joins import balanced_join, spread_if_small
 
 
 def note_sections(
@@ -38,14 +37,13 @@ def chunk_notes(
 ) -> DataFrame:
     """One row per chunk: the ``keep`` columns, its number, text and true offset.
 
-    A narrow transformation, apart from sharing out a small input: every note is
-    split inside its own task.
+    A narrow transformation: every note is split inside its own task, and the input's
+    own splits share out the work.
     """
     chunks = note_chunks(
         F.col(text), pattern or header_pattern(SECTION_HEADERS), size, overlap
     )
-    spread = spread_if_small(notes.select(*dict.fromkeys([*keep, text])), *keep)
-    return spread.select(*keep, F.posexplode(chunks).alias("chunk_index", "c")).select(
+    return notes.select(*keep, F.posexplode(chunks).alias("chunk_index", "c")).select(
         *keep,
         "chunk_index",
         F.col("c.section").alias("section_index"),
@@ -77,7 +75,7 @@ def with_metadata(chunks: DataFrame, columns: Sequence[str] = CHUNK_COLUMNS) ->
     return chunks.select(*kept, packed.alias("metadata"))
 
 
-def note_stays(notes: DataFrame, stays: DataFrame, key: str = "note_id") -> DataFrame:
+def note_stays(notes: DataFrame, stays: DataFrame) -> DataFrame:
     """Add ICUSTAY_ID: the first stay of the admission that covers the chart time.
 
     That is the stay with the least INTIME among those ending at or after the chart
@@ -85,7 +83,7 @@ def note_stays(notes: DataFrame, stays: DataFrame, key: str = "note_id") -> Data
     first, gives it without pairing notes with stays. Each distinct chart time of an
     admission is looked up once, and an admission is cut into days: the minimum over
     all later days needs one row per day only. Notes outside every stay keep a NULL
-    stay.
+    stay; those without admission or chart time go round the join.
     """
     at = lambda c: F.col(c).cast("timestamp")
     ends = stays.filter(F.col("INTIME").isNotNull() & F.col("OUTTIME").isNotNull()).select(
@@ -125,4 +123,7 @@ def note_stays(notes: DataFrame, stays: DataFrame, key: str = "note_id") -> Data
         )
     )
     timed = notes.withColumn("_at", at("CHARTTIME"))
-    return balanced_join(timed, found, ["HADM_ID", "_at"], [key], "left").drop("_at")
+    keyed = F.col("HADM_ID").isNotNull() & F.col("_at").isNotNull()
+    none = F.lit(None).cast(stays.schema["ICUSTAY_ID"].dataType)
+    matched = timed.filter(keyed).join(found, ["HADM_ID", "_at"], "left")
+    return matched.unionByName(timed.filter(~keyed).withColumn("ICUSTAY_ID", none)).drop("_at")

@@ -7,7 +7,6 @@ from pyspark.sql import functions as F
 
 from wardlight.functions.text import word_count
 from wardlight.functions.times import age_at
-from wardlight.operators.joins import balanced_join
 from wardlight.operators.quantiles import MAX_BROADCAST_GROUPS, exact_percentiles
 
 # Item codes of each vital sign and laboratory value.
@@ -209,5 +208,5 @@ def outlier_flags(
     if name_bound is not None and name_bound <= MAX_BROADCAST_GROUPS:
         joined = df.join(F.broadcast(fences), name, "left")
     else:
-        joined = balanced_join(df, fences, name, [value], "left")
+        joined = df.join(fences, name, "left")
     return joined.withColumn("is_outlier", outside.cast("int"))

@@ -8,7 +8,7 @@ from pyspark.sql import functions as F
 from wardlight.functions.scores import TIERS
 from wardlight.functions.text import excerpt
 from wardlight.functions.times import micros
-from wardlight.operators.scoring import MAX_TOP_K
+from wardlight.operators.scoring import DEFAULT_TOP_K
 from wardlight.operators.search import top_k_batch
 
 # Limits on excerpts.
@@ -45,24 +45,26 @@ TASK_TEXT = (
 
 def retrieval_size(top_k: Column) -> Column:
     """Excerpts to fetch for a list of ``top_k`` patients."""
-    return F.least(top_k * 2, F.lit(MAX_RETRIEVED))
+    return F.least(F.coalesce(top_k, F.lit(DEFAULT_TOP_K)) * 2, F.lit(MAX_RETRIEVED))
 
 
 def risk_lists(questions: DataFrame, alerts: DataFrame) -> DataFrame:
     """The risk list of every question: ``(question_id, patient_rank, alert columns)``.
 
     ``questions`` has question_id, tiers (an empty or NULL array means all) and
-    top_k. No list can be longer than 50, so the 50 highest alerts of each of the
-    four tiers are enough for every question: at most 200 rows, which are joined
-    with the questions' tiers.
+    top_k; a NULL top_k is 10. No list is longer than the largest top_k, so that many
+    highest alerts of each of the four tiers are enough for every question. Whether a
+    top_k is in its range is for ``checks.question_rules`` to say; none is cut here.
     """
+    asked = questions.withColumn("_k", F.coalesce("top_k", F.lit(DEFAULT_TOP_K)))
+    longest = asked.agg(F.max("_k").alias("k")).first()["k"] or 0
     leading = Window.partitionBy("risk_tier").orderBy(F.col("sofa_total").desc(), "ICUSTAY_ID")
     top_per_tier = (
-        alerts.withColumn("_r", F.row_number().over(leading)).filter(F.col("_r") <= MAX_TOP_K).drop("_r")
+        alerts.withColumn("_r", F.row_number().over(leading)).filter(F.col("_r") <= longest).drop("_r")
     )
-    wanted = questions.select(
+    wanted = asked.select(
         "question_id",
-        F.least("top_k", F.lit(MAX_TOP_K)).alias("_k"),
+        "_k",
         F.explode(
             F.when(F.size(F.coalesce("tiers", F.array().cast("array<string>"))) > 0, F.array_distinct("tiers"))
             .otherwise(F.array(*map(F.lit, TIERS)))
@@ -70,7 +72,7 @@ def risk_lists(questions: DataFrame, alerts: DataFrame) -> DataFrame:
     )
     per_question = Window.partitionBy("question_id").orderBy(F.col("sofa_total").desc(), "ICUSTAY_ID")
     return (
-        wanted.join(F.broadcast(top_per_tier), "risk_tier")
+        wanted.join(top_per_tier, "risk_tier")
         .withColumn("patient_rank", F.row_number().over(per_question))
         .filter(F.col("patient_rank") <= F.col("_k"))
         .drop("_k")

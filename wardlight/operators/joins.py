@@ -1,75 +1,8 @@
-"""Joins that stay balanced when one key holds a large share of the rows."""
+"""Range test shared by the interval joins."""
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame
-from pyspark.sql import functions as F
-
-SALTS = 32
-
-
-# Tables up to this size may sit in one row group, which one task would read alone.
-SMALL_TABLE_BYTES = 256 << 20
-
-
-def estimated_bytes(df: DataFrame) -> int:
-    """Catalyst's size estimate of the result."""
-    return int(str(df._jdf.queryExecution().optimizedPlan().stats().sizeInBytes()))
-
-
-def fits_broadcast(df: DataFrame) -> bool:
-    """True when Catalyst's size estimate is below the session's broadcast limit."""
-    limit = _as_bytes(df.sparkSession.conf.get("spark.sql.autoBroadcastJoinThreshold"))
-    return estimated_bytes(df) <= limit
-
-
-def spread_if_small(df: DataFrame, *keys: str) -> DataFrame:
-    """Share a small table among all cores before work that is heavy per row.
-
-    A large table already comes in as many splits and stays as it is.
-    """
-    if df.isStreaming or estimated_bytes(df) > SMALL_TABLE_BYTES:
-        return df
-    return df.repartition(df.sparkSession.sparkContext.defaultParallelism, *keys)
-
-
-def _as_bytes(text: str) -> int:
-    text = text.strip().lower().removesuffix("b")
-    units = {"k": 1 << 10, "m": 1 << 20, "g": 1 << 30, "t": 1 << 40}
-    if text and text[-1] in units:
-        return int(text[:-1]) * units[text[-1]]
-    return int(text)
-
-
-def salted_join(
-    facts: DataFrame,
-    spans: DataFrame,
-    on: str | list[str],
-    spread: list[str],
-    how: str = "inner",
-    salts: int = SALTS,
-) -> DataFrame:
-    """Equi join in which the rows of one key go to ``salts`` tasks.
-
-    ``spans`` (few, narrow rows) is repeated once per salt. The salt of a fact is
-    a hash of its ``spread`` columns, not a random number, so a task that is run
-    again after a lost executor gives the same rows.
-    """
-    salted = facts.withColumn(
-        "_salt", F.pmod(F.xxhash64(*spread), F.lit(salts)).cast("int")
-    )
-    repeated = spans.withColumn("_salt", F.explode(F.sequence(F.lit(0), F.lit(salts - 1))))
-    keys = [on] if isinstance(on, str) else list(on)
-    return salted.join(repeated, [*keys, "_salt"], how).drop("_salt")
-
-
-def balanced_join(
-    facts: DataFrame, spans: DataFrame, on: str | list[str], spread: list[str], how: str = "inner"
-) -> DataFrame:
-    """Plain join (Catalyst broadcasts) when ``spans`` is small, else salted."""
-    if fits_broadcast(spans):
-        return facts.join(spans, on, how)
-    return salted_join(facts, spans, on, spread, how)
+from pyspark.sql import Column
 
 
 def within(t: Column, start: Column, end: Column) -> Column:

@@ -1,30 +1,46 @@
 """Keyed upsert, insert-if-absent and queue bookkeeping on plain tables.
 
 Each function returns the new content of the table; the caller writes it to a new
-path. Keys are unique on both sides, so the joins have no heavy key.
+path. Updates are reduced to one row per key first, so the joins have no heavy key.
 """
 
 from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 QUEUE_BATCH = 50
 
 
+def one_per_key(rows: DataFrame, keys: Sequence[str], order: Sequence[str] = (), last: bool = True) -> DataFrame:
+    """The last (or first) row of every key by the ``order`` columns, then by all others.
+
+    The rank is only compared with 1, so Spark keeps one row per key and input task
+    before the shuffle. Without ``order`` the choice among repeated keys is still the
+    same in every run.
+    """
+    by = [*order, *(c for c in rows.columns if c not in keys and c not in order)]
+    ranked = [F.col(c).desc_nulls_last() if last else F.col(c).asc_nulls_first() for c in by]
+    first = Window.partitionBy(*keys).orderBy(*(ranked or [F.lit(1)]))
+    return rows.withColumn("_r", F.row_number().over(first)).filter("_r = 1").drop("_r")
+
+
 def merge_by_key(
     target: DataFrame,
     updates: DataFrame,
     keys: Sequence[str],
     update_columns: Sequence[str] | None = None,
+    order: Sequence[str] = (),
 ) -> DataFrame:
     """Insert new keys whole; on a known key replace ``update_columns`` only.
 
     The result has the target's columns. A matched NULL in ``updates`` replaces the
-    old value. Rows of the target without an update stay as they are.
+    old value. Rows of the target without an update stay as they are. When ``updates``
+    repeats a key, the last of its rows by ``order`` counts, as if applied in turn.
     """
+    updates = one_per_key(updates, keys, order)
     rest = [c for c in target.columns if c not in keys]
     replaced = set(rest if update_columns is None else update_columns)
     old = target.select(*keys, F.struct(*rest).alias("_old"))
@@ -50,8 +66,14 @@ def merge_by_key(
     )
 
 
-def insert_absent(target: DataFrame, rows: DataFrame, keys: Sequence[str]) -> DataFrame:
-    """Append the rows whose key the target does not have; change nothing else."""
+def insert_absent(
+    target: DataFrame, rows: DataFrame, keys: Sequence[str], order: Sequence[str] = ()
+) -> DataFrame:
+    """Append the rows whose key the target does not have; change nothing else.
+
+    Of rows that repeat a new key the first by ``order`` is taken.
+    """
+    rows = one_per_key(rows, keys, order, last=False)
     return target.unionByName(rows.join(target.select(*keys), list(keys), "left_anti"))
 
 

@@ -28,13 +28,13 @@ def exact_percentiles(
     outside all brackets are only counted, those inside are counted per distinct
     value. Both counts combine before the shuffle, and the ranking then covers a
     few thousandths of a large group. A rank outside its bracket raises an error
-    rather than giving a wrong value.
+    rather than giving a wrong value. NaN is left out, as NULL is.
 
     ``group_bound`` states how many groups there can be at most, where that is known;
     if they are few, their brackets are broadcast and the values are not shuffled.
     """
     names = list(probs)
-    base = df.select(*groups, F.col(value).cast("double").alias("_v")).filter(F.col("_v").isNotNull())
+    base = df.select(*groups, F.col(value).cast("double").alias("_v")).filter(F.col("_v").isNotNull() & ~F.isnan("_v"))
 
     slack = 4.0 / accuracy
     edges = [min(max(p + d, 0.0), 1.0) for p in probs.values() for d in (-slack, slack)]

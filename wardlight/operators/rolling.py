@@ -8,7 +8,7 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from wardlight.functions.times import hour_index, plus_hours
-from wardlight.operators.joins import balanced_join, within
+from wardlight.operators.joins import within
 
 LOOK_BACK_HOURS = 24
 
@@ -82,7 +82,7 @@ def hourly_points(
 
     Vitals enter at the start of their clock hour, labs at their own time. A lab
     belongs to an admission and counts for each of its stays; the admission join
-    is salted when the stays are too large to broadcast.
+    is a plain join, which adaptive execution splits when an admission has many rows.
     """
     vital_points = (
         vitals.filter(F.col("vital_name").isin(_of(features, "vital")))
@@ -94,16 +94,15 @@ def hourly_points(
         )
         .join(spans.drop("HADM_ID"), "ICUSTAY_ID")
     )
-    lab_points = balanced_join(
-        labs.filter(F.col("lab_name").isin(_of(features, "lab"))).select(
+    lab_points = (
+        labs.filter(F.col("lab_name").isin(_of(features, "lab")))
+        .select(
             "HADM_ID",
             F.col("CHARTTIME").alias("t"),
             F.col("lab_name").alias("name"),
             F.col("VALUENUM").alias("value"),
-        ),
-        spans,
-        "HADM_ID",
-        ["t", "name", "value"],
+        )
+        .join(spans, "HADM_ID")
     )
     return _visible(vital_points, look_back).unionByName(_visible(lab_points, look_back))
 

@@ -15,6 +15,7 @@ ALERT_COLUMNS = ("ICUSTAY_ID", "score_window_end", "sofa_total", "risk_tier", *S
 
 DEFAULT_TOP_K = 10
 MAX_TOP_K = 50
+DEFAULT_TOP_K = 10
 
 
 def with_scores(features: DataFrame, missing: str = "worst") -> DataFrame:

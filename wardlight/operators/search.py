@@ -99,6 +99,8 @@ def _one_pass(chunks: DataFrame, questions: DataFrame, allowed: DataFrame | None
     )
     arrow_schema = to_arrow_schema(out_schema)
     ids = [r.question_id for r in rows]
+    if len(set(ids)) < len(ids):
+        raise ValueError("question_id repeats")
     limits = [int(r.k) for r in rows]
     matrix = _unit_rows(np.array([r.embedding for r in rows], dtype=np.float64, ndmin=2))
 
@@ -116,10 +118,11 @@ def _one_pass(chunks: DataFrame, questions: DataFrame, allowed: DataFrame | None
         for batch in batches:
             if batch.num_rows == 0 or not ids:
                 continue
+            lengths = batch.column("embedding").value_lengths().to_numpy(zero_copy_only=False)
+            if (lengths != matrix.shape[1]).any():
+                raise ValueError("chunk and question vectors differ in length")
             flat = batch.column("embedding").flatten().to_numpy(zero_copy_only=False)
             vectors = flat.astype(np.float64).reshape(batch.num_rows, -1)
-            if vectors.shape[1] != matrix.shape[1]:
-                raise ValueError("chunk and question vectors differ in length")
             sims = np.round(_unit_rows(vectors) @ matrix.T, TIE_DECIMALS)
             if stay_of is not None:
                 mask = np.zeros(sims.shape, dtype=bool)

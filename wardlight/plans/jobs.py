@@ -31,6 +31,14 @@ def ingest_all(spark: SparkSession, raw: str, out: str) -> dict[str, int]:
     }
 
 
+def latest_notes(notes: DataFrame) -> DataFrame:
+    """Latest versions; equal store times are told apart by row id, else by content."""
+    if "ROW_ID" in notes.columns:
+        return cleaning.clinical_notes(notes, "ROW_ID")
+    marked = notes.withColumn("_content", F.sha2(F.coalesce("TEXT", F.lit("")), 256))
+    return cleaning.clinical_notes(marked, "_content").drop("_content")
+
+
 def clean_all(spark: SparkSession, typed: str, out: str) -> dict[str, int]:
     def t(name: str) -> DataFrame:
         return read_table(spark, f"{typed}/{name}")
@@ -39,7 +47,7 @@ def clean_all(spark: SparkSession, typed: str, out: str) -> dict[str, int]:
         "patient_stays": cleaning.patient_stays(t("icustays"), t("patients"), t("admissions")),
         "vitals_hourly": cleaning.vitals_hourly(t("chartevents")),
         "labs_per_stay": cleaning.labs_per_stay(t("labevents")),
-        "clinical_notes": cleaning.clinical_notes(t("noteevents")),
+        "clinical_notes": latest_notes(t("noteevents")),
     }
     return {
         name: write_table(df.withColumn("_transformed_at", F.current_timestamp()), f"{out}/{name}")

@@ -11,45 +11,47 @@ from wardlight.operators.chunking import chunk_notes
 from wardlight.operators.cleaning import clinical_notes, valid_vitals
 from wardlight.operators.embedding import embed_hashed
 from wardlight.operators.metrics import LATENCY_BOUNDS
-from wardlight.streaming.sink import latest_children, latest_versions, write_versions
+from wardlight.streaming.sink import latest_children, write_versions
 
-LATENESS = "2 hours"
 VITAL_KEYS = ("ICUSTAY_ID", "vital_name", "hour_bucket")
+METRIC_KEYS = ("window_start", "provider")
 
 
-def _event_time(df: DataFrame, column: str) -> DataFrame:
-    """Watermarks need ``timestamp``; stored tables may hold ``timestamp_ntz``."""
-    return df.withColumn(column, F.col(column).cast("timestamp"))
+def hourly_parts(chart: DataFrame) -> DataFrame:
+    """Per stay, vital and clock hour of some readings: sum, least, greatest and count.
 
-
-def hourly_vitals(chart: DataFrame, lateness: str = LATENESS) -> DataFrame:
-    """Per stay, vital and clock hour: mean, least, greatest and count."""
+    Works on a micro-batch. Parts of one hour from any number of batches add up, so
+    there is no watermark and no state, and readings count however late they come.
+    """
     return (
-        _event_time(valid_vitals(chart), "CHARTTIME")
-        .withWatermark("CHARTTIME", lateness)
-        .groupBy(F.window("CHARTTIME", "1 hour").alias("w"), "ICUSTAY_ID", "vital_name")
+        valid_vitals(chart)
+        .withColumn("hour_bucket", F.date_trunc("hour", F.col("CHARTTIME").cast("timestamp")))
+        .groupBy(*VITAL_KEYS)
         .agg(
-            F.mean("VALUENUM").alias("mean_val"),
+            F.sum("VALUENUM").alias("total"),
             F.min("VALUENUM").alias("min_val"),
             F.max("VALUENUM").alias("max_val"),
             F.count("VALUENUM").alias("measurement_count"),
         )
-        .select(
-            "ICUSTAY_ID",
-            "vital_name",
-            F.col("w.start").alias("hour_bucket"),
-            "mean_val",
-            "min_val",
-            "max_val",
-            "measurement_count",
-        )
     )
 
 
+def hourly_vitals(parts: DataFrame) -> DataFrame:
+    """The hourly table from the parts of all batches."""
+    whole = parts.groupBy(*VITAL_KEYS).agg(
+        F.sum("total").alias("total"),
+        F.min("min_val").alias("min_val"),
+        F.max("max_val").alias("max_val"),
+        F.sum("measurement_count").alias("measurement_count"),
+    )
+    mean = F.col("total") / F.col("measurement_count")
+    return whole.select(*VITAL_KEYS, mean.alias("mean_val"), "min_val", "max_val", "measurement_count")
+
+
 def run_hourly_vitals(spark: SparkSession, chart: DataFrame, path: str, checkpoint: str) -> DataFrame:
     """Run the stream over what is there and give the current hourly table."""
-    write_versions(hourly_vitals(chart), path, checkpoint).awaitTermination()
-    return latest_versions(spark, path, VITAL_KEYS)
+    write_versions(chart, path, checkpoint, hourly_parts, mode="append").awaitTermination()
+    return hourly_vitals(spark.read.parquet(path))
 
 
 def trailing_worst(hourly: DataFrame, hours: int = 24) -> DataFrame:
@@ -65,12 +67,11 @@ def trailing_worst(hourly: DataFrame, hours: int = 24) -> DataFrame:
     )
 
 
-def metric_counters(metrics: DataFrame, lateness: str = LATENESS) -> DataFrame:
-    """Per 5 minutes and provider: queries, tokens, cost and latency buckets."""
+def metric_parts(metrics: DataFrame) -> DataFrame:
+    """Per 5 minutes and provider of some requests: queries, tokens, cost and latency buckets."""
     return (
-        _event_time(metrics, "queried_at")
-        .withWatermark("queried_at", lateness)
-        .groupBy(F.window("queried_at", "5 minutes").alias("w"), "provider")
+        metrics.withColumn("w", F.window(F.col("queried_at").cast("timestamp"), "5 minutes"))
+        .groupBy(F.col("w.start").alias("window_start"), "provider")
         .agg(
             F.count(F.lit(1)).alias("queries"),
             F.sum("tokens_used").alias("tokens"),
@@ -80,14 +81,18 @@ def metric_counters(metrics: DataFrame, lateness: str = LATENESS) -> DataFrame:
                 for i, b in enumerate(LATENCY_BOUNDS)
             ],
         )
-        .select(F.col("w.start").alias("window_start"), "*")
-        .drop("w")
     )
 
 
+def metric_counters(parts: DataFrame) -> DataFrame:
+    """The counters from the parts of all batches."""
+    sums = ["queries", "tokens", "cost_usd", *(f"le_{i}" for i in range(len(LATENCY_BOUNDS)))]
+    return parts.groupBy(*METRIC_KEYS).agg(*[F.sum(c).alias(c) for c in sums])
+
+
 def run_metric_counters(spark: SparkSession, metrics: DataFrame, path: str, checkpoint: str) -> DataFrame:
-    write_versions(metric_counters(metrics), path, checkpoint).awaitTermination()
-    return latest_versions(spark, path, ("window_start", "provider"))
+    write_versions(metrics, path, checkpoint, metric_parts, mode="append").awaitTermination()
+    return metric_counters(spark.read.parquet(path))
 
 
 def run_note_dedup(
