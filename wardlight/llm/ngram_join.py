@@ -9,17 +9,18 @@ the others are verified on the sets themselves.
 
 To bring points together that may link, the space is tiled. Sizes are cut into bands so that
 linked sets lie in one band or in two neighbouring ones. In a band, two linked sets differ in at
-most D shingles, so of D + 1 + SLACK parts of the coordinates at least 1 + SLACK are equal in
-both. A document goes, for each part, to the tile of the points with exactly its coordinates
-there (a hash of the part's counts is the tile's key). A part without shingles counts only for
-documents with more than SLACK such parts: two that share more than SLACK empty parts both have
-them, any others share a part that is not empty. So no linked pair is missed.
-
-Documents of a tile are chained to its least member, not paired; chains give candidate groups.
-Each group is cut into blocks of bounded total size and all pairs of its blocks are searched:
-an R-tree over one block, queried by the other. Pairs that are connected already are not verified
-again, and only links that connect something are given out, at most one per document and block
-pair. Equal sets are one point (a class): a task gives out the tiles of a set once, so copies cost little.
+most D shingles, so of more than D parts of the coordinates that a set fills at least one is
+equal in both. A document goes, for each filled part, to the tile of the points with exactly its
+coordinates there (a hash of the part's counts is the tile's key); the rare set that fills no more
+than D parts goes to the tiles of its empty parts as well. So no linked pair is missed.
+
+Tiles with the same members count once. In each tile an R-tree finds the pairs whose bound allows
+a link; they chain documents to candidate groups, which an R-tree over points with more
+coordinates for longer documents splits up again. Each group is cut into blocks of bounded total
+size, and all pairs of its blocks are searched with an R-tree over one block, queried by the
+other, and verified on the sets. Pairs that are connected already are not looked at again, and
+only links that connect something are given out. Equal sets are one point (a class): a task gives
+out the tiles of a set once, so copies cost little.
 
 Defined cases: A-Z is lower-cased; words are what ASCII white space separates. With fewer
 words than a shingle has, the whole sequence is one shingle. NULL, empty and blank texts have the empty set and
@@ -36,7 +37,7 @@ from functools import partial
 import numpy as np
 import pyarrow as pa
 import xxhash
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from wardlight.llm.common import cut_lineage, slices, texts_of, whole_text
@@ -44,10 +45,12 @@ from wardlight.llm.components import components
 
 WORDS = 3
 PERCENT = 90
-SLACK = 2
-GROUPS = 32  # coordinates of the points in an R-tree
+SPARE = 1.3  # parts of a tile space per difference allowed, so that few sets have too few filled parts
+GROUPS = 64  # coordinates of the points in the R-tree of a tile
+PER_GROUP = 8  # shingles per coordinate in the finer points of a candidate group, at most
 BOX = 16  # children of an R-tree box
 BLOCK_SHINGLES = 500_000  # shingles of a block, about
+BLOCK_BYTES = 4_000_000  # of points of a block, about
 WORDS_KEPT = 200_000
 NODES_KEPT = 500_000
 
@@ -112,13 +115,13 @@ def tile_keys(h: np.ndarray, percent: int = PERCENT) -> np.ndarray:
         differ = int(starts[band + 1] * (100 - percent) / percent + 1e-6)
         if not differ:
             continue  # sets of this band link only when equal
-        parts = differ + 1 + SLACK
+        parts = int(SPARE * differ) + 3
         place = ((h >> _U(32)) * _U(parts)) >> _U(32)
         ends = np.searchsorted(place, np.arange(parts + 1, dtype=_U))
         sums = counted[ends[1:]] - counted[ends[:-1]]
         name = (_U(band) << _U(40)) + np.arange(parts, dtype=_U)
         filled = ends[1:] > ends[:-1]
-        if parts - filled.sum() <= SLACK:
+        if filled.sum() > differ:
             sums, name = sums[filled], name[filled]
         out.append(mix(sums + mix(name)))
     return np.concatenate(out) if out else np.zeros(0, _U)
@@ -128,7 +131,7 @@ def set_name(h: np.ndarray) -> np.ndarray:
     return mix(np.array([h.sum(dtype=_U) ^ _U(len(h) * 0x9E3779B1)], _U))
 
 
-POINTS = "id long, mark long, n long, node long"
+POINTS = "id long, mark long, n long, node long, counts binary, fine binary"
 
 
 def points(size: int, batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -137,7 +140,9 @@ def points(size: int, batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBa
         sets = [shingle_set(t, size) for t in texts_of(batch["text"])]
         names = np.concatenate([set_name(h) for h in sets]).view(np.int64)
         columns = [batch["id"], batch["mark"], pa.array([len(h) for h in sets], pa.int64()), pa.array(names)]
-        yield pa.RecordBatch.from_arrays(columns, names=["id", "mark", "n", "node"])
+        columns.append(pa.array([packed_counts(h, GROUPS) for h in sets], pa.binary()))
+        columns.append(pa.array([packed_counts(h, fine_groups(len(h))) for h in sets], pa.binary()))
+        yield pa.RecordBatch.from_arrays(columns, names=["id", "mark", "n", "node", "counts", "fine"])
 
 
 def tiles(size: int, percent: int, batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -158,29 +163,104 @@ def tiles(size: int, percent: int, batches: Iterator[pa.RecordBatch]) -> Iterato
         yield pa.RecordBatch.from_pydict(flat)
 
 
-def chains(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """Rows of (tile, node), sorted, to edges between each member of a tile and its least one."""
-    tile, first, last = None, None, None
+def shared_tiles(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """Rows of (tile, node), sorted, to the members of tiles with two nodes or more.
+
+    A tile is named by its members, so tiles with the same members become the same.
+    """
+    t, v = np.zeros(0, np.int64), np.zeros(0, np.int64)
+
+    def members(t: np.ndarray, v: np.ndarray) -> pa.RecordBatch:
+        new = np.ones(len(t), bool)
+        new[1:] = (t[1:] != t[:-1]) | (v[1:] != v[:-1])
+        t, v = t[new], v[new]
+        begins = np.flatnonzero(np.concatenate([[True], t[1:] != t[:-1]])) if len(t) else np.zeros(0, np.int64)
+        sizes = np.diff(np.append(begins, len(t)))
+        name = mix(np.add.reduceat(mix(v.view(_U)), begins) + sizes.astype(_U)) if len(t) else np.zeros(0, _U)
+        several = np.repeat(sizes > 1, sizes)
+        return pa.RecordBatch.from_pydict({"tile": np.repeat(name, sizes)[several].view(np.int64), "node": v[several]})
+
     for batch in batches:
-        t = batch["tile"].to_numpy()
-        v = batch["node"].to_numpy()
-        if not len(t):
-            continue
-        begins = np.flatnonzero(np.concatenate([[tile is None or t[0] != tile], t[1:] != t[:-1]]))
-        heads = np.full(len(t), first if first is not None else 0, np.int64)
-        bounds = np.append(begins, len(t))
-        heads[bounds[0] :] = np.repeat(v[begins], np.diff(bounds))
-        before = np.concatenate([[last if last is not None and t[0] == tile else v[0]], v[:-1]])
-        new = (v != heads) & (v != before)
-        yield pa.RecordBatch.from_pydict({"a": v[new], "b": heads[new]})
-        tile, first, last = t[-1], heads[-1], v[-1]
+        t = np.concatenate([t, batch["tile"].to_numpy()])
+        v = np.concatenate([v, batch["node"].to_numpy()])
+        if len(t):
+            whole = int(np.searchsorted(t, t[-1]))  # the last tile may go on
+            yield members(t[:whole], v[:whole])
+            t, v = t[whole:], v[whole:]
+    yield members(t, v)
+
+
+def fine_groups(n: int) -> int:
+    """A power of two that leaves at most PER_GROUP shingles per group on average."""
+    return max(GROUPS, 1 << max(0, -(-n // PER_GROUP) - 1).bit_length())
+
+
+def packed_counts(h: np.ndarray, groups: int) -> bytes:
+    """Counts per group in a byte each, rounded up to a power of two of which the first byte tells."""
+    counts = np.bincount((h & _U(groups - 1)).astype(np.int64), minlength=groups)
+    power = max(0, int(counts.max()).bit_length() - 8)
+    power += int(-(-int(counts.max()) >> power) > 255)
+    return bytes([power]) + (-(-counts >> power)).astype(np.uint8).tobytes()
+
+
+def unpacked_counts(packed: list[bytes]) -> np.ndarray:
+    """Points of the least number of groups among them; finer ones are added up to it."""
+    groups = min(len(p) for p in packed) - 1
+    rows = []
+    for p in packed:
+        counts = np.frombuffer(p, np.uint8, offset=1).astype(np.int64) << p[0]
+        rows.append(counts.reshape(-1, groups).sum(0))
+    return np.array(rows)
+
+
+def bound_edges(nodes: list[int], sizes: list[int], packed: list[bytes], percent: int) -> list[tuple[int, int]]:
+    """Edges that connect all nodes of which chains of bounds allow a link."""
+    if len(nodes) < 2:
+        return []
+    vectors, size = unpacked_counts(packed), np.array(sizes, np.int64)
+    if len(nodes) == 2:
+        bound, (x, y) = int(np.minimum(vectors[0], vectors[1]).sum()), sorted(sizes)
+        fits = bound * (100 + percent) >= percent * (x + y) and x * 100 >= y * percent
+        return [(nodes[0], nodes[1])] if fits else []
+    tree, label, found = CountTree(vectors, size), np.arange(len(nodes)), []
+    for i in range(len(nodes)):
+        near = tree.near(vectors[i], int(size[i]), percent)
+        near = near[label[near] != label[i]]
+        if len(near):
+            others, at = np.unique(label[near], return_index=True)
+            found += [(nodes[i], nodes[j]) for j in near[at].tolist()]
+            label[np.isin(label, others)] = label[i]
+    return found
+
+
+def links_by_bound(keys: int, percent: int, batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """Rows of (``keys`` key columns, node, n, points), sorted by key, to edges within each key."""
+    key, rows = None, []
+
+    def edges() -> list[tuple[int, int]]:
+        return bound_edges(*zip(*rows), percent) if rows else []
+
+    for batch in batches:
+        out = []
+        for row in zip(*(column.to_pylist() for column in batch.columns)):
+            if row[:keys] != key:
+                out += edges()
+                key, rows = row[:keys], []
+            rows.append(row[keys:])
+        yield as_edges(out)
+    yield as_edges(edges())
+
+
+def as_edges(pairs: list[tuple[int, int]]) -> pa.RecordBatch:
+    a, b = (np.array([p[k] for p in pairs], np.int64) for k in (0, 1))
+    return pa.RecordBatch.from_pydict({"a": a, "b": b})
 
 
 class CountTree:
     """A packed R-tree over count vectors: boxes of BOX, levels from the leaves up."""
 
     def __init__(self, vectors: np.ndarray, sizes: np.ndarray):
-        half = vectors[:, : GROUPS // 2].sum(1)
+        half = vectors[:, : vectors.shape[1] // 2].sum(1)
         self.order = np.lexsort((half, sizes))
         self.vectors, self.sizes = vectors[self.order], sizes[self.order]
         self.levels = [(self.vectors, self.sizes, self.sizes)]
@@ -251,9 +331,7 @@ def search(percent: int, batches: Iterator[pa.RecordBatch]) -> Iterator[pa.Recor
         same = key[1] == key[2]
         found = join_blocks([m[2] for m in one], None if same else [m[2] for m in two], percent) if one and two else []
         held = one if same else two
-        a = np.array([one[i][1] for i, _ in found], np.int64)
-        b = np.array([held[j][1] for _, j in found], np.int64)
-        return pa.RecordBatch.from_pydict({"a": a, "b": b})
+        return as_edges([(one[i][1], held[j][1]) for i, j in found])
 
     for batch in slices(batches):
         rows = zip(*(batch[c].to_pylist() for c in ("grp", "low", "high", "block", "node", "shingles")))
@@ -278,32 +356,54 @@ def sets_of(size: int, batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordB
         yield out.append_column("shingles", pa.array([sets[i].tobytes() for i in right], pa.binary()))
 
 
+def grouped(found: DataFrame, classes: DataFrame, weight: Column, most: int) -> DataFrame:
+    """Classes of each component with its root as ``grp`` and a block, of about ``most`` in all."""
+    held = cut_lineage(found.withColumnRenamed("root", "grp")).join(classes, "node")
+    blocks = F.ceil(F.sum(weight) / most).cast("int").alias("blocks")
+    block = F.pmod(F.xxhash64("node"), F.col("blocks")).cast("int")
+    return held.join(held.groupBy("grp").agg(blocks), "grp").withColumn("block", block)
+
+
+def by_blocks(members: DataFrame) -> DataFrame:
+    """Every member goes to each pair of blocks of its group that its own block is in."""
+    other = F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)).alias("other")
+    return (
+        members.select("*", other)
+        .withColumn("low", F.least("block", "other"))
+        .withColumn("high", F.greatest("block", "other"))
+        .repartition("grp", "low", "high")
+        .sortWithinPartitions("grp", "low", "high", "block", "node")
+    )
+
+
 def classes_with_components(
     rows: DataFrame, docs: DataFrame, id_col: str, size: int, percent: int
 ) -> DataFrame:
     """Per class of equal sets: ``node``, ``root`` of its component and ``component_id``."""
-    classes = cut_lineage(rows.filter("n > 0").groupBy("node").agg(F.min("id").alias("least_id"), F.first("n").alias("n")))
+    classes = cut_lineage(
+        rows.filter("n > 0")
+        .groupBy("node")
+        .agg(F.min("id").alias("least_id"), F.first("n").alias("n"), F.first("counts").alias("counts"), F.first("fine").alias("fine"))
+    )
     placed = docs.select(whole_text().alias("text")).mapInArrow(partial(tiles, size, percent), "tile long, node long")
-    edges = placed.repartition("tile").sortWithinPartitions("tile", "node").mapInArrow(chains, "a long, b long")
-    candidates = cut_lineage(components(edges).withColumnRenamed("root", "grp"))
-
-    with_size = candidates.join(classes, "node")
-    weights = with_size.groupBy("grp").agg(F.sum("n").alias("weight"))
-    blocks = F.ceil(F.col("weight") / BLOCK_SHINGLES).cast("int")
-    members = with_size.join(weights.withColumn("blocks", blocks), "grp").select(
-        "grp", "blocks", F.pmod(F.xxhash64("node"), F.col("blocks")).cast("int").alias("block"), "node", "least_id"
+    shared = (
+        placed.repartition("tile")
+        .sortWithinPartitions("tile", "node")
+        .mapInArrow(shared_tiles, "tile long, node long")
+        .distinct()
+        .join(classes.select("node", "n", "counts"), "node")
+        .repartition("tile")
+        .sortWithinPartitions("tile", "node")
     )
+    edges = shared.select("tile", "node", "n", "counts").mapInArrow(partial(links_by_bound, 1, percent), "a long, b long")
+    rough = grouped(components(edges), classes, F.octet_length("fine"), BLOCK_BYTES)
+    fine = by_blocks(rough.select("grp", "blocks", "block", "node", "n", "fine"))
+    edges = fine.select("grp", "low", "high", "node", "n", "fine").mapInArrow(partial(links_by_bound, 3, percent), "a long, b long")
+    members = grouped(components(edges), classes, F.col("n"), BLOCK_SHINGLES)
     texts = docs.select(F.col(id_col).cast("long").alias("__id"), whole_text().alias("text"))
-    asked = texts.join(members, F.col("__id").eqNullSafe(F.col("least_id"))).select("grp", "blocks", "block", "node", "text")
+    asked = texts.join(members.drop("n", "counts", "fine"), F.col("__id").eqNullSafe(F.col("least_id"))).select("grp", "blocks", "block", "node", "text")
     sets = asked.mapInArrow(partial(sets_of, size), "grp long, blocks int, block int, node long, shingles binary")
-    other = F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)).alias("other")
-    paired = (
-        sets.select("*", other)
-        .withColumn("low", F.least("block", "other"))
-        .withColumn("high", F.greatest("block", "other"))
-        .repartition("grp", "low", "high")
-        .sortWithinPartitions("grp", "low", "high", "block", "node")
-    )
+    paired = by_blocks(sets)
     links = paired.select("grp", "low", "high", "block", "node", "shingles").mapInArrow(partial(search, percent), "a long, b long")
     found = components(links).withColumnRenamed("node", "__node")
     rooted = classes.join(found, F.col("node") == F.col("__node"), "left").withColumn("root", F.coalesce("root", "node"))
