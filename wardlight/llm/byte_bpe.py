@@ -32,11 +32,11 @@ import regex
 from pyspark.sql import Column, SparkSession
 from pyspark.sql import functions as F
 
-from wardlight.llm.common import texts_of
+from wardlight.llm.common import each_text
 
 #: Bounds of the memos of one worker, in entries.
-PIECES_KEPT = 150_000
-PAIRS_KEPT = 1_000_000
+PIECES_KEPT = 80_000
+PAIRS_KEPT = 300_000
 
 
 class _Pieces(dict):
@@ -197,7 +197,7 @@ class Tokenizer:
         def encode(batches: Iterator[pa.Array]) -> Iterator[pa.Array]:
             bpe = codec(content.value, pattern)
             for texts in batches:
-                yield pa.array([bpe.encode(t) for t in texts_of(texts)], pa.binary())
+                yield pa.array([bpe.encode(t) for t in each_text(texts)], pa.binary())
 
         @F.arrow_udf("binary")
         def decode(batches: Iterator[pa.Array]) -> Iterator[pa.Array]:
@@ -209,7 +209,7 @@ class Tokenizer:
         def count(batches: Iterator[pa.Array]) -> Iterator[pa.Array]:
             bpe = codec(content.value, pattern)
             for texts in batches:
-                yield pa.array([len(bpe.encode(t)) // 4 for t in texts_of(texts)], pa.int64())
+                yield pa.array([len(bpe.encode(t)) // 4 for t in each_text(texts)], pa.int64())
 
         self._encode, self._decode, self._count = encode, decode, count
 

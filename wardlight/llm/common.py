@@ -10,7 +10,7 @@ from pyspark.sql import functions as F
 
 from wardlight.session import shared_dir
 
-ROWS_PER_SLICE = 512
+ROWS_PER_SLICE = 256
 
 
 def whole_text(name: str = "text") -> Column:
@@ -32,5 +32,11 @@ def slices(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             yield batch.slice(start, ROWS_PER_SLICE)
 
 
+def each_text(column: pa.Array) -> Iterator[str]:
+    """Texts of a column; few are Python strings at a time."""
+    for start in range(0, len(column), ROWS_PER_SLICE):
+        yield from texts_of(column.slice(start, ROWS_PER_SLICE))
+
+
 def texts_of(column: pa.Array) -> list[str]:
     return [x or "" for x in column.to_pylist()]

@@ -27,7 +27,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from wardlight.llm.common import slices, texts_of, whole_text
+from wardlight.llm.common import each_text, slices, texts_of, whole_text
 
 SIZE = 256
 RANGES = 512  # id ranges at least; bounds the list of quantiles and of first rows
@@ -89,7 +89,7 @@ def likeness(a: np.ndarray, b: np.ndarray) -> float:
 def fingerprint(texts: Iterator[pa.Array]) -> Iterator[pa.Array]:
     """Arrow function: texts to fingerprint strings, for ``F.arrow_udf(fingerprint, 'string')``."""
     for column in texts:
-        yield pa.array([as_string(Phrases().read(t.encode()).signature()) for t in texts_of(column)], pa.string())
+        yield pa.array([as_string(Phrases().read(t.encode()).signature()) for t in each_text(column)], pa.string())
 
 
 PAIRS = (

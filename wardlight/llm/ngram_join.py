@@ -51,8 +51,8 @@ PER_GROUP = 8  # shingles per coordinate in the finer points of a candidate grou
 BOX = 16  # children of an R-tree box
 BLOCK_SHINGLES = 500_000  # shingles of a block, about
 BLOCK_BYTES = 4_000_000  # of points of a block, about
-WORDS_KEPT = 200_000
-NODES_KEPT = 500_000
+WORDS_KEPT = 80_000
+NODES_KEPT = 150_000
 
 _U = np.uint64
 FACTORS = np.array([0x9E3779B97F4A7C15, 0xC2B2AE3D27D4EB4F, 0x165667B19E3779F9], _U)

@@ -31,7 +31,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from wardlight.llm.common import cut_lineage, texts_of
+from wardlight.llm.common import cut_lineage, each_text
 
 KINDS = ("assign", "access", "hex", "model")
 ASSIGN = re.compile(
@@ -118,7 +118,7 @@ def scan_texts(batches: Iterator[pa.Array]) -> Iterator[pa.Array]:
                                              + [(c, pa.string()) for c in ("before", "value", "after")])))]
     )
     for texts in batches:
-        yield pa.array([scan(t) for t in texts_of(texts)], kind)
+        yield pa.array([scan(t) for t in each_text(texts)], kind)
 
 
 def windows(before: str, value: str, after: str) -> list[str]:

@@ -34,7 +34,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from wardlight.llm.common import cut_lineage, slices, texts_of, whole_text
+from wardlight.llm.common import cut_lineage, each_text, slices, texts_of, whole_text
 
 TOXIC_ROWS, CLEAN_ROWS = 3_000, 6_000
 TERMS = 1_024
@@ -42,7 +42,7 @@ LEAST_DOCS, LEAST_CHI = 5, 20.0
 NEIGHBOURS = 15
 BLOCK = 64
 BEGINNINGS = range(3, 8)
-WORDS_KEPT = 200_000
+WORDS_KEPT = 60_000
 PRIOR_WEIGHT = 0.5
 FOLDS = 5  # fold 0 is held out, the last one calibrates
 
@@ -242,7 +242,7 @@ def vocabulary_of(rows: DataFrame) -> dict[str, int]:
     @F.arrow_udf("array<string>")
     def terms(batches: Iterator[pa.Array]) -> Iterator[pa.Array]:
         for texts in batches:
-            found = [list({f for w in set(words_of(t)) for f in terms_of(w)}) for t in texts_of(texts)]
+            found = [list({f for w in set(words_of(t)) for f in terms_of(w)}) for t in each_text(texts)]
             yield pa.array(found, pa.list_(pa.string()))
 
     sizes = rows.agg(F.count("*").alias("n"), F.sum("toxic").alias("t")).first()
@@ -270,7 +270,7 @@ def known_terms(vocabulary: dict[str, int]):
     def terms(batches: Iterator[pa.Array]) -> Iterator[pa.Array]:
         lookup = Lookup(vocabulary)
         for texts in batches:
-            yield pa.array([lookup.places(t) for t in texts_of(texts)], pa.list_(pa.int32()))
+            yield pa.array([lookup.places(t) for t in each_text(texts)], pa.list_(pa.int32()))
 
     return terms
 
@@ -309,7 +309,7 @@ def scorer(docs: DataFrame, model: Model):
         dense, lookup = np.zeros(len(m.vocabulary)), Lookup(m.vocabulary)
         for texts in batches:
             out = []
-            for text in texts_of(texts):
+            for text in each_text(texts):
                 share, places, cosines = m.vote(*unit_vector(Counter(lookup.places(text)), m.idf), dense)
                 near = zip(m.ids[places].tolist(), cosines.tolist(), m.labels[places].astype(int).tolist())
                 evidence = [{"doc_id": i, "similarity": c, "toxic": y} for i, c, y in near]
