@@ -8,8 +8,8 @@ become examples, the others calibrate.
 
 The index keeps the examples in blocks of ``BLOCK`` similar ones and, per term, the largest
 weight in each block that has it. A query adds up these maxima to bound every block, scores whole
-blocks from the best bound down, and stops when no block left can reach its k-th best: the k
-nearest are exact. Each votes for its label with weight 1 / (distance + 0.05); the prior votes
+blocks from the best bound down, and stops when no block left can beat its k-th best: the k
+nearest are exact (of equally near ones those met first count, the same in every run). Each votes for its label with weight 1 / (distance + 0.05); the prior votes
 with a small weight, and a logistic curve, fitted on the calibration rows weighted to the label
 shares of all labelled rows, turns the vote into a probability. The neighbours are the evidence.
 
@@ -120,11 +120,13 @@ class BlockMaxIndex:
         dense[terms] = weights
         places, cosines, least = np.zeros(0, np.int64), np.zeros(0), 0.0
         for b in np.argsort(-bounds, kind="stable"):
-            if bounds[b] <= 0 or (len(places) >= k and bounds[b] + 1e-9 < least):
-                break
+            if bounds[b] <= least + 1e-12:
+                break  # no block left holds anything nearer than the k-th
             part = slice(self.block_ends[b], self.block_ends[b + 1])
             here = np.bincount(self.rows[part] - b * BLOCK, dense[self.terms[part]] * self.weights[part], BLOCK)
-            hit = np.flatnonzero(here > max(least - 1e-12, 0))
+            hit = np.flatnonzero(here > least)
+            if not len(hit):
+                continue
             places, cosines = np.append(places, hit + b * BLOCK), np.append(cosines, here[hit])
             best = np.lexsort((places, -cosines))[:k]
             places, cosines = places[best], cosines[best]
