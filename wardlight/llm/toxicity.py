@@ -6,6 +6,9 @@ on the label (chi-squared) become the vocabulary, at most ``TERMS``;
 document frequencies for the weights are counted over all documents. Three in four sample rows
 become examples, the others calibrate.
 
+Every text is read for terms once. Its terms (a few numbers) are stored beside the row in the shared
+folder; document frequencies, examples and scores all come from there.
+
 The index keeps the examples in blocks of ``BLOCK`` similar ones and, per term, the largest
 weight in each block that has it. A query adds up these maxima to bound every block, scores whole
 blocks from the best bound down, and stops when no block left can beat its k-th best: the k
@@ -34,7 +37,8 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from wardlight.llm.common import cut_lineage, each_text, slices, texts_of, whole_text
+from wardlight.llm.common import cut_lineage, each_text, whole_text
+from wardlight.session import shared_dir
 
 TOXIC_ROWS, CLEAN_ROWS = 3_000, 6_000
 TERMS = 1_024
@@ -47,6 +51,7 @@ PRIOR_WEIGHT = 0.5
 FOLDS = 5  # fold 0 is held out, the last one calibrates
 
 WORD = re.compile(r"[^\W\d_]+")
+TERMS_OF = "places of terms"
 RESULT = "struct<score: double, evidence: array<struct<doc_id: bigint, similarity: double, toxic: int>>>"
 
 
@@ -64,11 +69,16 @@ def terms_of(word: str) -> list[str]:
 
 
 class Lookup(dict):
-    """Word -> places of its terms in the vocabulary; bounded memory."""
+    """Word -> places of its terms in the vocabulary; bounded memory.
+
+    Each term that a word can have starts with the word's first three letters (or is the word), so
+    a word whose first letters start no term is passed over.
+    """
 
     def __init__(self, vocabulary: dict[str, int]):
         super().__init__()
         self.vocabulary = vocabulary
+        self.starts = {term.rstrip("*")[: BEGINNINGS[0]] for term in vocabulary}
 
     def __missing__(self, word: str) -> tuple[int, ...]:
         if len(self) >= WORDS_KEPT:
@@ -78,7 +88,8 @@ class Lookup(dict):
 
     def places(self, text: str) -> list[int]:
         """Places of all terms of a text, repeats included."""
-        return [i for found in filter(None, map(self.__getitem__, words_of(text))) for i in found]
+        starts, n = self.starts, BEGINNINGS[0]
+        return [i for word in words_of(text) if word[:n] in starts for i in self[word]]
 
 
 @dataclass
@@ -174,8 +185,11 @@ def unit_vector(counts: dict[int, int], idf: np.ndarray) -> tuple[np.ndarray, np
     return terms, weights / np.sqrt(weights @ weights)
 
 
-def fit(docs: DataFrame, labels: DataFrame) -> Model:
-    """A model from the labelled rows of ``docs`` that are not in fold 0."""
+def fit(docs: DataFrame, labels: DataFrame, columns: list[str]) -> tuple[Model, DataFrame]:
+    """A model from the labelled rows of ``docs`` that are not in fold 0, and the rows with their terms.
+
+    The rows have ``columns`` of ``docs`` and the places of their terms in a column TERMS_OF.
+    """
     marks = (
         labels.filter(F.col("toxic").isNotNull() & F.col("doc_id").isNotNull())
         .groupBy(F.col("doc_id").alias("id"))
@@ -196,7 +210,10 @@ def fit(docs: DataFrame, labels: DataFrame) -> Model:
     rows = cut_lineage(texts.join(F.broadcast(picked), "id").dropDuplicates(["text"]))
 
     vocabulary = vocabulary_of(rows)
-    idf = idf_of(texts, vocabulary)
+    path = shared_dir(docs.sparkSession, "toxicity-terms")
+    docs.select(*columns, known_terms(vocabulary)(whole_text()).alias(TERMS_OF)).write.parquet(path)
+    read = docs.sparkSession.read.parquet(path)
+    idf = idf_of(read, vocabulary)
     examples: dict[bool, list] = {True: [], False: []}
     for r in rows.select("id", "toxic", "fold", known_terms(vocabulary)("text").alias("terms")).collect():
         counts = Counter(r["terms"])
@@ -215,7 +232,7 @@ def fit(docs: DataFrame, labels: DataFrame) -> Model:
         None,
     )
     calibrate(model, examples[True], n_of)
-    return model
+    return model, read
 
 
 def calibrate(model: Model, rows: list, n_of: dict[int, int]) -> None:
@@ -277,28 +294,17 @@ def known_terms(vocabulary: dict[str, int]):
     return terms
 
 
-def idf_of(texts: DataFrame, vocabulary: dict[str, int]) -> np.ndarray:
+def idf_of(read: DataFrame, vocabulary: dict[str, int]) -> np.ndarray:
     """Inverse document frequencies of the vocabulary, counted over all documents."""
-    size = len(vocabulary)
-
-    def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        seen, rows, lookup = np.zeros(size, np.int64), 0, Lookup(vocabulary)
-        for batch in slices(batches):
-            for text in texts_of(batch["text"]):
-                rows += 1
-                hits = set(lookup.places(text))
-                if hits:
-                    seen[list(hits)] += 1
-        yield pa.RecordBatch.from_pydict({"term": np.arange(-1, size), "df": np.append(rows, seen)})
-
-    counted = texts.select("text").mapInArrow(count, "term long, df long").groupBy("term").agg(F.sum("df").alias("df"))
+    each = F.concat(F.array(F.lit(-1)), F.array_distinct(TERMS_OF))  # -1 counts the documents
+    counted = read.select(F.explode(each).alias("term")).groupBy("term").agg(F.count("*").alias("df"))
     df = {r["term"]: r["df"] for r in counted.collect()}
     n = df.get(-1, 0)
-    return np.log((1 + n) / (1 + np.array([df.get(i, 0) for i in range(size)], np.float64))) + 1
+    return np.log((1 + n) / (1 + np.array([df.get(i, 0) for i in range(len(vocabulary))], np.float64))) + 1
 
 
 def scorer(docs: DataFrame, model: Model):
-    """A column function: text to a struct of score and evidence."""
+    """A column function: places of terms to a struct of score and evidence."""
     sent = docs.sparkSession.sparkContext.broadcast(model)
     kind = pa.struct(
         [("score", pa.float64()),
@@ -308,11 +314,11 @@ def scorer(docs: DataFrame, model: Model):
     @F.arrow_udf(RESULT)
     def score(batches: Iterator[pa.Array]) -> Iterator[pa.Array]:
         m = sent.value
-        dense, lookup = np.zeros(len(m.vocabulary)), Lookup(m.vocabulary)
-        for texts in batches:
+        dense = np.zeros(len(m.vocabulary))
+        for terms in batches:
             out = []
-            for text in each_text(texts):
-                share, places, cosines = m.vote(*unit_vector(Counter(lookup.places(text)), m.idf), dense)
+            for found in terms:
+                share, places, cosines = m.vote(*unit_vector(Counter(found.as_py()), m.idf), dense)
                 near = zip(m.ids[places].tolist(), cosines.tolist(), m.labels[places].astype(int).tolist())
                 evidence = [{"doc_id": i, "similarity": c, "toxic": y} for i, c, y in near]
                 out.append({"score": m.probability(share), "evidence": evidence})
@@ -323,11 +329,11 @@ def scorer(docs: DataFrame, model: Model):
 
 def score_documents(docs: DataFrame, labels: DataFrame) -> DataFrame:
     """Per row: doc_id, held_out, score, predicted and evidence."""
-    score = scorer(docs, fit(docs, labels))
-    return docs.select(
+    model, read = fit(docs, labels, ["doc_id"])
+    return read.select(
         "doc_id",
         (fold_of(F.col("doc_id")) == 0).alias("held_out"),
-        score(whole_text()).alias("r"),
+        scorer(docs, model)(TERMS_OF).alias("r"),
     ).select(
         "doc_id",
         "held_out",
@@ -339,5 +345,5 @@ def score_documents(docs: DataFrame, labels: DataFrame) -> DataFrame:
 
 def keep_clean(docs: DataFrame, labels: DataFrame) -> DataFrame:
     """The documents whose score is below 0.5, with all their columns."""
-    score = scorer(docs, fit(docs, labels))
-    return docs.filter(score(whole_text())["score"] < 0.5)
+    model, read = fit(docs, labels, docs.columns)
+    return read.filter(scorer(docs, model)(TERMS_OF)["score"] < 0.5).drop(TERMS_OF)
