@@ -145,7 +145,7 @@ def test_nearest_examples_equal_brute_force():
     for row, (t, w) in enumerate(vectors):
         dense[row, t] = w
     for t, w in vectors[:80]:
-        _, cosines = index.nearest(t, w, 15, np.zeros(40))
+        _, cosines = index.nearest(t, w, 15)
         q = np.zeros(40)
         q[t] = w
         assert np.allclose(cosines, np.sort(dense @ q)[::-1][:15])

@@ -10,9 +10,10 @@ Every text is read for terms once. Its terms (a few numbers) are stored beside t
 folder; document frequencies, examples and scores all come from there.
 
 The index keeps the examples in blocks of ``BLOCK`` similar ones and, per term, the largest
-weight in each block that has it. A query adds up these maxima to bound every block, scores whole
-blocks from the best bound down, and stops when no block left can beat its k-th best: the k
-nearest are exact (of equally near ones those met first count, the same in every run). Each votes for its label with weight 1 / (distance + 0.05); the prior votes
+weight in each block that has it. A query adds up these maxima to bound every block, scores the
+``FIRST_BLOCKS`` blocks of the best bounds, and then all blocks that can still beat its k-th best: the
+k nearest are exact (of equally near ones in the scored blocks the first in index order count, the
+same in every run). Each votes for its label with weight 1 / (distance + 0.05); the prior votes
 with a small weight, and a logistic curve, fitted on the calibration rows weighted to the label
 shares of all labelled rows, turns the vote into a probability. The neighbours are the evidence.
 
@@ -28,7 +29,6 @@ The broadcast model is bounded: TERMS weights and TOXIC_ROWS + CLEAN_ROWS sparse
 from __future__ import annotations
 
 import re
-from collections import Counter
 from collections.abc import Iterator
 from dataclasses import dataclass
 
@@ -45,6 +45,7 @@ TERMS = 1_024
 LEAST_DOCS, LEAST_CHI = 5, 20.0
 NEIGHBOURS = 15
 BLOCK = 64
+FIRST_BLOCKS = 4  # scored first; their k-th best cosine rules out other blocks
 BEGINNINGS = range(3, 8)
 WORDS_KEPT = 60_000
 PRIOR_WEIGHT = 0.5
@@ -94,15 +95,17 @@ class Lookup(dict):
 
 @dataclass
 class BlockMaxIndex:
-    """Unit vectors in blocks, with the largest weight of each term in each block."""
+    """Unit vectors in blocks, as postings by term and block, with the largest weight of each term in each block.
 
-    terms: np.ndarray  # term of every entry, examples one after another
+    A span is the postings of one term in one block.
+    """
+
+    rows: np.ndarray  # example of every posting, in order of term, block, example
     weights: np.ndarray
-    rows: np.ndarray  # example of every entry
-    block_ends: np.ndarray  # entries before each block, and all
-    term_starts: np.ndarray  # postings of term t: term_starts[t] to term_starts[t + 1]
-    posting_blocks: np.ndarray
-    posting_maxima: np.ndarray
+    span_ends: np.ndarray  # postings before each span, and all
+    span_blocks: np.ndarray
+    span_maxima: np.ndarray
+    term_starts: np.ndarray  # spans of term t: term_starts[t] to term_starts[t + 1]
     n: int
 
     @staticmethod
@@ -114,37 +117,45 @@ class BlockMaxIndex:
         terms = np.concatenate([vectors[i][0] for i in order] or [np.zeros(0, np.int64)]).astype(np.int64)
         weights = np.concatenate([vectors[i][1] for i in order] or [np.zeros(0)])
         rows = np.repeat(np.arange(len(order)), sizes)
-        n_blocks = -(-len(order) // BLOCK)
-        ends = np.searchsorted(rows, np.arange(n_blocks + 1) * BLOCK)
-        keys, at = np.unique(terms * max(n_blocks, 1) + rows // BLOCK, return_inverse=True)
-        maxima = np.zeros(len(keys))
-        np.maximum.at(maxima, at, weights)
-        starts = np.searchsorted(keys // max(n_blocks, 1), np.arange(n_terms + 1))
-        return BlockMaxIndex(terms, weights, rows, ends, starts, keys % max(n_blocks, 1), maxima, len(order)), order
-
-    def nearest(self, terms: np.ndarray, weights: np.ndarray, k: int, dense: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-        """Places and cosines of the k nearest with a positive cosine; ``dense`` is scratch space, all zero."""
-        spans = [slice(self.term_starts[t], self.term_starts[t + 1]) for t in terms]
-        blocks = np.concatenate([self.posting_blocks[s] for s in spans])
-        parts = np.concatenate([w * self.posting_maxima[s] for w, s in zip(weights, spans)])
-        bounds = np.bincount(blocks, parts, len(self.block_ends) - 1)
-        dense[terms] = weights
-        places, cosines, least = np.zeros(0, np.int64), np.zeros(0), 0.0
-        for b in np.argsort(-bounds, kind="stable"):
-            if bounds[b] <= least + 1e-12:
-                break  # no block left holds anything nearer than the k-th
-            part = slice(self.block_ends[b], self.block_ends[b + 1])
-            here = np.bincount(self.rows[part] - b * BLOCK, dense[self.terms[part]] * self.weights[part], BLOCK)
-            hit = np.flatnonzero(here > least)
-            if not len(hit):
-                continue
-            places, cosines = np.append(places, hit + b * BLOCK), np.append(cosines, here[hit])
-            best = np.lexsort((places, -cosines))[:k]
-            places, cosines = places[best], cosines[best]
-            if len(places) >= k:
-                least = cosines[-1]
-        dense[terms] = 0
-        return places, cosines
+        by_term = np.argsort(terms, kind="stable")
+        terms, weights, rows = terms[by_term], weights[by_term], rows[by_term]
+        n_blocks = max(-(-len(order) // BLOCK), 1)
+        keys, starts = np.unique(terms * n_blocks + rows // BLOCK, return_index=True)
+        maxima = np.maximum.reduceat(weights, starts) if len(keys) else np.zeros(0)
+        term_starts = np.searchsorted(keys // n_blocks, np.arange(n_terms + 1))
+        return BlockMaxIndex(
+            rows, weights, np.append(starts, len(rows)), keys % n_blocks, maxima, term_starts, len(order)
+        ), order
+
+    def cosines(self, spans: np.ndarray, factors: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """Places and cosines of the examples in some spans, each span times its factor."""
+        sizes = self.span_ends[spans + 1] - self.span_ends[spans]
+        skipped = self.span_ends[spans] - np.cumsum(sizes) + sizes
+        at = np.arange(sizes.sum()) + np.repeat(skipped, sizes)
+        sums = np.bincount(self.rows[at], self.weights[at] * np.repeat(factors, sizes), self.n)
+        places = np.flatnonzero(sums > 0)
+        return places, sums[places]
+
+    def nearest(self, terms: np.ndarray, weights: np.ndarray, k: int) -> tuple[np.ndarray, np.ndarray]:
+        """Places and cosines of the k nearest with a positive cosine."""
+        counts = self.term_starts[terms + 1] - self.term_starts[terms]
+        skipped = self.term_starts[terms] - np.cumsum(counts) + counts
+        spans = np.arange(counts.sum()) + np.repeat(skipped, counts)
+        factors = np.repeat(weights, counts)
+        blocks = self.span_blocks[spans]
+        bounds = np.bincount(blocks, factors * self.span_maxima[spans], -(-self.n // BLOCK))
+        best = np.zeros(len(bounds), bool)
+        best[np.argsort(-bounds, kind="stable")[:FIRST_BLOCKS]] = True
+        first = best[blocks]
+        places, cosines = self.cosines(spans[first], factors[first])
+        least = np.partition(cosines, -k)[-k] if len(cosines) >= k else 0.0
+        # no other block holds anything nearer than the k-th so far
+        rest = ((bounds > least + 1e-12) & ~best)[blocks]
+        if rest.any():
+            more, likewise = self.cosines(spans[rest], factors[rest])
+            places, cosines = np.append(places, more), np.append(cosines, likewise)
+        nearest = np.lexsort((places, -cosines))[:k]
+        return places[nearest], cosines[nearest]
 
 
 @dataclass
@@ -157,10 +168,10 @@ class Model:
     prior: float
     curve: tuple[float, float] | None
 
-    def vote(self, terms: np.ndarray, weights: np.ndarray, dense: np.ndarray) -> tuple[float, np.ndarray, np.ndarray]:
+    def vote(self, terms: np.ndarray, weights: np.ndarray) -> tuple[float, np.ndarray, np.ndarray]:
         if not len(terms) or not self.index.n:
             return self.prior, np.zeros(0, np.int64), np.zeros(0)
-        places, cosines = self.index.nearest(terms, weights, NEIGHBOURS, dense)
+        places, cosines = self.index.nearest(terms, weights, NEIGHBOURS)
         power = 1 / (np.maximum(1 - cosines, 0) + 0.05)
         share = (power @ self.labels[places] + PRIOR_WEIGHT * self.prior) / (power.sum() + PRIOR_WEIGHT)
         return float(share), places, cosines
@@ -177,11 +188,12 @@ def logit(p: float | np.ndarray) -> float | np.ndarray:
     return np.log(p / (1 - p))
 
 
-def unit_vector(counts: dict[int, int], idf: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-    if not counts:
+def unit_vector(places: np.ndarray, idf: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Terms and weights of a text, from the places of its terms, repeats included."""
+    if not len(places):
         return np.zeros(0, np.int64), np.zeros(0)
-    terms = np.array(sorted(counts), np.int64)
-    weights = (1 + np.log([counts[t] for t in terms.tolist()])) * idf[terms]
+    terms, counts = np.unique(places, return_counts=True)
+    weights = (1 + np.log(counts)) * idf[terms]
     return terms, weights / np.sqrt(weights @ weights)
 
 
@@ -216,8 +228,7 @@ def fit(docs: DataFrame, labels: DataFrame, columns: list[str]) -> tuple[Model,
     idf = idf_of(read, vocabulary)
     examples: dict[bool, list] = {True: [], False: []}
     for r in rows.select("id", "toxic", "fold", known_terms(vocabulary)("text").alias("terms")).collect():
-        counts = Counter(r["terms"])
-        terms, weights = unit_vector(counts, idf)
+        terms, weights = unit_vector(np.array(r["terms"], np.int64), idf)
         if len(terms) or r["fold"] == FOLDS - 1:
             examples[r["fold"] == FOLDS - 1].append((r["id"], r["toxic"], terms, weights))
     known = sorted(examples[False], key=lambda e: e[0])
@@ -240,8 +251,7 @@ def calibrate(model: Model, rows: list, n_of: dict[int, int]) -> None:
     y = np.array([r[1] for r in rows], np.float64)
     if len(set(y.tolist())) < 2 or not model.index.n:
         return
-    dense = np.zeros(len(model.vocabulary))
-    x = np.array([logit(model.vote(r[2], r[3], dense)[0]) for r in rows])
+    x = np.array([logit(model.vote(r[2], r[3])[0]) for r in rows])
     w = np.where(y == 1, n_of[1] / y.sum(), n_of[0] / (1 - y).sum())
     w /= w.mean()
     a, b = 1.0, 0.0
@@ -306,23 +316,22 @@ def idf_of(read: DataFrame, vocabulary: dict[str, int]) -> np.ndarray:
 def scorer(docs: DataFrame, model: Model):
     """A column function: places of terms to a struct of score and evidence."""
     sent = docs.sparkSession.sparkContext.broadcast(model)
-    kind = pa.struct(
-        [("score", pa.float64()),
-         ("evidence", pa.list_(pa.struct([("doc_id", pa.int64()), ("similarity", pa.float64()), ("toxic", pa.int32())])))]
-    )
 
     @F.arrow_udf(RESULT)
     def score(batches: Iterator[pa.Array]) -> Iterator[pa.Array]:
         m = sent.value
-        dense = np.zeros(len(m.vocabulary))
         for terms in batches:
-            out = []
-            for found in terms:
-                share, places, cosines = m.vote(*unit_vector(Counter(found.as_py()), m.idf), dense)
-                near = zip(m.ids[places].tolist(), cosines.tolist(), m.labels[places].astype(int).tolist())
-                evidence = [{"doc_id": i, "similarity": c, "toxic": y} for i, c, y in near]
-                out.append({"score": m.probability(share), "evidence": evidence})
-            yield pa.array(out, kind)
+            places = terms.flatten().to_numpy(zero_copy_only=False)
+            ends = np.append(0, np.cumsum(terms.value_lengths().to_numpy(zero_copy_only=False))).astype(np.int64)
+            votes = [m.vote(*unit_vector(places[a:b], m.idf)) for a, b in zip(ends[:-1], ends[1:])]
+            near = np.concatenate([v[1] for v in votes] or [np.zeros(0, np.int64)])
+            cosines = np.concatenate([v[2] for v in votes] or [np.zeros(0)])
+            columns = [pa.array(m.ids[near]), pa.array(cosines), pa.array(m.labels[near].astype(np.int32))]
+            each = pa.StructArray.from_arrays(columns, ["doc_id", "similarity", "toxic"])
+            offsets = np.append(0, np.cumsum([len(v[1]) for v in votes])).astype(np.int32)
+            evidence = pa.ListArray.from_arrays(pa.array(offsets), each)
+            scores = pa.array([m.probability(v[0]) for v in votes], pa.float64())
+            yield pa.StructArray.from_arrays([scores, evidence], ["score", "evidence"])
 
     return score
 
