@@ -305,12 +305,27 @@ def known_terms(vocabulary: dict[str, int]):
 
 
 def idf_of(read: DataFrame, vocabulary: dict[str, int]) -> np.ndarray:
-    """Inverse document frequencies of the vocabulary, counted over all documents."""
-    each = F.concat(F.array(F.lit(-1)), F.array_distinct(TERMS_OF))  # -1 counts the documents
-    counted = read.select(F.explode(each).alias("term")).groupBy("term").agg(F.count("*").alias("df"))
+    """Inverse document frequencies of the vocabulary, counted over all documents.
+
+    A task adds up its rows in one array, so it gives out a count per term however many rows it has.
+    """
+    size = len(vocabulary)
+
+    def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        seen, rows = np.zeros(size, np.int64), 0
+        for batch in batches:
+            terms = batch[TERMS_OF]
+            rows += batch.num_rows
+            places = terms.flatten().to_numpy(zero_copy_only=False).astype(np.int64)
+            row = np.repeat(np.arange(len(terms)), terms.value_lengths().to_numpy(zero_copy_only=False))
+            if len(places):
+                seen += np.bincount(np.unique(row * size + places) % size, minlength=size)
+        yield pa.RecordBatch.from_pydict({"term": np.arange(-1, size), "df": np.append(rows, seen)})
+
+    counted = read.select(TERMS_OF).mapInArrow(count, "term long, df long").groupBy("term").agg(F.sum("df").alias("df"))
     df = {r["term"]: r["df"] for r in counted.collect()}
     n = df.get(-1, 0)
-    return np.log((1 + n) / (1 + np.array([df.get(i, 0) for i in range(len(vocabulary))], np.float64))) + 1
+    return np.log((1 + n) / (1 + np.array([df.get(i, 0) for i in range(size)], np.float64))) + 1
 
 
 def scorer(docs: DataFrame, model: Model):
