@@ -31,39 +31,57 @@ from wardlight.llm.common import each_text, slices, texts_of, whole_text
 
 SIZE = 256
 RANGES = 512  # id ranges at least; bounds the list of quantiles and of first rows
-FACTOR, MASK, ROOT = 0x9E3779B1, (1 << 60) - 1, 7
+FACTOR, ROOT = 0x9E3779B97F4A7C15, 7
 
 
 class Phrases:
-    """The dictionary of a text so far: a trie of phrases and their content hashes."""
+    """The dictionary of a text so far: a trie from node and byte to node, in order of insertion.
 
-    __slots__ = ("trie", "hashes", "node")
+    Nodes are multiples of 256, so that node and byte make one key; phrase i (from 1 on) is node 256 i.
+    """
+
+    __slots__ = ("trie", "node")
 
-    def __init__(self, trie: dict[int, int] | None = None, hashes: list[int] | None = None, node: int = 0):
-        self.trie, self.hashes, self.node = trie or {}, hashes or [ROOT], node
+    def __init__(self, trie: dict[int, int] | None = None, node: int = 0):
+        self.trie, self.node = trie or {}, node
 
     def copy(self) -> Phrases:
-        return Phrases(self.trie.copy(), self.hashes.copy(), self.node)
+        return Phrases(self.trie.copy(), self.node)
 
     def read(self, data: bytes) -> Phrases:
-        trie, hashes, node = self.trie, self.hashes, self.node
-        find, add, n = trie.get, hashes.append, len(hashes)
+        trie, node = self.trie, self.node
+        find, new = trie.get, (len(trie) + 1) << 8
         for byte in data:
-            key = node << 8 | byte
-            after = find(key)
+            after = find(node | byte)
             if after is None:
-                trie[key] = n
-                n += 1
-                add((hashes[node] * FACTOR + byte + 1) & MASK)
+                trie[node | byte] = new
+                new += 256
                 node = 0
             else:
                 node = after
         self.node = node
         return self
 
+    def hashes(self) -> np.ndarray:
+        """Content hash of each phrase: that of the phrase without its last byte, times FACTOR, plus the byte + 1.
+
+        Every phrase starts as such a step from its parent; steps are joined with those of the
+        ancestor until all start at the root, so the rounds are the logarithm of the longest phrase.
+        """
+        keys = np.fromiter(self.trie, np.int64, len(self.trie))
+        ancestor = np.append(0, keys >> 8)
+        add = np.append(0, (keys & 255) + 1).astype(np.uint64)
+        times = np.full(len(add), FACTOR, np.uint64)
+        times[0] = 1
+        while ancestor.any():
+            add += times * add[ancestor]
+            times *= times[ancestor]
+            ancestor = ancestor[ancestor]
+        return (add + times * np.uint64(ROOT))[1:]
+
     def signature(self) -> np.ndarray:
         """The smallest phrase hashes, well mixed, as 32-bit numbers in order."""
-        x = np.array(self.hashes[1:], np.uint64)
+        x = self.hashes()
         for shift, factor in ((31, 0xBF58476D1CE4E5B9), (27, 0x94D049BB133111EB)):
             x = (x ^ (x >> np.uint64(shift))) * np.uint64(factor)
         x ^= x >> np.uint64(31)
