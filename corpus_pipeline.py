@@ -39,15 +39,15 @@ def encoded(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Token ids of every text, and whether decoding them gives the text back."""
     bpe = public_tokenizer(spark)
     text = F.coalesce(F.col("text"), F.lit(""))
-    ids = docs.select("doc_id", "lang", "source", "n_chars", text.alias("text"), bpe.encode(text).alias("ids"))
+    ids = docs.select("doc_id", "lang", "source", "n_chars", text.alias("text"), bpe.round_trip(text).alias("r"))
     return ids.select(
         "doc_id",
         "lang",
         "source",
         "n_chars",
-        F.expr("CAST(octet_length(ids) div 4 AS BIGINT)").alias("n_tokens"),
-        "ids",
-        (bpe.decode("ids") == F.encode("text", "UTF-8")).alias("round_trip"),
+        F.expr("CAST(octet_length(r.ids) div 4 AS BIGINT)").alias("n_tokens"),
+        "r.ids",
+        (F.col("r.decoded") == F.encode("text", "UTF-8")).alias("round_trip"),
     )
 
 

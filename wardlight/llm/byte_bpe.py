@@ -32,7 +32,7 @@ import regex
 from pyspark.sql import Column, SparkSession
 from pyspark.sql import functions as F
 
-from wardlight.llm.common import each_text
+from wardlight.llm.common import each_text, small_batches
 
 #: Bounds of the memos of one worker, in entries.
 PIECES_KEPT = 80_000
@@ -187,9 +187,10 @@ def codec(content: bytes, pattern: str) -> ByteBpe:
 
 
 class Tokenizer:
-    """Column functions for one vocabulary: ``encode``, ``decode`` and ``count``."""
+    """Column functions for one vocabulary: ``encode``, ``decode``, ``round_trip`` and ``count``."""
 
     def __init__(self, spark: SparkSession, ranks_path: str, pattern: str):
+        small_batches(spark)
         with open(ranks_path, "rb") as file:
             content = spark.sparkContext.broadcast(file.read())
 
@@ -205,13 +206,21 @@ class Tokenizer:
             for packed in batches:
                 yield pa.array([bpe.decode(x or b"") for x in packed.to_pylist()], pa.binary())
 
+        @F.arrow_udf("struct<ids: binary, decoded: binary>")
+        def round_trip(batches: Iterator[pa.Array]) -> Iterator[pa.Array]:
+            bpe = codec(content.value, pattern)
+            for texts in batches:
+                ids = [bpe.encode(t) for t in each_text(texts)]
+                columns = [pa.array(ids, pa.binary()), pa.array(map(bpe.decode, ids), pa.binary())]
+                yield pa.StructArray.from_arrays(columns, ["ids", "decoded"])
+
         @F.arrow_udf("long")
         def count(batches: Iterator[pa.Array]) -> Iterator[pa.Array]:
             bpe = codec(content.value, pattern)
             for texts in batches:
                 yield pa.array([len(bpe.encode(t)) // 4 for t in each_text(texts)], pa.int64())
 
-        self._encode, self._decode, self._count = encode, decode, count
+        self._encode, self._decode, self._round_trip, self._count = encode, decode, round_trip, count
 
     def encode(self, text: str | Column) -> Column:
         """Ids of a text, packed as little-endian unsigned 32-bit integers."""
@@ -221,6 +230,10 @@ class Tokenizer:
         """The bytes that the ids stand for."""
         return self._decode(packed)
 
+    def round_trip(self, text: str | Column) -> Column:
+        """A struct of the ids of a text and the bytes that these ids stand for, in one pass."""
+        return self._round_trip(text)
+
     def count(self, text: str | Column) -> Column:
         """How many tokens a text has."""
         return self._count(text)

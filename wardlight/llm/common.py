@@ -5,12 +5,14 @@ from __future__ import annotations
 from collections.abc import Iterator
 
 import pyarrow as pa
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from wardlight.session import shared_dir
 
 ROWS_PER_SLICE = 256
+ROWS_PER_BATCH = 1_000
+BATCH_SETTING = "spark.sql.execution.arrow.maxRecordsPerBatch"
 
 
 def whole_text(name: str = "text") -> Column:
@@ -25,6 +27,16 @@ def cut_lineage(df: DataFrame) -> DataFrame:
     return df.checkpoint()
 
 
+def small_batches(spark: SparkSession) -> None:
+    """Send whole texts to Python in batches of few rows: a batch is held on both sides at once.
+
+    The rows of a batch also wait in the executor for its answer. A smaller setting stays.
+    """
+    rows = int(spark.conf.get(BATCH_SETTING))
+    if not 0 < rows <= ROWS_PER_BATCH:
+        spark.conf.set(BATCH_SETTING, ROWS_PER_BATCH)
+
+
 def slices(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     """Arrow batches in pieces of few rows, so that long texts need little memory at once."""
     for batch in batches:

@@ -27,7 +27,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from wardlight.llm.common import each_text, slices, texts_of, whole_text
+from wardlight.llm.common import each_text, slices, small_batches, texts_of, whole_text
 
 SIZE = 256
 RANGES = 512  # id ranges at least; bounds the list of quantiles and of first rows
@@ -176,6 +176,7 @@ def with_next(docs: DataFrame, id_col: str = "doc_id", ranges: int = RANGES) ->
     next document, in order of id; the first document follows the last.
     """
     spark = docs.sparkSession
+    small_batches(spark)
     ranges = max(ranges, 4 * int(spark.conf.get("spark.sql.shuffle.partitions")))
     rows = docs.select(F.col(id_col).cast("long").alias("id"), whole_text().alias("text"))
     shares = [i / ranges for i in range(1, ranges)]

@@ -40,7 +40,7 @@ import xxhash
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from wardlight.llm.common import cut_lineage, slices, texts_of, whole_text
+from wardlight.llm.common import cut_lineage, slices, small_batches, texts_of, whole_text
 from wardlight.llm.components import components
 
 WORDS = 3
@@ -412,6 +412,7 @@ def classes_with_components(
 
 
 def marked(docs: DataFrame, id_col: str) -> DataFrame:
+    small_batches(docs.sparkSession)
     text = whole_text()
     return docs.select(F.col(id_col).cast("long").alias("id"), F.xxhash64(text).alias("mark"), text.alias("text"))
 

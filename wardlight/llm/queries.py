@@ -46,13 +46,12 @@ def op5_lm_scores(spark: SparkSession, sf: str) -> DataFrame:
 
 def op6_byte_bpe(spark: SparkSession, sf: str) -> DataFrame:
     bpe = public_tokenizer(spark)
-    encoded = table(spark, sf, "documents").select("doc_id", bpe.encode("text").alias("ids"))
-    both = encoded.select("doc_id", "ids", bpe.decode("ids").alias("decoded"))
+    both = table(spark, sf, "documents").select("doc_id", bpe.round_trip("text").alias("r"))
     return both.select(
         "doc_id",
-        F.expr("CAST(octet_length(ids) div 4 AS BIGINT)").alias("n_tokens"),
-        F.sha2("ids", 256).alias("ids_sha256"),
-        F.sha2("decoded", 256).alias("decoded_sha256"),
+        F.expr("CAST(octet_length(r.ids) div 4 AS BIGINT)").alias("n_tokens"),
+        F.sha2("r.ids", 256).alias("ids_sha256"),
+        F.sha2("r.decoded", 256).alias("decoded_sha256"),
     )
 
 

@@ -37,7 +37,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from wardlight.llm.common import cut_lineage, each_text, whole_text
+from wardlight.llm.common import cut_lineage, each_text, small_batches, whole_text
 from wardlight.session import shared_dir
 
 TOXIC_ROWS, CLEAN_ROWS = 3_000, 6_000
@@ -202,6 +202,7 @@ def fit(docs: DataFrame, labels: DataFrame, columns: list[str]) -> tuple[Model,
 
     The rows have ``columns`` of ``docs`` and the places of their terms in a column TERMS_OF.
     """
+    small_batches(docs.sparkSession)
     marks = (
         labels.filter(F.col("toxic").isNotNull() & F.col("doc_id").isNotNull())
         .groupBy(F.col("doc_id").alias("id"))
