@@ -48,9 +48,10 @@ def test_one_question(spark):
     assert search.top_k_chunks(df, literal, 500, stays=[]).count() == 400
 
 
-@pytest.mark.parametrize("per_pass", [1024, 3])
-def test_many_questions(spark, monkeypatch, per_pass):
-    monkeypatch.setattr(search, "QUESTIONS_PER_PASS", per_pass)
+@pytest.mark.parametrize("per_block, per_slice", [(1024, 20_000), (3, 90)])
+def test_many_questions(spark, monkeypatch, per_block, per_slice):
+    monkeypatch.setattr(search, "QUESTIONS_PER_BLOCK", per_block)
+    monkeypatch.setattr(search, "CHUNKS_PER_SLICE", per_slice)
     rows = make_chunks(1)
     df = spark.createDataFrame(rows, SCHEMA).repartition(5)
     rng = np.random.default_rng(9)
@@ -81,6 +82,31 @@ def test_questions_limited_to_stays(spark):
     }
 
 
+def test_thousands_of_questions_on_one_heavy_stay(spark):
+    rows = [(note, index, 1 if i % 10 else 2, text, v) for i, (note, index, _, text, v) in enumerate(make_chunks(4))]
+    df = spark.createDataFrame(rows, SCHEMA).repartition(3)
+    vectors = {j: np.random.default_rng(j).normal(size=16).tolist() for j in range(5000)}
+    qs = spark.createDataFrame(list(vectors.items()), "question_id int, embedding array<double>")
+    allowed = qs.select("question_id", F.when(F.col("question_id") % 50 == 0, 2).otherwise(1).cast("long").alias("ICUSTAY_ID"))
+    got: dict[int, list] = {}
+    for r in search.top_k_batch(df, qs, k=2, allowed=allowed).orderBy("question_id", "rank").collect():
+        got.setdefault(r.question_id, []).append((r.note_id, r.chunk_index))
+    assert len(got) == 5000
+    for j in range(0, 5000, 25):
+        assert got[j] == [w[:2] for w in brute(rows, vectors[j], 2, {1 if j % 50 else 2})], j
+
+
+@pytest.mark.parametrize("limited", [False, True])
+def test_faulty_questions_are_errors(spark, limited):
+    df = spark.createDataFrame(make_chunks(n=10, copies=2), SCHEMA)
+    allowed = spark.createDataFrame([(1, i) for i in range(7)], "question_id int, ICUSTAY_ID bigint") if limited else None
+    good = [1.0] * 16
+    for rows, says in ([(1, good), (1, good)], "repeats"), ([(1, good[:4])], "differ in length"):
+        qs = spark.createDataFrame(rows, "question_id int, embedding array<double>")
+        with pytest.raises(Exception, match=says):
+            search.top_k_batch(df, qs, k=3, allowed=allowed).collect()
+
+
 def test_no_questions(spark):
     df = spark.createDataFrame(make_chunks(n=10, copies=2), SCHEMA)
     qs = spark.createDataFrame([], "question_id int, embedding array<float>")

@@ -82,7 +82,7 @@ def risk_lists(questions: DataFrame, alerts: DataFrame) -> DataFrame:
 def retrieve(questions: DataFrame, risk: DataFrame, chunks: DataFrame) -> DataFrame:
     """Excerpts for every question from the notes of the stays on its risk list."""
     asked = questions.select("question_id", "embedding", retrieval_size(F.col("top_k")).alias("k"))
-    return top_k_batch(chunks, asked, allowed=risk.select("question_id", "ICUSTAY_ID"))
+    return top_k_batch(chunks, asked, allowed=risk.select("question_id", "ICUSTAY_ID"), most=MAX_RETRIEVED)
 
 
 def supporting_notes(retrieved: DataFrame) -> DataFrame:

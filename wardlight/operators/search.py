@@ -2,10 +2,8 @@
 
 from __future__ import annotations
 
-import math
 import sys
-from collections.abc import Iterator, Sequence
-from functools import reduce
+from collections.abc import Sequence
 
 import numpy as np
 import pyarrow as pa
@@ -17,11 +15,14 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 from pyspark.sql.pandas.types import to_arrow_schema
 
-from wardlight.functions.vectors import cosine, l2_normalise
+from wardlight.functions.vectors import cosine, dot, l2_normalise
 
 CHUNK_KEY = ("note_id", "chunk_index")
-# Questions compared in one pass over the chunks: bounds what is sent to the tasks.
-QUESTIONS_PER_PASS = 1024
+# Questions and chunks that one task multiplies, on average.
+QUESTIONS_PER_BLOCK = 1024
+CHUNKS_PER_SLICE = 20_000
+# Rows of a slice multiplied at a time.
+ROWS_AT_ONCE = 2048
 # Similarities that agree to this many decimals are ordered by chunk key.
 TIE_DECIMALS = 9
 
@@ -61,98 +62,140 @@ def top_k_batch(
     questions: DataFrame,
     k: int | None = None,
     allowed: DataFrame | None = None,
+    most: int | None = None,
 ) -> DataFrame:
     """``(question_id, rank, cosine_similarity, chunk columns)`` for many questions.
 
     ``questions`` holds question_id, embedding and, unless ``k`` is given for all, a
     column ``k``. ``allowed`` restricts a question to the stays listed for it as
-    ``(question_id, ICUSTAY_ID)``; a question without entries finds nothing.
+    ``(question_id, ICUSTAY_ID)``; a question without entries finds nothing. ``most``
+    states that no ``k`` is larger, so that tasks can leave rows out before the shuffle;
+    a larger one is an error, as are a repeated question_id and vectors that differ in length.
 
-    Questions are taken in passes of bounded size, which also bounds the data sent
-    to the tasks; any number of questions is answered by more passes. Within a pass
-    every task multiplies its chunk matrix with the question matrix and keeps k
+    Nothing goes through the driver. With ``allowed``, only chunks of the listed stays are
+    compared, in an equi join on the stay. Without it, questions are cut into blocks and chunks
+    into slices of bounded size; a task multiplies one slice with one block and gives out k
     rows per question, so only those are shuffled for the final ranking.
     """
     if k is not None:
-        questions = questions.withColumn("k", F.lit(int(k)))
-    questions = questions.select("question_id", "embedding", "k").filter(F.col("embedding").isNotNull())
-    total = questions.count()
-    passes = max(1, math.ceil(total / QUESTIONS_PER_PASS))
-    part = F.pmod(F.xxhash64("question_id"), F.lit(passes))
-    return reduce(
-        DataFrame.unionByName,
-        [
-            _one_pass(chunks, questions.filter(part == i), allowed)
-            for i in range(passes)
-        ],
+        questions, most = questions.withColumn("k", F.lit(int(k))), int(k)
+    asked = _single_questions(questions, most)
+    usable = chunks.filter(F.col("embedding").isNotNull()).select(*CHUNK_KEY, "ICUSTAY_ID", "embedding")
+    if allowed is None:
+        found = _best_by_block(usable, asked)
+    else:
+        found = _allowed_pairs(usable, asked, allowed)
+    order = Window.partitionBy("question_id").orderBy(
+        F.col("cosine_similarity").desc(), *[F.col(c) for c in CHUNK_KEY]
     )
+    ranked = found.withColumn("rank", F.row_number().over(order))
+    if most is not None:
+        ranked = ranked.filter(F.col("rank") <= most)
+    return chunks.drop("embedding").join(ranked.filter(F.col("rank") <= F.col("k")).drop("k"), list(CHUNK_KEY))
 
 
-def _one_pass(chunks: DataFrame, questions: DataFrame, allowed: DataFrame | None) -> DataFrame:
-    rows = questions.orderBy("question_id").collect()
-    out_schema = T.StructType(
-        [
-            T.StructField("question_id", questions.schema["question_id"].dataType),
-            *[T.StructField(c, chunks.schema[c].dataType) for c in CHUNK_KEY],
-            T.StructField("cosine_similarity", T.DoubleType()),
-        ]
+def _single_questions(questions: DataFrame, most: int | None) -> DataFrame:
+    """``question_id, embedding, k`` with one row per id; others raise when they are read."""
+    limit = F.when(F.col("_n") > 1, F.raise_error(F.lit("question_id repeats")).cast("int"))
+    if most is not None:
+        limit = limit.when(F.col("k") > most, F.raise_error(F.lit("k is larger than stated")).cast("int"))
+    return (
+        questions.filter(F.col("embedding").isNotNull())
+        .groupBy("question_id")
+        .agg(F.count(F.lit(1)).alias("_n"), F.first("embedding").alias("embedding"), F.first("k").cast("int").alias("k"))
+        .select("question_id", "embedding", limit.otherwise(F.col("k")).alias("k"))
     )
-    arrow_schema = to_arrow_schema(out_schema)
-    ids = [r.question_id for r in rows]
-    if len(set(ids)) < len(ids):
-        raise ValueError("question_id repeats")
-    limits = [int(r.k) for r in rows]
-    matrix = _unit_rows(np.array([r.embedding for r in rows], dtype=np.float64, ndmin=2))
-
-    stay_of: dict | None = None
-    if allowed is not None:
-        position = {q: i for i, q in enumerate(ids)}
-        stay_of = {}
-        # At most MAX_TOP_K stays per question of this pass.
-        for r in allowed.join(questions.select("question_id"), "question_id").collect():
-            stay_of.setdefault(r.ICUSTAY_ID, []).append(position[r.question_id])
-        chunks = chunks.filter(F.col("ICUSTAY_ID").isin(list(stay_of)))
-
-    def best(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        kept: list[list[tuple]] = [[] for _ in ids]
-        for batch in batches:
-            if batch.num_rows == 0 or not ids:
-                continue
-            lengths = batch.column("embedding").value_lengths().to_numpy(zero_copy_only=False)
-            if (lengths != matrix.shape[1]).any():
-                raise ValueError("chunk and question vectors differ in length")
-            flat = batch.column("embedding").flatten().to_numpy(zero_copy_only=False)
-            vectors = flat.astype(np.float64).reshape(batch.num_rows, -1)
-            sims = np.round(_unit_rows(vectors) @ matrix.T, TIE_DECIMALS)
-            if stay_of is not None:
-                mask = np.zeros(sims.shape, dtype=bool)
-                for i, stay in enumerate(batch.column("ICUSTAY_ID").to_pylist()):
-                    mask[i, stay_of.get(stay, [])] = True
-                sims = np.where(mask, sims, np.nan)
-            keys = [batch.column(c).to_numpy(zero_copy_only=False) for c in CHUNK_KEY]
-            for q, limit in enumerate(limits):
-                kept[q] = _merge_best(kept[q], sims[:, q], keys, limit)
-        hits = [(ids[q], *row) for q, found in enumerate(kept) for row in found]
-        if hits:
-            yield pa.RecordBatch.from_arrays(
-                [pa.array(cells, field.type) for cells, field in zip(zip(*hits), arrow_schema)],
-                schema=arrow_schema,
-            )
 
-    usable = chunks.filter(F.col("embedding").isNotNull()).select(*CHUNK_KEY, "ICUSTAY_ID", "embedding")
-    found = usable.mapInArrow(best, out_schema)
-    order = Window.partitionBy("question_id").orderBy(
-        F.col("cosine_similarity").desc(), *[F.col(c) for c in CHUNK_KEY]
+
+def _allowed_pairs(usable: DataFrame, asked: DataFrame, allowed: DataFrame) -> DataFrame:
+    """Similarity of every question with the chunks of its stays.
+
+    A join on the stay; a stay with many chunks is split by adaptive execution.
+    """
+    wanted = asked.withColumn("_q", l2_normalise(F.col("embedding"))).drop("embedding")
+    pairs = allowed.select("question_id", "ICUSTAY_ID").distinct().join(wanted, "question_id")
+    unit = usable.withColumn("_c", l2_normalise(F.col("embedding"))).drop("embedding")
+    similarity = F.when(
+        F.size("_c") != F.size("_q"),
+        F.raise_error(F.lit("chunk and question vectors differ in length")).cast("double"),
+    ).otherwise(F.round(dot(F.col("_c"), F.col("_q")), TIE_DECIMALS))
+    return (
+        unit.join(pairs, "ICUSTAY_ID")
+        .select("question_id", "k", *CHUNK_KEY, similarity.alias("cosine_similarity"))
+        .filter(F.col("cosine_similarity").isNotNull() & ~F.isnan("cosine_similarity"))
+    )
+
+
+def _best_by_block(usable: DataFrame, asked: DataFrame) -> DataFrame:
+    """The k best rows of every slice of chunks per question, slice by block.
+
+    The numbers of blocks and slices follow the tables, so a group is bounded however large they are.
+    """
+    counted = F.count(F.lit(1))
+    blocks = F.greatest(F.ceil(asked.agg(counted).scalar() / QUESTIONS_PER_BLOCK), F.lit(1))
+    slices = F.greatest(F.ceil(usable.agg(counted).scalar() / CHUNKS_PER_SLICE), F.lit(1))
+    sides = [
+        df.withColumns({"_blocks": blocks, "_slices": slices})
+        for df in (usable.select(*CHUNK_KEY, "embedding"), asked)
+    ]
+    each_block, each_slice = (F.explode(F.sequence(F.lit(1).cast("long"), n)) for n in ("_blocks", "_slices"))
+    held = sides[0].select(
+        *CHUNK_KEY,
+        "embedding",
+        (F.pmod(F.xxhash64(*CHUNK_KEY), F.col("_slices")) + 1).alias("_slice"),
+        each_block.alias("_block"),
+    )
+    sent = sides[1].select(
+        "question_id",
+        "embedding",
+        "k",
+        (F.pmod(F.xxhash64("question_id"), F.col("_blocks")) + 1).alias("_block"),
+        each_slice.alias("_slice"),
     )
-    ranked = (
-        found.withColumn("rank", F.row_number().over(order))
-        .filter(F.col("rank") <= max(limits, default=1))
-        .join(F.broadcast(questions.select("question_id", "k")), "question_id")
-        .filter(F.col("rank") <= F.col("k"))
-        .drop("k")
+    out = T.StructType(
+        [
+            T.StructField("question_id", asked.schema["question_id"].dataType),
+            T.StructField("k", T.IntegerType()),
+            *[T.StructField(c, usable.schema[c].dataType) for c in CHUNK_KEY],
+            T.StructField("cosine_similarity", T.DoubleType()),
+        ]
     )
-    # At most k rows for each of the questions of this pass.
-    return chunks.drop("embedding").join(F.broadcast(ranked), list(CHUNK_KEY))
+    arrow_schema = to_arrow_schema(out)
+
+    def best(chunks: pa.Table, questions: pa.Table) -> pa.Table:
+        return _best_of_slice(chunks, questions, arrow_schema)
+
+    by = ("_slice", "_block")
+    return held.groupBy(*by).cogroup(sent.groupBy(*by)).applyInArrow(best, out)
+
+
+def _best_of_slice(chunks: pa.Table, questions: pa.Table, schema: pa.Schema) -> pa.Table:
+    if not chunks.num_rows or not questions.num_rows:
+        return schema.empty_table()
+    ids, limits = questions["question_id"].to_pylist(), questions["k"].to_pylist()
+    matrix = _unit_rows(_matrix(questions["embedding"]))
+    vectors = _matrix(chunks["embedding"])
+    if vectors.shape[1] != matrix.shape[1]:
+        raise ValueError("chunk and question vectors differ in length")
+    keys = [chunks[c].to_numpy() for c in CHUNK_KEY]
+    kept: list[list[tuple]] = [[] for _ in ids]
+    for start in range(0, len(vectors), ROWS_AT_ONCE):
+        rows = slice(start, start + ROWS_AT_ONCE)
+        sims = np.round(_unit_rows(vectors[rows]) @ matrix.T, TIE_DECIMALS)
+        for q, limit in enumerate(limits):
+            kept[q] = _merge_best(kept[q], sims[:, q], [c[rows] for c in keys], limit or 0)
+    hits = [(ids[q], limits[q], *row) for q, found in enumerate(kept) for row in found]
+    if not hits:
+        return schema.empty_table()
+    return pa.Table.from_arrays([pa.array(cells, f.type) for cells, f in zip(zip(*hits), schema)], schema=schema)
+
+
+def _matrix(column: pa.ChunkedArray) -> np.ndarray:
+    lists = column.combine_chunks()
+    lengths = lists.value_lengths().to_numpy(zero_copy_only=False)
+    if (lengths != lengths[0]).any():
+        raise ValueError("chunk and question vectors differ in length")
+    return lists.flatten().to_numpy(zero_copy_only=False).astype(np.float64).reshape(len(lists), -1)
 
 
 def _unit_rows(m: np.ndarray) -> np.ndarray:
@@ -163,7 +206,7 @@ def _unit_rows(m: np.ndarray) -> np.ndarray:
 def _merge_best(kept: list[tuple], sims: np.ndarray, keys: list[np.ndarray], k: int) -> list[tuple]:
     """Best k of the kept rows and one batch, ties by chunk key."""
     usable = np.flatnonzero(~np.isnan(sims))
-    if len(usable) > k:
+    if len(usable) > k > 0:
         cut = np.partition(sims[usable], len(usable) - k)[len(usable) - k]
         usable = usable[sims[usable] >= cut]
         order = np.lexsort((keys[1][usable], keys[0][usable], -sims[usable]))
