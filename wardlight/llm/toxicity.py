@@ -6,8 +6,9 @@ on the label (chi-squared) become the vocabulary, at most ``TERMS``;
 document frequencies for the weights are counted over all documents. Three in four sample rows
 become examples, the others calibrate.
 
-Every text is read for terms once. Its terms (a few numbers) are stored beside the row in the shared
-folder; document frequencies, examples and scores all come from there.
+The terms of every text (a few numbers) are stored in the shared folder; document frequencies come
+from there, and so do scores beside an id. Where whole rows are filtered, their texts are not stored
+again but read for terms a second time.
 
 The index keeps the examples in blocks of ``BLOCK`` similar ones and, per term, the largest
 weight in each block that has it. A query adds up these maxima to bound every block, scores the
@@ -352,6 +353,21 @@ def scorer(docs: DataFrame, model: Model):
     return score
 
 
+def text_scorer(docs: DataFrame, model: Model):
+    """A column function: text to score."""
+    sent = docs.sparkSession.sparkContext.broadcast(model)
+
+    @F.arrow_udf("double")
+    def score(batches: Iterator[pa.Array]) -> Iterator[pa.Array]:
+        m = sent.value
+        lookup = Lookup(m.vocabulary)
+        for texts in batches:
+            vectors = (unit_vector(np.array(lookup.places(t), np.int64), m.idf) for t in each_text(texts))
+            yield pa.array([m.probability(m.vote(*v)[0]) for v in vectors], pa.float64())
+
+    return score
+
+
 def score_documents(docs: DataFrame, labels: DataFrame) -> DataFrame:
     """Per row: doc_id, held_out, score, predicted and evidence."""
     model, read = fit(docs, labels, ["doc_id"])
@@ -370,5 +386,5 @@ def score_documents(docs: DataFrame, labels: DataFrame) -> DataFrame:
 
 def keep_clean(docs: DataFrame, labels: DataFrame) -> DataFrame:
     """The documents whose score is below 0.5, with all their columns."""
-    model, read = fit(docs, labels, docs.columns)
-    return read.filter(scorer(docs, model)(TERMS_OF)["score"] < 0.5).drop(TERMS_OF)
+    model, _ = fit(docs, labels, [])
+    return docs.filter(text_scorer(docs, model)(whole_text()) < 0.5)
