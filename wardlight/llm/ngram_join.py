@@ -321,8 +321,12 @@ def join_blocks(one: list[np.ndarray], other: list[np.ndarray] | None, percent:
     return links
 
 
-def search(percent: int, batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """Rows of (grp, low, high, block, node, shingles), sorted, to links between nodes."""
+def search(size: int, percent: int, batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """Rows of (grp, low, high, block, node, text), sorted, to links between nodes.
+
+    Texts are shuffled as they are, as they compress and hashes do not. A row whose text has another
+    set than its node (another row of the same id) is passed over.
+    """
     key, members = None, []
 
     def answer() -> pa.RecordBatch:
@@ -334,28 +338,20 @@ def search(percent: int, batches: Iterator[pa.RecordBatch]) -> Iterator[pa.Recor
         return as_edges([(one[i][1], held[j][1]) for i, j in found])
 
     for batch in slices(batches):
-        rows = zip(*(batch[c].to_pylist() for c in ("grp", "low", "high", "block", "node", "shingles")))
-        for grp, low, high, block, node, shingles in rows:
+        rows = zip(*(batch[c].to_pylist() for c in ("grp", "low", "high", "block", "node")), texts_of(batch["text"]))
+        for grp, low, high, block, node, text in rows:
             if (grp, low, high) != key:
                 if members:
                     yield answer()
                 key, members = (grp, low, high), []
             if not members or members[-1][1] != node:
-                members.append((block, node, np.frombuffer(shingles, _U)))
+                h = shingle_set(text, size)
+                if int(set_name(h).view(np.int64)[0]) == node:
+                    members.append((block, node, h))
     if members:
         yield answer()
 
 
-def sets_of(size: int, batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """Texts of the members of candidate groups to their sets; other rows of the same id go."""
-    for batch in slices(batches):
-        sets = [shingle_set(t, size) for t in texts_of(batch["text"])]
-        names = [int(set_name(h).view(np.int64)[0]) for h in sets]
-        right = [i for i, (a, b) in enumerate(zip(names, batch["node"].to_pylist())) if a == b]
-        out = batch.take(pa.array(right, pa.int64())).select(["grp", "blocks", "block", "node"])
-        yield out.append_column("shingles", pa.array([sets[i].tobytes() for i in right], pa.binary()))
-
-
 def grouped(found: DataFrame, classes: DataFrame, weight: Column, most: int) -> DataFrame:
     """Classes of each component with its root as ``grp`` and a block, of about ``most`` in all."""
     held = cut_lineage(found.withColumnRenamed("root", "grp")).join(classes, "node")
@@ -402,9 +398,8 @@ def classes_with_components(
     members = grouped(components(edges), classes, F.col("n"), BLOCK_SHINGLES)
     texts = docs.select(F.col(id_col).cast("long").alias("__id"), whole_text().alias("text"))
     asked = texts.join(members.drop("n", "counts", "fine"), F.col("__id").eqNullSafe(F.col("least_id"))).select("grp", "blocks", "block", "node", "text")
-    sets = asked.mapInArrow(partial(sets_of, size), "grp long, blocks int, block int, node long, shingles binary")
-    paired = by_blocks(sets)
-    links = paired.select("grp", "low", "high", "block", "node", "shingles").mapInArrow(partial(search, percent), "a long, b long")
+    paired = by_blocks(asked).select("grp", "low", "high", "block", "node", "text")
+    links = paired.mapInArrow(partial(search, size, percent), "a long, b long")
     found = components(links).withColumnRenamed("node", "__node")
     rooted = classes.join(found, F.col("node") == F.col("__node"), "left").withColumn("root", F.coalesce("root", "node"))
     least = rooted.groupBy("root").agg(F.min("least_id").alias("component_id"))
