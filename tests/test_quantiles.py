@@ -32,14 +32,17 @@ def data(seed):
     }
 
 
-@pytest.mark.parametrize("bound", [None, 10])
-def test_small_groups(spark, bound):
-    check(spark, data(1), group_bound=bound)
+def test_groups_of_several_sizes(spark):
+    check(spark, data(1))
 
 
-@pytest.mark.parametrize("bound", [None, 10])
-def test_bracketed_groups(spark, bound):
-    check(spark, data(2), small_group=1000, accuracy=2000, group_bound=bound)
+@pytest.mark.parametrize("n", [1, 2, 3, 9, 10, 11, 50, 99, 100, 101, 1000, 1001, 9999, 10001])
+def test_a_bracket_holds_both_ranks_whatever_the_size(spark, n):
+    check(spark, {"g": np.random.default_rng(n).normal(size=n)})
+
+
+def test_brackets_of_a_coarse_sketch(spark):
+    check(spark, data(2), accuracy=2000)
 
 
 def test_nulls_are_left_out(spark):

@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 
 from wardlight.functions.text import word_count
 from wardlight.functions.times import age_at
-from wardlight.operators.quantiles import MAX_BROADCAST_GROUPS, exact_percentiles
+from wardlight.operators.quantiles import exact_percentiles
 
 # Item codes of each vital sign and laboratory value.
 VITAL_CODES: dict[str, tuple[int, ...]] = {
@@ -189,15 +189,9 @@ def outlier_flags(
     name: str,
     value: str = "VALUENUM",
     reach: float = 1.5,
-    name_bound: int | None = None,
 ) -> DataFrame:
-    """Add the quartile fences of each measurement and ``is_outlier``; drop nothing.
-
-    ``name_bound`` is the number of names there can be, where a code list fixes it.
-    """
-    quartiles = exact_percentiles(
-        df, [name], value, {"_q1": 0.25, "_q3": 0.75}, group_bound=name_bound
-    )
+    """Add the quartile fences of each measurement and ``is_outlier``; drop nothing."""
+    quartiles = exact_percentiles(df, [name], value, {"_q1": 0.25, "_q3": 0.75})
     spread = F.col("_q3") - F.col("_q1")
     fences = quartiles.select(
         name,
@@ -205,8 +199,4 @@ def outlier_flags(
         (F.col("_q3") + reach * spread).alias("fence_high"),
     )
     outside = (F.col(value) < F.col("fence_low")) | (F.col(value) > F.col("fence_high"))
-    if name_bound is not None and name_bound <= MAX_BROADCAST_GROUPS:
-        joined = df.join(F.broadcast(fences), name, "left")
-    else:
-        joined = df.join(fences, name, "left")
-    return joined.withColumn("is_outlier", outside.cast("int"))
+    return df.join(fences, name, "left").withColumn("is_outlier", outside.cast("int"))

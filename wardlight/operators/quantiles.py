@@ -5,65 +5,52 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-# Groups up to this size are ranked whole; larger ones only near the target rank.
-SMALL_GROUP = 100_000
 ACCURACY = 20_000
-# Brackets of so many groups are a few hundred kilobytes.
-MAX_BROADCAST_GROUPS = 5_000
+# Half widths of the brackets that the sketch gives, in shares of a group, beside the sketch's own error.
+WIDTHS = (0.0, 0.002, 0.02, 0.2)
 
 
 def exact_percentiles(
-    df: DataFrame,
-    groups: list[str],
-    value: str,
-    probs: dict[str, float],
-    small_group: int = SMALL_GROUP,
-    accuracy: int = ACCURACY,
-    group_bound: int | None = None,
+    df: DataFrame, groups: list[str], value: str, probs: dict[str, float], accuracy: int = ACCURACY
 ) -> DataFrame:
     """One row per group with a linearly interpolated percentile per entry of ``probs``.
 
     The built-in exact ``percentile`` keeps every distinct value of a group in
-    one buffer. Here a bounded sketch first brackets each target rank; values
+    one buffer. Here a bounded sketch first brackets each target rank, as narrowly
+    as the size of the group allows (two ranks on either side at least); values
     outside all brackets are only counted, those inside are counted per distinct
     value. Both counts combine before the shuffle, and the ranking then covers a
     few thousandths of a large group. A rank outside its bracket raises an error
     rather than giving a wrong value. NaN is left out, as NULL is.
 
-    ``group_bound`` states how many groups there can be at most, where that is known;
-    if they are few, their brackets are broadcast and the values are not shuffled.
+    Brackets are a row per group and join plainly: adaptive execution splits large groups.
     """
     names = list(probs)
     base = df.select(*groups, F.col(value).cast("double").alias("_v")).filter(F.col("_v").isNotNull() & ~F.isnan("_v"))
 
-    slack = 4.0 / accuracy
-    edges = [min(max(p + d, 0.0), 1.0) for p in probs.values() for d in (-slack, slack)]
+    slacks = [width + 4.0 / accuracy for width in WIDTHS]
+    edges = [min(max(p + side * d, 0.0), 1.0) for p in probs.values() for side in (-1, 1) for d in slacks]
     sketch = base.groupBy(*groups).agg(
         F.count(F.lit(1)).alias("_n"),
         F.percentile_approx("_v", edges, accuracy).alias("_edges"),
     )
-    is_small = F.col("_n") <= small_group
+
+    def bracket(i: int, side: int) -> Column:
+        """The end of a bracket: of the narrowest one that spans two ranks, else (or at either end of a group) all."""
+        first = (2 * i + side) * len(slacks)
+        everything = end = F.lit(float("inf") if side else float("-inf"))
+        for j in reversed(range(len(slacks))):
+            inner = F.col("_edges")[first + j] if 0.0 < edges[first + j] < 1.0 else everything
+            # the sketch may be off by a rank in ``accuracy``, and the rank sought lies up to two beside p * n
+            end = F.when(F.col("_n") * (slacks[j] - 1.0 / accuracy) >= 2, inner).otherwise(end)
+        return end
+
     brackets = sketch.select(
         *groups,
         "_n",
-        *[
-            F.when(is_small | F.lit(edges[2 * i] == 0.0), F.lit(float("-inf")))
-            .otherwise(F.col("_edges")[2 * i])
-            .alias(f"_lo{i}")
-            for i in range(len(names))
-        ],
-        *[
-            F.when(is_small | F.lit(edges[2 * i + 1] == 1.0), F.lit(float("inf")))
-            .otherwise(F.col("_edges")[2 * i + 1])
-            .alias(f"_hi{i}")
-            for i in range(len(names))
-        ],
+        *[bracket(i, side).alias(f"_{name}{i}") for i in range(len(names)) for side, name in ((0, "lo"), (1, "hi"))],
     )
-
-    if group_bound is not None and group_bound <= MAX_BROADCAST_GROUPS:
-        joined = base.join(F.broadcast(brackets), groups)
-    else:
-        joined = _with_brackets(base, brackets, groups)
+    joined = base.join(brackets, groups)
     v = F.col("_v")
     inside = _any([(v >= F.col(f"_lo{i}")) & (v <= F.col(f"_hi{i}")) for i in range(len(names))])
     # A value outside stands at the closest bracket end below it, after the values there.
@@ -112,11 +99,3 @@ def _any(tests: list[Column]) -> Column:
     for test in tests[1:]:
         out = out | test
     return out
-
-
-def _with_brackets(base: DataFrame, brackets: DataFrame, groups: list[str]) -> DataFrame:
-    """Attach the brackets: one narrow row per group, repeated so no group is one task."""
-    salts = 64
-    repeated = brackets.withColumn("_salt", F.explode(F.sequence(F.lit(0), F.lit(salts - 1))))
-    salted = base.withColumn("_salt", F.pmod(F.xxhash64("_v"), F.lit(salts)).cast("int"))
-    return salted.join(repeated, [*groups, "_salt"]).drop("_salt")
