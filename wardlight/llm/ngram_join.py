@@ -214,7 +214,21 @@ def unpacked_counts(packed: list[bytes]) -> np.ndarray:
 
 
 def bound_edges(nodes: list[int], sizes: list[int], packed: list[bytes], percent: int) -> list[tuple[int, int]]:
-    """Edges that connect all nodes of which chains of bounds allow a link."""
+    """Edges that connect all nodes of which chains of bounds allow a link.
+
+    Points of each fineness are compared among themselves and with finer ones of sizes that can
+    still link, so a short document never makes the points of long ones coarse.
+    """
+    groups, size, found = np.array([len(p) for p in packed]), np.array(sizes, np.int64), []
+    for level in np.unique(groups):
+        own = groups == level
+        at = np.flatnonzero(own | ((groups > level) & (size * percent <= 100 * size[own].max())))
+        found += edges_at_level(*([x[i] for i in at] for x in (nodes, sizes, packed)), percent)
+    return found
+
+
+def edges_at_level(nodes: list[int], sizes: list[int], packed: list[bytes], percent: int) -> list[tuple[int, int]]:
+    """As ``bound_edges``, with all points brought to the coarsest fineness among them."""
     if len(nodes) < 2:
         return []
     vectors, size = unpacked_counts(packed), np.array(sizes, np.int64)
