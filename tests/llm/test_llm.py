@@ -152,6 +152,34 @@ def test_base_secrets_equal_patterns(spark):
     assert f"hex:{hexes[0][0]}:{hexes[0][1]}" in got[1].base.split(",") and got[2].spans == ""
 
 
+def secret_rows(n=1000):
+    """Texts of plain words; in every second one a secret behind a key word, and one text with bare secrets."""
+    rng = random.Random(5)
+    words = ["measured", "patient", "results", "the", "of", "hospital", "was", "repeated", "document", "after"]
+    drawn = lambda k: "".join(rng.choice("abcdefghijkmnpqrstuvwxyz23456789ABCDEFGHJKLMNPQRSTUVWXYZ") for _ in range(k))
+    rows = []
+    for i in range(n):
+        plain = " ".join(rng.choice(words) for _ in range(30))
+        rows.append((i, plain + (f" password={drawn(rng.randint(8, 16))} " if i % 2 else " ") + plain[:40]))
+    bare = [drawn(k) for k in (9, 10, 11, 12, 14, 15)]
+    rows.append((n, "the patient " + " was repeated ".join(bare) + " after"))
+    return rows, bare
+
+
+def test_secret_candidates_and_network(spark):
+    rows, bare = secret_rows()
+    text = "abcdef 12345 123456 x=y password=abcdef1 end"
+    c = secrets.Candidates.of(["é", text, ""])
+    at = c.text_starts[1]
+    assert [text[s:e] for s, e in zip(c.starts - at, c.ends - at)] == ["abcdef", "123456"]
+    assert [text[s:e] for s, e in zip(*(p - at for p in c.positives()))] == ["abcdef1"]
+    got = {r.id: r for r in secrets.find_secrets(spark.createDataFrame(rows, "doc_id long, text string")).collect()}
+    model = {i: [tuple(map(int, x.split(":")[1:])) for x in r.spans.split(",") if x.startswith("model")] for i, r in got.items()}
+    caught = {rows[-1][1][s:e] for s, e in model[len(rows) - 1]}
+    assert len(caught & set(bare)) >= 4
+    assert sum(len(s) for i, s in model.items() if i < len(rows) - 1) < 0.02 * 30 * len(rows)
+
+
 def test_nearest_examples_equal_brute_force():
     rng = np.random.default_rng(1)
     vectors = []

@@ -1,23 +1,26 @@
 """Secret scan: pattern findings, and a character network over every other candidate.
 
 Three patterns give the base findings (assignments, access keys, long hex runs). Candidates are
-the values of base findings and every run of 16 or more key characters that holds a digit and a
-letter. A convolutional network in numpy reads each candidate with its surroundings: characters
-become vectors, filters of width 5 run over them, their maxima and means go through one hidden
-layer. It is trained on labelled findings: candidates inside a base finding are positive, the
-others negative. Its scores are calibrated (logistic, on candidates of other documents), and the
-threshold is the largest that keeps the wanted recall on the positives held out. A candidate
+the values of base findings, labelled positive, and every run of ``LEAST`` or more key characters
+outside base findings, labelled negative. A convolutional network in numpy reads each candidate
+with its surroundings: characters become vectors, filters of width 5 run over them; the maxima and
+means over the value and the maxima over the text before and after go through one hidden layer. In
+half of the training rows the surroundings are those of some negative, so that a value counts by
+its own characters and not only by a key word before it. Its scores are calibrated (logistic, on
+candidates of other texts, in both surroundings), and the threshold is the largest that keeps the
+wanted recall on the positives held out, each by the lower of its two scores. A candidate
 outside all base findings that reaches it becomes a span of kind ``model``.
 
 Training uses a bounded sample (``SAMPLE`` candidates of each label by hash order, on the
-driver); finding and scoring cover all texts and candidates. Long values are scored in windows
-and the largest score counts.
+driver); finding and scoring cover all texts and candidates. Filters run once over a text, not
+once per candidate. A value longer than ``VALUE`` is scored in pieces and the largest score counts.
 
 Defined cases: NULL counts as empty; a text without findings has counts 0 and an empty span list.
-Repeated rows get equal results. With no positives or no negatives there is no network and only
-base spans are given. An empty table gives an empty result. Other columns are not passed on.
+Repeated rows get equal results. With no positives or no negatives in either part of the sample
+there is no network and only base spans are given. An empty table gives an empty result. Other
+columns are not passed on.
 
-Texts are scanned once: findings and candidates are written to the shared folder before training.
+Texts are read once for the sample and once for the result; nothing is stored in between.
 """
 
 from __future__ import annotations
@@ -31,7 +34,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from wardlight.llm.common import cut_lineage, each_text
+from wardlight.llm.common import ROWS_PER_SLICE, cut_lineage, small_batches, texts_of, whole_text
 
 KINDS = ("assign", "access", "hex", "model")
 ASSIGN = re.compile(
@@ -40,20 +43,21 @@ ASSIGN = re.compile(
 )
 ACCESS = re.compile(r"AKIA[A-Z0-9]+")
 HEX = re.compile(r"[0-9a-f]{24,}")  # a run of hex digits is matched whole
-RUN = re.compile(r"[A-Za-z0-9+/_=-]{16,}")
-DIGIT, LETTER = re.compile(r"[0-9]"), re.compile(r"[A-Za-z]")
+KEY = re.compile(r"[A-Za-z0-9+/_=-]")
 
+LEAST = 6  # key characters of a candidate
 SAMPLE = 3_000  # candidates per label for training and calibration together
 RECALL = 0.98
-BEFORE, VALUE, AFTER = 24, 48, 8  # characters of a window
-WIDTH = BEFORE + VALUE + AFTER
+BEFORE, VALUE, AFTER = 24, 48, 8  # characters read before, in a piece of, and after a value
 CODES, DIM, REACH, FILTERS, HIDDEN = 98, 12, 5, 24, 16
+GAP = BEFORE + REACH  # empty places around a text
+CHUNK = 16_384  # characters whose filters are held at once
 
-FOUND = (
-    "struct<n_assign: bigint, n_access: bigint, n_hex: bigint, base: string, "
-    "candidates: array<struct<start: int, end: int, label: int, before: string, value: string, "
-    "after: string>>>"
+FOUND = pa.struct(
+    [(c, pa.int64()) for c in ("n_assign", "n_access", "n_hex")] + [(c, pa.string()) for c in ("base", "spans")]
 )
+FOUND_SQL = "struct<n_assign: bigint, n_access: bigint, n_hex: bigint, base: string, spans: string>"
+SAMPLED = "label int, fold int, place long, before string, value string, after string"
 
 
 def base_spans(text: str) -> list[tuple[int, int, int, int]]:
@@ -77,69 +81,68 @@ def joined(spans: list[tuple[int, int, int]]) -> str:
     return ",".join(f"{KINDS[kind]}:{start}:{end}" for start, kind, end in sorted(spans))
 
 
-def scan(text: str) -> dict:
-    """Base findings and candidates of one whole text."""
-    base = base_spans(text)
-    spans = {(v, e): 1 for _, _, e, v in base}
-    at = 0
-    for m in RUN.finditer(text):
-        value = m.group()
-        if DIGIT.search(value) and LETTER.search(value):
-            while at < len(base) and base[at][2] <= m.start():
-                at += 1
-            inside = any(s < m.end() and m.start() < e for s, _, e, _ in base[at : at + 4])
-            if not inside:
-                spans[m.span()] = 0
-    candidates = [
-        {
-            "start": s,
-            "end": e,
-            "label": label,
-            "before": text[max(0, s - BEFORE) : s],
-            "value": text[s:e],
-            "after": text[e : e + AFTER],
-        }
-        for (s, e), label in sorted(spans.items())
-    ]
-    kinds = [k for _, k, _, _ in base]
-    return {
-        "n_assign": kinds.count(0),
-        "n_access": kinds.count(1),
-        "n_hex": kinds.count(2),
-        "base": joined([(s, k, e) for s, k, e, _ in base]),
-        "candidates": candidates,
-    }
-
-
-def scan_texts(batches: Iterator[pa.Array]) -> Iterator[pa.Array]:
-    kind = pa.struct(
-        [("n_assign", pa.int64()), ("n_access", pa.int64()), ("n_hex", pa.int64()), ("base", pa.string())]
-        + [("candidates", pa.list_(pa.struct([("start", pa.int32()), ("end", pa.int32()), ("label", pa.int32())]
-                                             + [(c, pa.string()) for c in ("before", "value", "after")])))]
-    )
-    for texts in batches:
-        yield pa.array([scan(t) for t in each_text(texts)], kind)
-
-
-def windows(before: str, value: str, after: str) -> list[str]:
-    """The candidate in pieces of VALUE characters, each with its surroundings."""
-    whole = before.rjust(BEFORE, "\0")[-BEFORE:] + value + after.ljust(AFTER, "\0")[:AFTER]
-    if len(value) <= VALUE:
-        return [whole[: BEFORE + len(value)] + whole[BEFORE + len(value) :].ljust(VALUE - len(value) + AFTER, "\0")]
-    starts = [*range(0, len(value) - VALUE, VALUE // 2), len(value) - VALUE]
-    return [whole[s : s + WIDTH] for s in starts]
-
-
-def codes(texts: list[str]) -> np.ndarray:
+def coded(text: str) -> np.ndarray:
     """Characters as small numbers: 0 for none, 1-95 printable ASCII, 96 control, 97 any other."""
-    raw = np.frombuffer("".join(texts).encode("utf-32-le"), np.uint32).reshape(len(texts), WIDTH)
-    out = np.where(raw < 127, np.where(raw >= 32, raw - 31, 96), 97)
-    return np.where(raw == 0, 0, out).astype(np.int64)
+    return CODE_OF[np.minimum(np.frombuffer(text.encode("utf-32-le"), np.uint32), 127)]
+
+
+CODE_OF = np.array([0, *[96] * 31, *range(1, 96), 97], np.uint8)
+KEY_CODES = np.isin(np.arange(CODES), [CODE_OF[ord(c)] for c in map(chr, range(127)) if KEY.match(c)])
+
+
+@dataclass
+class Candidates:
+    """Some texts in one row of codes, GAP empty places around each; spans count in this row."""
+
+    flat: np.ndarray
+    text_starts: np.ndarray
+    bases: list[list[tuple[int, int, int, int]]]  # base findings per text, counted in the text
+    starts: np.ndarray  # negatives, in order
+    ends: np.ndarray
+
+    @staticmethod
+    def of(texts: list[str], negatives: bool = True) -> Candidates:
+        gap = "\0" * GAP
+        flat = coded(gap + gap.join(texts) + gap)
+        lengths = np.array([len(t) for t in texts], np.int64)
+        text_starts = GAP + np.cumsum(lengths + GAP) - lengths - GAP
+        bases = [base_spans(t) for t in texts]
+        none = np.zeros(0, np.int64)
+        if not negatives:
+            return Candidates(flat, text_starts, bases, none, none)
+        turns = np.flatnonzero(np.diff(KEY_CODES[flat].view(np.int8))) + 1  # a run starts and ends in turn
+        starts, ends = turns[::2], turns[1::2]
+        long = ends - starts >= LEAST
+        starts, ends = starts[long], ends[long]
+        if any(bases):
+            found = np.zeros(len(flat) + 1, np.int64)
+            for at, base in zip(text_starts.tolist(), bases):
+                for s, _, e, _ in base:
+                    found[at + s + 1 : at + e + 1] = 1
+            found = np.cumsum(found)
+            free = found[ends] == found[starts]
+            starts, ends = starts[free], ends[free]
+        return Candidates(flat, text_starts, bases, starts, ends)
+
+    def positives(self) -> tuple[np.ndarray, np.ndarray]:
+        """Values of base findings; a value that two patterns find counts once."""
+        spans = [(at + v, at + e) for at, base in zip(self.text_starts.tolist(), self.bases) for v, e in sorted({(v, e) for _, _, e, v in base})]
+        both = np.array(spans, np.int64).reshape(-1, 2)
+        return both[:, 0], both[:, 1]
+
+
+def pieces(starts: np.ndarray, ends: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """Spans in pieces of at most VALUE places (the last one full), and the span of each piece."""
+    counts = np.maximum(-(-(ends - starts) // VALUE), 1)
+    of = np.repeat(np.arange(len(starts)), counts)
+    k = np.arange(len(of)) - np.repeat(np.cumsum(counts) - counts, counts)
+    a = np.minimum(starts[of] + k * VALUE, np.maximum(ends[of] - VALUE, starts[of]))
+    return a, np.minimum(a + VALUE, ends[of]), of
 
 
 @dataclass
 class CharNet:
-    """Vectors, convolution, maximum and mean over places, one hidden layer; then calibration."""
+    """Vectors, convolution, pooling over value and surroundings, one hidden layer; then calibration."""
 
     weights: list[np.ndarray]
     scale: float = 1.0
@@ -154,68 +157,116 @@ class CharNet:
         embed = rng.standard_normal((CODES, DIM)).astype(np.float32) * np.float32(0.5)
         zeros = np.zeros
         return CharNet(
-            [embed, draw(REACH * DIM, FILTERS), zeros(FILTERS, np.float32), draw(2 * FILTERS, HIDDEN),
+            [embed, draw(REACH * DIM, FILTERS), zeros(FILTERS, np.float32), draw(4 * FILTERS, HIDDEN),
              zeros(HIDDEN, np.float32), draw(HIDDEN, 1), zeros(1, np.float32)]
         )
 
-    def forward(self, x: np.ndarray) -> tuple[np.ndarray, tuple]:
-        embed, kernel, bias, w1, b1, w2, b2 = self.weights
-        e = embed[x]
-        n, places = len(x), WIDTH - REACH + 1
-        cols = np.concatenate([e[:, k : k + places] for k in range(REACH)], axis=2)
-        conv = cols.reshape(n * places, -1) @ kernel
-        conv = np.maximum(conv.reshape(n, places, FILTERS) + bias, 0)
-        top = conv.argmax(axis=1)
-        pooled = np.concatenate([np.take_along_axis(conv, top[:, None], 1)[:, 0], conv.mean(axis=1)], axis=1)
+    def tables(self) -> list[np.ndarray]:
+        """What a pair of codes, or the last one, adds to the filters: in place of products per place."""
+        embed, kernel, bias = self.weights[:3]
+        each = [embed @ kernel[k * DIM : (k + 1) * DIM] for k in range(REACH)]
+        pairs = [(each[k][:, None] + each[k + 1]).reshape(CODES * CODES, -1) for k in range(0, REACH - 1, 2)]
+        return [*pairs, each[-1] + bias]
+
+    def filtered(self, flat: np.ndarray, tables: list[np.ndarray]) -> np.ndarray:
+        """Filters at each place, over REACH codes from there on."""
+        places, codes = len(flat) - REACH + 1, flat.astype(np.intp)
+        pairs = codes[:-1] * CODES + codes[1:]
+        conv = tables[-1].take(codes[REACH - 1 :], axis=0)
+        for k, table in enumerate(tables[:-1]):
+            conv += table.take(pairs[2 * k : 2 * k + places], axis=0)
+        return np.maximum(conv, 0, out=conv)
+
+    def forward(self, flat: np.ndarray, starts: np.ndarray, ends: np.ndarray, tables: list[np.ndarray] | None = None) -> tuple[np.ndarray, tuple]:
+        """Logits of values of at most VALUE places at some spans of codes.
+
+        Maxima and sums of 1, 2, 4, .. places are taken of the whole row, and those of a value are
+        put together from them.
+        """
+        _, _, _, w1, b1, w2, b2 = self.weights
+        conv = self.filtered(flat, tables or self.tables())
+        a, b = starts - REACH // 2, ends - REACH // 2  # filters centred in the value
+        top, total = np.zeros((2, len(a), FILTERS), conv.dtype)
+        at, sizes, maxima, sums = a.copy(), b - a, conv, conv
+        before = after = top
+        for bit in range(VALUE.bit_length()):
+            n = 1 << bit
+            if n > 1:
+                maxima = np.maximum(maxima[: -n // 2], maxima[n // 2 :])
+                sums = sums[: -n // 2] + sums[n // 2 :]
+            if n == AFTER:
+                after = maxima.take(b, axis=0)
+            if 2 * n > BEFORE >= n:
+                before = np.maximum(maxima.take(a - BEFORE, axis=0), maxima.take(a - n, axis=0))
+            has = np.flatnonzero(sizes & n)
+            top[has] = np.maximum(top[has], maxima.take(at[has], axis=0))
+            total[has] += sums.take(at[has], axis=0)
+            at[has] += n
+        pooled = np.concatenate([top, total / sizes[:, None].astype(np.float32), before, after], axis=1)
         hidden = np.maximum(pooled @ w1 + b1, 0)
-        return (hidden @ w2 + b2)[:, 0], (x, cols, conv, top, pooled, hidden)
+        return (hidden @ w2 + b2)[:, 0], (flat, a, b, conv, pooled, hidden)
 
     def gradients(self, kept: tuple, d_logit: np.ndarray) -> list[np.ndarray]:
         embed, kernel, _, w1, _, w2, _ = self.weights
-        x, cols, conv, top, pooled, hidden = kept
-        n, places, _ = conv.shape
+        flat, a, b, conv, pooled, hidden = kept
         d_hidden = d_logit[:, None] @ w2.T * (hidden > 0)
-        d_pooled = d_hidden @ w1.T
-        d_conv = np.repeat(d_pooled[:, None, FILTERS:] / np.float32(places), places, axis=1)
-        at = top[:, None]
-        np.put_along_axis(d_conv, at, np.take_along_axis(d_conv, at, 1) + d_pooled[:, None, :FILTERS], 1)
+        d_top, d_mean, d_before, d_after = np.split(d_hidden @ w1.T, 4, axis=1)
+        d_conv = np.zeros_like(conv)
+        sizes = b - a
+        of = np.repeat(np.arange(len(a)), sizes)
+        at = np.arange(len(of)) - np.repeat(np.cumsum(sizes) - sizes, sizes) + a[of]
+        largest = conv[at] == pooled[of, :FILTERS]
+        shared = np.add.reduceat(largest, np.cumsum(sizes) - sizes, dtype=np.float32)
+        d_conv[at] = d_mean[of] / sizes[of, None].astype(np.float32) + largest * (d_top / shared)[of]
+        for x, n, d in ((a - BEFORE, BEFORE, d_before), (b, AFTER, d_after)):
+            top = x[:, None] + conv[x[:, None] + np.arange(n)].argmax(axis=1)
+            d_conv[top, np.arange(FILTERS)] += d
         d_conv *= conv > 0
-        flat = d_conv.reshape(n * places, FILTERS)
-        d_cols = (flat @ kernel.T).reshape(n, places, REACH, DIM)
-        d_e = np.zeros((n, WIDTH, DIM), np.float32)
-        for k in range(REACH):
-            d_e[:, k : k + places] += d_cols[:, :, k]
+        places = len(conv)
+        cols = np.concatenate([embed[flat[k : k + places]] for k in range(REACH)], axis=1)
+        d_cols = d_conv @ kernel.T
         d_embed = np.zeros_like(embed)
-        np.add.at(d_embed, x.ravel(), d_e.reshape(-1, DIM))
+        for k in range(REACH):
+            np.add.at(d_embed, flat[k : k + places], d_cols[:, k * DIM : (k + 1) * DIM])
         return [
-            d_embed, cols.reshape(n * places, -1).T @ flat, flat.sum(0), pooled.T @ d_hidden,
+            d_embed, cols.T @ d_conv, d_conv.sum(0), pooled.T @ d_hidden,
             d_hidden.sum(0), hidden.T @ d_logit[:, None], d_logit.sum(keepdims=True),
         ]
 
-    def fit(self, x: np.ndarray, y: np.ndarray, rng: np.random.Generator, epochs: int = 5, size: int = 64) -> None:
+    def fit(self, rows: list[tuple[str, str, str]], y: np.ndarray, around: list[tuple[str, str]], rng: np.random.Generator, epochs: int = 6, least_steps: int = 400, size: int = 64) -> None:
         """Adam on the logistic loss, both labels weighing the same in all."""
         weight = np.where(y == 1, 0.5 / max(y.mean(), 1e-6), 0.5 / max(1 - y.mean(), 1e-6)).astype(np.float32)
         first = [np.zeros_like(w) for w in self.weights]
         second = [np.zeros_like(w) for w in self.weights]
         step = 0
-        for _ in range(epochs):
-            order = rng.permutation(len(x))
-            for begin in range(0, len(x), size):
-                rows = order[begin : begin + size]
-                logit, kept = self.forward(x[rows])
-                gap = (1 / (1 + np.exp(-logit)) - y[rows]) * weight[rows] / len(rows)
+        for _ in range(max(epochs, -(-least_steps * size // len(rows)))):
+            order = rng.permutation(len(rows))
+            for begin in range(0, len(rows), size):
+                picked = order[begin : begin + size]
+                other = rng.integers(-len(around), len(around), len(picked))  # its own surroundings below 0
+                batch = [rows[i] if k < 0 else (around[k][0], rows[i][1], around[k][1]) for i, k in zip(picked, other)]
+                logit, kept = self.forward(*laid_out(batch))
+                gap = (1 / (1 + np.exp(-logit)) - y[picked]) * weight[picked] / len(picked)
                 step += 1
                 for w, g, m, v in zip(self.weights, self.gradients(kept, gap.astype(np.float32)), first, second):
                     m += 0.1 * (g - m)
                     v += 0.001 * (g * g - v)
                     w -= 3e-3 * (m / (1 - 0.9**step)) / (np.sqrt(v / (1 - 0.999**step)) + 1e-8)
 
-    def logits(self, x: np.ndarray) -> np.ndarray:
-        parts = [self.forward(x[i : i + 256])[0] for i in range(0, len(x), 256)]
-        return np.concatenate(parts) if parts else np.zeros(0, np.float32)
-
-    def calibrate(self, logits: np.ndarray, y: np.ndarray, recall: float) -> None:
-        """Logistic curve by Newton steps; then the largest threshold with the wanted recall."""
+    def logits(self, flat: np.ndarray, starts: np.ndarray, ends: np.ndarray) -> np.ndarray:
+        """Logits of spans, in order of their starts; the largest of a span's pieces counts."""
+        a, b, of = pieces(starts, ends)
+        out, tables = np.zeros(len(a)), self.tables()
+        i = 0
+        while i < len(a):
+            j = max(int(np.searchsorted(a, a[i] + CHUNK)), i + 1)
+            low = a[i] - GAP
+            out[i:j] = self.forward(flat[low : b[i:j].max() + AFTER + REACH], a[i:j] - low, b[i:j] - low, tables)[0]
+            i = j
+        return np.maximum.reduceat(out, np.searchsorted(of, np.arange(len(starts)))) if len(a) else out
+
+    def calibrate(self, logits: np.ndarray, y: np.ndarray) -> None:
+        """Logistic curve by Newton steps."""
         a, b = 1.0, 0.0
         for _ in range(30):
             p = 1 / (1 + np.exp(-np.clip(a * logits + b, -30, 30)))
@@ -225,22 +276,18 @@ class CharNet:
             move = np.linalg.solve(h + 1e-6 * np.eye(2), g)
             a, b = a - np.clip(move[0], -1, 1), b - np.clip(move[1], -1, 1)
         self.scale, self.shift = float(a), float(b)
-        positives = np.sort(self.probability(logits[y == 1]))
-        self.threshold = float(positives[int((1 - recall) * len(positives))])
 
     def probability(self, logits: np.ndarray) -> np.ndarray:
         return 1 / (1 + np.exp(-np.clip(self.scale * logits + self.shift, -30, 30)))
 
-    def score(self, candidates: list[tuple[str, str, str]]) -> np.ndarray:
-        """Calibrated probability of each candidate; the largest of its windows."""
-        pieces = [windows(*c) for c in candidates]
-        if not pieces:
-            return np.zeros(0)
-        starts = np.cumsum([0] + [len(p) for p in pieces[:-1]])
-        scores = np.concatenate(
-            [self.logits(codes(flat[i : i + 4096])) for flat in [[w for p in pieces for w in p]] for i in range(0, len(flat), 4096)]
-        )
-        return self.probability(np.maximum.reduceat(scores, starts))
+
+def laid_out(rows: list[tuple[str, str, str]]) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """Codes of single candidates one after the other, each with its surroundings, and their spans."""
+    width = GAP + AFTER + REACH
+    texts = [b.rjust(GAP, "\0")[-GAP:] + v + a.ljust(AFTER + REACH, "\0")[: AFTER + REACH] for b, v, a in rows]
+    sizes = np.array([len(v) for _, v, _ in rows], np.int64)
+    starts = np.cumsum(sizes + width) - sizes - width + GAP
+    return coded("".join(texts)), starts, starts + sizes
 
 
 def train(rows: list, recall: float = RECALL, seed: int = 7) -> CharNet:
@@ -251,60 +298,106 @@ def train(rows: list, recall: float = RECALL, seed: int = 7) -> CharNet:
     labels = {held: np.array([r.label for r in part[held]], np.float32) for held in part}
     if any(len(set(y.tolist())) < 2 for y in labels.values()):
         return net
-    x = {held: codes([windows(r.before, r.value, r.after)[0] for r in part[held]]) for held in part}
-    net.fit(x[False], labels[False], rng)
-    net.calibrate(net.logits(x[True]), labels[True], recall)
+    shown = {held: [(r.before, r.value, r.after) for r in part[held]] for held in part}
+    around = {held: [(r.before, r.after) for r in part[held] if r.label == 0] for held in part}
+    net.fit(shown[False], labels[False], around[False], rng)
+    moved = rng.integers(0, len(around[True]), len(shown[True]))
+    both = shown[True] + [(around[True][k][0], value, around[True][k][1]) for k, (_, value, _) in zip(moved, shown[True])]
+    logits = net.logits(*laid_out(both))
+    net.calibrate(logits, np.tile(labels[True], 2))
+    lower = np.sort(net.probability(logits.reshape(2, -1).min(axis=0)[labels[True] == 1]))
+    net.threshold = float(lower[int((1 - recall) * len(lower))])
     return net
 
 
-def sample_candidates(found: DataFrame, size: int = SAMPLE) -> list:
-    """At most ``size`` candidates of each label, first by hash; a fourth is held out, by document."""
-    rows = found.select("id", F.explode("found.candidates").alias("c")).select("id", "c.*")
-    rows = rows.withColumn("fold", F.pmod(F.xxhash64(F.lit("fold"), "id"), F.lit(4)))
-    rows = rows.withColumn("order", F.xxhash64("id", "start", "value"))
+def mixed(keys: np.ndarray, places: np.ndarray) -> np.ndarray:
+    """A hash of a row's key and a place in its text."""
+    x = keys.astype(np.uint64) ^ (places.astype(np.uint64) * np.uint64(0x9E3779B97F4A7C15))
+    for shift, factor in ((30, 0xBF58476D1CE4E5B9), (27, 0x94D049BB133111EB)):
+        x = (x ^ (x >> np.uint64(shift))) * np.uint64(factor)
+    return (x ^ (x >> np.uint64(31))).astype(np.int64)
+
+
+def sample_candidates(texts: DataFrame, size: int = SAMPLE) -> list:
+    """At most ``size`` candidates of each label, first by hash; a fourth is held out, by text.
+
+    A task gives out no more than ``size`` rows of a label.
+    """
+
+    def pick(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        kept: dict[int, list[tuple]] = {0: [], 1: []}
+        bound = {0: 2**63 - 1, 1: 2**63 - 1}
+        for batch in batches:
+            for begin in range(0, batch.num_rows, ROWS_PER_SLICE):
+                part = batch.slice(begin, ROWS_PER_SLICE)
+                rows = texts_of(part["text"])
+                keys = part["key"].to_numpy(zero_copy_only=False)
+                folds = part["fold"].to_pylist()
+                c = Candidates.of(rows)
+                for label, (starts, ends) in ((0, (c.starts, c.ends)), (1, c.positives())):
+                    of = np.searchsorted(c.text_starts, starts, side="right") - 1
+                    order = mixed(keys[of], starts - c.text_starts[of])
+                    for i in np.flatnonzero(order <= bound[label]).tolist():
+                        text, s = rows[of[i]], int(starts[i] - c.text_starts[of[i]])
+                        e = s + min(int(ends[i] - starts[i]), VALUE)
+                        shown = (text[max(0, s - GAP) : s], text[s:e], text[e : e + AFTER + REACH])
+                        kept[label].append((int(order[i]), label, folds[of[i]], *shown))
+                    if len(kept[label]) > 2 * size:
+                        kept[label] = sorted(kept[label])[:size]
+                        bound[label] = kept[label][-1][0]
+        picked = [r for label in kept for r in sorted(kept[label])[:size]]
+        columns = list(zip(*picked)) or [()] * 6
+        kinds = (pa.int64(), pa.int32(), pa.int32(), *[pa.string()] * 3)
+        arrays = dict(zip(("place", "label", "fold", "before", "value", "after"), (pa.array(x, k) for x, k in zip(columns, kinds))))
+        yield pa.RecordBatch.from_pydict({name.split()[0]: arrays[name.split()[0]] for name in SAMPLED.split(", ")})
+
+    rows = cut_lineage(texts.mapInArrow(pick, SAMPLED))
     picked = []
     for label in (1, 0):
-        one = rows.filter(F.col("label") == label).orderBy("order", "start", "value").limit(size)
+        one = rows.filter(F.col("label") == label).orderBy("place", "before", "value", "after", "fold").limit(size)
         picked += one.select("label", "fold", "before", "value", "after").collect()
     return picked
 
 
 def find_secrets(docs: DataFrame, id_col: str = "doc_id", text: Column | None = None) -> DataFrame:
-    """Per row: ``id``, n_assign, n_access, n_hex, base (span list), spans (all), n_model."""
-    source = F.col("text") if text is None else text
-    scanned = F.arrow_udf(scan_texts, FOUND)(source)
-    found = cut_lineage(docs.select(F.col(id_col).alias("id"), scanned.alias("found")))
-    net = train(sample_candidates(found))
-
-    @F.arrow_udf("string")
-    def added(batches: Iterator[pa.Array]) -> Iterator[pa.Array]:
-        for lists in batches:
-            rows = lists.to_pylist()
-            open_ones = [[c for c in row or [] if not c["label"]] for row in rows]
-            flat = [(c["before"], c["value"], c["after"]) for row in open_ones for c in row]
-            over = iter((net.score(flat) >= net.threshold).tolist())
-            spans = [[(c["start"], 3, c["end"]) for c in row if next(over)] for row in open_ones]
-            yield pa.array([joined(s) for s in spans], pa.string())
-
-    return found.select(
-        "id",
-        "found.n_assign",
-        "found.n_access",
-        "found.n_hex",
-        F.col("found.base").alias("base"),
-        merged_spans(F.col("found.base"), added("found.candidates")).alias("spans"),
+    """Per row: ``id``, n_assign, n_access, n_hex, base (span list) and spans (all)."""
+    small_batches(docs.sparkSession)
+    source = whole_text() if text is None else text
+    read = docs.select(F.col(id_col).alias("id"), source.alias("text"))
+    net = train(
+        sample_candidates(
+            read.select(
+                "text",
+                F.xxhash64("id", "text").alias("key"),
+                F.pmod(F.xxhash64(F.lit("fold"), "text"), F.lit(4)).cast("int").alias("fold"),
+            )
+        )
     )
 
-
-def merged_spans(base: Column, more: Column) -> Column:
-    """Two span lists as one, by start, then kind."""
-    order = F.array(*(F.lit(k) for k in KINDS))
-
-    def key(x: Column) -> Column:
-        bits = F.split(x, ":")
-        return F.struct(
-            bits[1].cast("int").alias("start"), F.array_position(order, bits[0]).alias("kind"), x.alias("span")
+    @F.arrow_udf(FOUND_SQL)
+    def find(batches: Iterator[pa.Array]) -> Iterator[pa.Array]:
+        for texts in batches:
+            out = [r for i in range(0, len(texts), ROWS_PER_SLICE) for r in found(texts_of(texts.slice(i, ROWS_PER_SLICE)), net)]
+            yield pa.array(out, FOUND)
+
+    return read.select("id", find("text").alias("r")).select("id", "r.*")
+
+
+def found(texts: list[str], net: CharNet) -> list[dict]:
+    """Counts and span lists of some texts."""
+    scored = net.threshold <= 1
+    c = Candidates.of(texts, negatives=scored)
+    more: list[list[tuple[int, int, int]]] = [[] for _ in texts]
+    if scored:
+        over = net.probability(net.logits(c.flat, c.starts, c.ends)) >= net.threshold
+        starts, ends = c.starts[over], c.ends[over]
+        of = np.searchsorted(c.text_starts, starts, side="right") - 1
+        for row, s, e in zip(of.tolist(), (starts - c.text_starts[of]).tolist(), (ends - c.text_starts[of]).tolist()):
+            more[row].append((s, 3, e))
+    out = []
+    for base, model in zip(c.bases, more):
+        kinds, spans = [k for _, k, _, _ in base], [(s, k, e) for s, k, e, _ in base]
+        out.append(
+            {"n_assign": kinds.count(0), "n_access": kinds.count(1), "n_hex": kinds.count(2), "base": joined(spans), "spans": joined(spans + model)}
         )
-
-    parts = F.filter(F.concat(F.split(base, ","), F.split(more, ",")), lambda x: x != "")
-    return F.array_join(F.transform(F.array_sort(F.transform(parts, key)), lambda k: k["span"]), ",")
+    return out
