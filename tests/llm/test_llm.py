@@ -6,6 +6,7 @@ import hashlib
 import random
 import re
 import struct
+from types import SimpleNamespace
 
 import numpy as np
 import public_tokenizers
@@ -180,6 +181,28 @@ def test_secret_candidates_and_network(spark):
     assert sum(len(s) for i, s in model.items() if i < len(rows) - 1) < 0.02 * 30 * len(rows)
 
 
+def test_secret_threshold_counts_all_held_out_whole(spark):
+    rows = secret_rows(200)[0]
+    shown = [(i // 2 % 4, v, j) for i, (_, t) in enumerate(rows) for j, v in enumerate(t.split()) if j == 30 or j < 3]
+    sample = [
+        SimpleNamespace(label=int("password=" in v), fold=f, before="the ", value=v.removeprefix("password="), after=" of")
+        for f, v, _ in shown
+    ]
+    net = secrets.train(sample)
+    texts = [f"x password={'xk1' * (5 + i)}{'Zq9' * (i % 5)} y" for i in range(60)]  # up to 204 characters
+    held = spark.createDataFrame([(t, i) for i, t in enumerate(texts)], "text string, key long")
+    steps = secrets.held_out_steps(held, net)
+    assert sum(steps.values()) == 60
+    edge = secrets.threshold_of(steps)
+    scores = []
+    for i, t in enumerate(texts):
+        s, e = t.index("=") + 1, len(t) - 2
+        b, a = net.around[int(secrets.mixed(np.array([i]), np.array([s]))[0]) % len(net.around)]
+        scores.append(min(net.probability(net.logits(*secrets.laid_out([x])))[0] for x in ((t[:s], t[s:e], t[e:]), (b, t[s:e], a))))
+    assert sum(x >= edge for x in scores) >= secrets.RECALL * 60
+    assert secrets.threshold_of({}) == 2.0
+
+
 def test_nearest_examples_equal_brute_force():
     rng = np.random.default_rng(1)
     vectors = []

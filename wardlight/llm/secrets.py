@@ -12,7 +12,9 @@ wanted recall on the positives held out, each by the lower of its two scores. A
 outside all base findings that reaches it becomes a span of kind ``model``.
 
 Training uses a bounded sample (``SAMPLE`` candidates of each label by hash order, on the
-driver); finding and scoring cover all texts and candidates. Filters run once over a text, not
+driver) and the first ``VALUE`` characters of a value. The threshold comes from all positives of the
+texts held out, whole values, by a histogram of their scores in steps of ``STEP`` of the logit, so
+at most one step below the exact place. Finding and scoring cover all texts and candidates. Filters run once over a text, not
 once per candidate. A value longer than ``VALUE`` is scored in pieces and the largest score counts.
 
 Defined cases: NULL counts as empty; a text without findings has counts 0 and an empty span list.
@@ -20,7 +22,8 @@ Repeated rows get equal results. With no positives or no negatives in either par
 there is no network and only base spans are given. An empty table gives an empty result. Other
 columns are not passed on.
 
-Texts are read once for the sample and once for the result; nothing is stored in between.
+Texts are read once for the sample and once for the result, those held out once more for the
+threshold; only the sample is stored in between.
 """
 
 from __future__ import annotations
@@ -51,6 +54,7 @@ RECALL = 0.98
 BEFORE, VALUE, AFTER = 24, 48, 8  # characters read before, in a piece of, and after a value
 CODES, DIM, REACH, FILTERS, HIDDEN = 98, 12, 5, 24, 16
 GAP = BEFORE + REACH  # empty places around a text
+STEP, LIMIT = 0.01, 30.0  # of calibrated logits
 CHUNK = 16_384  # characters whose filters are held at once
 
 FOUND = pa.struct(
@@ -148,6 +152,7 @@ class CharNet:
     scale: float = 1.0
     shift: float = 0.0
     threshold: float = 2.0  # above any probability: adds nothing
+    around: list[tuple[str, str]] | None = None  # surroundings of negatives held out; None: not trained
 
     @staticmethod
     def fresh(rng: np.random.Generator) -> CharNet:
@@ -277,8 +282,11 @@ class CharNet:
             a, b = a - np.clip(move[0], -1, 1), b - np.clip(move[1], -1, 1)
         self.scale, self.shift = float(a), float(b)
 
+    def calibrated(self, logits: np.ndarray) -> np.ndarray:
+        return np.clip(self.scale * logits + self.shift, -LIMIT, LIMIT)
+
     def probability(self, logits: np.ndarray) -> np.ndarray:
-        return 1 / (1 + np.exp(-np.clip(self.scale * logits + self.shift, -30, 30)))
+        return 1 / (1 + np.exp(-self.calibrated(logits)))
 
 
 def laid_out(rows: list[tuple[str, str, str]]) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
@@ -290,7 +298,7 @@ def laid_out(rows: list[tuple[str, str, str]]) -> tuple[np.ndarray, np.ndarray,
     return coded("".join(texts)), starts, starts + sizes
 
 
-def train(rows: list, recall: float = RECALL, seed: int = 7) -> CharNet:
+def train(rows: list, seed: int = 7) -> CharNet:
     """A network from labelled candidates: rows of label, fold, before, value, after."""
     rng = np.random.default_rng(seed)
     net = CharNet.fresh(rng)
@@ -303,10 +311,8 @@ def train(rows: list, recall: float = RECALL, seed: int = 7) -> CharNet:
     net.fit(shown[False], labels[False], around[False], rng)
     moved = rng.integers(0, len(around[True]), len(shown[True]))
     both = shown[True] + [(around[True][k][0], value, around[True][k][1]) for k, (_, value, _) in zip(moved, shown[True])]
-    logits = net.logits(*laid_out(both))
-    net.calibrate(logits, np.tile(labels[True], 2))
-    lower = np.sort(net.probability(logits.reshape(2, -1).min(axis=0)[labels[True] == 1]))
-    net.threshold = float(lower[int((1 - recall) * len(lower))])
+    net.calibrate(net.logits(*laid_out(both)), np.tile(labels[True], 2))
+    net.around = around[True]
     return net
 
 
@@ -359,20 +365,57 @@ def sample_candidates(texts: DataFrame, size: int = SAMPLE) -> list:
     return picked
 
 
+def held_out_steps(held: DataFrame, net: CharNet) -> dict[int, int]:
+    """Positives of the texts held out per step of their calibrated logit, the lower of both surroundings."""
+
+    def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        seen = np.zeros(int(2 * LIMIT / STEP) + 1, np.int64)
+        for batch in batches:
+            for begin in range(0, batch.num_rows, ROWS_PER_SLICE):
+                part = batch.slice(begin, ROWS_PER_SLICE)
+                rows = texts_of(part["text"])
+                c = Candidates.of(rows, negatives=False)
+                starts, ends = c.positives()
+                if len(starts):
+                    of = np.searchsorted(c.text_starts, starts, side="right") - 1
+                    starts, ends = starts - c.text_starts[of], ends - c.text_starts[of]
+                    keys = part["key"].to_numpy(zero_copy_only=False)[of]
+                    other = mixed(keys, starts) % len(net.around)
+                    spans = list(zip(of.tolist(), starts.tolist(), ends.tolist()))
+                    own = [(rows[i][max(0, s - GAP) : s], rows[i][s:e], rows[i][e : e + AFTER + REACH]) for i, s, e in spans]
+                    moved = [(net.around[k][0], value, net.around[k][1]) for k, (_, value, _) in zip(other, own)]
+                    lower = np.minimum(net.logits(*laid_out(own)), net.logits(*laid_out(moved)))
+                    seen += np.bincount(((net.calibrated(lower) + LIMIT) / STEP).astype(np.int64), minlength=len(seen))
+        steps = np.flatnonzero(seen)
+        yield pa.RecordBatch.from_pydict({"step": steps, "n": seen[steps]})
+
+    counted = held.mapInArrow(count, "step long, n long").groupBy("step").agg(F.sum("n").alias("n"))
+    return {r["step"]: r["n"] for r in counted.collect()}
+
+
+def threshold_of(steps: dict[int, int], recall: float = RECALL) -> float:
+    """The largest lower edge of a step that keeps the recall."""
+    missed, allowed = 0, (1 - recall) * sum(steps.values())
+    for step in sorted(steps):
+        missed += steps[step]
+        if missed > allowed:
+            return float(1 / (1 + np.exp(LIMIT - step * STEP + 1e-9)))
+    return 2.0
+
+
 def find_secrets(docs: DataFrame, id_col: str = "doc_id", text: Column | None = None) -> DataFrame:
     """Per row: ``id``, n_assign, n_access, n_hex, base (span list) and spans (all)."""
     small_batches(docs.sparkSession)
     source = whole_text() if text is None else text
     read = docs.select(F.col(id_col).alias("id"), source.alias("text"))
-    net = train(
-        sample_candidates(
-            read.select(
-                "text",
-                F.xxhash64("id", "text").alias("key"),
-                F.pmod(F.xxhash64(F.lit("fold"), "text"), F.lit(4)).cast("int").alias("fold"),
-            )
-        )
+    keyed = read.select(
+        "text",
+        F.xxhash64("id", "text").alias("key"),
+        F.pmod(F.xxhash64(F.lit("fold"), "text"), F.lit(4)).cast("int").alias("fold"),
     )
+    net = train(sample_candidates(keyed))
+    if net.around:
+        net.threshold = threshold_of(held_out_steps(keyed.filter("fold = 0"), net))
 
     @F.arrow_udf(FOUND_SQL)
     def find(batches: Iterator[pa.Array]) -> Iterator[pa.Array]:
