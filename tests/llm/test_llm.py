@@ -238,6 +238,24 @@ def test_warc_text_and_files(spark, tmp_path):
     assert whole.count("WARC/1.1\r\n") == 4 and whole.endswith("\r\n\r\n")
 
 
+def test_warc_references_heads_and_links(spark):
+    cases = {
+        "&#8217;&#x27;&mdash;&eacute;&amp;lt;&#38;gt;&nope;&": "’'—é&lt;&gt;&nope;&",
+        "a&#128;&#0;&#x110000;&#99999999999999999999;&#x0001F642;&#xD800;": "a€\ufffd\ufffd\ufffd🙂\ufffd",
+        "<head><title>a <b> c</title><meta x><body>text": "text",
+        "<head><title>t</title>\n<p>one</p> <head>": "one",
+        "<head><title>t</title></head><p>two": "two",
+        "<head><link x>plain</p>": "plain",
+    }
+    links = """<a href="/it's">x</a><a class=c href=/bare>y</a><A HREF='say "no"'>z</A><a data-href="/no" href="/yes"><a href="">"""
+    rows = [(i, None, html) for i, html in enumerate([*cases, links])]
+    pages = spark.createDataFrame(rows, "page_id long, url string, html string")
+    blocks = {(r.page_id, r.warc_type): r.block for r in warc.derivatives(warc.pages_as_responses(pages)).collect()}
+    assert [blocks[i, "conversion"] for i in range(len(cases))] == list(cases.values())
+    found = re.findall("outlink: (.*) L a/@href", blocks[len(cases), "metadata"])
+    assert found == ["/it's", "/bare", 'say "no"', "/yes", ""]
+
+
 def test_odd_rows_and_empty_tables(spark, odd):
     empty = odd.limit(0)
     labels = spark.createDataFrame([(1, 1), (2, 0), (None, 1), (3, None)], "doc_id long, toxic int")

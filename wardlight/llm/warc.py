@@ -16,27 +16,60 @@ gives no records.
 
 from __future__ import annotations
 
+from html.entities import html5
+
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 CRLF = "\r\n"
-SKIPPED = ("script", "style", "head")  # elements without text for a reader
+SKIPPED = ("script", "style")  # elements without text for a reader
+# To its end tag; where that is left out, over what may stand in a head: the rest is the body.
+HEAD = (
+    r"(?is)<head\b(?:(?:(?!<body\b).)*?</head\s*>|[^>]*>(?:\s|<title\b[^>]*>.*?</title\s*>|"
+    r"</?(?:meta|link|base|basefont|bgsound|noscript|noframes|template)\b[^>]*>)*+)"
+)
 BREAKS = (
     r"(?i)</?(?:p|div|li|ul|ol|h[1-6]|br|tr|table|td|th|article|section|nav|footer|header|"
     r"blockquote|pre|body)\b[^>]*>"
 )
-# Character references and what they stand for; "&amp;" is the last.
-REFERENCES = (
-    ("&lt;", "<"),
-    ("&gt;", ">"),
-    ("&quot;", '"'),
-    ("&apos;", "'"),
-    ("&#39;", "'"),
-    ("&nbsp;", " "),
-    ("&copy;", "©"),
-    ("&middot;", "·"),
-    ("&amp;", "&"),
-)
+REFERENCE = r"^(#[0-9]+|#[xX][0-9a-fA-F]+|[A-Za-z][A-Za-z0-9]*);"
+USUAL = ("amp", "quot", "lt", "gt", "nbsp", "apos", "copy", "middot")  # looked up first
+NAMED = {name.rstrip(";"): char for name, char in html5.items() if name.endswith(";")}
+NAMED = {name: NAMED[name] for name in (*USUAL, *sorted(NAMED.keys() - set(USUAL)))}
+# What HTML reads for the numbers 128 to 159.
+HIGH = [bytes([n]).decode("cp1252", "ignore") or chr(n) for n in range(128, 160)]
+
+
+def number_of(name: Column) -> Column:
+    """The number of a numeric reference; a longer one than any character's is cut, and stays too large."""
+
+    def digits(mark: str) -> Column:
+        return F.concat(F.lit("0"), F.substring(F.regexp_replace(name, mark, ""), 1, 8))
+
+    hexadecimal = name.rlike("^#[xX]")
+    return F.when(hexadecimal, F.conv(digits("^#[xX]0*"), 16, 10)).otherwise(digits("^#0*|[^0-9]")).cast("long")
+
+
+def decoded(text: Column) -> Column:
+    """Character references that end with a semicolon, each read once; unknown names stay."""
+    named = F.create_map(*(F.lit(x) for pair in NAMED.items() for x in pair))
+    high = F.array(*(F.lit(x) for x in HIGH))
+
+    def part(x: Column) -> Column:
+        name = F.regexp_extract(x, REFERENCE, 1)
+        n = number_of(name)
+        bad = (n == 0) | (n > 0x10FFFF) | n.between(0xD800, 0xDFFF)
+        char = (
+            F.when(~name.startswith("#"), F.try_element_at(named, name))
+            .when(bad, F.lit("\ufffd"))
+            .when(n.between(128, 159), F.get(high, (n - 128).cast("int")))
+            .otherwise(F.decode(F.unhex(F.lpad(F.hex(n), 8, "0")), "UTF-32"))
+        )
+        rest = F.regexp_replace(x, REFERENCE, "")
+        return F.when((name == "") | char.isNull(), F.concat(F.lit("&"), x)).otherwise(F.concat(char, rest))
+
+    parts = F.split(text, "&")
+    return F.concat(parts[0], F.array_join(F.transform(F.slice(parts, 2, F.size(parts)), part), ""))
 
 
 def plain_text(html: Column) -> Column:
@@ -44,10 +77,10 @@ def plain_text(html: Column) -> Column:
     text = F.regexp_replace(html, r"(?s)<!--.*?(?:-->|\z)", "")
     for name in SKIPPED:
         text = F.regexp_replace(text, rf"(?is)<{name}\b.*?(?:</{name}\s*>|\z)", "")
+    text = F.regexp_replace(text, HEAD, "")
     text = F.regexp_replace(text, BREAKS, "\n")
     text = F.regexp_replace(text, r"</?[A-Za-z!?][^>]*>", "")
-    for name, char in REFERENCES:
-        text = F.replace(text, F.lit(name), F.lit(char))
+    text = decoded(text)
     text = F.regexp_replace(text, r"[ \t\x0B\f\r\x{A0}]+", " ")
     text = F.regexp_replace(text, r" ?\n[ \n]*", "\n")
     return F.btrim(text, F.lit(" \n"))
@@ -59,8 +92,9 @@ def title_of(html: Column) -> Column:
 
 
 def outlinks(html: Column) -> Column:
-    pattern = r"""(?i)<a\s[^>]*?href\s*=\s*["']([^"']*)["']"""
-    return F.regexp_extract_all(html, F.lit(pattern), F.lit(1))
+    pattern = r"""(?i)<a\s(?:[^>]*?[\s"'/])?href\s*=\s*("[^"]*"|'[^']*'|[^\s"'<>][^\s>]*)"""
+    found = F.regexp_extract_all(html, F.lit(pattern), F.lit(1))
+    return F.transform(found, lambda x: F.regexp_replace(x, r"""(?s)^(["'])(.*)\1$""", "$2"))
 
 
 def name_uuid(*parts: Column) -> Column:
