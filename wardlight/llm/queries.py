@@ -8,7 +8,20 @@ import corpus_pipeline
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from wardlight.llm import exact_dedup, lm_scoring, lz_fingerprint, mixing, ngram_join, secrets, token_counts, toxicity, warc
+from wardlight.llm import (
+    decontaminate,
+    exact_dedup,
+    fill_middle,
+    importance,
+    lm_scoring,
+    lz_fingerprint,
+    mixing,
+    ngram_join,
+    secrets,
+    token_counts,
+    toxicity,
+    warc,
+)
 from wardlight.llm.byte_bpe import public_tokenizer
 from wardlight.llm.sql import LLM_ORACLE
 from wardlight.session import use_utc
@@ -86,6 +99,38 @@ def op10_secrets(spark: SparkSession, sf: str) -> DataFrame:
     )
 
 
+def op11_decontaminate(spark: SparkSession, sf: str) -> DataFrame:
+    found = decontaminate.contamination(table(spark, sf, "documents"), table(spark, sf, "benchmark"))
+    hit = decontaminate.hit_words(F.col("spans"))
+    return found.select(
+        "doc_id",
+        "n_words",
+        hit.alias("n_hit"),
+        F.size("items").cast("long").alias("n_items"),
+        F.sha2(F.array_join(F.array_sort("items"), ",").cast("binary"), 256).alias("items_sha256"),
+        (hit > 0).alias("contaminated"),
+    )
+
+
+def op12_fill_middle(spark: SparkSession, sf: str) -> DataFrame:
+    made = fill_middle.transform(table(spark, sf, "documents"))
+    back = fill_middle.restored(F.col("output"), F.col("form"))
+    return made.select(
+        "doc_id",
+        "n",
+        "form",
+        "prefix_chars",
+        "middle_chars",
+        F.sha2(F.encode("output", "UTF-8"), 256).alias("output_sha256"),
+        F.sha2(F.encode(back, "UTF-8"), 256).alias("restored_sha256"),
+    )
+
+
+def op13_importance(spark: SparkSession, sf: str) -> DataFrame:
+    drawn = importance.resample(table(spark, sf, "documents"), table(spark, sf, "benchmark"))
+    return drawn.select("doc_id", "n_features", "weight", "score", "rank")
+
+
 def llm_queries() -> dict[str, Query]:
     return {
         "pipeline": corpus_pipeline.run,
@@ -99,6 +144,9 @@ def llm_queries() -> dict[str, Query]:
         "op8_lz_fingerprints": op8_lz_fingerprints,
         "op9_exact_dedup": op9_exact_dedup,
         "op10_secrets": op10_secrets,
+        "op11_decontaminate": op11_decontaminate,
+        "op12_fill_middle": op12_fill_middle,
+        "op13_importance": op13_importance,
     }
 
 

@@ -125,6 +125,101 @@ SELECT s.doc_id, s.n_words, CAST(coalesce(n_scored, 0) AS BIGINT) AS n_scored,
 FROM sizes s LEFT JOIN sums t ON s.doc_id IS NOT DISTINCT FROM t.doc_id
 """
 
+DECONTAMINATE = r"""
+WITH d AS (
+  SELECT row_number() OVER () AS rid, doc_id,
+         regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+                            '[^\x00-\x2F\x3A-\x60\x7B-\x7F]+') AS w
+  FROM documents),
+b AS (
+  SELECT CAST(item_id AS VARCHAR) AS item_id,
+         regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+                            '[^\x00-\x2F\x3A-\x60\x7B-\x7F]+') AS w
+  FROM benchmark),
+item_windows AS (
+  SELECT DISTINCT item_id, size, array_to_string(w[i:i + size - 1], ' ') AS win
+  FROM (SELECT *, unnest(generate_series(1, len(w) - size + 1)) AS i
+        FROM (SELECT *, least(10, len(w)) AS size FROM b WHERE len(w) > 0))),
+doc_windows AS (
+  SELECT rid, size, i, array_to_string(w[i:i + size - 1], ' ') AS win
+  FROM (SELECT *, unnest(generate_series(1, len(w) - size + 1)) AS i
+        FROM d, (SELECT DISTINCT size FROM item_windows) WHERE len(w) >= size)),
+hits AS (SELECT rid, i, size, item_id FROM doc_windows JOIN item_windows USING (size, win)),
+words AS (
+  SELECT rid, count(*) AS n_hit
+  FROM (SELECT DISTINCT rid, unnest(generate_series(i, i + size - 1)) AS at FROM hits) GROUP BY 1),
+items AS (
+  SELECT rid, count(*) AS n_items, string_agg(item_id, ',' ORDER BY item_id) AS ids
+  FROM (SELECT DISTINCT rid, item_id FROM hits) GROUP BY 1)
+SELECT doc_id, len(w) AS n_words, coalesce(n_hit, 0) AS n_hit, coalesce(n_items, 0) AS n_items,
+       sha256(coalesce(ids, '')) AS items_sha256, coalesce(n_hit, 0) > 0 AS contaminated
+FROM d LEFT JOIN words USING (rid) LEFT JOIN items USING (rid)
+"""
+
+FILL_MIDDLE = r"""
+WITH h AS (
+  SELECT doc_id, coalesce(text, '') AS t, sha256('42:' || coalesce(CAST(doc_id AS VARCHAR), '')) AS x FROM documents),
+u AS (
+  SELECT *, regexp_extract_all(t, '[\x20\x09-\x0D]*[^\x20\x09-\x0D]+|[\x20\x09-\x0D]+') AS units,
+         [CAST('0x' || substr(x, 8 * i + 1, 8) AS UBIGINT)::BIGINT FOR i IN [0, 1, 2, 3]] AS n FROM h),
+c AS (
+  SELECT *, least(n[1] % (len(units) + 1), n[2] % (len(units) + 1)) AS a,
+         greatest(n[1] % (len(units) + 1), n[2] % (len(units) + 1)) AS b,
+         CASE WHEN t = '' OR contains(t, '<P>') OR contains(t, '<S>') OR contains(t, '<M>') OR n[3] % 100 >= 50
+              THEN 'plain' WHEN n[4] % 100 < 80 THEN 'spm' ELSE 'psm' END AS form
+  FROM u),
+p AS (
+  SELECT *, array_to_string(units[1:a], '') AS pre, array_to_string(units[a + 1:b], '') AS mid,
+         array_to_string(units[b + 1:], '') AS suf FROM c)
+SELECT doc_id, len(units) AS n, form, CASE WHEN form <> 'plain' THEN length(pre) END AS prefix_chars,
+       CASE WHEN form <> 'plain' THEN length(mid) END AS middle_chars,
+       sha256(CASE form WHEN 'plain' THEN t WHEN 'psm' THEN '<P>' || pre || '<S>' || suf || '<M>' || mid
+              ELSE '<S>' || suf || '<P>' || pre || '<M>' || mid END) AS output_sha256,
+       sha256(t) AS restored_sha256
+FROM p
+"""
+
+IMPORTANCE = r"""
+WITH bits AS (  -- CRC-32 of a byte: eight steps of division by the polynomial
+  SELECT list(v ORDER BY b) AS crc_of FROM (
+    SELECT b, list_reduce(list_prepend(b, [0, 0, 0, 0, 0, 0, 0, 0]::BIGINT[]),
+                          lambda c, z: CASE WHEN c & 1 = 1 THEN xor(c >> 1, 3988292384) ELSE c >> 1 END) AS v
+    FROM (SELECT unnest(generate_series(0, 255))::BIGINT AS b))),
+texts AS (
+  SELECT 'd' AS kind, row_number() OVER () AS rid, doc_id, text FROM documents
+  UNION ALL SELECT 'b', row_number() OVER (), NULL, text FROM benchmark),
+w AS (
+  SELECT kind, rid, unnest(regexp_extract_all(
+      translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+      '[^\x00-\x2F\x3A-\x60\x7B-\x7F]+')) AS word
+  FROM texts),
+vocabulary AS (
+  SELECT word, xor(list_reduce(
+      list_prepend(4294967295, [CAST('0x' || substr(hex(encode(word)), 2 * i + 1, 2) AS BIGINT)
+                                FOR i IN range(octet_length(encode(word)))]),
+      lambda c, x: xor(crc_of[(xor(c, x) & 255) + 1], c >> 8)), 4294967295) % 10000 AS bucket
+  FROM (SELECT DISTINCT word FROM w), bits),
+f AS (SELECT kind, rid, bucket FROM w JOIN vocabulary USING (word)),
+counts AS (
+  SELECT bucket, count(*) FILTER (kind = 'd') AS s, count(*) FILTER (kind = 'b') AS t FROM f GROUP BY 1),
+gains AS (
+  SELECT bucket, CAST(floor(1000 * ln((t + 1)::DOUBLE * (SELECT sum(s) + 10000 FROM counts)::DOUBLE
+      / ((s + 1)::DOUBLE * (SELECT sum(t) + 10000 FROM counts)::DOUBLE))) AS BIGINT) AS gain
+  FROM counts),
+sums AS (SELECT rid, count(*) AS n, sum(gain) AS total FROM f JOIN gains USING (bucket) WHERE kind = 'd' GROUP BY 1),
+scored AS (
+  SELECT doc_id, coalesce(n, 0) AS n_features,
+         CASE WHEN n IS NULL THEN 0 ELSE CAST((total - ((total % n) + n) % n) // n AS BIGINT) END AS weight,
+         CAST('0x' || substr(sha256('2024:' || doc_id), 1, 8) AS UBIGINT)::DOUBLE AS h
+  FROM texts LEFT JOIN sums USING (rid) WHERE kind = 'd'),
+final AS (
+  SELECT *, weight + CAST(floor(-1000 * ln(-ln((h + 0.5) / 4294967296))) AS BIGINT) AS score FROM scored),
+ranked AS (
+  SELECT *, row_number() OVER (PARTITION BY n_features >= 20 ORDER BY score DESC, doc_id) AS r,
+         (10 * count(*) FILTER (n_features >= 20) OVER ()) // 100 AS drawn FROM final)
+SELECT doc_id, n_features, weight, score, CASE WHEN n_features >= 20 AND r <= drawn THEN r END AS rank FROM ranked
+"""
+
 LLM_ORACLE = {
     "op2_mix_sources": MIX.replace("{documents}", "documents")
     + """
@@ -133,4 +228,7 @@ SELECT doc_id, CAST(size AS BIGINT) AS size, source_size, target, CAST(repeats A
     "op5_lm_scores": LM,
     "op7_warc_derivatives": WARC,
     "op9_exact_dedup": DEDUP,
+    "op11_decontaminate": DECONTAMINATE,
+    "op12_fill_middle": FILL_MIDDLE,
+    "op13_importance": IMPORTANCE,
 }
