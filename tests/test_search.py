@@ -7,7 +7,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from wardlight.functions import vectors as vx
-from wardlight.operators import search
+from wardlight.operators import cells, kernels, search
 
 SCHEMA = "note_id bigint, chunk_index int, ICUSTAY_ID bigint, chunk_text string, embedding array<float>"
 
@@ -50,8 +50,9 @@ def test_one_question(spark):
 
 @pytest.mark.parametrize("per_block, per_slice", [(1024, 20_000), (3, 90)])
 def test_many_questions(spark, monkeypatch, per_block, per_slice):
-    monkeypatch.setattr(search, "QUESTIONS_PER_BLOCK", per_block)
-    monkeypatch.setattr(search, "CHUNKS_PER_SLICE", per_slice)
+    monkeypatch.setattr(cells, "QUESTIONS_PER_BLOCK", per_block)
+    monkeypatch.setattr(cells, "CHUNKS_PER_SLICE", per_slice)
+    monkeypatch.setattr(kernels, "ROWS_AT_ONCE", per_slice // 2)
     rows = make_chunks(1)
     df = spark.createDataFrame(rows, SCHEMA).repartition(5)
     rng = np.random.default_rng(9)
@@ -151,3 +152,60 @@ def test_vector_functions(spark):
     ).first()
     assert (row.n, row.u, row.uz, row.c, row.cz) == (5.0, [0.6, 0.8], [None, None], 1.0, None)
     assert row.t == "[3.00000000,4.00000000]"
+
+
+def clustered(n=4000, dim=24, groups=30, seed=3):
+    rng = np.random.default_rng(seed)
+    middle = rng.normal(size=(groups, dim))
+    v = (middle[rng.integers(0, groups, n)] + rng.normal(scale=0.15, size=(n, dim))).astype(np.float32)
+    return [(i, 0, i % 7, "t", v[i].tolist()) for i in range(n)]
+
+
+def test_cells_find_nine_of_ten_and_read_few_folders(spark, tmp_path):
+    rows = clustered()
+    df = spark.createDataFrame(rows, SCHEMA).repartition(4)
+    index = cells.build_cells(df, str(tmp_path / "cells"), sample=1000)
+    assert len(index.centres) == 63 and index.counts.sum() == len(rows)
+    assert sorted(r.note_id for r in index.vectors.select("note_id").collect()) == list(range(len(rows)))
+    asked = spark.createDataFrame([(j, rows[j * 97][4]) for j in range(20)], "question_id int, embedding array<float>")
+    stored = cells.open_cells(spark, str(tmp_path / "cells"))
+    got = search.top_k_near(df, asked, stored, k=10, probes=6).collect()
+    found = {j: {r.note_id for r in got if r.question_id == j} for j in range(20)}
+    best = {j: {w[0] for w in brute(rows, rows[j * 97][4], 10)} for j in range(20)}
+    assert sum(len(found[j] & best[j]) for j in range(20)) >= 0.9 * 200
+    one = cells.approx_top_k(stored, asked.filter("question_id = 3").withColumn("k", F.lit(10)), probes=2)
+    plan = one._jdf.queryExecution().executedPlan().toString()
+    assert "PartitionFilters: [isnotnull(cell" in plan or "PartitionFilters: [cell" in plan or "cell#" in plan.split("PartitionFilters: [")[1][:60]
+
+
+def test_exact_search_leaves_out_cells_by_their_bound(spark, tmp_path):
+    rows = clustered(seed=8)
+    df = spark.createDataFrame(rows, SCHEMA).repartition(4)
+    index = cells.build_cells(df, str(tmp_path / "cells"))
+    asked = [(j, rows[j * 31][4], j % 4 + 1) for j in range(40)] + [(99, [0.0] * 24, 3)]
+    qs = spark.createDataFrame(asked, "question_id int, embedding array<float>, k int")
+    got: dict[int, list] = {}
+    for r in search.top_k_batch(df, qs, index=index).orderBy("question_id", "rank").collect():
+        got.setdefault(r.question_id, []).append(r.note_id)
+    assert got == {j: [w[0] for w in brute(rows, v, k)] for j, v, k in asked[:40]}
+    unit = kernels.unit_rows(np.array([v for _, v, _ in asked[:40]]))
+    bounds = cells.closest_possible(unit, index.centres, index.least)
+    kth = np.array([brute(rows, v, k)[-1][2] for _, v, k in asked[:40]])
+    sent = ((bounds >= kth[:, None]) * index.counts).sum()
+    assert sent < 0.2 * len(rows) * 40  # pairs of question and chunk that are compared, of all pairs
+    vectors = np.array([r[4] for r in rows])
+    at = {r.note_id: r.cell for r in index.vectors.select("note_id", "cell").collect()}
+    of = np.array([at[r[0]] for r in rows])
+    sims = unit @ kernels.unit_rows(vectors).T
+    assert all((sims[:, of == c].max(axis=1) <= bounds[:, c]).all() for c in np.unique(of))
+
+
+def test_cells_of_nothing(spark, tmp_path):
+    none = spark.createDataFrame([(1, 0, 1, "t", None), (2, 0, 1, "t", [0.0, 0.0])], SCHEMA)
+    index = cells.build_cells(none, str(tmp_path / "cells"))
+    qs = spark.createDataFrame([(1, [1.0, 2.0])], "question_id int, embedding array<float>")
+    assert search.top_k_batch(none, qs, k=3, index=index).count() == 0
+    assert search.top_k_near(none, qs, index, k=3).count() == 0
+    mixed = spark.createDataFrame([(1, 0, 1, "t", [0.0, 0.0]), (2, 0, 1, "t", [1.0, 1.0]), (3, 0, 1, "t", None)], SCHEMA)
+    assert [r.note_id for r in search.top_k_batch(mixed, qs, k=3).collect()] == [2]
+    assert search.top_k_batch(none.limit(0), qs, k=3).count() == 0

@@ -1,13 +1,15 @@
-"""Exact interpolated percentiles without gathering a group in one task."""
+"""Exact interpolated percentiles by counting, without gathering or ordering a group in one task."""
 
 from __future__ import annotations
 
+from functools import reduce
+
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 ACCURACY = 20_000
-# Half widths of the brackets that the sketch gives, in shares of a group, beside the sketch's own error.
-WIDTHS = (0.0, 0.002, 0.02, 0.2)
+# Value ranges that the values around a sought rank are counted in.
+RANGES = 4_096
 
 
 def exact_percentiles(
@@ -15,87 +17,80 @@ def exact_percentiles(
 ) -> DataFrame:
     """One row per group with a linearly interpolated percentile per entry of ``probs``.
 
-    The built-in exact ``percentile`` keeps every distinct value of a group in
-    one buffer. Here a bounded sketch first brackets each target rank, as narrowly
-    as the size of the group allows (two ranks on either side at least); values
-    outside all brackets are only counted, those inside are counted per distinct
-    value. Both counts combine before the shuffle, and the ranking then covers a
-    few thousandths of a large group. A rank outside its bracket raises an error
-    rather than giving a wrong value. NaN is left out, as NULL is.
+    The built-in exact ``percentile`` keeps every distinct value of a group in one buffer. Here ranks
+    are selected by counting. A bounded sketch tells about where each rank lies; the values around it
+    are counted in ``RANGES`` equal ranges, all others in one range below and one above. Prefix sums
+    over the ranges give the one that holds a rank, and only its values are counted one by one in a
+    second pass: some ten-millionths of a large group per percentile. Counts combine before each
+    shuffle. The ranges cover every value, so the result is exact however good the sketch is.
 
-    Brackets are a row per group and join plainly: adaptive execution splits large groups.
+    NaN is left out, as NULL is, and so are rows whose group is NULL.
     """
-    names = list(probs)
     base = df.select(*groups, F.col(value).cast("double").alias("_v")).filter(F.col("_v").isNotNull() & ~F.isnan("_v"))
-
-    slacks = [width + 4.0 / accuracy for width in WIDTHS]
-    edges = [min(max(p + side * d, 0.0), 1.0) for p in probs.values() for side in (-1, 1) for d in slacks]
+    slack = 2.0 / accuracy
+    edges = [min(max(p + side * slack, 0.0), 1.0) for p in probs.values() for side in (-1, 1)]
     sketch = base.groupBy(*groups).agg(
-        F.count(F.lit(1)).alias("_n"),
-        F.percentile_approx("_v", edges, accuracy).alias("_edges"),
+        F.count(F.lit(1)).alias("_n"), F.percentile_approx("_v", edges, accuracy).alias("_edges")
     )
+    # Each part grows with the value, and so does their sum: a range is a run of neighbouring values.
+    part = reduce(Column.__add__, (_range_of(F.col("_v"), _edge(2 * i), _edge(2 * i + 1)) for i in range(len(probs))))
 
-    def bracket(i: int, side: int) -> Column:
-        """The end of a bracket: of the narrowest one that spans two ranks, else (or at either end of a group) all."""
-        first = (2 * i + side) * len(slacks)
-        everything = end = F.lit(float("inf") if side else float("-inf"))
-        for j in reversed(range(len(slacks))):
-            inner = F.col("_edges")[first + j] if 0.0 < edges[first + j] < 1.0 else everything
-            # the sketch may be off by a rank in ``accuracy``, and the rank sought lies up to two beside p * n
-            end = F.when(F.col("_n") * (slacks[j] - 1.0 / accuracy) >= 2, inner).otherwise(end)
-        return end
-
-    brackets = sketch.select(
-        *groups,
-        "_n",
-        *[bracket(i, side).alias(f"_{name}{i}") for i in range(len(names)) for side, name in ((0, "lo"), (1, "hi"))],
+    ranks: list[Column] = []
+    for p in probs.values():
+        below = F.floor(F.lit(p) * (F.col("_n") - 1))
+        ranks += [below, F.least(below + 1, F.col("_n") - 1)]
+
+    counted = base.join(sketch, groups).groupBy(*groups, "_n", part.alias("_part")).agg(F.count(F.lit(1)).alias("_c"))
+    ranges = _with_places(counted, groups, "_part").groupBy(*groups, "_n").agg(
+        *[F.max(F.when(_holds(r), F.struct("_part", "_before"))).alias(f"_at{j}") for j, r in enumerate(ranks)]
     )
-    joined = base.join(brackets, groups)
-    v = F.col("_v")
-    inside = _any([(v >= F.col(f"_lo{i}")) & (v <= F.col(f"_hi{i}")) for i in range(len(names))])
-    # A value outside stands at the closest bracket end below it, after the values there.
-    floor_edge = F.greatest(
-        F.lit(float("-inf")),
-        *[F.when(v > F.col(f"_hi{i}"), F.col(f"_hi{i}")) for i in range(len(names))],
+    sought = sketch.drop("_n").join(ranges, groups)
+    wanted = reduce(Column.__or__, (part == F.col(f"_at{j}._part") for j in range(len(ranks))))
+    inside = base.join(sought, groups).filter(wanted).groupBy(*groups, part.alias("_part"), "_v").agg(
+        F.count(F.lit(1)).alias("_c")
     )
-    counts = (
-        joined.select(
-            *groups,
-            "_n",
-            inside.alias("_in"),
-            F.when(inside, v).otherwise(floor_edge).alias("_at"),
-        )
-        .groupBy(*groups, "_n", "_in", "_at")
-        .agg(F.count(F.lit(1)).alias("_c"))
+    placed = _with_places(inside, [*groups, "_part"], "_v").join(ranges, groups)
+    found = placed.groupBy(*groups, "_n").agg(
+        *[
+            F.max(F.when((F.col("_part") == F.col(f"_at{j}._part")) & _holds(r - F.col(f"_at{j}._before")), F.col("_v"))).alias(f"_x{j}")
+            for j, r in enumerate(ranks)
+        ]
     )
 
-    order = Window.partitionBy(*groups).orderBy(F.col("_at"), F.col("_in").desc())
-    ranked = counts.withColumn("_upto", F.sum("_c").over(order))
-    first, last = F.col("_upto") - F.col("_c"), F.col("_upto")
-
-    def at_rank(rank: Column) -> Column:
-        return F.max(F.when(F.col("_in") & (rank >= first) & (rank < last), F.col("_at")))
-
-    aggs = []
-    for i, p in enumerate(probs.values()):
-        below = F.floor(F.lit(p) * (F.col("_n") - 1))
-        aggs.append(at_rank(below).alias(f"_a{i}"))
-        aggs.append(at_rank(F.least(below + 1, F.col("_n") - 1)).alias(f"_b{i}"))
-    found = ranked.groupBy(*groups, "_n").agg(*aggs)
-
     def interpolate(i: int, p: float) -> Column:
-        a, b = F.col(f"_a{i}"), F.col(f"_b{i}")
+        a, b = F.col(f"_x{2 * i}"), F.col(f"_x{2 * i + 1}")
         position = F.lit(p) * (F.col("_n") - 1)
-        part = position - F.floor(position)
-        return F.when(
-            a.isNull() | b.isNull(), F.raise_error(F.lit("percentile rank outside its bracket"))
-        ).otherwise(a + (b - a) * part)
+        return a + (b - a) * (position - F.floor(position))
 
     return found.select(*groups, *[interpolate(i, p).alias(n) for i, (n, p) in enumerate(probs.items())])
 
 
-def _any(tests: list[Column]) -> Column:
-    out = tests[0]
-    for test in tests[1:]:
-        out = out | test
-    return out
+def _edge(i: int) -> Column:
+    return F.col("_edges")[i]
+
+
+def _range_of(v: Column, low: Column, high: Column) -> Column:
+    """Number of the range that holds a value: -1 below, RANGES above, equal widths between.
+
+    Halves keep the differences finite; between infinite ends all values share one range.
+    """
+    width = high / 2 - low / 2
+    share = F.when(width > 0, F.nanvl((v / 2 - low / 2) / width, F.lit(0.5))).otherwise(F.lit(0.0))
+    inner = F.least(F.floor(share * RANGES), F.lit(RANGES - 1).cast("long"))
+    return (
+        F.when(v < low, F.lit(-1).cast("long"))
+        .when(v > high, F.lit(RANGES).cast("long"))
+        .when(v == low, F.lit(0).cast("long"))
+        .when(v == high, F.lit(RANGES - 1).cast("long"))
+        .otherwise(inner)
+    )
+
+
+def _with_places(counts: DataFrame, keys: list[str], order: str) -> DataFrame:
+    """Add how many values come before, and up to, the ones counted in a row."""
+    upto = F.sum("_c").over(Window.partitionBy(*keys).orderBy(order))
+    return counts.withColumn("_upto", upto).withColumn("_before", F.col("_upto") - F.col("_c"))
+
+
+def _holds(rank: Column) -> Column:
+    return (rank >= F.col("_before")) & (rank < F.col("_upto"))

@@ -15,7 +15,6 @@ ALERT_COLUMNS = ("ICUSTAY_ID", "score_window_end", "sofa_total", "risk_tier", *S
 
 DEFAULT_TOP_K = 10
 MAX_TOP_K = 50
-DEFAULT_TOP_K = 10
 
 
 def with_scores(features: DataFrame, missing: str = "worst") -> DataFrame:
@@ -109,37 +108,56 @@ def high_risk_view(alerts: DataFrame, chunks: DataFrame) -> DataFrame:
     )
 
 
-def baseline_delta(scores: DataFrame, rise: int = 2) -> DataFrame:
-    """Rise of the total over the lowest earlier total of the stay, and its alert.
+def by_week(scores: DataFrame) -> DataFrame:
+    """Add ``_week`` and what a row needs to know of earlier weeks of its stay.
 
-    A stay has one row per hour, so its group is bounded by its length in hours.
+    ``_low_before`` is the lowest total of all earlier weeks, ``_last_before`` the last total of the
+    week before that has rows. Each week is reduced to one row first, so no task holds more of a stay
+    than a row per week, or the hours of one week. Rows without a stay or window end are left out.
     """
-    earlier = (
-        Window.partitionBy("ICUSTAY_ID")
-        .orderBy("score_window_end")
-        .rowsBetween(Window.unboundedPreceding, -1)
+    keyed = scores.filter(F.col("ICUSTAY_ID").isNotNull() & F.col("score_window_end").isNotNull()).withColumn(
+        "_week", F.date_trunc("week", "score_window_end")
     )
-    return scores.withColumn("baseline", F.min("sofa_total").over(earlier)).withColumns(
-        {
-            "rise": F.col("sofa_total") - F.col("baseline"),
-            "rise_alert": F.coalesce(
-                (F.col("sofa_total") - F.col("baseline") >= rise).cast("int"), F.lit(0)
-            ),
-        }
+    weeks = Window.partitionBy("ICUSTAY_ID").orderBy("_week")
+    history = (
+        keyed.groupBy("ICUSTAY_ID", "_week")
+        .agg(F.min("sofa_total").alias("_low"), F.max_by("sofa_total", "score_window_end").alias("_last"))
+        .select(
+            "ICUSTAY_ID",
+            "_week",
+            F.min("_low").over(weeks.rowsBetween(Window.unboundedPreceding, -1)).alias("_low_before"),
+            F.lag("_last").over(weeks).alias("_last_before"),
+        )
     )
+    return keyed.join(history, ["ICUSTAY_ID", "_week"])
 
 
-def patient_timeline(scores: DataFrame) -> DataFrame:
-    """Per stay the ordered windows with total, tier and change since the last one."""
-    ordered = Window.partitionBy("ICUSTAY_ID").orderBy("score_window_end")
-    steps = scores.select(
+def baseline_delta(scores: DataFrame, rise: int = 2) -> DataFrame:
+    """Rise of the total over the lowest earlier total of the stay, and its alert."""
+    in_week = Window.partitionBy("ICUSTAY_ID", "_week").orderBy("score_window_end")
+    earlier = F.min("sofa_total").over(in_week.rowsBetween(Window.unboundedPreceding, -1))
+    delta = F.col("sofa_total") - F.col("baseline")
+    return (
+        by_week(scores)
+        .withColumn("baseline", F.least(earlier, "_low_before"))
+        .drop("_week", "_low_before", "_last_before")
+        .withColumns({"rise": delta, "rise_alert": F.coalesce((delta >= rise).cast("int"), F.lit(0))})
+    )
+
+
+def timeline_weeks(scores: DataFrame) -> DataFrame:
+    """Per stay and week the ordered windows with total, tier and change since the last one."""
+    in_week = Window.partitionBy("ICUSTAY_ID", "_week").orderBy("score_window_end")
+    place, last = F.row_number().over(in_week), F.lag("sofa_total").over(in_week)
+    steps = by_week(scores).select(
         "ICUSTAY_ID",
+        "_week",
         "score_window_end",
         "sofa_total",
         "risk_tier",
-        (F.col("sofa_total") - F.lag("sofa_total").over(ordered)).alias("change"),
+        (F.col("sofa_total") - F.when(place == 1, F.col("_last_before")).otherwise(last)).alias("change"),
     )
-    return steps.groupBy("ICUSTAY_ID").agg(
+    return steps.groupBy("ICUSTAY_ID", F.col("_week").alias("week_start")).agg(
         F.sort_array(
             F.collect_list(F.struct("score_window_end", "sofa_total", "risk_tier", "change"))
         ).alias("timeline"),
@@ -147,3 +165,21 @@ def patient_timeline(scores: DataFrame) -> DataFrame:
         F.min("sofa_total").alias("lowest_total"),
         F.max("sofa_total").alias("peak_total"),
     )
+
+
+def patient_timeline(scores: DataFrame) -> DataFrame:
+    """The weeks of a stay in one row: the ordered windows of all of them.
+
+    Use timeline_weeks where a stay may be too long for one row.
+    """
+    weeks = F.sort_array(F.collect_list(F.struct("week_start", "timeline")))
+    return (
+        timeline_weeks(scores)
+        .groupBy("ICUSTAY_ID")
+        .agg(
+            F.flatten(F.transform(weeks, lambda w: w["timeline"])).alias("timeline"),
+            F.sum("windows").alias("windows"),
+            F.min("lowest_total").alias("lowest_total"),
+            F.max("peak_total").alias("peak_total"),
+        )
+    )

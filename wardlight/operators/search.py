@@ -2,32 +2,17 @@
 
 from __future__ import annotations
 
-import sys
 from collections.abc import Sequence
 
 import numpy as np
-import pyarrow as pa
-from pyspark import cloudpickle
 from pyspark.ml.feature import BucketedRandomProjectionLSH, BucketedRandomProjectionLSHModel
 from pyspark.ml.functions import array_to_vector
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
-from pyspark.sql import types as T
-from pyspark.sql.pandas.types import to_arrow_schema
 
 from wardlight.functions.vectors import cosine, dot, l2_normalise
-
-CHUNK_KEY = ("note_id", "chunk_index")
-# Questions and chunks that one task multiplies, on average.
-QUESTIONS_PER_BLOCK = 1024
-CHUNKS_PER_SLICE = 20_000
-# Rows of a slice multiplied at a time.
-ROWS_AT_ONCE = 2048
-# Similarities that agree to this many decimals are ordered by chunk key.
-TIE_DECIMALS = 9
-
-# Send the helpers below with the task, so executors need not have this package.
-cloudpickle.register_pickle_by_value(sys.modules[__name__])
+from wardlight.operators import cells
+from wardlight.operators.kernels import CHUNK_KEY, TIE_DECIMALS
 
 
 def top_k_chunks(
@@ -63,6 +48,7 @@ def top_k_batch(
     k: int | None = None,
     allowed: DataFrame | None = None,
     most: int | None = None,
+    index: cells.Cells | None = None,
 ) -> DataFrame:
     """``(question_id, rank, cosine_similarity, chunk columns)`` for many questions.
 
@@ -72,26 +58,43 @@ def top_k_batch(
     states that no ``k`` is larger, so that tasks can leave rows out before the shuffle;
     a larger one is an error, as are a repeated question_id and vectors that differ in length.
 
-    Nothing goes through the driver. With ``allowed``, only chunks of the listed stays are
-    compared, in an equi join on the stay. Without it, questions are cut into blocks and chunks
-    into slices of bounded size; a task multiplies one slice with one block and gives out k
-    rows per question, so only those are shuffled for the final ranking.
+    With ``allowed``, only chunks of the listed stays are compared, in an equi join on the stay.
+    Without it, vectors are dealt into cells, and a question is compared with the chunks of those
+    cells alone that may hold one of its k closest; ``index`` names cells stored by build_cells,
+    else they are made here.
     """
     if k is not None:
         questions, most = questions.withColumn("k", F.lit(int(k))), int(k)
     asked = _single_questions(questions, most)
     usable = chunks.filter(F.col("embedding").isNotNull()).select(*CHUNK_KEY, "ICUSTAY_ID", "embedding")
     if allowed is None:
-        found = _best_by_block(usable, asked)
-    else:
-        found = _allowed_pairs(usable, asked, allowed)
+        found = cells.exact_top_k(index, asked) if index else cells.exact_over(usable, asked)
+        return _with_chunks(chunks, found)
+    found = _allowed_pairs(usable, asked, allowed)
     order = Window.partitionBy("question_id").orderBy(
         F.col("cosine_similarity").desc(), *[F.col(c) for c in CHUNK_KEY]
     )
     ranked = found.withColumn("rank", F.row_number().over(order))
     if most is not None:
         ranked = ranked.filter(F.col("rank") <= most)
-    return chunks.drop("embedding").join(ranked.filter(F.col("rank") <= F.col("k")).drop("k"), list(CHUNK_KEY))
+    return _with_chunks(chunks, ranked.filter(F.col("rank") <= F.col("k")))
+
+
+def top_k_near(
+    chunks: DataFrame, questions: DataFrame, index: cells.Cells, k: int | None = None, probes: int | None = None
+) -> DataFrame:
+    """As top_k_batch without ``allowed``, among the chunks of the cells nearest to each question only."""
+    if k is not None:
+        questions = questions.withColumn("k", F.lit(int(k)))
+    asked = _single_questions(questions, k)
+    found = cells.approx_top_k(index, asked, probes or cells.PROBES)
+    return _with_chunks(chunks, found)
+
+
+def _with_chunks(chunks: DataFrame, found: DataFrame) -> DataFrame:
+    return chunks.drop("embedding").join(
+        found.select("question_id", *CHUNK_KEY, "cosine_similarity", "rank"), list(CHUNK_KEY)
+    )
 
 
 def _single_questions(questions: DataFrame, most: int | None) -> DataFrame:
@@ -126,95 +129,6 @@ def _allowed_pairs(usable: DataFrame, asked: DataFrame, allowed: DataFrame) -> D
     )
 
 
-def _best_by_block(usable: DataFrame, asked: DataFrame) -> DataFrame:
-    """The k best rows of every slice of chunks per question, slice by block.
-
-    The numbers of blocks and slices follow the tables, so a group is bounded however large they are.
-    """
-    counted = F.count(F.lit(1))
-    blocks = F.greatest(F.ceil(asked.agg(counted).scalar() / QUESTIONS_PER_BLOCK), F.lit(1))
-    slices = F.greatest(F.ceil(usable.agg(counted).scalar() / CHUNKS_PER_SLICE), F.lit(1))
-    sides = [
-        df.withColumns({"_blocks": blocks, "_slices": slices})
-        for df in (usable.select(*CHUNK_KEY, "embedding"), asked)
-    ]
-    each_block, each_slice = (F.explode(F.sequence(F.lit(1).cast("long"), n)) for n in ("_blocks", "_slices"))
-    held = sides[0].select(
-        *CHUNK_KEY,
-        "embedding",
-        (F.pmod(F.xxhash64(*CHUNK_KEY), F.col("_slices")) + 1).alias("_slice"),
-        each_block.alias("_block"),
-    )
-    sent = sides[1].select(
-        "question_id",
-        "embedding",
-        "k",
-        (F.pmod(F.xxhash64("question_id"), F.col("_blocks")) + 1).alias("_block"),
-        each_slice.alias("_slice"),
-    )
-    out = T.StructType(
-        [
-            T.StructField("question_id", asked.schema["question_id"].dataType),
-            T.StructField("k", T.IntegerType()),
-            *[T.StructField(c, usable.schema[c].dataType) for c in CHUNK_KEY],
-            T.StructField("cosine_similarity", T.DoubleType()),
-        ]
-    )
-    arrow_schema = to_arrow_schema(out)
-
-    def best(chunks: pa.Table, questions: pa.Table) -> pa.Table:
-        return _best_of_slice(chunks, questions, arrow_schema)
-
-    by = ("_slice", "_block")
-    return held.groupBy(*by).cogroup(sent.groupBy(*by)).applyInArrow(best, out)
-
-
-def _best_of_slice(chunks: pa.Table, questions: pa.Table, schema: pa.Schema) -> pa.Table:
-    if not chunks.num_rows or not questions.num_rows:
-        return schema.empty_table()
-    ids, limits = questions["question_id"].to_pylist(), questions["k"].to_pylist()
-    matrix = _unit_rows(_matrix(questions["embedding"]))
-    vectors = _matrix(chunks["embedding"])
-    if vectors.shape[1] != matrix.shape[1]:
-        raise ValueError("chunk and question vectors differ in length")
-    keys = [chunks[c].to_numpy() for c in CHUNK_KEY]
-    kept: list[list[tuple]] = [[] for _ in ids]
-    for start in range(0, len(vectors), ROWS_AT_ONCE):
-        rows = slice(start, start + ROWS_AT_ONCE)
-        sims = np.round(_unit_rows(vectors[rows]) @ matrix.T, TIE_DECIMALS)
-        for q, limit in enumerate(limits):
-            kept[q] = _merge_best(kept[q], sims[:, q], [c[rows] for c in keys], limit or 0)
-    hits = [(ids[q], limits[q], *row) for q, found in enumerate(kept) for row in found]
-    if not hits:
-        return schema.empty_table()
-    return pa.Table.from_arrays([pa.array(cells, f.type) for cells, f in zip(zip(*hits), schema)], schema=schema)
-
-
-def _matrix(column: pa.ChunkedArray) -> np.ndarray:
-    lists = column.combine_chunks()
-    lengths = lists.value_lengths().to_numpy(zero_copy_only=False)
-    if (lengths != lengths[0]).any():
-        raise ValueError("chunk and question vectors differ in length")
-    return lists.flatten().to_numpy(zero_copy_only=False).astype(np.float64).reshape(len(lists), -1)
-
-
-def _unit_rows(m: np.ndarray) -> np.ndarray:
-    length = np.sqrt((m * m).sum(axis=1, keepdims=True))
-    return np.divide(m, length, out=np.full_like(m, np.nan), where=length > 0)
-
-
-def _merge_best(kept: list[tuple], sims: np.ndarray, keys: list[np.ndarray], k: int) -> list[tuple]:
-    """Best k of the kept rows and one batch, ties by chunk key."""
-    usable = np.flatnonzero(~np.isnan(sims))
-    if len(usable) > k > 0:
-        cut = np.partition(sims[usable], len(usable) - k)[len(usable) - k]
-        usable = usable[sims[usable] >= cut]
-        order = np.lexsort((keys[1][usable], keys[0][usable], -sims[usable]))
-        usable = usable[order[:k]]
-    fresh = [(keys[0][i].item(), keys[1][i].item(), float(sims[i])) for i in usable]
-    return sorted(kept + fresh, key=lambda r: (-r[2], r[0], r[1]))[:k]
-
-
 def lsh_index(
     chunks: DataFrame, bucket_length: float = 1.0, tables: int = 6, seed: int = 1
 ) -> tuple[BucketedRandomProjectionLSHModel, DataFrame]:

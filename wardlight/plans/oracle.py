@@ -290,6 +290,44 @@ _VITAL_STREAM = """
         FROM px_chart JOIN codes USING (itemid)
         WHERE kind = 'vital' AND (error IS NULL OR error <> 1) GROUP BY ALL"""
 
+
+
+def _ann_cells(iterations: int = 6, probes: int = 8, most: int = 512) -> str:
+    """Spherical k-means from the first vectors by digest of their key, then the nearest cells of each question."""
+    unit = "list_transform({0}, lambda x: x / sqrt(list_dot_product({0}, {0})))"
+    parts = [
+        f"""unit AS MATERIALIZED (
+            SELECT note_id, v, {unit.format("v")} AS u,
+                row_number() OVER (ORDER BY md5(note_id || '-0'), note_id) - 1 AS i FROM px_vectors)""",
+        f"c0 AS MATERIALIZED (SELECT i AS cell, u AS c FROM unit WHERE i < (SELECT greatest(1, least({most}, floor(sqrt(count(*))))) FROM unit))",
+    ]
+    dealt = """a{0} AS MATERIALIZED (
+            SELECT note_id, v, u, cell FROM unit, c{0}
+            QUALIFY row_number() OVER (PARTITION BY note_id ORDER BY round(list_dot_product(u, c), 9) DESC, cell) = 1)"""
+    for t in range(iterations):
+        parts += [
+            dealt.format(t),
+            f"""s{t} AS MATERIALIZED (
+            SELECT cell, list(x ORDER BY pos) AS m FROM (
+                SELECT cell, pos, sum(x) AS x FROM (
+                    SELECT cell, generate_subscripts(u, 1) AS pos, unnest(u) AS x FROM a{t}) GROUP BY ALL)
+            GROUP BY cell)""",
+            f"c{t + 1} AS MATERIALIZED (SELECT cell, coalesce({unit.format('m')}, c) AS c FROM c{t} LEFT JOIN s{t} USING (cell))",
+        ]
+    parts += [
+        dealt.format(iterations),
+        f"""near AS (
+            SELECT question_id, v, cell FROM (SELECT question_id, v, {unit.format("v")} AS u FROM questions),
+                (SELECT * FROM c{iterations} WHERE cell IN (SELECT cell FROM a{iterations}))
+            QUALIFY row_number() OVER (PARTITION BY question_id ORDER BY round(list_dot_product(u, c), 9) DESC, cell) <= {probes})""",
+    ]
+    body = f"""SELECT question_id, note_id, round(s, 6) AS cosine_similarity,
+            row_number() OVER (PARTITION BY question_id ORDER BY round(s, 9) DESC, note_id)::INTEGER AS rank
+        FROM (SELECT question_id, note_id, list_cosine_similarity(a.v, n.v) AS s FROM near n JOIN a{iterations} a USING (cell))
+        QUALIFY rank <= 10"""
+    return _q("px_vectors cells questions", ", " + ",\n".join(parts) + "\n" + body)
+
+
 ORACLE: dict[str, str] = {
     "csv_cast_bronze": """
         SELECT event_id::VARCHAR AS row_id, (user_id // 15)::INTEGER AS icustay_id,
@@ -414,6 +452,15 @@ ORACLE: dict[str, str] = {
         FROM (SELECT *, sofa_total - lag(sofa_total) OVER (PARTITION BY icustay_id ORDER BY score_window_end) AS change
               FROM scores) GROUP BY icustay_id""",
     ),
+    "timeline_by_week": _q(
+        _SCORES,
+        """SELECT icustay_id, date_trunc('week', score_window_end)::TIMESTAMP AS week_start,
+            string_agg(sofa_total || ':' || risk_tier || ':' || coalesce(change::VARCHAR, '-'), ' '
+                ORDER BY score_window_end) AS timeline,
+            count(*) AS windows, min(sofa_total) AS lowest_total, max(sofa_total) AS peak_total
+        FROM (SELECT *, sofa_total - lag(sofa_total) OVER (PARTITION BY icustay_id ORDER BY score_window_end) AS change
+              FROM scores) GROUP BY ALL""",
+    ),
     "alerts_upsert": _q(
         _ALERTS,
         """, old AS (
@@ -580,6 +627,7 @@ ORACLE: dict[str, str] = {
         FROM (SELECT question_id, note_id, list_cosine_similarity(c.v, q.v) AS s FROM px_vectors c, questions q)
         QUALIFY rank <= 10""",
     ),
+    "ann_cells": _ann_cells(),
     "question_risk_lists": _q(
         _RISK, "SELECT question_id, patient_rank, icustay_id, sofa_total, risk_tier FROM risk"
     ),

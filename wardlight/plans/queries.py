@@ -13,6 +13,7 @@ from pyspark.sql import types as T
 from wardlight.functions import text as tx
 from wardlight.functions import vectors as vx
 from wardlight.operators import (
+    cells,
     checks,
     chunking,
     cleaning,
@@ -252,18 +253,24 @@ def baseline_delta(spark: SparkSession, sf: str) -> DataFrame:
     )
 
 
-@_query
-def patient_timeline(spark: SparkSession, sf: str) -> DataFrame:
+def _steps(line: str) -> Column:
     step = lambda s: F.concat_ws(
         ":", s["sofa_total"].cast("string"), s["risk_tier"], F.coalesce(s["change"].cast("string"), F.lit("-"))
     )
-    return scoring.patient_timeline(_scores(spark, sf)).select(
-        "ICUSTAY_ID",
-        F.array_join(F.transform("timeline", step), " ").alias("timeline"),
-        "windows",
-        "lowest_total",
-        "peak_total",
-    )
+    return F.array_join(F.transform(line, step), " ").alias("timeline")
+
+
+@_query
+def timeline_by_week(spark: SparkSession, sf: str) -> DataFrame:
+    """A row per stay and week, so a stay of any length has rows of bounded size."""
+    made = scoring.timeline_weeks(_scores(spark, sf))
+    return made.select("ICUSTAY_ID", "week_start", _steps("timeline"), "windows", "lowest_total", "peak_total")
+
+
+@_query
+def patient_timeline(spark: SparkSession, sf: str) -> DataFrame:
+    made = scoring.patient_timeline(_scores(spark, sf))
+    return made.select("ICUSTAY_ID", _steps("timeline"), "windows", "lowest_total", "peak_total")
 
 
 # --- keyed tables ----------------------------------------------------------
@@ -516,6 +523,15 @@ def cosine_topk_batch(spark: SparkSession, sf: str) -> DataFrame:
     return found.select("question_id", "rank", "note_id", "cosine_similarity")
 
 
+@_query
+def ann_cells(spark: SparkSession, sf: str) -> DataFrame:
+    """The ten closest chunks of every question among those of the nearest stored cells."""
+    made = px.chunks(spark, sf)
+    index = cells.build_cells(made, shared_dir(spark, "cells"))
+    found = search.top_k_near(made, px.questions(spark, sf), index, k=10)
+    return found.select("question_id", "rank", "note_id", "cosine_similarity")
+
+
 @_query
 def ann_lsh(spark: SparkSession, sf: str) -> DataFrame:
     """Approximate neighbours of the mean vector of the whole table."""

@@ -5,7 +5,7 @@ from __future__ import annotations
 import tempfile
 import uuid
 
-from pyspark.sql import SparkSession
+from pyspark.sql import DataFrame, SparkSession
 
 
 def use_utc(spark: SparkSession) -> SparkSession:
@@ -28,3 +28,10 @@ def shared_dir(spark: SparkSession, name: str) -> str:
         root = tempfile.mkdtemp(prefix="wardlight-")
         spark.sparkContext.setCheckpointDir(root)
     return f"{root.rstrip('/')}/{name}-{uuid.uuid4().hex}"
+
+
+def settled(df: DataFrame) -> DataFrame:
+    """Write ``df`` to the shared folder and go on from the written rows."""
+    if not df.sparkSession.sparkContext.getCheckpointDir():
+        df.sparkSession.sparkContext.setCheckpointDir(shared_dir(df.sparkSession, "settled"))
+    return df.checkpoint()
