@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import datetime as dt
+import random
 
 import pytest
 from pyspark.sql import functions as F
@@ -11,6 +12,7 @@ from wardlight.operators import cleaning
 from wardlight.operators.embedding import embed_hashed
 from wardlight.plans import proxies as px
 from wardlight.streaming import jobs, sink
+from wardlight.streaming.state import latest_version_changes, started
 
 SF = "/root/testdata/sf0.001"
 
@@ -93,16 +95,81 @@ def test_metric_counters(spark, tmp_path):
     assert got.agg(F.sum("cost_usd")).first()[0] == pytest.approx(rows.agg(F.sum("estimated_cost_usd")).first()[0])
 
 
-def test_trailing_worst(spark):
-    t = dt.datetime(2024, 1, 1)
-    hourly = spark.createDataFrame(
-        [(1, "map", t, 70.0), (1, "map", t + dt.timedelta(hours=1), 60.0)],
-        "ICUSTAY_ID int, vital_name string, hour_bucket timestamp, mean_val double",
-    )
-    got = {r.window_end: r.worst for r in jobs.trailing_worst(hourly).collect()}
-    assert len(got) == 25
-    assert got[t + dt.timedelta(hours=1)] == 70.0 and got[t + dt.timedelta(hours=2)] == 60.0
-    assert got[t + dt.timedelta(hours=25)] == 60.0
+def windows_by_loops(rows, hours=24):
+    hourly: dict = {}
+    for stay, _, at, value, _ in rows:
+        hourly.setdefault((stay, at.replace(minute=0)), []).append(value)
+    worst: dict = {}
+    for (stay, hour), values in hourly.items():
+        for i in range(1, hours + 1):
+            key = (stay, hour + dt.timedelta(hours=i))
+            worst[key] = min(worst.get(key, float("inf")), sum(values) / len(values))
+    return worst
+
+
+def test_trailing_worst_with_late_readings(spark, tmp_path):
+    """Readings out of order over many batches and weeks, equal to the windows of all of them."""
+    rng = random.Random(4)
+    start = dt.datetime(2024, 1, 1)
+    rows = [(i % 2, 456, start + dt.timedelta(minutes=rng.randrange(60 * 24 * 40)), float(rng.randrange(50, 90)), None) for i in range(400)]
+    rows += [(0, 456, start + dt.timedelta(days=7 * w, hours=h, minutes=5), 40.0 + w, None) for w in range(5) for h in (0, 23, 24)]
+    schema = "ICUSTAY_ID int, ITEMID int, CHARTTIME timestamp, VALUENUM double, ERROR int"
+    path, out, cp = (str(tmp_path / x) for x in ("in", "out", "cp"))
+
+    def add(part):
+        spark.createDataFrame(part, schema).coalesce(1).write.mode("append").parquet(path)
+
+    def run():
+        stream = spark.readStream.schema(schema).option("maxFilesPerTrigger", 1).parquet(path)
+        return {(r.ICUSTAY_ID, r.window_end): r.worst for r in jobs.run_trailing_worst(spark, stream, out, cp).collect()}
+
+    for i in range(3):
+        add(rows[i * 100 : (i + 1) * 100])
+    assert run() == pytest.approx(windows_by_loops(rows[:300]))
+    written = spark.read.parquet(out)
+    assert written.select("batch_id").distinct().count() == 3
+    add(rows[300:])  # a restart goes on from its state
+    assert run() == pytest.approx(windows_by_loops(rows))
+    last = {(r.ICUSTAY_ID, r.window_end) for r in spark.read.parquet(out).filter("batch_id = 3").collect()}
+    before, after = windows_by_loops(rows[:300]), windows_by_loops(rows)
+    assert last == {k for k in after if after[k] != before.get(k)}  # only what changed
+    add([])
+    assert run() == pytest.approx(after)
+
+
+def test_note_dedup_goes_on_after_a_failed_batch(spark, tmp_path):
+    notes = px.notes(spark, SF).withColumn("CHARTTIME", F.when(F.col("note_id") % 5 != 0, F.col("CHARTTIME")))
+    source, out, cp = (str(tmp_path / x) for x in ("in", "out", "cp"))
+    stream = parts(spark, notes, source, F.xxhash64("note_id"), 5)
+    changes = latest_version_changes(notes=stream, tie_break="note_id")
+
+    def fail(batch):
+        if next(fails, None):
+            raise RuntimeError("lost")
+        return batch
+
+    fails = iter([False, False, True])
+    with pytest.raises(Exception, match="lost"):
+        started(spark, lambda: sink.write_versions(changes, out, cp, fail))
+    assert spark.read.parquet(out).select("batch_id").distinct().count() == 2
+    got = jobs.run_note_dedup(spark, stream, out, cp, "note_id", every=2)
+    assert same(got, cleaning.clinical_notes(notes, "note_id"))
+    assert spark.read.parquet(out).count() < notes.count()
+
+
+def test_parts_are_reduced(spark, tmp_path):
+    path = str(tmp_path / "v")
+    total = lambda rows: rows.groupBy("k").agg(F.sum("v").alias("v"))
+    source = str(tmp_path / "in")
+    for i in range(7):
+        spark.createDataFrame([(1, 1), (i, 1)], "k int, v bigint").coalesce(1).write.mode("append").parquet(source)
+    stream = spark.readStream.schema("k int, v bigint").option("maxFilesPerTrigger", 1).parquet(source)
+    sink.write_versions(stream, path, str(tmp_path / "cp"), total, "append", total, every=3).awaitTermination()
+    left = sink.read_parts(spark, path)
+    assert left.count() <= 9  # six batches reduced to a row per key, and one batch
+    assert {r.k: r.v for r in total(left).collect()} == {0: 1, 1: 8, **{i: 1 for i in range(2, 7)}}
+    again = sink.read_parts(spark, path, 5)  # as when batch 5 runs again
+    assert sum(r.v for r in again.collect()) == 12
 
 
 def test_rerun_of_a_batch_replaces_its_version(spark, tmp_path):

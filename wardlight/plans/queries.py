@@ -30,7 +30,6 @@ from wardlight.session import shared_dir, use_utc
 from wardlight.sources.audit import source_audit
 from wardlight.sources.raw import ingest
 from wardlight.streaming import jobs as streams
-from wardlight.streaming.sink import stream_table
 
 Query = Callable[[SparkSession, str], DataFrame]
 _QUERIES: dict[str, Query] = {}
@@ -723,8 +722,15 @@ def panel_status(spark: SparkSession, sf: str) -> DataFrame:
 # --- streams ---------------------------------------------------------------
 
 
-def _stream(spark: SparkSession, sf: str, name: str) -> DataFrame:
-    return stream_table(spark, f"{sf}/{name}.parquet")
+STREAM_FILES = 3
+
+
+def _stream(spark: SparkSession, sf: str, name: str, key: str) -> DataFrame:
+    """A table as a stream of several files, one per batch, each with rows of all times: later ones are late."""
+    source = px.table(spark, sf, name)
+    path = shared_dir(spark, f"stream-{name}")
+    source.repartition(STREAM_FILES, key).write.parquet(path)
+    return spark.readStream.schema(source.schema).option("maxFilesPerTrigger", 1).parquet(path)
 
 
 def _paths(spark: SparkSession, name: str) -> tuple[str, str]:
@@ -732,38 +738,35 @@ def _paths(spark: SparkSession, name: str) -> tuple[str, str]:
     return f"{root}/out", f"{root}/checkpoint"
 
 
-def _hourly_stream(spark: SparkSession, sf: str) -> DataFrame:
-    source = px.as_chart(_stream(spark, sf, "events"))
-    return streams.run_hourly_vitals(spark, source, *_paths(spark, "stream-vitals"))
-
-
 @_query
 def stream_vitals_hourly(spark: SparkSession, sf: str) -> DataFrame:
-    return _hourly_stream(spark, sf)
+    source = px.as_chart(_stream(spark, sf, "events", "event_id"))
+    return streams.run_hourly_vitals(spark, source, *_paths(spark, "stream-vitals"), every=2)
 
 
 @_query
 def stream_worst_24h(spark: SparkSession, sf: str) -> DataFrame:
-    return streams.trailing_worst(_hourly_stream(spark, sf))
+    source = px.as_chart(_stream(spark, sf, "events", "event_id"))
+    return streams.run_trailing_worst(spark, source, *_paths(spark, "stream-worst"))
 
 
 @_query
 def stream_metrics(spark: SparkSession, sf: str) -> DataFrame:
-    source = px.as_metrics(_stream(spark, sf, "events"))
-    return streams.run_metric_counters(spark, source, *_paths(spark, "stream-metrics"))
+    source = px.as_metrics(_stream(spark, sf, "events", "event_id"))
+    return streams.run_metric_counters(spark, source, *_paths(spark, "stream-metrics"), every=2)
 
 
 @_query
 def stream_note_dedup(spark: SparkSession, sf: str) -> DataFrame:
-    source = px.as_notes(_stream(spark, sf, "documents"))
-    return streams.run_note_dedup(spark, source, *_paths(spark, "stream-notes"), "note_id").select(
+    source = px.as_notes(_stream(spark, sf, "documents", "doc_id"))
+    return streams.run_note_dedup(spark, source, *_paths(spark, "stream-notes"), "note_id", every=2).select(
         "note_id", "CATEGORY", "CHARTTIME", "STORETIME", "word_count"
     )
 
 
 @_query
 def stream_embed(spark: SparkSession, sf: str) -> DataFrame:
-    source = px.as_notes(_stream(spark, sf, "documents"))
+    source = px.as_notes(_stream(spark, sf, "documents", "doc_id"))
     made = streams.run_embedding(
         spark,
         source,

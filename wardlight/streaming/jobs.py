@@ -11,7 +11,8 @@ from wardlight.operators.chunking import chunk_notes
 from wardlight.operators.cleaning import clinical_notes, valid_vitals
 from wardlight.operators.embedding import embed_hashed
 from wardlight.operators.metrics import LATENCY_BOUNDS
-from wardlight.streaming.sink import latest_children, write_versions
+from wardlight.streaming.sink import BATCH, REDUCE_EVERY, latest_children, read_parts, write_versions
+from wardlight.streaming.state import WINDOW_KEYS, latest_version_changes, started, trailing_worst_changes
 
 VITAL_KEYS = ("ICUSTAY_ID", "vital_name", "hour_bucket")
 METRIC_KEYS = ("window_start", "provider")
@@ -36,35 +37,38 @@ def hourly_parts(chart: DataFrame) -> DataFrame:
     )
 
 
-def hourly_vitals(parts: DataFrame) -> DataFrame:
-    """The hourly table from the parts of all batches."""
-    whole = parts.groupBy(*VITAL_KEYS).agg(
+def added_hours(parts: DataFrame) -> DataFrame:
+    """One part per hour from any number of them."""
+    return parts.groupBy(*VITAL_KEYS).agg(
         F.sum("total").alias("total"),
         F.min("min_val").alias("min_val"),
         F.max("max_val").alias("max_val"),
         F.sum("measurement_count").alias("measurement_count"),
     )
+
+
+def hourly_vitals(parts: DataFrame) -> DataFrame:
+    """The hourly table from the parts of all batches."""
+    whole = added_hours(parts)
     mean = F.col("total") / F.col("measurement_count")
     return whole.select(*VITAL_KEYS, mean.alias("mean_val"), "min_val", "max_val", "measurement_count")
 
 
-def run_hourly_vitals(spark: SparkSession, chart: DataFrame, path: str, checkpoint: str) -> DataFrame:
+def run_hourly_vitals(
+    spark: SparkSession, chart: DataFrame, path: str, checkpoint: str, every: int = REDUCE_EVERY
+) -> DataFrame:
     """Run the stream over what is there and give the current hourly table."""
-    write_versions(chart, path, checkpoint, hourly_parts, mode="append").awaitTermination()
-    return hourly_vitals(spark.read.parquet(path))
+    write_versions(chart, path, checkpoint, hourly_parts, "append", added_hours, every).awaitTermination()
+    return hourly_vitals(read_parts(spark, path))
 
 
-def trailing_worst(hourly: DataFrame, hours: int = 24) -> DataFrame:
-    """Least hourly mean per stay, vital and clock-aligned window ending each hour.
+def run_trailing_worst(spark: SparkSession, chart: DataFrame, path: str, checkpoint: str) -> DataFrame:
+    """Least hourly mean per stay, vital and clock-aligned 24-hour window ending each hour.
 
-    Works on the hourly table that the stream keeps, so the stream's state is one
-    row per hour and not one per overlapping window.
+    The stream gives out the windows that a batch changes; the newest value of each counts.
     """
-    return (
-        hourly.withColumn("w", F.window("hour_bucket", f"{hours} hours", "1 hour"))
-        .groupBy("ICUSTAY_ID", "vital_name", F.col("w.end").alias("window_end"))
-        .agg(F.min("mean_val").alias("worst"))
-    )
+    started(spark, lambda: write_versions(trailing_worst_changes(chart), path, checkpoint))
+    return spark.read.parquet(path).groupBy(*WINDOW_KEYS).agg(F.max_by("worst", BATCH).alias("worst"))
 
 
 def metric_parts(metrics: DataFrame) -> DataFrame:
@@ -90,23 +94,28 @@ def metric_counters(parts: DataFrame) -> DataFrame:
     return parts.groupBy(*METRIC_KEYS).agg(*[F.sum(c).alias(c) for c in sums])
 
 
-def run_metric_counters(spark: SparkSession, metrics: DataFrame, path: str, checkpoint: str) -> DataFrame:
-    write_versions(metrics, path, checkpoint, metric_parts, mode="append").awaitTermination()
-    return metric_counters(spark.read.parquet(path))
+def run_metric_counters(
+    spark: SparkSession, metrics: DataFrame, path: str, checkpoint: str, every: int = REDUCE_EVERY
+) -> DataFrame:
+    write_versions(metrics, path, checkpoint, metric_parts, "append", metric_counters, every).awaitTermination()
+    return metric_counters(read_parts(spark, path))
 
 
 def run_note_dedup(
-    spark: SparkSession, notes: DataFrame, path: str, checkpoint: str, tie_break: str
+    spark: SparkSession, notes: DataFrame, path: str, checkpoint: str, tie_break: str, every: int = REDUCE_EVERY
 ) -> DataFrame:
     """Latest version of each note over all batches.
 
-    A batch keeps its own latest versions; the same rule over the kept rows gives
-    the overall latest, as "latest" can be taken in any grouping of the batches.
+    A batch writes the notes that are the latest so far; the same rule over these gives the overall
+    latest, and takes the place of what was written from time to time.
     """
-    write_versions(
-        notes, path, checkpoint, lambda b: clinical_notes(b, tie_break).drop("word_count"), mode="append"
-    ).awaitTermination()
-    return clinical_notes(spark.read.parquet(path).drop("batch_id"), tie_break)
+
+    def latest(rows: DataFrame) -> DataFrame:
+        return clinical_notes(rows, tie_break).drop("word_count")
+
+    changes = latest_version_changes(notes, tie_break)
+    started(spark, lambda: write_versions(changes, path, checkpoint, latest, "update", latest, every))
+    return clinical_notes(read_parts(spark, path), tie_break)
 
 
 def run_embedding(
