@@ -200,3 +200,14 @@ def outlier_flags(
     )
     outside = (F.col(value) < F.col("fence_low")) | (F.col(value) > F.col("fence_high"))
     return df.join(fences, name, "left").withColumn("is_outlier", outside.cast("int"))
+
+
+def adjusted_values(chart: DataFrame, codes: dict[str, tuple[int, ...]], reach: float = 1.5) -> DataFrame:
+    """Rows of known codes with their values in common units, without outliers and rows without keys.
+
+    The columns are those of ``chart``, so the result can stand in its place before scoring.
+    """
+    keyed = require_keys(chart, "SUBJECT_ID", "HADM_ID").filter(not_flagged(F.col("ERROR")))
+    common = unit_normalised(named_codes(keyed, "ITEMID", codes, "_name"), "_name")
+    flagged = outlier_flags(common, "_name", "value_std", reach)
+    return flagged.filter("is_outlier = 0").withColumn("VALUENUM", F.col("value_std")).select(*chart.columns)

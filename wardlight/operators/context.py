@@ -42,6 +42,20 @@ TASK_TEXT = (
     "Format your response as a structured list, one entry per patient."
 )
 
+SYSTEM_TEXT = (
+    "You are a critical care clinical decision support assistant.  Your role is to\n"
+    "analyse ICU patient data and identify patients at elevated risk of sepsis\n"
+    "within the next 6 hours.\n\n"
+    "Guidelines:\n"
+    "- Base your assessment on the provided SOFA scores and retrieved clinical notes.\n"
+    "- Be concise and clinician-friendly: use medical terminology, avoid hedging.\n"
+    "- For each high-risk patient, give a brief rationale (2-3 sentences) referencing\n"
+    "  specific lab values, vital trends, or note findings.\n"
+    "- Rank patients from highest to lowest risk.\n"
+    "- If data is insufficient to assess a patient, say so clearly rather than guessing.\n"
+    "- Do not fabricate clinical details not present in the provided context.\n"
+)
+
 
 def retrieval_size(top_k: Column) -> Column:
     """Excerpts to fetch for a list of ``top_k`` patients."""
@@ -169,6 +183,13 @@ def prompts(
     return parts.select("question_id", prompt.alias("prompt"))
 
 
+def messages(made: DataFrame, system: str = SYSTEM_TEXT) -> DataFrame:
+    """``(question_id, messages)``: the system message and the prompt, as roles with contents."""
+    turns = [("system", F.lit(system)), ("user", F.col("prompt"))]
+    parts = F.array(*(F.struct(F.lit(role).alias("role"), text.alias("content")) for role, text in turns))
+    return made.select("question_id", parts.alias("messages"))
+
+
 def answer_records(risk: DataFrame, retrieved: DataFrame, responses: DataFrame) -> DataFrame:
     """One record per question and patient, with the model's text as its summary.
 

@@ -95,8 +95,7 @@ def summary_document(usage: DataFrame, tiers: DataFrame, pending: DataFrame) ->
         tiers.agg(F.sort_array(F.collect_list(F.struct("patient_count", "risk_tier")), asc=False).alias("sepsis_alerts_by_tier")),
         pending.select(F.col("pending").alias("embedding_queue_pending")),
     ]
-    keyed = [df.withColumn("_one", F.lit(1)) for df in lists]
-    return keyed[0].join(keyed[1], "_one").join(keyed[2], "_one").drop("_one")
+    return lists[2].select(lists[0].scalar().alias("llm_usage_last_24h"), lists[1].scalar().alias("sepsis_alerts_by_tier"), "embedding_queue_pending")
 
 
 def _bucket_counts(latency_s: Column, bounds: Sequence[float]) -> list[Column]:
@@ -181,6 +180,12 @@ def query_counter(metrics: DataFrame) -> DataFrame:
     )
 
 
+def token_counter(metrics: DataFrame) -> DataFrame:
+    """Tokens per provider and type."""
+    sums = metrics.groupBy("provider").agg(F.sum("tokens_in").alias("input"), F.sum("tokens_out").alias("output"))
+    return sums.unpivot("provider", ["input", "output"], "token_type", "tokens_total")
+
+
 def token_rate(metrics: DataFrame, window_seconds: int = 300) -> DataFrame:
     """Tokens per second per window, provider and direction."""
     sums = metrics.groupBy(

@@ -45,7 +45,7 @@ def exact_percentiles(
         *[F.max(F.when(_holds(r), F.struct("_part", "_before"))).alias(f"_at{j}") for j, r in enumerate(ranks)]
     )
     sought = sketch.drop("_n").join(ranges, groups)
-    wanted = reduce(Column.__or__, (part == F.col(f"_at{j}._part") for j in range(len(ranks))))
+    wanted = F.array_contains(F.array(*(F.col(f"_at{j}._part") for j in range(len(ranks)))), part)
     inside = base.join(sought, groups).filter(wanted).groupBy(*groups, part.alias("_part"), "_v").agg(
         F.count(F.lit(1)).alias("_c")
     )

@@ -6,16 +6,16 @@ driver.
 
 from __future__ import annotations
 
-from collections.abc import Callable
+from collections.abc import Callable, Sequence
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from wardlight.operators import cleaning, context, embedding, merge, metrics, scoring
+from wardlight.operators import chunking, cleaning, context, embedding, merge, metrics, scoring
 from wardlight.sources.audit import require_files, source_audit
-from wardlight.sources.raw import ingest
+from wardlight.sources.raw import AUDIT, audit_rows, ingest, ingest_observed
 from wardlight.sources.schemas import GATE_FILES, RAW_TYPES
-from wardlight.sources.tables import read_table, write_table
+from wardlight.sources.tables import read_if_there, read_table, write_table
 
 
 def ingest_all(spark: SparkSession, raw: str, out: str) -> dict[str, int]:
@@ -31,6 +31,23 @@ def ingest_all(spark: SparkSession, raw: str, out: str) -> dict[str, int]:
     }
 
 
+def audited_ingest(
+    spark: SparkSession, raw: str, out: str, tables: Sequence[str] = tuple(RAW_TYPES)
+) -> DataFrame:
+    """Every raw table that is present, and the audit table of all of them, written to ``out``."""
+    audit = source_audit(spark, raw, {f"{t}.csv": False for t in tables})
+    present = {r.file_name for r in audit.filter("present").select("file_name").collect()}  # one row per table
+    rows = [
+        row
+        for t in tables
+        for row in audit_rows(
+            t, ingest_observed(spark, f"{raw}/{t}.csv", t, f"{out}/{t.lower()}") if f"{t}.csv" in present else None
+        )
+    ]
+    write_table(spark.createDataFrame(rows, AUDIT).coalesce(1), f"{out}/ingest_audit")
+    return read_table(spark, f"{out}/ingest_audit")
+
+
 def latest_notes(notes: DataFrame) -> DataFrame:
     """Latest versions; equal store times are told apart by row id, else by content."""
     if "ROW_ID" in notes.columns:
@@ -87,6 +104,65 @@ def embed_new_notes(
     )
 
 
+def run_queue(
+    queue: DataFrame,
+    stored: DataFrame,
+    embed: Callable[[DataFrame], DataFrame],
+    now: Column,
+    size: int | None = None,
+    pattern: str | None = None,
+) -> tuple[DataFrame, DataFrame]:
+    """One run of the embedding queue: the new chunk table and the new queue.
+
+    All pending notes, or the newest ``size`` of them, are chunked and embedded; their chunks take
+    the place of stored ones, and all of them are marked done, those that give no chunk as well.
+    ``stored``: note_id (the queue's id), chunk_index, chunk_text, embedding.
+    """
+    waiting = merge.pending(queue) if size is None else merge.pending_batch(queue, size)
+    notes = waiting.select(F.col("queue_id").alias("note_id"), F.col("note_text").alias("TEXT"))
+    made = embed(chunking.chunk_notes(notes, ["note_id"], pattern=pattern)).select(*stored.columns)
+    return merge.replace_children(stored, made, notes, "note_id"), merge.mark_done(queue, waiting, now)
+
+
+def backfill_in_units(
+    notes: DataFrame,
+    path: str,
+    keep: Sequence[str],
+    embed: Callable[[DataFrame], DataFrame],
+    units: int = 64,
+    most: int | None = None,
+    key: str = "note_id",
+    pattern: str | None = None,
+) -> DataFrame:
+    """Chunk and embed all notes in ranges of their key, going on where an earlier run stopped.
+
+    The first run stores the ranges; a range is done when it has a row in ``done``, written after its
+    chunks. A later run takes the ranges that are not done and writes each of them whole, so every
+    note is embedded once however often a run stops. ``most`` ends a run after so many ranges.
+    """
+    spark = notes.sparkSession
+    schema = f"unit int, low {notes.schema[key].dataType.simpleString()}, high {notes.schema[key].dataType.simpleString()}"
+    ranges = read_if_there(spark, f"{path}/units", schema)
+    if ranges.isEmpty():
+        cuts = notes.agg(F.percentile_approx(key, [i / units for i in range(1, units)], 10 * units)).first()[0]
+        edges = [None, *sorted(set(cuts or ())), None]
+        rows = [(i, low, high) for i, (low, high) in enumerate(zip(edges, edges[1:]))]
+        spark.createDataFrame(rows, schema).coalesce(1).write.mode("overwrite").parquet(f"{path}/units")
+        ranges = read_table(spark, f"{path}/units")
+    done = read_if_there(spark, f"{path}/done", "unit int, notes long")
+    open_units = ranges.join(done, "unit", "left_anti").orderBy("unit").collect()  # at most ``units`` rows
+    for r in open_units[:most]:
+        mine = F.lit(True) if r.low is None else F.col(key) >= r.low
+        mine = mine if r.high is None else mine & (F.col(key) < r.high)
+        mine = mine | F.col(key).isNull() if r.low is None else mine
+        taken = notes.filter(mine)
+        write_table(embed(chunking.chunk_notes(taken, keep, pattern=pattern)), f"{path}/chunks/unit={r.unit}")
+        counted = taken.agg(F.lit(r.unit).alias("unit"), F.count(F.lit(1)).alias("notes"))
+        counted.coalesce(1).write.mode("append").parquet(f"{path}/done")
+    done = read_table(spark, f"{path}/done")
+    return read_table(spark, f"{path}/chunks").join(done.select("unit").distinct(), "unit", "left_semi").drop("unit")
+
+
 def answer_questions(
     questions: DataFrame, alerts: DataFrame, chunks: DataFrame, responses: DataFrame, as_of: Column
 ) -> tuple[DataFrame, DataFrame, DataFrame]:

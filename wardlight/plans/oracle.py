@@ -292,6 +292,22 @@ _VITAL_STREAM = """
 
 
 
+def _vectors(source: str, keys: str, text: str, dim: int = 256) -> str:
+    """Unit vectors of term counts: a term's position is its md5 modulo the length."""
+    return rf"""
+        words AS (SELECT {keys}, unnest(regexp_extract_all(lower({text}), '[^\x09-\x0D\x20]+')) AS w FROM {source}),
+        counts AS (SELECT {keys}, (CAST('0x' || substr(md5(w), 1, 8) AS UBIGINT) % {dim})::INTEGER AS pos, count(*)::DOUBLE AS n
+                   FROM words GROUP BY ALL),
+        lengths AS (SELECT {keys}, sqrt(sum(n * n)) AS size, sum(n)::BIGINT AS terms FROM counts GROUP BY ALL),
+        vec AS MATERIALIZED (
+            SELECT {keys}, any_value(terms) AS terms, list(coalesce(n / size, 0)::FLOAT::DOUBLE ORDER BY pos) AS v
+            FROM (SELECT {keys}, range::INTEGER AS pos FROM {source}, range({dim})) LEFT JOIN counts USING ({keys}, pos)
+                LEFT JOIN lengths USING ({keys}) GROUP BY {keys}),
+        shown AS (
+            SELECT *, md5('[' || array_to_string(list_transform(v, lambda x: format('{{:.8f}}', x)), ',') || ']') AS vector_md5,
+                round(sqrt(list_dot_product(v, v)), 4) AS length FROM vec)"""
+
+
 def _ann_cells(iterations: int = 6, probes: int = 8, most: int = 512) -> str:
     """Spherical k-means from the first vectors by digest of their key, then the nearest cells of each question."""
     unit = "list_transform({0}, lambda x: x / sqrt(list_dot_product({0}, {0})))"
@@ -328,6 +344,64 @@ def _ann_cells(iterations: int = 6, probes: int = 8, most: int = 512) -> str:
     return _q("px_vectors cells questions", ", " + ",\n".join(parts) + "\n" + body)
 
 
+# The system message.
+_SYSTEM = """You are a critical care clinical decision support assistant.  Your role is to
+analyse ICU patient data and identify patients at elevated risk of sepsis
+within the next 6 hours.
+
+Guidelines:
+- Base your assessment on the provided SOFA scores and retrieved clinical notes.
+- Be concise and clinician-friendly: use medical terminology, avoid hedging.
+- For each high-risk patient, give a brief rationale (2-3 sentences) referencing
+  specific lab values, vital trends, or note findings.
+- Rank patients from highest to lowest risk.
+- If data is insufficient to assess a patient, say so clearly rather than guessing.
+- Do not fabricate clinical details not present in the provided context.
+"""
+
+# The wording of the prompt.
+_PROMPTS = """SELECT question_id, 'Clinician Query: ' || question || chr(10) || chr(10) || 'Retrieved Timestamp: ' ||
+        strftime((SELECT max(ts) FROM events), '%Y-%m-%d %H:%M UTC') || chr(10) || chr(10) ||
+        '─── SOFA Alert Data ───────────────────────────────────────────────' || chr(10) ||
+        coalesce(patients_section, 'No patients currently flagged.') || chr(10) || chr(10) ||
+        '─── Retrieved Clinical Notes ──────────────────────────────────────' || chr(10) ||
+        coalesce(notes_section, 'No clinical notes retrieved.') || chr(10) || chr(10) ||
+        '─── Task ───────────────────────────────────────────────────────────' || chr(10) ||
+        'Based on the above data, provide a ranked sepsis risk assessment.' || chr(10) ||
+        'For each patient, include:' || chr(10) ||
+        '1. Risk level and primary clinical drivers' || chr(10) ||
+        '2. Organ systems of greatest concern' || chr(10) ||
+        '3. Recommended immediate monitoring actions' || chr(10) || chr(10) ||
+        'Format your response as a structured list, one entry per patient.' AS prompt
+    FROM questions LEFT JOIN patient_text USING (question_id) LEFT JOIN excerpt_text USING (question_id)"""
+
+_SHOWN_VECTORS = " SELECT note_id, chunk_index, 256 AS dims, coalesce(terms, 0) AS terms, length, vector_md5 FROM shown"
+_CHUNK_VECTORS = """ SELECT note_id, chunk_index, char_start, 256 AS dims, length(chunk_text)::INTEGER AS n_chars, vector_md5
+        FROM shown JOIN c USING (note_id, chunk_index)"""
+
+_ADJUSTED_CHART = """
+        SELECT subject_id, hadm_id, icustay_id, event_id, charttime, itemid, value_std AS valuenum, valueuom, error, flag
+        FROM (
+            SELECT *, quantile_cont(value_std, 0.25) OVER (PARTITION BY name) AS q1,
+                quantile_cont(value_std, 0.75) OVER (PARTITION BY name) AS q3
+            FROM (
+                SELECT *, CASE WHEN name IN ('map', 'pao2') AND valueuom = 'kPa' THEN valuenum * 7.50062::DOUBLE
+                       WHEN name = 'creatinine' AND valueuom = 'umol/L' THEN valuenum * (1::DOUBLE / 88.42::DOUBLE)
+                       WHEN name = 'bilirubin' AND valueuom = 'umol/L' THEN valuenum * (1::DOUBLE / 17.104::DOUBLE)
+                       ELSE valuenum END AS value_std
+                FROM plain_chart JOIN codes USING (itemid)
+                WHERE event_id % 37 <> 0 AND (error IS NULL OR error <> 1)))
+        WHERE value_std BETWEEN q1 - 1.5::DOUBLE * (q3 - q1) AND q3 + 1.5::DOUBLE * (q3 - q1)"""
+
+
+def _adjusted(body: str) -> str:
+    """As _q over the scores, with the chart rows in common units and without outliers."""
+    parts = [f"plain_chart AS ({_CTES['px_chart'].strip()})", f"codes AS ({_CTES['codes'].strip()})"]
+    parts.append(f"px_chart AS MATERIALIZED ({_ADJUSTED_CHART.strip()})")
+    parts += [f"{n} AS ({_CTES[n].strip()})" for n in _CTES if n in _SCORES.split() and n not in ("px_chart", "codes")]
+    return "WITH " + ",\n".join(parts) + "\n" + body.strip()
+
+
 ORACLE: dict[str, str] = {
     "csv_cast_bronze": """
         SELECT event_id::VARCHAR AS row_id, (user_id // 15)::INTEGER AS icustay_id,
@@ -335,6 +409,21 @@ ORACLE: dict[str, str] = {
             CASE WHEN k <> 13 THEN round(value, 6) END AS valuenum,
             CASE WHEN k >= 50 AND k <> 60 THEN 0 END AS error
         FROM (SELECT *, CAST(regexp_extract(props, '([0-9]+)', 1) AS INTEGER) AS k FROM events)""",
+    "ingest_audit": """
+        WITH c AS (
+            SELECT count(*) AS n, count(*) FILTER (k = 4) AS stay, count(*) FILTER (k = 9) AS at_bad,
+                count(*) FILTER (k = 13) AS value_bad, count(*) FILTER (k = 60) AS error_bad,
+                min(date_trunc('second', ts)) FILTER (k <> 9) AS a, max(date_trunc('second', ts)) FILTER (k <> 9) AS b
+            FROM (SELECT *, CAST(regexp_extract(props, '([0-9]+)', 1) AS INTEGER) AS k FROM events)),
+        o AS (SELECT count(*) AS n, count(*) FILTER (o_orderkey % 50 = 0) AS bad, min(o_orderdate) AS a, max(o_orderdate) AS b
+              FROM orders)
+        SELECT 'CHARTEVENTS' AS table_name, 'ingested' AS status, x.name AS column_name, n AS n_rows, 3 AS n_files,
+            x.bad AS bad_values, a AS first_time, b AS last_time
+        FROM c, LATERAL (VALUES ('SUBJECT_ID', 0), ('ICUSTAY_ID', stay), ('CHARTTIME', at_bad), ('VALUENUM', value_bad), ('ERROR', error_bad)) AS x(name, bad)
+        UNION ALL SELECT 'ADMISSIONS', 'ingested', x.name, n, 1, x.bad, a, b
+        FROM o, LATERAL (VALUES ('HADM_ID', bad), ('ADMITTIME', 0)) AS x(name, bad)
+        UNION ALL SELECT t, 'missing', NULL, NULL, NULL, NULL, NULL, NULL
+        FROM (VALUES ('PATIENTS'), ('ICUSTAYS'), ('LABEVENTS'), ('NOTEEVENTS')) AS m(t)""",
     "csv_notes_bronze": _q(
         "px_notes",
         """SELECT note_id, hadm_id::INTEGER AS hadm_id, category, charttime, iserror, md5(text) AS text_md5
@@ -421,6 +510,7 @@ ORACLE: dict[str, str] = {
         FROM spine LEFT JOIN lab_worst USING (icustay_id, score_window_end)""",
     ),
     "sofa_scores": _q(_SCORES, f"SELECT {_SHOWN_SCORES} FROM scores"),
+    "sofa_scores_adjusted": _adjusted(f"SELECT {_SHOWN_SCORES} FROM scores"),
     "tier_distribution": _q(
         _SCORES,
         """SELECT risk_tier, count(*) AS count, round(avg(sofa_total), 6) AS avg_sofa, max(sofa_total) AS max_sofa
@@ -461,6 +551,7 @@ ORACLE: dict[str, str] = {
         FROM (SELECT *, sofa_total - lag(sofa_total) OVER (PARTITION BY icustay_id ORDER BY score_window_end) AS change
               FROM scores) GROUP BY ALL""",
     ),
+    "drain_alerts": _q(_ALERTS, "SELECT * FROM alerts"),
     "alerts_upsert": _q(
         _ALERTS,
         """, old AS (
@@ -545,10 +636,9 @@ ORACLE: dict[str, str] = {
             '{"ISERROR":' || coalesce(iserror::VARCHAR, 'null') || ',"char_start":' || char_start || '}' AS metadata
         FROM c JOIN px_notes USING (note_id)""",
     ),
-    "embed_questions": r"""
-        SELECT conv_id, turn, 256 AS dims, len(regexp_split_to_array(regexp_replace(text, '\s+$', ''), '\s')) AS terms,
-            1.0::DOUBLE AS length
-        FROM conversations WHERE role = 'user'""",
+    "embed_questions": "WITH turns AS (SELECT * FROM conversations WHERE role = 'user'),"
+    + _vectors("turns", "conv_id, turn", "text")
+    + " SELECT conv_id, turn, 256 AS dims, coalesce(terms, 0) AS terms, length, vector_md5 FROM shown",
     "table_checks": _q(
         _ALERTS + " px_notes",
         " UNION ALL ".join(
@@ -590,17 +680,50 @@ ORACLE: dict[str, str] = {
             ON s.icustay_id % 20 = n.hadm_id AND n.charttime BETWEEN s.intime AND s.outtime
         QUALIFY row_number() OVER (PARTITION BY note_id ORDER BY s.intime, s.icustay_id) = 1""",
     ),
-    "embed_hashed": _with_chunks(
-        "px_notes",
-        [("px_notes", "c")],
-        r"""SELECT note_id, chunk_index, 256 AS dims, len(regexp_split_to_array(chunk_text, '\s')) AS terms,
-            1.0::DOUBLE AS length FROM c""",
-    ),
+    "embed_hashed": _with_chunks("px_notes", [("px_notes", "c")], "," + _vectors("c", "note_id, chunk_index", "chunk_text") + _SHOWN_VECTORS),
+    "embed_model": _with_chunks("px_notes", [("px_notes", "c")], "," + _vectors("c", "note_id, chunk_index", "chunk_text") + _SHOWN_VECTORS),
     "embed_incremental": _with_chunks(
         "px_notes px_done fresh_notes",
         [("fresh_notes", "c")],
-        "SELECT note_id, chunk_index, char_start, 256 AS dims, length(chunk_text)::INTEGER AS n_chars FROM c",
+        "," + _vectors("c", "note_id, chunk_index", "chunk_text") + _CHUNK_VECTORS,
     ),
+    "retrieve_notes": _with_chunks(
+        "px_notes",
+        [("px_notes", "c")],
+        "," + _vectors("c", "note_id, chunk_index", "chunk_text").replace(" shown AS", " chunk_shown AS")
+        .replace(" vec AS", " chunk_vec AS").replace("FROM vec)", "FROM chunk_vec)").replace(" lengths", " chunk_lengths")
+        .replace(" counts", " chunk_counts").replace(" words", " chunk_words")
+        + ", turns AS (SELECT conv_id || '-' || turn AS question_id, text FROM conversations WHERE role = 'user'),"
+        + _vectors("turns", "question_id", "text")
+        + """
+        SELECT question_id, note_id, chunk_index, round(s, 6) AS cosine_similarity,
+            row_number() OVER (PARTITION BY question_id ORDER BY round(s, 9) DESC, note_id, chunk_index)::INTEGER AS rank
+        FROM (SELECT q.question_id, c.note_id, c.chunk_index, list_dot_product(c.v, q.v) / sqrt(list_dot_product(c.v, c.v))
+                  / sqrt(list_dot_product(q.v, q.v)) AS s FROM vec q, chunk_vec c WHERE list_dot_product(q.v, q.v) > 0)
+        QUALIFY rank <= 5""",
+    ),
+    "queue_run": _with_chunks(
+        "px_notes px_queue",
+        [("waiting", "c")],
+        "," + _vectors("c", "note_id, chunk_index", "chunk_text")
+        + """, made AS (
+            SELECT note_id, count(*) AS n, md5(string_agg(vector_md5, ',' ORDER BY chunk_index)) AS m FROM shown GROUP BY 1)
+        SELECT queue_id, coalesce(embedded_at, TIMESTAMP '2024-02-01') AS embedded_at,
+            CASE WHEN embedded_at IS NOT NULL THEN 1 ELSE coalesce(n, 0) END AS n_chunks,
+            CASE WHEN embedded_at IS NOT NULL THEN md5(md5('[0.50000000]')) ELSE m END AS vectors_md5
+        FROM px_queue LEFT JOIN made ON note_id = queue_id""",
+        """waiting AS (SELECT queue_id AS note_id, CASE WHEN queue_id % 29 = 0 THEN '  ' ELSE note_text END AS text
+            FROM px_queue WHERE embedded_at IS NULL)""",
+    ),
+    "notes_backfill": _with_chunks(
+        "px_notes",
+        [("px_notes", "c")],
+        "," + _vectors("c", "note_id, chunk_index", "chunk_text")
+        + " SELECT note_id, chunk_index, char_start, vector_md5 FROM shown JOIN c USING (note_id, chunk_index)",
+    ),
+    "vectors_as_text": """
+        SELECT vec_id, '[' || array_to_string(list_transform(embedding, lambda x: format('{:.8f}', x::DOUBLE)), ',') || ']'
+            AS vector_text FROM embeddings""",
     "vectors_normalised": _q(
         "cells",
         """SELECT vec_id, (pos - 1)::INTEGER AS pos,
@@ -634,22 +757,20 @@ ORACLE: dict[str, str] = {
     "supporting_notes": _q(_FOUND + " support", "SELECT * FROM support"),
     "prompt_patients": _q(_RISK + " patient_text", "SELECT * FROM patient_text"),
     "prompt_excerpts": _q(_FOUND + " excerpt_text", "SELECT * FROM excerpt_text"),
-    "prompt_full": _q(
+    "prompt_full": _q(_FOUND + " patient_text excerpt_text", _PROMPTS),
+    "prompt_messages": _q(
         _FOUND + " patient_text excerpt_text",
-        """SELECT question_id, 'Clinician Query: ' || question || chr(10) || chr(10) || 'Retrieved Timestamp: ' ||
-            strftime((SELECT max(ts) FROM events), '%Y-%m-%d %H:%M UTC') || chr(10) || chr(10) ||
-            '─── SOFA Alert Data ───────────────────────────────────────────────' || chr(10) ||
-            coalesce(patients_section, 'No patients currently flagged.') || chr(10) || chr(10) ||
-            '─── Retrieved Clinical Notes ──────────────────────────────────────' || chr(10) ||
-            coalesce(notes_section, 'No clinical notes retrieved.') || chr(10) || chr(10) ||
-            '─── Task ───────────────────────────────────────────────────────────' || chr(10) ||
-            'Based on the above data, provide a ranked sepsis risk assessment.' || chr(10) ||
-            'For each patient, include:' || chr(10) ||
-            '1. Risk level and primary clinical drivers' || chr(10) ||
-            '2. Organ systems of greatest concern' || chr(10) ||
-            '3. Recommended immediate monitoring actions' || chr(10) || chr(10) ||
-            'Format your response as a structured list, one entry per patient.' AS prompt
-        FROM questions LEFT JOIN patient_text USING (question_id) LEFT JOIN excerpt_text USING (question_id)""",
+        f""", prompts AS ({_PROMPTS})
+        SELECT question_id, 0 AS place, 'system' AS role, '{_SYSTEM}' AS content FROM prompts
+        UNION ALL SELECT question_id, 1, 'user', prompt FROM prompts""",
+    ),
+    "answer_metrics": _q(
+        _RISK + " px_metrics",
+        """SELECT question_id::VARCHAR AS query_id, question AS query_text, provider, model, round(latency_ms, 6) AS latency_ms,
+            tokens_used, round(estimated_cost_usd, 6) AS estimated_cost_usd, n AS patients_returned,
+            (SELECT max(ts) FROM events) AS queried_at
+        FROM (SELECT question_id, count(*) AS n FROM risk GROUP BY 1) JOIN questions USING (question_id)
+            JOIN px_metrics ON query_id = question_id""",
     ),
     "answer_records": _q(
         _FOUND + " support",
@@ -717,6 +838,11 @@ ORACLE: dict[str, str] = {
         """SELECT provider, 'all' AS risk_tier, count(*) AS queries_total, sum(tokens_used)::BIGINT AS tokens_total,
             round(sum(estimated_cost_usd), 8) AS cost_usd_total FROM px_metrics GROUP BY provider""",
     ),
+    "token_counter": _q(
+        "px_metrics",
+        """SELECT provider, 'input' AS token_type, sum(tokens_in)::BIGINT AS tokens_total FROM px_metrics GROUP BY provider
+        UNION ALL SELECT provider, 'output', sum(tokens_out)::BIGINT FROM px_metrics GROUP BY provider""",
+    ),
     "query_rate": _q(
         "px_metrics",
         """SELECT time_bucket(INTERVAL '1 minute', queried_at) AS window_start, provider, count(*) AS queries,
@@ -774,8 +900,6 @@ ORACLE: dict[str, str] = {
         "px_notes clean_notes", "SELECT note_id, category, charttime, storetime, word_count FROM clean_notes"
     ),
     "stream_embed": _with_chunks(
-        "px_notes",
-        [("px_notes", "c")],
-        "SELECT note_id, chunk_index, char_start, 256 AS dims, length(chunk_text)::INTEGER AS n_chars FROM c",
+        "px_notes", [("px_notes", "c")], "," + _vectors("c", "note_id, chunk_index", "chunk_text") + _CHUNK_VECTORS
     ),
 }

@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
-from pyspark.ml.functions import array_to_vector, vector_to_array
+from pyspark.ml.functions import array_to_vector
 from pyspark.ml.stat import Summarizer
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -24,10 +24,13 @@ from wardlight.operators import (
     rolling,
     scoring,
     search,
+    vector_store,
 )
+from wardlight.plans import jobs
 from wardlight.plans import proxies as px
 from wardlight.session import shared_dir, use_utc
 from wardlight.sources.audit import source_audit
+from wardlight.sources.drain import drain, read_drained
 from wardlight.sources.raw import ingest
 from wardlight.streaming import jobs as streams
 
@@ -98,6 +101,27 @@ def csv_cast_bronze(spark: SparkSession, sf: str) -> DataFrame:
     return ingest(spark, path, "CHARTEVENTS").drop("_ingested_at", "_source_file")
 
 
+@_query
+def ingest_audit(spark: SparkSession, sf: str) -> DataFrame:
+    """Raw files ingested with an audit row per typed column; tables without a file are skipped."""
+    root = shared_dir(spark, "raw")
+    e, k = px.table(spark, sf, "events"), px.k_of()
+    at = F.date_format("ts", "yyyy-MM-dd HH:mm:ss")
+    e.repartition(3, "event_id").select(
+        F.col("event_id").cast("string").alias("subject_id"),
+        F.when(k == 4, "x").otherwise(F.expr("user_id div 15").cast("string")).alias("icustay_id"),
+        F.when(k == 9, "soon").otherwise(at).alias("charttime"),
+        F.when(k == 13, "n/a").when(k != 14, F.col("value").cast("string")).alias("valuenum"),
+        F.when(k < 50, F.lit(None)).when(k == 60, "?").otherwise("0").alias("error"),
+    ).write.option("header", True).csv(f"{root}/CHARTEVENTS.csv")
+    px.admissions(spark, sf).select(
+        F.when(F.col("HADM_ID") % 50 == 0, "?").otherwise(F.col("HADM_ID").cast("string")).alias("HADM_ID"),
+        F.date_format("ADMITTIME", "yyyy-MM-dd HH:mm:ss").alias("ADMITTIME"),
+        "INSURANCE",
+    ).coalesce(1).write.option("header", True).csv(f"{root}/ADMISSIONS.csv")
+    return jobs.audited_ingest(spark, root, f"{root}-typed")
+
+
 @_query
 def csv_notes_bronze(spark: SparkSession, sf: str) -> DataFrame:
     """Notes with line breaks and quotes written as raw CSV and read back whole."""
@@ -222,6 +246,14 @@ def sofa_scores(spark: SparkSession, sf: str) -> DataFrame:
     return _scores(spark, sf)
 
 
+@_query
+def sofa_scores_adjusted(spark: SparkSession, sf: str) -> DataFrame:
+    """Scores from values in common units, without outliers and without rows that lack a key."""
+    chart = px.chart(spark, sf).withColumn("SUBJECT_ID", F.when(F.col("event_id") % 37 != 0, F.col("SUBJECT_ID")))
+    rows = px.stored(cleaning.adjusted_values(px.stored(chart, "chart"), _CODES), "adjusted")
+    return scoring.sofa_scores(px.icu_stays(spark, sf), cleaning.vitals_hourly(rows, strict_keys=True), cleaning.labs_per_stay(rows))
+
+
 @_query
 def tier_distribution(spark: SparkSession, sf: str) -> DataFrame:
     return scoring.tier_distribution(_scores(spark, sf))
@@ -293,6 +325,15 @@ def alerts_upsert(spark: SparkSession, sf: str) -> DataFrame:
     return merge.merge_by_key(first, updates, ["ICUSTAY_ID"], changed)
 
 
+@_query
+def drain_alerts(spark: SparkSession, sf: str) -> DataFrame:
+    """The latest alerts drained to files by partition, committed as one run and read back."""
+    alerts = scoring.latest_alerts(_scores(spark, sf))
+    path = shared_dir(spark, "drained")
+    drain(alerts.repartition(3, "ICUSTAY_ID"), path)
+    return read_drained(spark, path, alerts.schema)
+
+
 @_query
 def chunks_upsert(spark: SparkSession, sf: str) -> DataFrame:
     """Stored chunks of all notes, updated by those of German notes that grew at the front."""
@@ -427,19 +468,37 @@ def note_stay_join(spark: SparkSession, sf: str) -> DataFrame:
     return chunking.note_stays(px.notes(spark, sf), stays).select("note_id", "HADM_ID", "ICUSTAY_ID")
 
 
+def _embedded(df: DataFrame, text: str = "chunk_text") -> DataFrame:
+    return vector_store.embed_terms(df, text, HASH_DIM)
+
+
+def _vector_md5() -> Column:
+    return F.md5(vx.to_text(F.col("embedding"))).alias("vector_md5")
+
+
+def _shown_vectors(df: DataFrame, text: str) -> list[Column]:
+    return [
+        F.size("embedding").alias("dims"),
+        F.regexp_count(text, F.lit(r"[^\x09-\x0D\x20]+")).cast("bigint").alias("terms"),
+        F.round(vx.norm(F.col("embedding")), 4).alias("length"),
+        _vector_md5(),
+    ]
+
+
 @_query
 def embed_hashed(spark: SparkSession, sf: str) -> DataFrame:
-    """Every chunk of every note embedded; term totals and lengths are shown."""
+    """Every chunk of every note embedded."""
+    made = _embedded(chunking.chunk_notes(px.notes(spark, sf), ["note_id"], pattern=PATTERN))
+    return made.select("note_id", "chunk_index", *_shown_vectors(made, "chunk_text"))
+
+
+@_query
+def embed_model(spark: SparkSession, sf: str) -> DataFrame:
+    """As embed_hashed, by a model that is called once per distinct text; the vectors are kept for later runs."""
     made = chunking.chunk_notes(px.notes(spark, sf), ["note_id"], pattern=PATTERN)
-    both = embedding.unit_embedding(embedding.term_vectors(made, dim=HASH_DIM))
-    terms = F.aggregate(vector_to_array("_tf"), F.lit(0.0), lambda a, x: a + x)
-    return both.select(
-        "note_id",
-        "chunk_index",
-        F.size("embedding").alias("dims"),
-        terms.cast("bigint").alias("terms"),
-        F.round(vx.norm(F.col("embedding")), 4).alias("length"),
-    )
+    path = shared_dir(spark, "vectors")
+    found = vector_store.embed_once(made, path, vector_store.term_model(HASH_DIM), dim=HASH_DIM)
+    return found.select("note_id", "chunk_index", *_shown_vectors(found, "chunk_text"))
 
 
 def _user_turns(spark: SparkSession, sf: str) -> DataFrame:
@@ -451,25 +510,16 @@ def _user_turns(spark: SparkSession, sf: str) -> DataFrame:
 @_query
 def embed_questions(spark: SparkSession, sf: str) -> DataFrame:
     """Every user turn embedded in the way the chunks are."""
-    made = embedding.unit_embedding(embedding.term_vectors(_user_turns(spark, sf), "text", HASH_DIM))
-    terms = F.aggregate(vector_to_array("_tf"), F.lit(0.0), lambda a, x: a + x)
-    return made.select(
-        "conv_id",
-        "turn",
-        F.size("embedding").alias("dims"),
-        terms.cast("bigint").alias("terms"),
-        F.round(vx.norm(F.col("embedding")), 4).alias("length"),
-    )
+    made = _embedded(_user_turns(spark, sf), "text")
+    return made.select("conv_id", "turn", *_shown_vectors(made, "text"))
 
 
 @_query
 def retrieve_notes(spark: SparkSession, sf: str) -> DataFrame:
     """The five closest note chunks of every user turn, from texts alone."""
     made = chunking.chunk_notes(px.notes(spark, sf), ["note_id", "HADM_ID"], pattern=PATTERN)
-    chunks = px.stored(
-        embedding.embed_hashed(made, dim=HASH_DIM).withColumn("ICUSTAY_ID", F.col("HADM_ID")), "chunk-vectors"
-    )
-    asked = px.stored(embedding.embed_hashed(_user_turns(spark, sf), "text", HASH_DIM), "question-vectors")
+    chunks = px.stored(_embedded(made).withColumn("ICUSTAY_ID", F.col("HADM_ID")), "chunk-vectors")
+    asked = px.stored(_embedded(_user_turns(spark, sf), "text"), "question-vectors")
     found = search.top_k_batch(chunks, asked, k=5)
     return found.select("question_id", "rank", "note_id", "chunk_index", "cosine_similarity")
 
@@ -481,12 +531,52 @@ def embed_incremental(spark: SparkSession, sf: str) -> DataFrame:
         px.notes(spark, sf),
         px.done_notes(spark, sf),
         ["note_id"],
-        lambda df: embedding.embed_hashed(df, dim=HASH_DIM),
+        _embedded,
         pattern=PATTERN,
     )
     return made.select(
-        "note_id", "chunk_index", "char_start", F.size("embedding").alias("dims"), F.length("chunk_text").alias("n_chars")
+        "note_id", "chunk_index", "char_start", F.size("embedding").alias("dims"),
+        F.length("chunk_text").alias("n_chars"), _vector_md5(),
+    )
+
+
+@_query
+def queue_run(spark: SparkSession, sf: str) -> DataFrame:
+    """The whole queue worked off: pending notes chunked, embedded, stored and marked done.
+
+    Some pending notes are blank and give no chunk. Stored before: one old chunk of every note.
+    """
+    blank = F.col("queue_id") % 29 == 0
+    queue = px.queue(spark, sf).withColumn("note_text", F.when(blank, "  ").otherwise(F.col("note_text")))
+    old = queue.select(
+        F.col("queue_id").alias("note_id"),
+        F.lit(7).alias("chunk_index"),
+        F.lit("old").alias("chunk_text"),
+        F.array(F.lit(0.5)).cast("array<float>").alias("embedding"),
+    )
+    stored, after = jobs.run_queue(queue, old, _embedded, F.expr("timestamp_ntz'2024-02-01 00:00:00'"), pattern=PATTERN)
+    of_note = stored.select("note_id", F.struct("chunk_index", _vector_md5()).alias("v")).groupBy("note_id").agg(
+        F.count("*").alias("n_chunks"), F.sort_array(F.collect_list("v")).alias("v")
     )
+    vectors = F.md5(F.array_join(F.transform("v", lambda x: x["vector_md5"]), ","))
+    return after.join(of_note, F.col("queue_id") == F.col("note_id"), "left").select(
+        "queue_id", "embedded_at", F.coalesce("n_chunks", F.lit(0)).alias("n_chunks"), vectors.alias("vectors_md5")
+    )
+
+
+@_query
+def notes_backfill(spark: SparkSession, sf: str) -> DataFrame:
+    """All notes embedded in ranges of their key, in two runs: the first stops after three ranges."""
+    path, notes = shared_dir(spark, "backfill"), px.notes(spark, sf)
+    for most in (3, None):
+        made = jobs.backfill_in_units(notes, path, ["note_id"], _embedded, units=8, most=most, pattern=PATTERN)
+    return made.select("note_id", "chunk_index", "char_start", _vector_md5())
+
+
+@_query
+def vectors_as_text(spark: SparkSession, sf: str) -> DataFrame:
+    """The export form of every stored vector."""
+    return px.table(spark, sf, "embeddings").select("vec_id", vx.to_text(F.col("embedding")).alias("vector_text"))
 
 
 @_query
@@ -588,6 +678,29 @@ def prompt_full(spark: SparkSession, sf: str) -> DataFrame:
     return context.prompts(asked, risk, found, px.last_event(spark, sf))
 
 
+@_query
+def prompt_messages(spark: SparkSession, sf: str) -> DataFrame:
+    """The messages of every question: role and content, in order."""
+    asked, risk, found = _asked(spark, sf)
+    made = context.messages(context.prompts(asked, risk, found, px.last_event(spark, sf)))
+    return made.select("question_id", F.posexplode("messages").alias("place", "m")).select(
+        "question_id", "place", F.col("m.role").alias("role"), F.col("m.content").alias("content")
+    )
+
+
+@_query
+def answer_metrics(spark: SparkSession, sf: str) -> DataFrame:
+    """The metric row that answering each question leaves."""
+    alerts = px.stored(scoring.latest_alerts(_scores(spark, sf)), "alerts")
+    asked = px.stored(px.questions(spark, sf), "questions")
+    responses = px.metric_rows(spark, sf).select(
+        F.col("query_id").alias("question_id"),
+        F.concat(F.lit("Reviewed "), F.col("query_id").cast("string")).alias("response_text"),
+        "provider", "model", "tokens_in", "tokens_out", "latency_ms",
+    )
+    return jobs.answer_questions(asked, alerts, px.chunks(spark, sf), responses, px.last_event(spark, sf))[2]
+
+
 @_query
 def answer_records(spark: SparkSession, sf: str) -> DataFrame:
     asked, risk, found = _asked(spark, sf)
@@ -690,6 +803,11 @@ def query_counter(spark: SparkSession, sf: str) -> DataFrame:
     return metrics.query_counter(px.metric_rows(spark, sf))
 
 
+@_query
+def token_counter(spark: SparkSession, sf: str) -> DataFrame:
+    return metrics.token_counter(px.metric_rows(spark, sf))
+
+
 @_query
 def query_rate(spark: SparkSession, sf: str) -> DataFrame:
     return metrics.query_rate(px.metric_rows(spark, sf))
@@ -772,9 +890,10 @@ def stream_embed(spark: SparkSession, sf: str) -> DataFrame:
         source,
         *_paths(spark, "stream-embed"),
         ["note_id"],
-        lambda df: embedding.embed_hashed(df, dim=HASH_DIM),
+        _embedded,
         pattern=PATTERN,
     )
     return made.select(
-        "note_id", "chunk_index", "char_start", F.size("embedding").alias("dims"), F.length("chunk_text").alias("n_chars")
+        "note_id", "chunk_index", "char_start", F.size("embedding").alias("dims"),
+        F.length("chunk_text").alias("n_chars"), _vector_md5(),
     )

@@ -9,11 +9,12 @@ from __future__ import annotations
 import re
 from collections.abc import Callable, Sequence
 
-from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 
+from wardlight.sources.tables import path_exists
+
 BATCH = "batch_id"
 # After so many batches their parts are reduced to one table.
 REDUCE_EVERY = 16
@@ -65,10 +66,9 @@ def read_parts(spark: SparkSession, path: str, upto: int | None = None) -> DataF
     parts = spark.read.parquet(path)
     if upto is not None:
         parts = parts.filter(F.col(BATCH) <= upto)
-    try:
-        reduced = spark.read.parquet(f"{path}-reduced")
-    except AnalysisException:  # nothing reduced yet
+    if not path_exists(spark, f"{path}-reduced"):
         return parts.drop(BATCH)
+    reduced = spark.read.parquet(f"{path}-reduced")
     found = {int(x) for name in reduced.inputFiles() for x in re.findall(rf"/{BATCH}=([0-9]+)/", name)}
     usable = [x for x in found if upto is None or x < upto]
     if not usable:
