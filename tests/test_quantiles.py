@@ -4,6 +4,7 @@ from __future__ import annotations
 
 import numpy as np
 import pytest
+from pyspark.sql import functions as F
 
 from wardlight.operators.quantiles import exact_percentiles
 
@@ -54,3 +55,35 @@ def test_nulls_are_left_out(spark):
 def test_nan_is_left_out(spark):
     df = spark.createDataFrame([("a", float(i)) for i in range(1, 11)] + [("a", float("nan"))], "g string, v double")
     assert exact_percentiles(df, ["g"], "v", {"p95": 0.95}).collect()[0].p95 == pytest.approx(9.55)
+
+
+@pytest.mark.parametrize("shape", ["even", "copies", "far apart", "tiny steps", "infinite"])
+def test_one_group_holds_all_values(spark, shape):
+    """Most values equal, very uneven or very close: the result is that of sorting."""
+    rng = np.random.default_rng(5)
+    v = {
+        "even": rng.uniform(-8e307, 8e307, 30_000) * 2,
+        "copies": np.where(rng.random(30_000) < 0.9, 7.0, rng.normal(size=30_000)),
+        "far apart": np.exp(rng.normal(scale=150, size=30_000)),
+        "tiny steps": 1.7e9 + rng.integers(0, 1000, 30_000) * 1e-6,
+        "infinite": np.append(rng.normal(size=29_998), [np.inf, -np.inf]),
+    }[shape]
+    df = spark.createDataFrame([("g", float(x)) for x in v], "g string, v double").repartition(4)
+    probs = {"a": 0.01, "b": 0.25, "c": 0.5, "d": 0.75, "e": 0.999}
+    got = exact_percentiles(df, ["g"], "v", probs).first()
+    ordered = np.sort(v)
+    for name, p in probs.items():
+        at = p * (len(v) - 1)
+        low, high = ordered[int(at)], ordered[min(int(at) + 1, len(v) - 1)]
+        assert got[name] == pytest.approx(low + (high - low) * (at - int(at)), rel=1e-12)
+
+
+def test_values_are_counted_in_ranges_before_they_are_ordered(spark):
+    """The last pass sees the values of a range only, not those of the group."""
+    df = spark.range(200_000, numPartitions=4).select(F.lit("g").alias("g"), F.rand(3).alias("v"))
+    made = exact_percentiles(df, ["g"], "v", {"m": 0.5})
+    made.collect()
+    plan = made._jdf.queryExecution().optimizedPlan().toString()
+    windows = [line for line in plan.splitlines() if "windowspecdefinition" in line]
+    assert len(windows) == 2 and all("windowspecdefinition(_part" in w or "windowspecdefinition(g" in w for w in windows)
+    assert sum("_v" in w for w in windows) == 1 and all("_part" in w for w in windows)

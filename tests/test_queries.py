@@ -14,9 +14,8 @@ from wardlight.plans.queries import all_queries
 
 SF = os.environ.get("TEST_SF_DIR", "/root/testdata/sf0.001")
 QUERIES = all_queries()
-# Without a SQL twin: approximate search and search by hashed texts. test_search compares
-# both with brute force.
-NO_TWIN = {"ann_lsh", "retrieve_notes"}
+# Without a SQL twin: search by random projections. test_search compares it with brute force.
+NO_TWIN = {"ann_lsh"}
 
 
 @pytest.fixture(scope="module")

@@ -149,3 +149,29 @@ def test_risk_list_bounds_and_empty_filter(spark):
     for bad in (0, 51, 100):
         with pytest.raises(ValueError):
             scoring.risk_list(df, None, bad)
+
+
+def test_a_stay_of_many_years(spark):
+    """200,000 hours of one stay: no window is over more than a week of rows, or a row per week."""
+    hours = 200_000
+    total = F.pmod(F.xxhash64("id"), F.lit(20)).cast("int")
+    scores = spark.range(hours, numPartitions=8).select(
+        F.lit(1).alias("ICUSTAY_ID"),
+        F.timestamp_seconds(F.col("id") * 3600).alias("score_window_end"),
+        total.alias("sofa_total"),
+        F.lit("low").alias("risk_tier"),
+    )
+    rows = scores.orderBy("score_window_end").collect()
+    got = scoring.baseline_delta(scores).orderBy("score_window_end").collect()
+    low = None
+    for before, r in zip(rows, got):
+        assert (r.baseline, r.sofa_total) == (low, before.sofa_total)
+        low = r.sofa_total if low is None else min(low, r.sofa_total)
+    weeks = scoring.timeline_weeks(scores)
+    assert weeks.agg(F.max("windows"), F.sum("windows"), F.max(F.size("timeline"))).first()[:] == (168, hours, 168)
+    steps = [s for r in weeks.orderBy("week_start").collect() for s in r.timeline]
+    assert [s.change for s in steps] == [None, *(b.sofa_total - a.sofa_total for a, b in zip(rows, rows[1:]))]
+    for made in (scoring.baseline_delta(scores), scoring.timeline_weeks(scores)):
+        plan = made._jdf.queryExecution().optimizedPlan().toString()
+        windows = [line for line in plan.splitlines() if "windowspecdefinition" in line]
+        assert windows and all("_week" in line for line in windows)

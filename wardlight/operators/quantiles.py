@@ -46,10 +46,11 @@ def exact_percentiles(
     )
     sought = sketch.drop("_n").join(ranges, groups)
     wanted = F.array_contains(F.array(*(F.col(f"_at{j}._part") for j in range(len(ranks)))), part)
-    inside = base.join(sought, groups).filter(wanted).groupBy(*groups, part.alias("_part"), "_v").agg(
+    known = ["_n", *(f"_at{j}" for j in range(len(ranks)))]  # one value per group, carried along
+    inside = base.join(sought, groups).filter(wanted).groupBy(*groups, *known, part.alias("_part"), "_v").agg(
         F.count(F.lit(1)).alias("_c")
     )
-    placed = _with_places(inside, [*groups, "_part"], "_v").join(ranges, groups)
+    placed = _with_places(inside, [*groups, "_part"], "_v")
     found = placed.groupBy(*groups, "_n").agg(
         *[
             F.max(F.when((F.col("_part") == F.col(f"_at{j}._part")) & _holds(r - F.col(f"_at{j}._before")), F.col("_v"))).alias(f"_x{j}")
