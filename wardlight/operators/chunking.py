@@ -38,7 +38,8 @@ def chunk_notes(
     """One row per chunk: the ``keep`` columns, its number, text and true offset.
 
     A narrow transformation: every note is split inside its own task, and the input's
-    own splits share out the work.
+    own splits share out the work. Before a dear step such as embedding, spread_notes
+    shares it out anew.
     """
     chunks = note_chunks(
         F.col(text), pattern or header_pattern(SECTION_HEADERS), size, overlap
@@ -52,6 +53,11 @@ def chunk_notes(
     )
 
 
+def spread_notes(notes: DataFrame, key: str = "note_id") -> DataFrame:
+    """Notes dealt over all tasks by key, however few or uneven the files they come from."""
+    return notes.repartition(F.xxhash64(key))
+
+
 # Columns of a stored chunk; any other goes into its metadata.
 CHUNK_COLUMNS = (
     "note_id",

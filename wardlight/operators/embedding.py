@@ -12,7 +12,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from wardlight.operators.chunking import chunk_notes
+from wardlight.operators.chunking import chunk_notes, spread_notes
 from wardlight.operators.merge import content_hash, not_embedded, replace_children
 
 # Vector length, texts per call, tries and first delay in seconds.
@@ -92,7 +92,7 @@ def embed_pending(
 ) -> tuple[DataFrame, DataFrame]:
     """Chunks with vectors, and ``(key, content_hash)``, of new and changed notes."""
     fresh = not_embedded(notes, done, key)
-    chunks = embed(chunk_notes(fresh, keep, pattern=pattern))
+    chunks = embed(chunk_notes(spread_notes(fresh, key), keep, pattern=pattern))
     return chunks, fresh.select(key, "content_hash")
 
 
@@ -111,5 +111,5 @@ def backfill(
     pattern: str | None = None,
 ) -> tuple[DataFrame, DataFrame]:
     """All notes chunked and embedded, as when nothing is stored yet."""
-    chunks = embed(chunk_notes(notes, keep, pattern=pattern))
+    chunks = embed(chunk_notes(spread_notes(notes, key), keep, pattern=pattern))
     return chunks, notes.select(key, content_hash(F.col("TEXT")).alias("content_hash"))

@@ -120,7 +120,7 @@ def run_queue(
     """
     waiting = merge.pending(queue) if size is None else merge.pending_batch(queue, size)
     notes = waiting.select(F.col("queue_id").alias("note_id"), F.col("note_text").alias("TEXT"))
-    made = embed(chunking.chunk_notes(notes, ["note_id"], pattern=pattern)).select(*stored.columns)
+    made = embed(chunking.chunk_notes(chunking.spread_notes(notes), ["note_id"], pattern=pattern)).select(*stored.columns)
     return merge.replace_children(stored, made, notes, "note_id"), merge.mark_done(queue, waiting, now)
 
 
@@ -156,7 +156,7 @@ def backfill_in_units(
         mine = mine if r.high is None else mine & (F.col(key) < r.high)
         mine = mine | F.col(key).isNull() if r.low is None else mine
         taken = notes.filter(mine)
-        write_table(embed(chunking.chunk_notes(taken, keep, pattern=pattern)), f"{path}/chunks/unit={r.unit}")
+        write_table(embed(chunking.chunk_notes(chunking.spread_notes(taken, key), keep, pattern=pattern)), f"{path}/chunks/unit={r.unit}")
         counted = taken.agg(F.lit(r.unit).alias("unit"), F.count(F.lit(1)).alias("notes"))
         counted.coalesce(1).write.mode("append").parquet(f"{path}/done")
     done = read_table(spark, f"{path}/done")

@@ -488,14 +488,15 @@ def _shown_vectors(df: DataFrame, text: str) -> list[Column]:
 @_query
 def embed_hashed(spark: SparkSession, sf: str) -> DataFrame:
     """Every chunk of every note embedded."""
-    made = _embedded(chunking.chunk_notes(px.notes(spark, sf), ["note_id"], pattern=PATTERN))
+    notes = chunking.spread_notes(px.notes(spark, sf))
+    made = _embedded(chunking.chunk_notes(notes, ["note_id"], pattern=PATTERN))
     return made.select("note_id", "chunk_index", *_shown_vectors(made, "chunk_text"))
 
 
 @_query
 def embed_model(spark: SparkSession, sf: str) -> DataFrame:
     """As embed_hashed, by a model that is called once per distinct text; the vectors are kept for later runs."""
-    made = chunking.chunk_notes(px.notes(spark, sf), ["note_id"], pattern=PATTERN)
+    made = chunking.chunk_notes(chunking.spread_notes(px.notes(spark, sf)), ["note_id"], pattern=PATTERN)
     path = shared_dir(spark, "vectors")
     found = vector_store.embed_once(made, path, vector_store.term_model(HASH_DIM), dim=HASH_DIM)
     return found.select("note_id", "chunk_index", *_shown_vectors(found, "chunk_text"))
@@ -517,7 +518,8 @@ def embed_questions(spark: SparkSession, sf: str) -> DataFrame:
 @_query
 def retrieve_notes(spark: SparkSession, sf: str) -> DataFrame:
     """The five closest note chunks of every user turn, from texts alone."""
-    made = chunking.chunk_notes(px.notes(spark, sf), ["note_id", "HADM_ID"], pattern=PATTERN)
+    notes = chunking.spread_notes(px.notes(spark, sf))
+    made = chunking.chunk_notes(notes, ["note_id", "HADM_ID"], pattern=PATTERN)
     chunks = px.stored(_embedded(made).withColumn("ICUSTAY_ID", F.col("HADM_ID")), "chunk-vectors")
     asked = px.stored(_embedded(_user_turns(spark, sf), "text"), "question-vectors")
     found = search.top_k_batch(chunks, asked, k=5)
