@@ -22,10 +22,14 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 CRLF = "\r\n"
-SKIPPED = ("script", "style")  # elements without text for a reader
+# Elements without text for a reader, each to its end tag or the end of the page.
+SKIPPED = "(?i)" + "|".join(
+    rf"<{name}\b[^<]*+(?:<(?!/{name}\s*>)[^<]*+)*+(?:</{name}\s*>|\z)" for name in ("script", "style")
+)
+COMMENT = r"<!--[^-]*+(?:-(?!->)[^-]*+)*+(?:-->|\z)"
 # To its end tag; where that is left out, over what may stand in a head: the rest is the body.
 HEAD = (
-    r"(?is)<head\b(?:(?:(?!<body\b).)*?</head\s*>|[^>]*>(?:\s|<title\b[^>]*>.*?</title\s*>|"
+    r"(?is)<head\b(?:[^<]*+(?:<(?!body\b|/head\s*>)[^<]*+)*+</head\s*>|[^>]*>(?:\s|<title\b[^>]*>.*?</title\s*>|"
     r"</?(?:meta|link|base|basefont|bgsound|noscript|noframes|template)\b[^>]*>)*+)"
 )
 BREAKS = (
@@ -33,9 +37,9 @@ BREAKS = (
     r"blockquote|pre|body)\b[^>]*>"
 )
 REFERENCE = r"^(#[0-9]+|#[xX][0-9a-fA-F]+|[A-Za-z][A-Za-z0-9]*);"
-USUAL = ("amp", "quot", "lt", "gt", "nbsp", "apos", "copy", "middot")  # looked up first
+USUAL = ("quot", "lt", "gt", "nbsp", "apos", "copy", "middot")  # replaced first, &amp; last
+OTHER = r"&(?:#|(?!amp;)[A-Za-z])"  # what may start a reference that is neither usual nor &amp;
 NAMED = {name.rstrip(";"): char for name, char in html5.items() if name.endswith(";")}
-NAMED = {name: NAMED[name] for name in (*USUAL, *sorted(NAMED.keys() - set(USUAL)))}
 # What HTML reads for the numbers 128 to 159.
 HIGH = [bytes([n]).decode("cp1252", "ignore") or chr(n) for n in range(128, 160)]
 
@@ -68,15 +72,24 @@ def decoded(text: Column) -> Column:
         rest = F.regexp_replace(x, REFERENCE, "")
         return F.when((name == "") | char.isNull(), F.concat(F.lit("&"), x)).otherwise(F.concat(char, rest))
 
-    parts = F.split(text, "&")
-    return F.concat(parts[0], F.array_join(F.transform(F.slice(parts, 2, F.size(parts)), part), ""))
+    # None of these gives an ampersand or a character of a name, so no reference is made or read twice.
+    plain = text
+    for name in USUAL:
+        plain = F.replace(plain, F.lit(f"&{name};"), F.lit(NAMED[name]))
+
+    def rest(x: Column) -> Column:
+        parts = F.split(x, "&")
+        each = F.concat(parts[0], F.array_join(F.transform(F.slice(parts, 2, F.size(parts)), part), ""))
+        return F.when(x.rlike(OTHER), each).otherwise(F.replace(x, F.lit("&amp;"), F.lit("&")))
+
+    # Held in an array of one, so that the replacements are made once for all uses.
+    return F.when(F.contains(text, F.lit("&")), F.transform(F.array(plain), rest)[0]).otherwise(text)
 
 
 def plain_text(html: Column) -> Column:
     """Text of a page: no comments, scripts or tags, a line per block, single spaces."""
-    text = F.regexp_replace(html, r"(?s)<!--.*?(?:-->|\z)", "")
-    for name in SKIPPED:
-        text = F.regexp_replace(text, rf"(?is)<{name}\b.*?(?:</{name}\s*>|\z)", "")
+    text = F.regexp_replace(html, COMMENT, "")
+    text = F.regexp_replace(text, SKIPPED, "")
     text = F.regexp_replace(text, HEAD, "")
     text = F.regexp_replace(text, BREAKS, "\n")
     text = F.regexp_replace(text, r"</?[A-Za-z!?][^>]*>", "")
@@ -130,13 +143,15 @@ def pages_as_responses(pages: DataFrame, date: str = "2024-01-01T00:00:00Z") ->
         F.lit(date).alias("warc_date"),
         http.alias("http_header"),
         body.alias("payload"),
+        F.sha2(body, 256).alias("payload_sha256"),
     )
 
 
 def derivatives(responses: DataFrame, key: str = "page_id") -> DataFrame:
     """Metadata and conversion records of responses.
 
-    Input: ``key``, record_id, target_uri, warc_date, http_header, payload. Output: ``key``,
+    Input: ``key``, record_id, target_uri, warc_date, http_header, payload and, if it is known, the
+    payload's digest as payload_sha256. Output: ``key``,
     warc_type, record_id, refers_to, target_uri, warc_date, content_type, content_length,
     block_digest, source_digest, warc_header, block.
     """
@@ -163,6 +178,8 @@ def derivatives(responses: DataFrame, key: str = "page_id") -> DataFrame:
             block.alias("block"),
         )
 
+    known = "payload_sha256" in responses.columns
+    source = F.concat(F.lit("sha256:"), F.col("payload_sha256")) if known else digest(payload)
     page = media.isin("text/html", "application/xhtml+xml")
     made = F.array(record("metadata", "application/warc-fields", metadata))
     text = F.array(record("conversion", "text/plain; charset=utf-8", plain_text(payload)))
@@ -171,7 +188,7 @@ def derivatives(responses: DataFrame, key: str = "page_id") -> DataFrame:
         F.col("record_id").alias("refers_to"),
         "target_uri",
         "warc_date",
-        digest(payload).alias("source_digest"),
+        source.alias("source_digest"),
         F.explode(F.when(page, F.concat(made, text)).otherwise(made)).alias("r"),
     ).select("*", "r.*").drop("r")
     rows = (
