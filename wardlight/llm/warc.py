@@ -36,10 +36,13 @@ BREAKS = (
     r"(?i)</?(?:p|div|li|ul|ol|h[1-6]|br|tr|table|td|th|article|section|nav|footer|header|"
     r"blockquote|pre|body)\b[^>]*>"
 )
-REFERENCE = r"^(#[0-9]+|#[xX][0-9a-fA-F]+|[A-Za-z][A-Za-z0-9]*);"
-USUAL = ("quot", "lt", "gt", "nbsp", "apos", "copy", "middot")  # replaced first, &amp; last
-OTHER = r"&(?:#|(?!amp;)[A-Za-z])"  # what may start a reference that is neither usual nor &amp;
+BLANKS = r"[ \t\x0B\f\r\x{A0}]+"
+LINE_ENDS = r" \n[ \n]*|\n[ \n]+"  # one line end alone is what it should be
+REFERENCE = r"^(?:#[0-9]+|#[xX][0-9a-fA-F]+|[A-Za-z][A-Za-z0-9]*)$"
+OTHER = r"&(?=#|(?!amp;)[A-Za-z])"  # the start of a reference other than &amp;
+USUAL = ("quot", "lt", "gt", "nbsp", "apos", "copy", "middot")  # looked up first
 NAMED = {name.rstrip(";"): char for name, char in html5.items() if name.endswith(";")}
+NAMED = {name: NAMED[name] for name in (*USUAL, *sorted(NAMED.keys() - set(USUAL)))}
 # What HTML reads for the numbers 128 to 159.
 HIGH = [bytes([n]).decode("cp1252", "ignore") or chr(n) for n in range(128, 160)]
 
@@ -59,8 +62,11 @@ def decoded(text: Column) -> Column:
     named = F.create_map(*(F.lit(x) for pair in NAMED.items() for x in pair))
     high = F.array(*(F.lit(x) for x in HIGH))
 
-    def part(x: Column) -> Column:
-        name = F.regexp_extract(x, REFERENCE, 1)
+    def named_part(x: Column) -> Column:
+        return F.struct(F.substring_index(x, ";", 1).alias("name"), x.alias("x"))
+
+    def part(p: Column) -> Column:
+        name, x = p["name"], p["x"]  # what stands before the first semicolon, and everything
         n = number_of(name)
         bad = (n == 0) | (n > 0x10FFFF) | n.between(0xD800, 0xDFFF)
         char = (
@@ -69,21 +75,17 @@ def decoded(text: Column) -> Column:
             .when(n.between(128, 159), F.get(high, (n - 128).cast("int")))
             .otherwise(F.decode(F.unhex(F.lpad(F.hex(n), 8, "0")), "UTF-32"))
         )
-        rest = F.regexp_replace(x, REFERENCE, "")
-        return F.when((name == "") | char.isNull(), F.concat(F.lit("&"), x)).otherwise(F.concat(char, rest))
-
-    # None of these gives an ampersand or a character of a name, so no reference is made or read twice.
-    plain = text
-    for name in USUAL:
-        plain = F.replace(plain, F.lit(f"&{name};"), F.lit(NAMED[name]))
+        is_name = (F.octet_length(name) < F.octet_length(x)) & name.rlike(REFERENCE)
+        read = F.concat(char, ampersands(F.substring(x, F.length(name) + 2, F.length(x))))
+        return F.coalesce(F.when(is_name, read), F.concat(F.lit("&"), ampersands(x)))
 
-    def rest(x: Column) -> Column:
-        parts = F.split(x, "&")
-        each = F.concat(parts[0], F.array_join(F.transform(F.slice(parts, 2, F.size(parts)), part), ""))
-        return F.when(x.rlike(OTHER), each).otherwise(F.replace(x, F.lit("&amp;"), F.lit("&")))
+    def ampersands(x: Column) -> Column:
+        return F.replace(x, F.lit("&amp;"), F.lit("&"))
 
-    # Held in an array of one, so that the replacements are made once for all uses.
-    return F.when(F.contains(text, F.lit("&")), F.transform(F.array(plain), rest)[0]).otherwise(text)
+    # By far the most references are &amp;, so the text is taken apart at the others only, and once.
+    parts = F.transform(F.split(text, OTHER), named_part)
+    read = F.transform(parts, lambda p, i: F.when(i == 0, ampersands(p["x"])).otherwise(part(p)))
+    return F.when(F.contains(text, F.lit("&")), F.array_join(read, "")).otherwise(text)
 
 
 def plain_text(html: Column) -> Column:
@@ -94,8 +96,8 @@ def plain_text(html: Column) -> Column:
     text = F.regexp_replace(text, BREAKS, "\n")
     text = F.regexp_replace(text, r"</?[A-Za-z!?][^>]*>", "")
     text = decoded(text)
-    text = F.regexp_replace(text, r"[ \t\x0B\f\r\x{A0}]+", " ")
-    text = F.regexp_replace(text, r" ?\n[ \n]*", "\n")
+    text = F.regexp_replace(text, BLANKS, " ")
+    text = F.regexp_replace(text, LINE_ENDS, "\n")
     return F.btrim(text, F.lit(" \n"))
 
 
