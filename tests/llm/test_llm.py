@@ -275,3 +275,59 @@ def test_odd_rows_and_empty_tables(spark, odd):
 def test_pipeline_stages(spark):
     rows = corpus_pipeline.run(spark, SF)
     assert rows.filter("NOT round_trip").count() == 0 and rows.count() > 0
+
+
+def near_copies(n, words=120, seed=2):
+    rng = random.Random(seed)
+    base = [str(rng.random()) for _ in range(words)]
+    rows = []
+    for i in range(n):
+        own = list(base)
+        for _ in range(rng.choice([1, 1, 2])):
+            own[rng.randrange(words)] = f"w{rng.randrange(10**9)}"
+        rows.append((i, " ".join(own)))
+    return rows
+
+
+def test_a_large_group_of_near_copies_takes_linear_work():
+    """Every member meets the first one; what was reached is not looked for again."""
+    sets = [ngram_join.shingle_set(t, 5) for _, t in near_copies(3000)]
+    sizes = np.array([len(h) for h in sets], np.int64)
+    asked = []
+    near = ngram_join.CountTree.near
+    try:
+        ngram_join.CountTree.near = lambda tree, v, n, p: asked.append(len(tree.sizes)) or near(tree, v, n, p)
+        found = ngram_join.spanning(ngram_join.counts_of(sets), sizes, 80)
+        assert len(found) == 2999 and sum(asked) < 20 * 3000
+        asked.clear()
+        links = ngram_join.join_blocks(sets[:100], sets, 80)
+        assert len(links) == 3000 + 100 - 1 and len(asked) < 500
+    finally:
+        ngram_join.CountTree.near = near
+
+
+def test_near_copies_in_many_parts_and_members_that_miss_the_centre(spark, monkeypatch):
+    monkeypatch.setattr(ngram_join, "STAR_ROWS", 50)
+    monkeypatch.setattr(ngram_join, "BLOCK_SHINGLES", 3_000)
+    rows, rng = near_copies(400), random.Random(7)
+    for i in range(400, 480):  # chains that lead away from the group
+        words = rows[rng.choice([0, i - 1, i - 1])][1].split()
+        for _ in range(3):
+            words[rng.randrange(len(words))] = f"v{rng.randrange(10**9)}"
+        rows.append((i, " ".join(words)))
+    sets, group = components_by_loops(rows, 5, 80)
+    docs = spark.createDataFrame(rows, "doc_id long, text string").repartition(6)
+    got = {r.id: r.component_id for r in ngram_join.join_documents(docs, size=5, percent=80).collect()}
+    assert got == {i: min(j for j in range(len(rows)) if group[j] == group[i]) for i, _ in rows}
+    kept = {r.doc_id for r in ngram_join.keep_first(docs, size=5, percent=80).collect()}
+    assert kept == {i for i, _ in rows if got[i] == i}
+
+
+def test_many_rows_without_an_id(spark):
+    """Texts are found again by id and hash, so rows that share an id do not meet each other."""
+    rows = [(None, t) for _, t in near_copies(300)] + [(None, "one other text")] * 50 + [(5, "one other text")]
+    docs = spark.createDataFrame(rows, "doc_id long, text string").repartition(4)
+    got = ngram_join.join_documents(docs, size=5, percent=80).collect()
+    assert sorted((r.component_id or 0) for r in got) == [0] * 300 + [5] * 51
+    kept = ngram_join.keep_first(docs, size=5, percent=80).collect()
+    assert len(kept) == 2 and sum(r.doc_id == 5 for r in kept) == 1

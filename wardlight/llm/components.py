@@ -7,6 +7,8 @@ from pyspark.sql import functions as F
 
 from wardlight.llm.common import cut_lineage
 
+ROWS_PER_PART = 200_000
+
 
 def _large_star(edges: DataFrame) -> DataFrame:
     """Hang every larger neighbour of a node on the node's least neighbour (or itself)."""
@@ -23,6 +25,11 @@ def _small_star(edges: DataFrame) -> DataFrame:
     return moved.union(least.select("a", F.col("m").alias("b")))
 
 
+def _few(edges: DataFrame, n: int) -> DataFrame:
+    """Written edges in parts of about ROWS_PER_PART: a round's files and blocks follow their number."""
+    return cut_lineage(edges.coalesce(max(1, -(-n // ROWS_PER_PART))))
+
+
 def components(edges: DataFrame) -> DataFrame:
     """Rows of ``node`` and ``root`` (its component's least node) for nodes with an edge.
 
@@ -33,8 +40,10 @@ def components(edges: DataFrame) -> DataFrame:
     now = cut_lineage(edges.filter("a != b").select(down).select("e.*").distinct())
     print_of = [F.count("*").alias("n"), F.sum(F.xxhash64("a", "b").cast("decimal(38,0)")).alias("s")]
     mark = now.agg(*print_of).first()
+    now = now.coalesce(max(1, -(-mark.n // ROWS_PER_PART)))
     while True:
-        now = cut_lineage(_small_star(_large_star(now).distinct()).distinct())
+        hung = _few(_large_star(now), mark.n)  # a row per edge, some of them equal
+        now = _few(_small_star(hung).distinct(), mark.n)
         after = now.agg(*print_of).first()
         if after == mark:
             break

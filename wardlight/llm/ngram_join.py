@@ -16,11 +16,16 @@ than D parts goes to the tiles of its empty parts as well. So no linked pair is
 
 Tiles with the same members count once. In each tile an R-tree finds the pairs whose bound allows
 a link; they chain documents to candidate groups, which an R-tree over points with more
-coordinates for longer documents splits up again. Each group is cut into blocks of bounded total
-size, and all pairs of its blocks are searched with an R-tree over one block, queried by the
-other, and verified on the sets. Pairs that are connected already are not looked at again, and
-only links that connect something are given out. Equal sets are one point (a class): a task gives
-out the tiles of a set once, so copies cost little.
+coordinates for longer documents splits up again. In both searches a point that was reached is not
+looked for again, so a tight cluster is found by its first point.
+
+Each group is then verified on the sets themselves. First every member is compared with the group's
+centre (its least node), the members dealt over many tasks; in a group of near copies most of them
+link there. Those that do not are the open ones: they are cut into blocks, all members into blocks as
+well, and each pair of such blocks is searched with R-trees and verified. Two members that link to the
+centre need no comparison, so no connection is lost, and a group of near copies costs little more
+than one comparison per member. Only links that connect something are given out. Equal sets are one
+point (a class): a task gives out the tiles of a set once, so copies cost little.
 
 Defined cases: A-Z is lower-cased; words are what ASCII white space separates. With fewer
 words than a shingle has, the whole sequence is one shingle. NULL, empty and blank texts have the empty set and
@@ -50,6 +55,7 @@ GROUPS = 64  # coordinates of the points in the R-tree of a tile
 PER_GROUP = 8  # shingles per coordinate in the finer points of a candidate group, at most
 BOX = 16  # children of an R-tree box
 BLOCK_SHINGLES = 500_000  # shingles of a block, about
+STAR_ROWS = 1_000  # members of a group that one task compares with its centre, about
 BLOCK_BYTES = 4_000_000  # of points of a block, about
 WORDS_KEPT = 80_000
 NODES_KEPT = 150_000
@@ -236,14 +242,28 @@ def edges_at_level(nodes: list[int], sizes: list[int], packed: list[bytes], perc
         bound, (x, y) = int(np.minimum(vectors[0], vectors[1]).sum()), sorted(sizes)
         fits = bound * (100 + percent) >= percent * (x + y) and x * 100 >= y * percent
         return [(nodes[0], nodes[1])] if fits else []
-    tree, label, found = CountTree(vectors, size), np.arange(len(nodes)), []
-    for i in range(len(nodes)):
-        near = tree.near(vectors[i], int(size[i]), percent)
-        near = near[label[near] != label[i]]
-        if len(near):
-            others, at = np.unique(label[near], return_index=True)
-            found += [(nodes[i], nodes[j]) for j in near[at].tolist()]
-            label[np.isin(label, others)] = label[i]
+    return [(nodes[i], nodes[j]) for i, j in spanning(vectors, size, percent)]
+
+
+def spanning(vectors: np.ndarray, sizes: np.ndarray, percent: int) -> list[tuple[int, int]]:
+    """Pairs that connect all points which chains of bounds connect. A point that was reached is not sought again."""
+    open_, left, found = np.ones(len(sizes), bool), len(sizes), []
+    tree, held = CountTree(vectors, sizes), np.arange(len(sizes))
+    for start in range(len(sizes)):
+        todo = [start] if open_[start] else []
+        left -= len(todo)
+        open_[todo] = False
+        while todo and left:
+            i = todo.pop()
+            if 2 * left <= len(held):  # those reached leave the tree
+                held = np.flatnonzero(open_)
+                tree = CountTree(vectors[held], sizes[held])
+            near = held[tree.near(vectors[i], int(sizes[i]), percent)]
+            near = near[open_[near]]
+            open_[near] = False
+            left -= len(near)
+            todo += near.tolist()
+            found += [(i, j) for j in near.tolist()]
     return found
 
 
@@ -310,58 +330,75 @@ def counts_of(sets: list[np.ndarray]) -> np.ndarray:
     return np.array([np.bincount((h & _U(GROUPS - 1)).astype(np.int64), minlength=GROUPS) for h in sets]).reshape(-1, GROUPS)
 
 
-def join_blocks(one: list[np.ndarray], other: list[np.ndarray] | None, percent: int = PERCENT) -> list[tuple[int, int]]:
-    """Links (i, j) that connect: i in ``one``, j in ``other``, or both in ``one`` (i < j)."""
-    held = one if other is None else other
-    tree = CountTree(counts_of(held), np.array([len(h) for h in held], np.int64))
-    shift = 0 if other is None else len(one)
-    root = list(range(shift + len(held)))
-
-    def find(i: int) -> int:
-        while root[i] != i:
-            root[i] = root[root[i]]
-            i = root[i]
-        return i
-
+def join_blocks(one: list[np.ndarray], other: list[np.ndarray], percent: int = PERCENT) -> list[tuple[int, int]]:
+    """Links (i, j) between ``one`` and ``other`` that connect all sets which chains of such links connect."""
+    sides = [one, other]
+    vectors = [counts_of(sets) for sets in sides]
+    sizes = [np.array([len(h) for h in sets], np.int64) for sets in sides]
+    trees = [CountTree(v, n) for v, n in zip(vectors, sizes)]
+    open_ = [np.ones(len(sets), bool) for sets in sides]
     links = []
-    for i, vector in enumerate(counts_of(one)):
-        for j in tree.near(vector, len(one[i]), percent).tolist():
-            if other is None and j <= i:
+    for start in range(len(one)):
+        todo = [(0, start)] if open_[0][start] else []
+        open_[0][start] = False
+        while todo:
+            side, i = todo.pop()
+            across, h = 1 - side, sides[side][i]
+            if not open_[across].any():
                 continue
-            a, b = find(i), find(j + shift)
-            if a != b and linked(one[i], held[j], percent):
-                root[b] = a
-                links.append((i, j))
+            near = trees[across].near(vectors[side][i], len(h), percent)
+            for j in near[open_[across][near]].tolist():
+                if linked(h, sides[across][j], percent):
+                    open_[across][j] = False
+                    todo.append((across, j))
+                    links.append((j, i) if side else (i, j))
     return links
 
 
+def star(size: int, percent: int, batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """Rows of (grp, node, n, text) with the centre of each group first to (grp, node, n, near).
+
+    ``near`` tells whether a member links to the centre. A row whose text has another set than its
+    node is passed over.
+    """
+    grp, centre = None, np.zeros(0, _U)
+    for batch in slices(batches):
+        out = []
+        for g, node, n, text in zip(*(batch[c].to_pylist() for c in ("grp", "node", "n")), texts_of(batch["text"])):
+            h = shingle_set(text, size)
+            if int(set_name(h).view(np.int64)[0]) != node:
+                continue
+            if node == g:
+                grp, centre = g, h
+            out.append((g, node, n, g == grp and linked(centre, h, percent)))
+        columns = list(zip(*out)) or [(), (), (), ()]
+        kinds = (pa.int64(), pa.int64(), pa.int64(), pa.bool_())
+        yield pa.RecordBatch.from_arrays([pa.array(c, k) for c, k in zip(columns, kinds)], names=["grp", "node", "n", "near"])
+
+
 def search(size: int, percent: int, batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """Rows of (grp, low, high, block, node, text), sorted, to links between nodes.
+    """Rows of (grp, low, high, side, node, text), sorted, to links between the open members and all.
 
     Texts are shuffled as they are, as they compress and hashes do not. A row whose text has another
-    set than its node (another row of the same id) is passed over.
+    set than its node is passed over.
     """
     key, members = None, []
 
     def answer() -> pa.RecordBatch:
-        sides = {b: [m for m in members if m[0] == b] for b in {m[0] for m in members}}
-        one, two = sides.get(key[1], []), sides.get(key[2], [])
-        same = key[1] == key[2]
-        found = join_blocks([m[2] for m in one], None if same else [m[2] for m in two], percent) if one and two else []
-        held = one if same else two
-        return as_edges([(one[i][1], held[j][1]) for i, j in found])
+        one, two = ([m for m in members if m[0] == side] for side in (0, 1))
+        found = join_blocks([m[2] for m in one], [m[2] for m in two], percent) if one and two else []
+        return as_edges([(one[i][1], two[j][1]) for i, j in found])
 
     for batch in slices(batches):
-        rows = zip(*(batch[c].to_pylist() for c in ("grp", "low", "high", "block", "node")), texts_of(batch["text"]))
-        for grp, low, high, block, node, text in rows:
+        rows = zip(*(batch[c].to_pylist() for c in ("grp", "low", "high", "side", "node")), texts_of(batch["text"]))
+        for grp, low, high, side, node, text in rows:
             if (grp, low, high) != key:
                 if members:
                     yield answer()
                 key, members = (grp, low, high), []
-            if not members or members[-1][1] != node:
-                h = shingle_set(text, size)
-                if int(set_name(h).view(np.int64)[0]) == node:
-                    members.append((block, node, h))
+            h = shingle_set(text, size)
+            if int(set_name(h).view(np.int64)[0]) == node:
+                members.append((side, node, h))
     if members:
         yield answer()
 
@@ -386,6 +423,47 @@ def by_blocks(members: DataFrame) -> DataFrame:
     )
 
 
+def verified(
+    groups: DataFrame, classes: DataFrame, docs: DataFrame, id_col: str, size: int, percent: int
+) -> DataFrame:
+    """Links (a, b) that connect what linked sets of each candidate group (node, grp) connect.
+
+    A group's centre is the member with the node ``grp``, which every group has.
+    """
+    members = groups.join(classes.select("node", "n", "least"), "node")
+    texts = docs.select(F.col(id_col).cast("long").alias("__id"), F.xxhash64(whole_text()).alias("__mark"), whole_text().alias("text"))
+    same_row = F.col("__id").eqNullSafe(F.col("least.id")) & (F.col("__mark") == F.col("least.mark"))
+    asked = (  # equal rows give one text
+        texts.join(members, same_row).select("grp", "node", "n", "text").dropDuplicates(["grp", "node"])
+    )
+    parts = members.groupBy("grp").agg(F.ceil(F.count("*") / STAR_ROWS).cast("int").alias("parts"))
+    is_centre = F.col("node") == F.col("grp")
+    part = F.when(is_centre, F.sequence(F.lit(0), F.col("parts") - 1)).otherwise(
+        F.array(F.pmod(F.xxhash64("node"), F.col("parts")).cast("int"))
+    )
+    spread = (
+        asked.join(parts, "grp")
+        .withColumn("part", F.explode(part))
+        .repartition("grp", "part")
+        .sortWithinPartitions("grp", "part", ~is_centre)
+        .select("grp", "node", "n", "text")
+    )
+    starred = cut_lineage(spread.mapInArrow(partial(star, size, percent), "grp long, node long, n long, near boolean"))
+    rest = starred.filter(~F.col("near")).select("grp", "node", "n")
+    shingles = lambda df, name: df.groupBy("grp").agg(F.ceil(F.sum("n") / BLOCK_SHINGLES).cast("int").alias(name))
+    blocks = shingles(rest, "lows").join(shingles(members, "highs"), "grp")
+    block = lambda n: F.pmod(F.xxhash64("node"), F.col(n)).cast("int")
+    each = lambda n: F.explode(F.sequence(F.lit(0), F.col(n) - 1))
+    within = asked.join(blocks, "grp")
+    every = within.select("grp", each("lows").alias("low"), block("highs").alias("high"), F.lit(1).alias("side"), "node", "text")
+    opened = within.join(rest.select("grp", "node"), ["grp", "node"]).select(
+        "grp", block("lows").alias("low"), each("highs").alias("high"), F.lit(0).alias("side"), "node", "text"
+    )
+    paired = opened.union(every).repartition("grp", "low", "high").sortWithinPartitions("grp", "low", "high", "side", "node")
+    crossed = paired.mapInArrow(partial(search, size, percent), "a long, b long")
+    return starred.filter("near").select(F.col("grp").alias("a"), F.col("node").alias("b")).union(crossed)
+
+
 def classes_with_components(
     rows: DataFrame, docs: DataFrame, id_col: str, size: int, percent: int
 ) -> DataFrame:
@@ -393,7 +471,12 @@ def classes_with_components(
     classes = cut_lineage(
         rows.filter("n > 0")
         .groupBy("node")
-        .agg(F.min("id").alias("least_id"), F.first("n").alias("n"), F.first("counts").alias("counts"), F.first("fine").alias("fine"))
+        .agg(
+            F.min(F.struct(F.col("id").isNull().alias("none"), "id", "mark")).alias("least"),
+            F.first("n").alias("n"),
+            F.first("counts").alias("counts"),
+            F.first("fine").alias("fine"),
+        )
     )
     placed = docs.select(whole_text().alias("text")).mapInArrow(partial(tiles, size, percent), "tile long, node long")
     shared = (
@@ -409,14 +492,10 @@ def classes_with_components(
     rough = grouped(components(edges), classes, F.octet_length("fine"), BLOCK_BYTES)
     fine = by_blocks(rough.select("grp", "blocks", "block", "node", "n", "fine"))
     edges = fine.select("grp", "low", "high", "node", "n", "fine").mapInArrow(partial(links_by_bound, 3, percent), "a long, b long")
-    members = grouped(components(edges), classes, F.col("n"), BLOCK_SHINGLES)
-    texts = docs.select(F.col(id_col).cast("long").alias("__id"), whole_text().alias("text"))
-    asked = texts.join(members.drop("n", "counts", "fine"), F.col("__id").eqNullSafe(F.col("least_id"))).select("grp", "blocks", "block", "node", "text")
-    paired = by_blocks(asked).select("grp", "low", "high", "block", "node", "text")
-    links = paired.mapInArrow(partial(search, size, percent), "a long, b long")
+    links = verified(cut_lineage(components(edges).withColumnRenamed("root", "grp")), classes, docs, id_col, size, percent)
     found = components(links).withColumnRenamed("node", "__node")
     rooted = classes.join(found, F.col("node") == F.col("__node"), "left").withColumn("root", F.coalesce("root", "node"))
-    least = rooted.groupBy("root").agg(F.min("least_id").alias("component_id"))
+    least = rooted.groupBy("root").agg(F.min("least.id").alias("component_id"))
     return cut_lineage(rooted.join(least, "root").select("node", "root", "component_id"))
 
 
