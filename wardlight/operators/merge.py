@@ -18,8 +18,9 @@ def one_per_key(rows: DataFrame, keys: Sequence[str], order: Sequence[str] = (),
     """The last (or first) row of every key by the ``order`` columns, then by all others.
 
     The rank is only compared with 1, so Spark keeps one row per key and input task
-    before the shuffle. Without ``order`` the choice among repeated keys is still the
-    same in every run.
+    before the shuffle. Without ``order`` the choice among repeated keys is the same in
+    every run, but it is the row with the greatest (or least) values, not the one given
+    last: name an order where keys may repeat.
     """
     by = [*order, *(c for c in rows.columns if c not in keys and c not in order)]
     ranked = [F.col(c).desc_nulls_last() if last else F.col(c).asc_nulls_first() for c in by]

@@ -2,9 +2,12 @@
 
 from __future__ import annotations
 
-from wardlight.plans.proxies import ITEM_OF
-
-_ITEMS = " ".join(f"WHEN '{code}' THEN {item}" for code, item in ITEM_OF.items())
+# The item code of each event type and parity.
+_ITEMS = (
+    "WHEN 'view_0' THEN 220052 WHEN 'view_1' THEN 456 WHEN 'click_0' THEN 198 WHEN 'click_1' THEN 646 "
+    "WHEN 'purchase_0' THEN 50912 WHEN 'purchase_1' THEN 50885 WHEN 'signup_0' THEN 51265 "
+    "WHEN 'signup_1' THEN 50821 WHEN 'error_0' THEN 50816"
+)
 
 # Views and intermediate results; each may use the ones before it.
 _CTES: dict[str, str] = {
@@ -139,19 +142,19 @@ _CTES: dict[str, str] = {
             'Which stays are like group ' || label || '?' AS question,
             CASE label % 3 WHEN 1 THEN ['high', 'critical'] WHEN 2 THEN ['moderate']
                  ELSE ['low', 'moderate', 'high', 'critical'] END AS tiers,
-            label + 3 AS top_k
+            CASE WHEN label % 5 <> 0 THEN CASE WHEN label % 7 = 3 THEN 40 ELSE label + 3 END END AS top_k
         FROM (SELECT label, pos, avg(x) AS m FROM cells GROUP BY ALL) GROUP BY label""",
     "risk": """
         SELECT question_id, top_k, a.*,
             row_number() OVER (PARTITION BY question_id ORDER BY sofa_total DESC, icustay_id)::INTEGER AS patient_rank
         FROM questions JOIN alerts a ON list_contains(tiers, a.risk_tier)
-        QUALIFY patient_rank <= top_k""",
+        QUALIFY patient_rank <= coalesce(top_k, 10)""",
     "found": """
         SELECT r.question_id, c.*,
             row_number() OVER (PARTITION BY r.question_id
                 ORDER BY round(list_cosine_similarity(c.v, q.v), 9) DESC, note_id)::INTEGER AS rank
         FROM risk r JOIN questions q USING (question_id) JOIN px_vectors c ON c.icustay_id = r.icustay_id
-        QUALIFY rank <= least(2 * max(r.top_k) OVER (PARTITION BY r.question_id), 20)""",
+        QUALIFY rank <= least(2 * max(coalesce(r.top_k, 10)) OVER (PARTITION BY r.question_id), 20)""",
     "support": """
         SELECT question_id, icustay_id, substring(chunk_text, 1, 300) AS note,
             row_number() OVER (PARTITION BY question_id, icustay_id ORDER BY rank)::INTEGER AS note_rank
@@ -657,7 +660,7 @@ ORACLE: dict[str, str] = {
                 ("chunks", "embeddings", "chunk_text is set", "true"),
                 ("chunks", "embeddings", "embedding has the right length", "len(embedding) = 64"),
                 ("questions", "(SELECT DISTINCT label FROM embeddings)", "question is short enough", "true"),
-                ("questions", "(SELECT DISTINCT label FROM embeddings)", "top_k in range", "label + 3 BETWEEN 1 AND 50"),
+                ("questions", "(SELECT DISTINCT label FROM embeddings)", "top_k in range", "label % 5 = 0 OR label % 7 = 3 OR label + 3 BETWEEN 1 AND 50"),
                 ("questions", "(SELECT DISTINCT label FROM embeddings)", "tiers are known", "true"),
                 ("notes", "px_notes", "store time is set", "storetime IS NOT NULL"),
                 ("notes", "px_notes", "text is long enough", "length(text) > 50"),

@@ -205,7 +205,7 @@ def chunks(spark: SparkSession, sf: str) -> DataFrame:
 
 
 def questions(spark: SparkSession, sf: str) -> DataFrame:
-    """A question per label: its vector is the mean vector of the label."""
+    """A question per label: its vector is the mean vector of the label. Some top_k are NULL or large."""
     q = F.col("label").cast("bigint")
     return (
         table(spark, sf, "embeddings")
@@ -218,7 +218,7 @@ def questions(spark: SparkSession, sf: str) -> DataFrame:
             F.when(q % 3 == 1, F.array(F.lit("high"), F.lit("critical")))
             .when(q % 3 == 2, F.array(F.lit("moderate")))
             .alias("tiers"),
-            (q + 3).cast("int").alias("top_k"),
+            F.when(q % 5 != 0, F.when(q % 7 == 3, 40).otherwise(q + 3)).cast("int").alias("top_k"),
         )
     )
 

@@ -309,7 +309,10 @@ def patient_timeline(spark: SparkSession, sf: str) -> DataFrame:
 
 @_query
 def alerts_upsert(spark: SparkSession, sf: str) -> DataFrame:
-    """First alerts below critical are stored; the latest alerts, unless moderate, replace or join them."""
+    """First alerts below critical are stored; the latest alerts, unless moderate, replace or join them.
+
+    Each update comes twice, at first with an earlier window: the one with the later window counts.
+    """
     scores = px.stored(_scores(spark, sf), "scores")
     first = (
         scores.filter("sepsis_alert = 1")
@@ -320,9 +323,12 @@ def alerts_upsert(spark: SparkSession, sf: str) -> DataFrame:
         .filter("risk_tier != 'critical'")
     )
     latest = scoring.latest_alerts(scores).filter("risk_tier != 'moderate'")
-    updates = latest.withColumn("created_at", F.col("score_window_end"))
+    earlier = latest.withColumns(
+        {"score_window_end": F.col("score_window_end") - F.expr("INTERVAL 1 HOUR"), "sofa_total": F.lit(99)}
+    )
+    updates = latest.unionByName(earlier).withColumn("created_at", F.col("score_window_end"))
     changed = [c for c in scoring.ALERT_COLUMNS if c != "ICUSTAY_ID"]
-    return merge.merge_by_key(first, updates, ["ICUSTAY_ID"], changed)
+    return merge.merge_by_key(first, updates, ["ICUSTAY_ID"], changed, order=["score_window_end"])
 
 
 @_query
@@ -367,7 +373,8 @@ def chunks_replaced(spark: SparkSession, sf: str) -> DataFrame:
 def metrics_insert_new(spark: SparkSession, sf: str) -> DataFrame:
     rows = px.metric_rows(spark, sf).select("query_id", "provider", "latency_ms")
     known = rows.filter("provider != 'error'").withColumn("latency_ms", F.col("latency_ms") + 1)
-    return merge.insert_absent(known, rows, ["query_id"])
+    twice = rows.unionByName(rows.withColumn("latency_ms", F.col("latency_ms") + 5))
+    return merge.insert_absent(known, twice, ["query_id"], order=["latency_ms"])
 
 
 @_query
