@@ -34,7 +34,7 @@ from dataclasses import dataclass
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from wardlight.llm.common import ROWS_PER_SLICE, cut_lineage, small_batches, texts_of, whole_text
@@ -50,6 +50,7 @@ KEY = re.compile(r"[A-Za-z0-9+/_=-]")
 
 LEAST = 6  # key characters of a candidate
 SAMPLE = 3_000  # candidates per label for training and calibration together
+BUCKETS = 64  # in which the samples of all tasks are reduced first
 RECALL = 0.98
 BEFORE, VALUE, AFTER = 24, 48, 8  # characters read before, in a piece of, and after a value
 CODES, DIM, REACH, FILTERS, HIDDEN = 98, 12, 5, 24, 16
@@ -357,12 +358,14 @@ def sample_candidates(texts: DataFrame, size: int = SAMPLE) -> list:
         arrays = dict(zip(("place", "label", "fold", "before", "value", "after"), (pa.array(x, k) for x, k in zip(columns, kinds))))
         yield pa.RecordBatch.from_pydict({name.split()[0]: arrays[name.split()[0]] for name in SAMPLED.split(", ")})
 
-    rows = cut_lineage(texts.mapInArrow(pick, SAMPLED))
-    picked = []
-    for label in (1, 0):
-        one = rows.filter(F.col("label") == label).orderBy("place", "before", "value", "after", "fold").limit(size)
-        picked += one.select("label", "fold", "before", "value", "after").collect()
-    return picked
+    # The first rows of each label: of some buckets at first, then of these, so that neither a task nor
+    # the driver takes what all tasks give out.
+    rows = cut_lineage(texts.mapInArrow(pick, SAMPLED)).withColumn("bucket", F.pmod(F.xxhash64("place"), F.lit(BUCKETS)))
+    for keys in (["label", "bucket"], ["label"]):
+        first = Window.partitionBy(*keys).orderBy("place", "before", "value", "after", "fold")
+        rows = rows.withColumn("at", F.row_number().over(first)).filter(F.col("at") <= size)
+    ordered = rows.orderBy(F.col("label").desc(), "at").select("label", "fold", "before", "value", "after")
+    return ordered.collect()  # at most ``size`` rows of each label
 
 
 def held_out_steps(held: DataFrame, net: CharNet) -> dict[int, int]:
