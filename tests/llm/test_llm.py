@@ -221,6 +221,92 @@ def test_nearest_examples_equal_brute_force():
         assert np.allclose(cosines, np.sort(dense @ q)[::-1][:15])
 
 
+def toxic_rows(n=260, seed=4):
+    rng = random.Random(seed)
+    plain = ["w" + "".join(rng.choice("abcdefgh") for _ in range(3)) for _ in range(80)]
+    rows = []
+    for i in range(n):
+        words = [rng.choice(plain) for _ in range(rng.choice([3, 10, 25]))] + [f"x{''.join(rng.choice('ijkl') for _ in range(6))}"]
+        if i % 4 == 0:
+            words[rng.randrange(len(words))] = rng.choice(["Vile", "awful"])
+        rows.append((i, " ".join(words)))
+    rows += [(n, rows[4][1]), (n + 1, None), (n + 2, "12 34"), (n + 3, "zzz only"), (n + 3, "zzz only")]
+    return rows, [(i, int(i % 4 == 0)) for i in range(n)] + [(n, 0), (4, 0), (n + 1, 0), (None, 1), (5, None)]
+
+
+def votes_by_loops(rows, labels):
+    """Per row the vote and similarities of its nearest examples, by dictionaries; and votes and labels that calibrate."""
+    from zlib import crc32
+
+    fold = lambda i: crc32(str(i).encode()) % 5
+    words = [re.findall(r"[^\W\d_]+", (t or "").lower()) for _, t in rows]
+    df = {}
+    for ws in words:
+        for w in set(ws):
+            df[w] = df.get(w, 0) + 1
+    mark = {}
+    for i, y in labels:
+        if i is not None and y is not None:
+            mark[i] = max(mark.get(i, 0), y)
+    of_text = {}
+    for (i, t), ws in zip(rows, words):
+        if i in mark and fold(i) != 0:
+            of_text[t or ""] = max(of_text.get(t or "", (-1, 0, None)), (mark[i], -i, ws), key=lambda x: x[:2])
+    sample = [(y, fold(-m), ws) for y, m, ws in of_text.values()]
+    examples = [(y, ws) for y, f, ws in sample if f != 4]
+    n, t = len(examples), sum(y for y, _ in examples)
+    known, share = {w for _, _, ws in sample for w in ws}, {}
+    for w in known:
+        d, b = sum(w in ws for _, ws in examples), sum(y for y, ws in examples if w in ws)
+        e = d * t / n
+        chi = (b - e) ** 2 / (e * (1 - t / n) * (1 - d / n)) if 0 < d < n else 0.0
+        share[w] = chi / (chi + toxicity.HALF_CHI)
+
+    def vector(ws):
+        idf = lambda w: np.log((1 + len(rows)) / (1 + (df[w] if w in known else 0))) + 1
+        v = {w: (1 + np.log(ws.count(w))) * idf(w) * (toxicity.LEAST_SHARE + share.get(w, 0)) for w in set(ws)}
+        size = sum(x * x for x in v.values()) ** 0.5
+        return {w: x / size for w, x in v.items()}
+
+    vectors = [(y, vector(ws)) for y, ws in examples]
+    marked = [y for i, y in mark.items() if fold(i) != 0]
+    prior = sum(marked) / len(marked)
+
+    def vote(ws):
+        q = vector(ws)
+        near = sorted(((sum(x * e.get(w, 0) for w, x in q.items()), y) for y, e in vectors), key=lambda x: -x[0])
+        near = [(c, y) for c, y in near if c > 0][: toxicity.NEIGHBOURS]
+        power = [1 / (max(1 - c, 0) + 0.05) for c, _ in near]
+        return (sum(p * y for p, (_, y) in zip(power, near)) + 0.5 * prior) / (sum(power) + 0.5), [c for c, _ in near]
+
+    return [vote(ws) for ws in words], [(vote(ws)[0], y) for y, f, ws in sample if f == 4], marked
+
+
+def test_toxicity_equals_loops(spark):
+    rows, labels = toxic_rows()
+    docs = spark.createDataFrame(rows, "doc_id long, text string").repartition(3)
+    marks = spark.createDataFrame(labels, "doc_id long, toxic int")
+    votes, held, marked = votes_by_loops(rows, labels)
+    a, b = toxicity.fit(docs, marks).curve
+    y, x = np.array([h[1] for h in held]), toxicity.logit(np.array([h[0] for h in held]))
+    w = np.where(y == 1, sum(marked) / y.sum(), (len(marked) - sum(marked)) / (1 - y).sum())
+    w /= w.mean()
+
+    def loss(a, b):
+        p = 1 / (1 + np.exp(-(a * x + b)))
+        return -(w * (y * np.log(p) + (1 - y) * np.log(1 - p))).sum() + 0.05 * (a - 1) ** 2 + 0.05 * b * b
+
+    assert all(loss(a, b) <= loss(a + da, b + db) for da in (-0.01, 0, 0.01) for db in (-0.01, 0, 0.01))
+    got = {r.doc_id: r for r in toxicity.score_documents(docs, marks).collect()}
+    for (i, text), (vote, cosines) in zip(rows, votes):
+        assert np.allclose([e.similarity for e in got[i].evidence], cosines)
+        assert np.isclose(got[i].score, 1 / (1 + np.exp(-(a * toxicity.logit(vote) + b))))
+        assert got[i].predicted == int(got[i].score >= 0.5)
+        assert bool(cosines) == any(c.isalpha() and c != "z" for c in (text or "").replace("only", ""))
+    kept = {r.doc_id for r in toxicity.keep_clean(docs, marks).collect()}
+    assert kept == {i for i, r in got.items() if not r.predicted} and 40 < len(rows) - 1 - len(kept) < 90
+
+
 def test_water_filling_shares(spark):
     docs = spark.createDataFrame([(i, "w " * (1 + i % 7), "abc"[min(i % 9, 2)]) for i in range(300)], "doc_id long, text string, source string")
     rows = mixing.mix(docs).groupBy("source").agg(F.sum("taken").alias("t"), F.first("target").alias("x"), F.first("source_size").alias("s"))

@@ -1,30 +1,35 @@
 """Toxicity by the nearest labelled examples: exact TF-IDF cosine over a block-max inverted index.
 
-Fitting, on a bounded sample of labelled rows (``TOXIC_ROWS`` and ``CLEAN_ROWS`` by hash order):
-words and beginnings of words (3 to 7 letters, so that forms of a word meet) whose presence depends
-on the label (chi-squared) become the vocabulary, at most ``TERMS``;
-document frequencies for the weights are counted over all documents. Three in four sample rows
-become examples, the others calibrate.
+Terms are all words of the whole text, lower-cased, known by a 64-bit hash. None is chosen, dropped
+or capped. A term's weight is
 
-The terms of every text (a few numbers) are stored in the shared folder; document frequencies come
-from there, and so do scores beside an id. Where whole rows are filtered, their texts are not stored
-again but read for terms a second time.
+    (1 + log(count in the text)) * idf * (LEAST_SHARE + chi / (chi + HALF_CHI)),
+
+with document frequencies counted over all documents and chi the chi-squared of the word's presence
+against the label in the examples: a word that tells nothing about the label still counts, a word
+that does counts up to some twenty times as much. A word that no sample row has cannot be shared
+with an example; it counts towards the length of its vector as a word of document frequency 0.
+
+Fitting takes a bounded sample of labelled texts (``TOXIC_ROWS`` and ``CLEAN_ROWS``, by hash order,
+each distinct text once). Three in four become examples, the others calibrate.
 
 The index keeps the examples in blocks of ``BLOCK`` similar ones and, per term, the largest
 weight in each block that has it. A query adds up these maxima to bound every block, scores the
-``FIRST_BLOCKS`` blocks of the best bounds, and then all blocks that can still beat its k-th best: the
-k nearest are exact (of equally near ones in the scored blocks the first in index order count, the
-same in every run). Each votes for its label with weight 1 / (distance + 0.05); the prior votes
-with a small weight, and a logistic curve, fitted on the calibration rows weighted to the label
-shares of all labelled rows, turns the vote into a probability. The neighbours are the evidence.
+``FIRST_BLOCKS`` blocks of the best bounds, and then all blocks that can still reach its k-th best: the
+k nearest are exact (of equally near ones the first in index order count). Each votes for its label
+with weight 1 / (distance + 0.05); the prior votes with a small weight, and a logistic curve, fitted on
+the calibration rows weighted to the label shares of all labelled rows, turns the vote into a
+probability. The neighbours are the evidence.
 
-Defined cases: NULL counts as empty; an empty text, or one without any term of the vocabulary, has
+Defined cases: NULL counts as empty; a text without words, or without any word of an example, has
 no neighbours and gets the probability of the prior's vote. Without labels of both kinds every
 score is the share of label 1 (0 without labels). Labels that are NULL are left out; of several
-labels for one id the largest counts. Repeated rows get equal scores. Other columns play no part;
+labels for one id the largest counts. Of labelled rows with equal texts the largest label counts, with the
+least id that has it. Repeated rows get equal scores. Other columns play no part;
 only the text is an input of a score. An empty table gives an empty result.
 
-The broadcast model is bounded: TERMS weights and TOXIC_ROWS + CLEAN_ROWS sparse examples.
+Bounded by the sample: the words of TOXIC_ROWS + CLEAN_ROWS texts, which the driver and the broadcast
+model hold as sparse vectors. Every document is read once to count and once to be scored.
 """
 
 from __future__ import annotations
@@ -35,25 +40,23 @@ from dataclasses import dataclass
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import Column, DataFrame
+import xxhash
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from wardlight.llm.common import cut_lineage, each_text, small_batches, whole_text
-from wardlight.session import shared_dir
 
 TOXIC_ROWS, CLEAN_ROWS = 3_000, 6_000
-TERMS = 1_024
-LEAST_DOCS, LEAST_CHI = 5, 20.0
+SAMPLE_BUCKETS = 64  # in which the samples of all tasks are reduced first
+LEAST_SHARE, HALF_CHI = 0.05, 50.0
 NEIGHBOURS = 15
-BLOCK = 64
+BLOCK = 32
 FIRST_BLOCKS = 4  # scored first; their k-th best cosine rules out other blocks
-BEGINNINGS = range(3, 8)
-WORDS_KEPT = 60_000
+WORDS_KEPT = 200_000
 PRIOR_WEIGHT = 0.5
 FOLDS = 5  # fold 0 is held out, the last one calibrates
 
 WORD = re.compile(r"[^\W\d_]+")
-TERMS_OF = "places of terms"
 RESULT = "struct<score: double, evidence: array<struct<doc_id: bigint, similarity: double, toxic: int>>>"
 
 
@@ -65,33 +68,19 @@ def words_of(text: str) -> list[str]:
     return WORD.findall(text.lower())
 
 
-def terms_of(word: str) -> list[str]:
-    """A word and its beginnings: other forms of a word share them."""
-    return [word, *(f"{word[:n]}*" for n in BEGINNINGS if len(word) > n)]
-
-
-class Lookup(dict):
-    """Word -> places of its terms in the vocabulary; bounded memory.
-
-    Each term that a word can have starts with the word's first three letters (or is the word), so
-    a word whose first letters start no term is passed over.
-    """
+class Hashes(dict):
+    """Word -> its 64-bit hash; bounded memory."""
 
-    def __init__(self, vocabulary: dict[str, int]):
-        super().__init__()
-        self.vocabulary = vocabulary
-        self.starts = {term.rstrip("*")[: BEGINNINGS[0]] for term in vocabulary}
-
-    def __missing__(self, word: str) -> tuple[int, ...]:
+    def __missing__(self, word: str) -> int:
         if len(self) >= WORDS_KEPT:
             self.clear()
-        found = self[word] = tuple(self.vocabulary[t] for t in terms_of(word) if t in self.vocabulary)
+        found = self[word] = xxhash.xxh64_intdigest(word.encode())
         return found
 
-    def places(self, text: str) -> list[int]:
-        """Places of all terms of a text, repeats included."""
-        starts, n = self.starts, BEGINNINGS[0]
-        return [i for word in words_of(text) if word[:n] in starts for i in self[word]]
+    def counts(self, text: str) -> tuple[np.ndarray, np.ndarray]:
+        """Hashes of the distinct words of a text, and how often each occurs."""
+        words = words_of(text)
+        return np.unique(np.fromiter(map(self.__getitem__, words), np.uint64, len(words)), return_counts=True)
 
 
 @dataclass
@@ -123,52 +112,87 @@ class BlockMaxIndex:
         n_blocks = max(-(-len(order) // BLOCK), 1)
         keys, starts = np.unique(terms * n_blocks + rows // BLOCK, return_index=True)
         maxima = np.maximum.reduceat(weights, starts) if len(keys) else np.zeros(0)
-        term_starts = np.searchsorted(keys // n_blocks, np.arange(n_terms + 1))
-        return BlockMaxIndex(
-            rows, weights, np.append(starts, len(rows)), keys % n_blocks, maxima, term_starts, len(order)
-        ), order
-
-    def cosines(self, spans: np.ndarray, factors: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        term_starts = np.searchsorted(keys // n_blocks, np.arange(n_terms + 1)).astype(np.int32)
+        span_ends = np.append(starts, len(rows)).astype(np.int32)
+        blocks = (keys % n_blocks).astype(np.int32)
+        return BlockMaxIndex(rows, weights, span_ends, blocks, maxima, term_starts, len(order)), order
+
+    def of_terms(self, terms: np.ndarray, weights: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """Places and cosines of all examples that share a term."""
+        starts = self.span_ends[self.term_starts[terms]]
+        ends = self.span_ends[self.term_starts[terms + 1]]
+        runs = [slice(a, b) for a, b in zip(starts.tolist(), ends.tolist()) if a < b]
+        if not runs:
+            return np.zeros(0, np.int64), np.zeros(0)
+        rows = np.concatenate([self.rows[r] for r in runs])
+        products = np.concatenate([self.weights[r] for r in runs])
+        products *= np.repeat(weights, ends - starts)
+        return self.summed(rows, products)
+
+    def of_spans(self, spans: np.ndarray, factors: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
         """Places and cosines of the examples in some spans, each span times its factor."""
-        sizes = self.span_ends[spans + 1] - self.span_ends[spans]
-        skipped = self.span_ends[spans] - np.cumsum(sizes) + sizes
-        at = np.arange(sizes.sum()) + np.repeat(skipped, sizes)
-        sums = np.bincount(self.rows[at], self.weights[at] * np.repeat(factors, sizes), self.n)
+        starts = self.span_ends[spans]
+        sizes = self.span_ends[spans + 1] - starts
+        at = np.arange(sizes.sum()) + np.repeat(starts - np.cumsum(sizes) + sizes, sizes)
+        return self.summed(self.rows[at], self.weights[at] * np.repeat(factors, sizes))
+
+    def summed(self, rows: np.ndarray, products: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        sums = np.bincount(rows, products, self.n)
         places = np.flatnonzero(sums > 0)
         return places, sums[places]
 
     def nearest(self, terms: np.ndarray, weights: np.ndarray, k: int) -> tuple[np.ndarray, np.ndarray]:
         """Places and cosines of the k nearest with a positive cosine."""
-        counts = self.term_starts[terms + 1] - self.term_starts[terms]
-        skipped = self.term_starts[terms] - np.cumsum(counts) + counts
-        spans = np.arange(counts.sum()) + np.repeat(skipped, counts)
+        first_span = self.term_starts[terms]
+        counts = self.term_starts[terms + 1] - first_span
+        spans = np.arange(counts.sum()) + np.repeat(first_span - np.cumsum(counts) + counts, counts)
         factors = np.repeat(weights, counts)
         blocks = self.span_blocks[spans]
         bounds = np.bincount(blocks, factors * self.span_maxima[spans], -(-self.n // BLOCK))
         best = np.zeros(len(bounds), bool)
         best[np.argsort(-bounds, kind="stable")[:FIRST_BLOCKS]] = True
         first = best[blocks]
-        places, cosines = self.cosines(spans[first], factors[first])
+        places, cosines = self.of_spans(spans[first], factors[first])
         least = np.partition(cosines, -k)[-k] if len(cosines) >= k else 0.0
-        # no other block holds anything nearer than the k-th so far
-        rest = ((bounds > least + 1e-12) & ~best)[blocks]
-        if rest.any():
-            more, likewise = self.cosines(spans[rest], factors[rest])
+        # no other block holds anything as near as the k-th so far
+        open_ones = (bounds > 0) & (bounds >= least - 1e-9) & ~best
+        if 4 * open_ones.sum() > len(bounds):  # whole terms are quicker to read than spans
+            places, cosines = self.of_terms(terms, weights)
+        elif open_ones.any():
+            rest = open_ones[blocks]
+            more, likewise = self.of_spans(spans[rest], factors[rest])
             places, cosines = np.append(places, more), np.append(cosines, likewise)
-        nearest = np.lexsort((places, -cosines))[:k]
+        nearest = places_of_largest(cosines, places, k)
         return places[nearest], cosines[nearest]
 
 
+def places_of_largest(values: np.ndarray, places: np.ndarray, k: int) -> np.ndarray:
+    """Where the k largest values stand, in order; of equal ones the least place first."""
+    among = np.arange(len(values))
+    if len(values) > k:
+        among = np.flatnonzero(values >= np.partition(values, -k)[-k])
+    return among[np.lexsort((places[among], -values[among]))[:k]]
+
+
 @dataclass
 class Model:
-    vocabulary: dict[str, int]
-    idf: np.ndarray
+    words: np.ndarray  # sorted hashes of all words of the sample; places in it are terms
+    scale: np.ndarray  # idf times the word's share, per term
+    unknown: float  # the same for a word that the sample lacks
     index: BlockMaxIndex
     labels: np.ndarray
     ids: np.ndarray
     prior: float
     curve: tuple[float, float] | None
 
+    def vector(self, hashes: np.ndarray, counts: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """Terms and weights of a text of length 1, without the words that the sample lacks."""
+        terms, known = places_in(self.words, hashes)
+        scale = np.full(len(hashes), self.unknown)
+        scale[known] = self.scale[terms]
+        weights = (1 + np.log(counts)) * scale
+        return terms, weights[known] / max(float(np.sqrt(weights @ weights)), 1e-300)
+
     def vote(self, terms: np.ndarray, weights: np.ndarray) -> tuple[float, np.ndarray, np.ndarray]:
         if not len(terms) or not self.index.n:
             return self.prior, np.zeros(0, np.int64), np.zeros(0)
@@ -189,21 +213,18 @@ def logit(p: float | np.ndarray) -> float | np.ndarray:
     return np.log(p / (1 - p))
 
 
-def unit_vector(places: np.ndarray, idf: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-    """Terms and weights of a text, from the places of its terms, repeats included."""
-    if not len(places):
-        return np.zeros(0, np.int64), np.zeros(0)
-    terms, counts = np.unique(places, return_counts=True)
-    weights = (1 + np.log(counts)) * idf[terms]
-    return terms, weights / np.sqrt(weights @ weights)
+def places_in(words: np.ndarray, hashes: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Places of those hashes that are among the sorted ``words``, and which ones these are."""
+    at = np.searchsorted(words, hashes)
+    known = words[np.minimum(at, len(words) - 1)] == hashes if len(words) else np.zeros(len(hashes), bool)
+    return at[known], known
 
 
-def fit(docs: DataFrame, labels: DataFrame, columns: list[str]) -> tuple[Model, DataFrame]:
-    """A model from the labelled rows of ``docs`` that are not in fold 0, and the rows with their terms.
+def sample_of(docs: DataFrame, labels: DataFrame) -> tuple[DataFrame, dict[int, int]]:
+    """Distinct labelled texts outside fold 0 (id, toxic, fold, text), bounded, and the number of labels of each kind.
 
-    The rows have ``columns`` of ``docs`` and the places of their terms in a column TERMS_OF.
+    Texts are told apart by digest; whole texts are read for the rows that are taken only.
     """
-    small_batches(docs.sparkSession)
     marks = (
         labels.filter(F.col("toxic").isNotNull() & F.col("doc_id").isNotNull())
         .groupBy(F.col("doc_id").alias("id"))
@@ -212,48 +233,80 @@ def fit(docs: DataFrame, labels: DataFrame, columns: list[str]) -> tuple[Model,
         .filter("fold != 0")
     )
     n_of = {r["toxic"]: r["n"] for r in marks.groupBy("toxic").agg(F.count("*").alias("n")).collect()}
-    total = sum(n_of.values())
-    prior = n_of.get(1, 0) / total if total else 0.0
-    order = F.xxhash64(F.lit("sample"), "id")
-    sample = [
-        marks.filter(F.col("toxic") == y).orderBy(order, "id").limit(size)
-        for y, size in ((1, TOXIC_ROWS), (0, CLEAN_ROWS))
-    ]
-    picked = cut_lineage(sample[0].unionByName(sample[1]))
     texts = docs.select(F.col("doc_id").alias("id"), whole_text().alias("text"))
-    rows = cut_lineage(texts.join(F.broadcast(picked), "id").dropDuplicates(["text"]))
-
-    vocabulary = vocabulary_of(rows)
-    path = shared_dir(docs.sparkSession, "toxicity-terms")
-    docs.select(*columns, known_terms(vocabulary)(whole_text()).alias(TERMS_OF)).write.parquet(path)
-    read = docs.sparkSession.read.parquet(path)
-    idf = idf_of(read, vocabulary)
-    examples: dict[bool, list] = {True: [], False: []}
-    for r in rows.select("id", "toxic", "fold", known_terms(vocabulary)("text").alias("terms")).collect():
-        terms, weights = unit_vector(np.array(r["terms"], np.int64), idf)
-        if len(terms) or r["fold"] == FOLDS - 1:
-            examples[r["fold"] == FOLDS - 1].append((r["id"], r["toxic"], terms, weights))
-    known = sorted(examples[False], key=lambda e: e[0])
-    index, places = BlockMaxIndex.build([e[2:] for e in known], len(vocabulary))
-    model = Model(
-        vocabulary,
-        idf,
-        index,
-        np.array([known[i][1] for i in places], np.float64),
-        np.array([known[i][0] for i in places], np.int64),
-        prior,
-        None,
+    digest = F.md5(F.col("text").cast("binary")).alias("digest")
+    of_text = texts.select("id", digest).join(marks, "id").groupBy("digest")
+    rows = of_text.agg(F.max(F.struct("toxic", (-F.col("id")).alias("minus"), "fold")).alias("m")).select(
+        "digest", "m.toxic", "m.fold", (-F.col("m.minus")).alias("id")
     )
-    calibrate(model, examples[True], n_of)
-    return model, read
+    limit = F.when(F.col("toxic") == 1, TOXIC_ROWS).otherwise(CLEAN_ROWS)
+    rows = rows.withColumn("order", F.xxhash64(F.lit("sample"), "digest"))
+    rows = rows.withColumn("bucket", F.pmod("order", F.lit(SAMPLE_BUCKETS)))
+    for keys in (["toxic", "bucket"], ["toxic"]):
+        first = Window.partitionBy(*keys).orderBy("order", "digest")
+        most = max(TOXIC_ROWS, CLEAN_ROWS)  # a constant, so that tasks keep their first rows only
+        rows = rows.withColumn("at", F.row_number().over(first)).filter(F.col("at") <= most)
+    picked = cut_lineage(rows.filter(F.col("at") <= limit).select("id", "digest", "toxic", "fold"))
+    found = texts.select("id", "text", digest).join(F.broadcast(picked), ["id", "digest"])
+    return found.dropDuplicates(["digest"]).select("id", "toxic", "fold", "text"), n_of
+
+
+def word_counts(rows: DataFrame) -> DataFrame:
+    """The rows with hashes and counts of their words in place of their text."""
+
+    @F.arrow_udf("struct<hashes: binary, counts: binary>")
+    def count(batches: Iterator[pa.Array]) -> Iterator[pa.Array]:
+        known = Hashes()
+        for texts in batches:
+            found = [known.counts(t) for t in each_text(texts)]
+            columns = [pa.array([f[i].tobytes() for f in found], pa.binary()) for i in (0, 1)]
+            yield pa.StructArray.from_arrays(columns, ["hashes", "counts"])
+
+    return rows.select("id", "toxic", "fold", count("text").alias("w")).select("id", "toxic", "fold", "w.*")
+
+
+def fit(docs: DataFrame, labels: DataFrame) -> Model:
+    """A model from the labelled rows of ``docs`` that are not in fold 0."""
+    small_batches(docs.sparkSession)
+    sample, n_of = sample_of(docs, labels)
+    total = sum(n_of.values())
+    prior = n_of.get(1, 0) / total if total else 0.0
+    rows = sorted(word_counts(sample).toArrow().to_pylist(), key=lambda r: r["id"])
+    for r in rows:
+        r["hashes"], r["counts"] = np.frombuffer(r["hashes"], np.uint64), np.frombuffer(r["counts"], np.int64)
+    words = np.unique(np.concatenate([r["hashes"] for r in rows] or [np.zeros(0, np.uint64)]))
+    examples = [r for r in rows if r["fold"] != FOLDS - 1]
+    idf, unknown = idf_of(docs, words)
+    scale = idf * (LEAST_SHARE + label_share(words, examples))
+    model = Model(words, scale, unknown * LEAST_SHARE, None, None, None, prior, None)
+    vectors = [model.vector(r["hashes"], r["counts"]) for r in examples]
+    model.index, places = BlockMaxIndex.build(vectors, len(words))
+    model.labels = np.array([examples[i]["toxic"] for i in places], np.float64)
+    model.ids = np.array([examples[i]["id"] for i in places], np.int64)
+    calibrate(model, [r for r in rows if r["fold"] == FOLDS - 1], n_of)
+    return model
+
+
+def label_share(words: np.ndarray, examples: list[dict]) -> np.ndarray:
+    """Per word, 0 to 1: how much its presence in an example depends on the label."""
+    terms = np.concatenate([places_in(words, r["hashes"])[0] for r in examples] or [np.zeros(0, np.int64)])
+    toxic = np.repeat([float(r["toxic"]) for r in examples], [len(r["hashes"]) for r in examples])
+    n, t = len(examples), sum(r["toxic"] for r in examples)
+    if not 0 < t < n:
+        return np.zeros(len(words))
+    df = np.bincount(terms, minlength=len(words)).astype(np.float64)
+    both = np.bincount(terms, toxic, len(words))
+    spread = df * (n - df) * t * (n - t)
+    chi = np.where(spread > 0, (both * n - df * t) ** 2 * n / np.maximum(spread, 1), 0.0)
+    return chi / (chi + HALF_CHI)
 
 
 def calibrate(model: Model, rows: list, n_of: dict[int, int]) -> None:
     """A logistic curve from vote to probability, by Newton steps with a small penalty."""
-    y = np.array([r[1] for r in rows], np.float64)
+    y = np.array([r["toxic"] for r in rows], np.float64)
     if len(set(y.tolist())) < 2 or not model.index.n:
         return
-    x = np.array([logit(model.vote(r[2], r[3])[0]) for r in rows])
+    x = np.array([logit(model.vote(*model.vector(r["hashes"], r["counts"]))[0]) for r in rows])
     w = np.where(y == 1, n_of[1] / y.sum(), n_of[0] / (1 - y).sum())
     w /= w.mean()
     a, b = 1.0, 0.0
@@ -267,80 +320,39 @@ def calibrate(model: Model, rows: list, n_of: dict[int, int]) -> None:
     model.curve = (float(a), float(b))
 
 
-def vocabulary_of(rows: DataFrame) -> dict[str, int]:
-    """Terms that depend on the label, strongest first; at most TERMS."""
-
-    @F.arrow_udf("array<string>")
-    def terms(batches: Iterator[pa.Array]) -> Iterator[pa.Array]:
-        for texts in batches:
-            found = [list({f for w in set(words_of(t)) for f in terms_of(w)}) for t in each_text(texts)]
-            yield pa.array(found, pa.list_(pa.string()))
-
-    sizes = rows.agg(F.count("*").alias("n"), F.sum("toxic").alias("t")).first()
-    n, t = float(sizes["n"] or 0), float(sizes["t"] or 0)
-    if not 0 < t < n:
-        return {}
-    df, both = F.col("df"), F.col("both")
-    expected = df * t / n
-    chi = F.pow(both - expected, 2) * n * n / (df * (n - df) * t * (n - t) / n)
-    found = (
-        rows.select("toxic", F.explode(terms("text")).alias("term"))
-        .groupBy("term")
-        .agg(F.count("*").alias("df"), F.sum("toxic").alias("both"))
-        .filter((df >= LEAST_DOCS) & (df < n))
-        .withColumn("chi", chi)
-        .filter(F.col("chi") >= LEAST_CHI)
-        .orderBy(F.col("chi").desc(), "term")
-        .limit(TERMS)
-    )
-    return {r["term"]: i for i, r in enumerate(found.collect())}
-
-
-def known_terms(vocabulary: dict[str, int]):
-    @F.arrow_udf("array<int>")
-    def terms(batches: Iterator[pa.Array]) -> Iterator[pa.Array]:
-        lookup = Lookup(vocabulary)
-        for texts in batches:
-            yield pa.array([lookup.places(t) for t in each_text(texts)], pa.list_(pa.int32()))
-
-    return terms
-
+def idf_of(docs: DataFrame, words: np.ndarray) -> tuple[np.ndarray, float]:
+    """Inverse document frequencies, counted over all documents: of the given words, and of one in no document.
 
-def idf_of(read: DataFrame, vocabulary: dict[str, int]) -> np.ndarray:
-    """Inverse document frequencies of the vocabulary, counted over all documents.
-
-    A task adds up its rows in one array, so it gives out a count per term however many rows it has.
+    A task adds up its rows in one array, so it gives out a count per word however many rows it has.
     """
-    size = len(vocabulary)
+    sent = docs.sparkSession.sparkContext.broadcast(words)
 
     def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        seen, rows = np.zeros(size, np.int64), 0
+        known, seen, rows = Hashes(), np.zeros(len(sent.value), np.int64), 0
         for batch in batches:
-            terms = batch[TERMS_OF]
             rows += batch.num_rows
-            places = terms.flatten().to_numpy(zero_copy_only=False).astype(np.int64)
-            row = np.repeat(np.arange(len(terms)), terms.value_lengths().to_numpy(zero_copy_only=False))
-            if len(places):
-                seen += np.bincount(np.unique(row * size + places) % size, minlength=size)
-        yield pa.RecordBatch.from_pydict({"term": np.arange(-1, size), "df": np.append(rows, seen)})
+            for text in each_text(batch["text"]):
+                seen[places_in(sent.value, known.counts(text)[0])[0]] += 1
+        found = np.flatnonzero(seen)
+        yield pa.RecordBatch.from_pydict({"term": np.append(-1, found), "df": np.append(rows, seen[found])})
 
-    counted = read.select(TERMS_OF).mapInArrow(count, "term long, df long").groupBy("term").agg(F.sum("df").alias("df"))
-    df = {r["term"]: r["df"] for r in counted.collect()}
-    n = df.get(-1, 0)
-    return np.log((1 + n) / (1 + np.array([df.get(i, 0) for i in range(size)], np.float64))) + 1
+    counted = docs.select(whole_text().alias("text")).mapInArrow(count, "term long, df long")
+    sums = counted.groupBy("term").agg(F.sum("df").alias("df")).toArrow()
+    terms, df = (sums[c].to_numpy() for c in ("term", "df"))
+    n, of_word = int(df[terms < 0].sum()), np.zeros(len(words))
+    of_word[terms[terms >= 0]] = df[terms >= 0]
+    return np.log((1 + n) / (1 + of_word)) + 1, float(np.log(1 + n) + 1)
 
 
 def scorer(docs: DataFrame, model: Model):
-    """A column function: places of terms to a struct of score and evidence."""
+    """A column function: text to a struct of score and evidence."""
     sent = docs.sparkSession.sparkContext.broadcast(model)
 
     @F.arrow_udf(RESULT)
     def score(batches: Iterator[pa.Array]) -> Iterator[pa.Array]:
-        m = sent.value
-        for terms in batches:
-            places = terms.flatten().to_numpy(zero_copy_only=False)
-            ends = np.append(0, np.cumsum(terms.value_lengths().to_numpy(zero_copy_only=False))).astype(np.int64)
-            votes = [m.vote(*unit_vector(places[a:b], m.idf)) for a, b in zip(ends[:-1], ends[1:])]
+        m, known = sent.value, Hashes()
+        for texts in batches:
+            votes = [m.vote(*m.vector(*known.counts(t))) for t in each_text(texts)]
             near = np.concatenate([v[1] for v in votes] or [np.zeros(0, np.int64)])
             cosines = np.concatenate([v[2] for v in votes] or [np.zeros(0)])
             columns = [pa.array(m.ids[near]), pa.array(cosines), pa.array(m.labels[near].astype(np.int32))]
@@ -353,28 +365,13 @@ def scorer(docs: DataFrame, model: Model):
     return score
 
 
-def text_scorer(docs: DataFrame, model: Model):
-    """A column function: text to score."""
-    sent = docs.sparkSession.sparkContext.broadcast(model)
-
-    @F.arrow_udf("double")
-    def score(batches: Iterator[pa.Array]) -> Iterator[pa.Array]:
-        m = sent.value
-        lookup = Lookup(m.vocabulary)
-        for texts in batches:
-            vectors = (unit_vector(np.array(lookup.places(t), np.int64), m.idf) for t in each_text(texts))
-            yield pa.array([m.probability(m.vote(*v)[0]) for v in vectors], pa.float64())
-
-    return score
-
-
 def score_documents(docs: DataFrame, labels: DataFrame) -> DataFrame:
     """Per row: doc_id, held_out, score, predicted and evidence."""
-    model, read = fit(docs, labels, ["doc_id"])
-    return read.select(
+    model = fit(docs, labels)
+    return docs.select(
         "doc_id",
         (fold_of(F.col("doc_id")) == 0).alias("held_out"),
-        scorer(docs, model)(TERMS_OF).alias("r"),
+        scorer(docs, model)(whole_text()).alias("r"),
     ).select(
         "doc_id",
         "held_out",
@@ -386,5 +383,5 @@ def score_documents(docs: DataFrame, labels: DataFrame) -> DataFrame:
 
 def keep_clean(docs: DataFrame, labels: DataFrame) -> DataFrame:
     """The documents whose score is below 0.5, with all their columns."""
-    model, _ = fit(docs, labels, [])
-    return docs.filter(text_scorer(docs, model)(whole_text()) < 0.5)
+    score = scorer(docs, fit(docs, labels))
+    return docs.filter(score(whole_text())["score"] < 0.5)
