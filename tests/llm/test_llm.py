@@ -203,7 +203,9 @@ def test_secret_threshold_counts_all_held_out_whole(spark):
     assert secrets.threshold_of({}) == 2.0
 
 
-def test_nearest_examples_equal_brute_force():
+@pytest.mark.parametrize("common", [0, 5, 256])
+def test_nearest_examples_equal_brute_force(common, monkeypatch):
+    monkeypatch.setattr(toxicity, "COMMON", common)
     rng = np.random.default_rng(1)
     vectors = []
     for _ in range(700):
@@ -214,8 +216,7 @@ def test_nearest_examples_equal_brute_force():
     dense = np.zeros((700, 40))
     for row, (t, w) in enumerate(vectors):
         dense[row, t] = w
-    for t, w in vectors[:80]:
-        _, cosines = index.nearest(t, w, 15)
+    for (t, w), (_, cosines) in zip(vectors[:80], index.nearest(vectors[:80], 15)):
         q = np.zeros(40)
         q[t] = w
         assert np.allclose(cosines, np.sort(dense @ q)[::-1][:15])

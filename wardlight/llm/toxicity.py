@@ -14,9 +14,11 @@ Fitting takes a bounded sample of labelled texts (``TOXIC_ROWS`` and ``CLEAN_ROW
 each distinct text once). Three in four become examples, the others calibrate.
 
 The index keeps the examples in blocks of ``BLOCK`` similar ones and, per term, the largest
-weight in each block that has it. A query adds up these maxima to bound every block, scores the
-``FIRST_BLOCKS`` blocks of the best bounds, and then all blocks that can still reach its k-th best: the
-k nearest are exact (of equally near ones the first in index order count). Each votes for its label
+weight in each block that has it. The ``COMMON``
+terms with most postings have these as a matrix, and what they add up to is a least cosine of every
+example. With the maxima of all other terms added it bounds every block, and the blocks that can reach
+the k-th best least cosine are scored: the k nearest are exact (of equally near ones the first in index
+order count). Each votes for its label
 with weight 1 / (distance + 0.05); the prior votes with a small weight, and a logistic curve, fitted on
 the calibration rows weighted to the label shares of all labelled rows, turns the vote into a
 probability. The neighbours are the evidence.
@@ -51,7 +53,8 @@ SAMPLE_BUCKETS = 64  # in which the samples of all tasks are reduced first
 LEAST_SHARE, HALF_CHI = 0.05, 50.0
 NEIGHBOURS = 15
 BLOCK = 32
-FIRST_BLOCKS = 4  # scored first; their k-th best cosine rules out other blocks
+COMMON = 512  # terms whose postings are a matrix
+QUERIES = 32  # that multiply it at once
 WORDS_KEPT = 200_000
 PRIOR_WEIGHT = 0.5
 FOLDS = 5  # fold 0 is held out, the last one calibrates
@@ -87,7 +90,8 @@ class Hashes(dict):
 class BlockMaxIndex:
     """Unit vectors in blocks, as postings by term and block, with the largest weight of each term in each block.
 
-    A span is the postings of one term in one block.
+    A span is the postings of one term in one block. The ``COMMON`` terms with the most postings have
+    theirs as columns of a matrix, which many queries multiply at once.
     """
 
     rows: np.ndarray  # example of every posting, in order of term, block, example
@@ -96,6 +100,8 @@ class BlockMaxIndex:
     span_blocks: np.ndarray
     span_maxima: np.ndarray
     term_starts: np.ndarray  # spans of term t: term_starts[t] to term_starts[t + 1]
+    common: np.ndarray  # terms with a column, in order
+    matrix: np.ndarray  # weights of common terms by example
     n: int
 
     @staticmethod
@@ -109,69 +115,67 @@ class BlockMaxIndex:
         rows = np.repeat(np.arange(len(order)), sizes)
         by_term = np.argsort(terms, kind="stable")
         terms, weights, rows = terms[by_term], weights[by_term], rows[by_term]
+        uses = np.bincount(terms, minlength=n_terms)
+        common = np.sort(np.argsort(-uses, kind="stable")[:COMMON])
+        column = np.searchsorted(common, terms)
+        dense = common[np.minimum(column, len(common) - 1)] == terms if len(common) else np.zeros(len(terms), bool)
+        matrix = np.zeros((len(common), len(order)))
+        matrix[column[dense], rows[dense]] = weights[dense]
+        terms, weights, rows = terms[~dense], weights[~dense], rows[~dense]
         n_blocks = max(-(-len(order) // BLOCK), 1)
         keys, starts = np.unique(terms * n_blocks + rows // BLOCK, return_index=True)
         maxima = np.maximum.reduceat(weights, starts) if len(keys) else np.zeros(0)
         term_starts = np.searchsorted(keys // n_blocks, np.arange(n_terms + 1)).astype(np.int32)
         span_ends = np.append(starts, len(rows)).astype(np.int32)
         blocks = (keys % n_blocks).astype(np.int32)
-        return BlockMaxIndex(rows, weights, span_ends, blocks, maxima, term_starts, len(order)), order
-
-    def of_terms(self, terms: np.ndarray, weights: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-        """Places and cosines of all examples that share a term."""
-        starts = self.span_ends[self.term_starts[terms]]
-        ends = self.span_ends[self.term_starts[terms + 1]]
-        runs = [slice(a, b) for a, b in zip(starts.tolist(), ends.tolist()) if a < b]
-        if not runs:
-            return np.zeros(0, np.int64), np.zeros(0)
-        rows = np.concatenate([self.rows[r] for r in runs])
-        products = np.concatenate([self.weights[r] for r in runs])
-        products *= np.repeat(weights, ends - starts)
-        return self.summed(rows, products)
-
-    def of_spans(self, spans: np.ndarray, factors: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-        """Places and cosines of the examples in some spans, each span times its factor."""
-        starts = self.span_ends[spans]
-        sizes = self.span_ends[spans + 1] - starts
+        return BlockMaxIndex(
+            rows, weights, span_ends, blocks, maxima, term_starts, common, matrix, len(order)
+        ), order
+
+    def sums_of(self, first_span: np.ndarray, end_span: np.ndarray, factors: np.ndarray) -> np.ndarray:
+        """What some runs of spans, each times its factor, add to the cosine of every example."""
+        starts = self.span_ends[first_span]
+        sizes = self.span_ends[end_span] - starts
         at = np.arange(sizes.sum()) + np.repeat(starts - np.cumsum(sizes) + sizes, sizes)
-        return self.summed(self.rows[at], self.weights[at] * np.repeat(factors, sizes))
-
-    def summed(self, rows: np.ndarray, products: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-        sums = np.bincount(rows, products, self.n)
-        places = np.flatnonzero(sums > 0)
-        return places, sums[places]
-
-    def nearest(self, terms: np.ndarray, weights: np.ndarray, k: int) -> tuple[np.ndarray, np.ndarray]:
-        """Places and cosines of the k nearest with a positive cosine."""
-        first_span = self.term_starts[terms]
-        counts = self.term_starts[terms + 1] - first_span
+        return np.bincount(self.rows[at], self.weights[at] * np.repeat(factors, sizes), self.n)
+
+    def nearest(self, queries: list[tuple[np.ndarray, np.ndarray]], k: int) -> Iterator[tuple[np.ndarray, np.ndarray]]:
+        """Per query, places and cosines of the k nearest with a positive cosine."""
+        for begin in range(0, len(queries), QUERIES):
+            some = queries[begin : begin + QUERIES]
+            factors = np.zeros((len(some), len(self.common)))
+            for i, (terms, weights) in enumerate(some):
+                at, known = places_in(terms, self.common)  # both sorted
+                factors[i, known] = weights[at]
+            for (terms, weights), so_far in zip(some, factors @ self.matrix):
+                yield self.nearest_of(terms, weights, so_far, k)
+
+    def nearest_of(
+        self, terms: np.ndarray, weights: np.ndarray, sums: np.ndarray, k: int
+    ) -> tuple[np.ndarray, np.ndarray]:
+        """The same for one query, given what the common terms add to every cosine."""
+        first_span, end_span = self.term_starts[terms], self.term_starts[terms + 1]
+        some = end_span > first_span
+        first_span, end_span, weights = first_span[some], end_span[some], weights[some]
+        counts = end_span - first_span
         spans = np.arange(counts.sum()) + np.repeat(first_span - np.cumsum(counts) + counts, counts)
-        factors = np.repeat(weights, counts)
-        blocks = self.span_blocks[spans]
-        bounds = np.bincount(blocks, factors * self.span_maxima[spans], -(-self.n // BLOCK))
-        best = np.zeros(len(bounds), bool)
-        best[np.argsort(-bounds, kind="stable")[:FIRST_BLOCKS]] = True
-        first = best[blocks]
-        places, cosines = self.of_spans(spans[first], factors[first])
-        least = np.partition(cosines, -k)[-k] if len(cosines) >= k else 0.0
-        # no other block holds anything as near as the k-th so far
-        open_ones = (bounds > 0) & (bounds >= least - 1e-9) & ~best
-        if 4 * open_ones.sum() > len(bounds):  # whole terms are quicker to read than spans
-            places, cosines = self.of_terms(terms, weights)
-        elif open_ones.any():
-            rest = open_ones[blocks]
-            more, likewise = self.of_spans(spans[rest], factors[rest])
-            places, cosines = np.append(places, more), np.append(cosines, likewise)
-        nearest = places_of_largest(cosines, places, k)
-        return places[nearest], cosines[nearest]
-
-
-def places_of_largest(values: np.ndarray, places: np.ndarray, k: int) -> np.ndarray:
-    """Where the k largest values stand, in order; of equal ones the least place first."""
-    among = np.arange(len(values))
-    if len(values) > k:
-        among = np.flatnonzero(values >= np.partition(values, -k)[-k])
-    return among[np.lexsort((places[among], -values[among]))[:k]]
+        factors, blocks = np.repeat(weights, counts), self.span_blocks[spans]
+        rest = np.bincount(blocks, factors * self.span_maxima[spans], -(-self.n // BLOCK))
+        bounds = np.maximum.reduceat(sums, np.arange(0, self.n, BLOCK)) + rest
+        # the sums so far are least cosines: no other block holds anything as near as their k-th
+        least = np.partition(sums, -k)[-k] if len(sums) >= k else 0.0
+        open_ones = bounds >= least - 1e-8
+        if 2 * open_ones.sum() > len(bounds):  # whole terms are quicker to read than spans
+            sums = sums + self.sums_of(first_span, end_span, weights)
+        else:
+            kept = open_ones[blocks]
+            sums = sums + self.sums_of(spans[kept], spans[kept] + 1, factors[kept])
+        sums = sums.round(9)  # the order of additions does not decide
+        among = np.flatnonzero(sums > 0)
+        if len(among) > k:
+            among = np.flatnonzero(sums >= np.partition(sums, -k)[-k])
+        places = among[np.lexsort((among, -sums[among]))[:k]]
+        return places, sums[places]
 
 
 @dataclass
@@ -193,13 +197,16 @@ class Model:
         weights = (1 + np.log(counts)) * scale
         return terms, weights[known] / max(float(np.sqrt(weights @ weights)), 1e-300)
 
-    def vote(self, terms: np.ndarray, weights: np.ndarray) -> tuple[float, np.ndarray, np.ndarray]:
-        if not len(terms) or not self.index.n:
-            return self.prior, np.zeros(0, np.int64), np.zeros(0)
-        places, cosines = self.index.nearest(terms, weights, NEIGHBOURS)
-        power = 1 / (np.maximum(1 - cosines, 0) + 0.05)
-        share = (power @ self.labels[places] + PRIOR_WEIGHT * self.prior) / (power.sum() + PRIOR_WEIGHT)
-        return float(share), places, cosines
+    def votes(self, vectors: list[tuple[np.ndarray, np.ndarray]]) -> list[tuple[float, np.ndarray, np.ndarray]]:
+        """Per vector its vote, and places and cosines of its neighbours."""
+        if not self.index.n:
+            return [(self.prior, np.zeros(0, np.int64), np.zeros(0))] * len(vectors)
+        found = []
+        for places, cosines in self.index.nearest(vectors, NEIGHBOURS):
+            power = 1 / (np.maximum(1 - cosines, 0) + 0.05)
+            share = (power @ self.labels[places] + PRIOR_WEIGHT * self.prior) / (power.sum() + PRIOR_WEIGHT)
+            found.append((float(share) if len(places) else self.prior, places, cosines))
+        return found
 
     def probability(self, share: float) -> float:
         if self.curve is None:
@@ -306,7 +313,7 @@ def calibrate(model: Model, rows: list, n_of: dict[int, int]) -> None:
     y = np.array([r["toxic"] for r in rows], np.float64)
     if len(set(y.tolist())) < 2 or not model.index.n:
         return
-    x = np.array([logit(model.vote(*model.vector(r["hashes"], r["counts"]))[0]) for r in rows])
+    x = logit(np.array([v[0] for v in model.votes([model.vector(r["hashes"], r["counts"]) for r in rows])]))
     w = np.where(y == 1, n_of[1] / y.sum(), n_of[0] / (1 - y).sum())
     w /= w.mean()
     a, b = 1.0, 0.0
@@ -352,7 +359,7 @@ def scorer(docs: DataFrame, model: Model):
     def score(batches: Iterator[pa.Array]) -> Iterator[pa.Array]:
         m, known = sent.value, Hashes()
         for texts in batches:
-            votes = [m.vote(*m.vector(*known.counts(t))) for t in each_text(texts)]
+            votes = m.votes([m.vector(*known.counts(t)) for t in each_text(texts)])
             near = np.concatenate([v[1] for v in votes] or [np.zeros(0, np.int64)])
             cosines = np.concatenate([v[2] for v in votes] or [np.zeros(0)])
             columns = [pa.array(m.ids[near]), pa.array(cosines), pa.array(m.labels[near].astype(np.int32))]
