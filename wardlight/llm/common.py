@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import ctypes
+import gc
 from collections.abc import Iterator
 
 import pyarrow as pa
@@ -37,6 +39,15 @@ def small_batches(spark: SparkSession) -> None:
         spark.conf.set(BATCH_SETTING, ROWS_PER_BATCH)
 
 
+def give_back_memory() -> None:
+    """Hand freed memory of this process back to the system, as far as the C library offers it."""
+    gc.collect()
+    pa.default_memory_pool().release_unused()
+    trim = getattr(ctypes.CDLL(None), "malloc_trim", None)
+    if trim is not None:
+        trim(0)
+
+
 def slices(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     """Arrow batches in pieces of few rows, so that long texts need little memory at once."""
     for batch in batches:

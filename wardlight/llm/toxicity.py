@@ -46,7 +46,7 @@ import xxhash
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from wardlight.llm.common import cut_lineage, each_text, small_batches, whole_text
+from wardlight.llm.common import cut_lineage, each_text, give_back_memory, small_batches, whole_text
 
 TOXIC_ROWS, CLEAN_ROWS = 3_000, 6_000
 SAMPLE_BUCKETS = 64  # in which the samples of all tasks are reduced first
@@ -110,11 +110,12 @@ class BlockMaxIndex:
         heavy = [tuple(t[np.argsort(-w, kind="stable")][:4].tolist()) for t, w in vectors]
         order = np.array(sorted(range(len(vectors)), key=lambda i: (heavy[i], i)), np.int64)
         sizes = np.array([len(vectors[i][0]) for i in order], np.int64)
-        terms = np.concatenate([vectors[i][0] for i in order] or [np.zeros(0, np.int64)]).astype(np.int64)
+        terms = np.concatenate([vectors[i][0] for i in order] or [np.zeros(0, np.int32)]).astype(np.int32)
         weights = np.concatenate([vectors[i][1] for i in order] or [np.zeros(0)])
-        rows = np.repeat(np.arange(len(order)), sizes)
+        rows = np.repeat(np.arange(len(order), dtype=np.int32), sizes)
         by_term = np.argsort(terms, kind="stable")
         terms, weights, rows = terms[by_term], weights[by_term], rows[by_term]
+        del by_term
         uses = np.bincount(terms, minlength=n_terms)
         common = np.sort(np.argsort(-uses, kind="stable")[:COMMON])
         column = np.searchsorted(common, terms)
@@ -122,8 +123,9 @@ class BlockMaxIndex:
         matrix = np.zeros((len(common), len(order)))
         matrix[column[dense], rows[dense]] = weights[dense]
         terms, weights, rows = terms[~dense], weights[~dense], rows[~dense]
+        del column, dense
         n_blocks = max(-(-len(order) // BLOCK), 1)
-        keys, starts = np.unique(terms * n_blocks + rows // BLOCK, return_index=True)
+        keys, starts = np.unique(terms.astype(np.int64) * n_blocks + rows // BLOCK, return_index=True)
         maxima = np.maximum.reduceat(weights, starts) if len(keys) else np.zeros(0)
         term_starts = np.searchsorted(keys // n_blocks, np.arange(n_terms + 1)).astype(np.int32)
         span_ends = np.append(starts, len(rows)).astype(np.int32)
@@ -278,31 +280,45 @@ def fit(docs: DataFrame, labels: DataFrame) -> Model:
     sample, n_of = sample_of(docs, labels)
     total = sum(n_of.values())
     prior = n_of.get(1, 0) / total if total else 0.0
-    rows = sorted(word_counts(sample).toArrow().to_pylist(), key=lambda r: r["id"])
-    for r in rows:
-        r["hashes"], r["counts"] = np.frombuffer(r["hashes"], np.uint64), np.frombuffer(r["counts"], np.int64)
+    found = word_counts(sample).toArrow()
+    rows = found.select(["id", "toxic", "fold"]).to_pylist()
+    for column, kind in (("hashes", np.uint64), ("counts", np.int64)):
+        for r, value in zip(rows, found[column]):
+            r[column] = np.frombuffer(value.as_buffer(), kind)  # a view: the driver holds the words once
+    rows.sort(key=lambda r: r["id"])
     words = np.unique(np.concatenate([r["hashes"] for r in rows] or [np.zeros(0, np.uint64)]))
     examples = [r for r in rows if r["fold"] != FOLDS - 1]
     idf, unknown = idf_of(docs, words)
     scale = idf * (LEAST_SHARE + label_share(words, examples))
     model = Model(words, scale, unknown * LEAST_SHARE, None, None, None, prior, None)
-    vectors = [model.vector(r["hashes"], r["counts"]) for r in examples]
-    model.index, places = BlockMaxIndex.build(vectors, len(words))
+    model.index, places = BlockMaxIndex.build(vectors_of(model, examples), len(words))
     model.labels = np.array([examples[i]["toxic"] for i in places], np.float64)
     model.ids = np.array([examples[i]["id"] for i in places], np.int64)
     calibrate(model, [r for r in rows if r["fold"] == FOLDS - 1], n_of)
+    del rows, examples, found
+    give_back_memory()
     return model
 
 
+def vectors_of(model: Model, rows: list[dict]) -> list[tuple[np.ndarray, np.ndarray]]:
+    """The vectors of some rows, as views of two arrays."""
+    ends = np.cumsum([0] + [len(r["hashes"]) for r in rows])
+    terms, weights = np.zeros(ends[-1], np.int32), np.zeros(ends[-1])
+    for r, a, b in zip(rows, ends, ends[1:]):
+        terms[a:b], weights[a:b] = model.vector(r["hashes"], r["counts"])
+    return [(terms[a:b], weights[a:b]) for a, b in zip(ends, ends[1:])]
+
+
 def label_share(words: np.ndarray, examples: list[dict]) -> np.ndarray:
     """Per word, 0 to 1: how much its presence in an example depends on the label."""
-    terms = np.concatenate([places_in(words, r["hashes"])[0] for r in examples] or [np.zeros(0, np.int64)])
-    toxic = np.repeat([float(r["toxic"]) for r in examples], [len(r["hashes"]) for r in examples])
     n, t = len(examples), sum(r["toxic"] for r in examples)
     if not 0 < t < n:
         return np.zeros(len(words))
-    df = np.bincount(terms, minlength=len(words)).astype(np.float64)
-    both = np.bincount(terms, toxic, len(words))
+    df, both = np.zeros(len(words)), np.zeros(len(words))
+    for r in examples:  # the words of a row are distinct
+        terms, _ = places_in(words, r["hashes"])
+        df[terms] += 1
+        both[terms] += r["toxic"]
     spread = df * (n - df) * t * (n - t)
     chi = np.where(spread > 0, (both * n - df * t) ** 2 * n / np.maximum(spread, 1), 0.0)
     return chi / (chi + HALF_CHI)
