@@ -161,6 +161,17 @@ def clustered(n=4000, dim=24, groups=30, seed=3):
     return [(i, 0, i % 7, "t", v[i].tolist()) for i in range(n)]
 
 
+def test_vector_text_rounds_the_exact_value(spark):
+    """Ties at the ninth place go to the even digit, as in printf; all other numbers to the nearer one."""
+    numbers = [k / 512 for k in (1, 3, -53, 511)] + [0.1, -0.0, -1e-12, 33554434.0, 1e30, None]
+    df = spark.createDataFrame([(1, numbers), (2, []), (3, None)], "id int, v array<float>")
+    for kind in ("float", "double"):
+        got = {r.id: r.t for r in df.select("id", vx.to_text(F.col("v").cast(f"array<{kind}>")).alias("t")).collect()}
+        exact = [None if x is None else float(np.float32(x)) for x in numbers]
+        assert got == {1: "[" + ",".join("null" if x is None else f"{x:.8f}" for x in exact) + "]", 2: "[]", 3: None}
+    assert got[1].startswith("[0.00195312,0.00585938,-0.10351562,0.99804688,")
+
+
 def test_cells_find_nine_of_ten_and_read_few_folders(spark, tmp_path):
     rows = clustered()
     df = spark.createDataFrame(rows, SCHEMA).repartition(4)

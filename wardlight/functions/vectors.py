@@ -2,9 +2,16 @@
 
 from __future__ import annotations
 
+import sys
+from collections.abc import Sequence
+
+import pyarrow as pa
+from pyspark import cloudpickle
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
+cloudpickle.register_pickle_by_value(sys.modules[__name__])
+
 
 def dot(a: Column, b: Column) -> Column:
     products = F.zip_with(a, b, lambda x, y: x.cast("double") * y.cast("double"))
@@ -37,6 +44,27 @@ def l2_normalise(v: Column) -> Column:
 
 
 def to_text(v: Column, decimals: int = 8) -> Column:
-    """``[0.10000000,0.20000000]``, the export form of a vector."""
-    cells = F.transform(v, lambda x: F.format_string(f"%.{decimals}f", x.cast("double")))
-    return F.concat(F.lit("["), F.array_join(cells, ","), F.lit("]"))
+    """``[0.10000000,0.20000000]``, the export form of a vector.
+
+    Elements are rounded from their exact binary value, a tie to the even digit, as printf and
+    Python do; the JVM's formatter rounds a shortened decimal, and ties away from zero.
+    """
+
+    @F.arrow_udf("string")
+    def shown(vectors: pa.Array) -> pa.Array:
+        flat = vectors.flatten()
+        numbers = flat.to_pylist() if flat.null_count else flat.to_numpy(zero_copy_only=False).tolist()
+        texts, start = [], 0
+        for length in vectors.value_lengths().to_pylist():
+            texts.append(None if length is None else number_list(numbers[start : start + length], decimals))
+            start += length or 0
+        return pa.array(texts, pa.string())
+
+    return shown(v)
+
+
+def number_list(numbers: Sequence[float | None], decimals: int) -> str:
+    number = f"%.{decimals}f"
+    if None in numbers:
+        return f"[{','.join('null' if x is None else number % x for x in numbers)}]"
+    return f"[{','.join([number] * len(numbers)) % tuple(numbers)}]"
