@@ -211,6 +211,30 @@ def test_exact_search_leaves_out_cells_by_their_bound(spark, tmp_path):
     assert all((sims[:, of == c].max(axis=1) <= bounds[:, c]).all() for c in np.unique(of))
 
 
+def test_open_cells_get_no_copies_of_vectors(spark, tmp_path, monkeypatch):
+    """With all cells open to all questions, what the second pass writes are a few rows per question."""
+    rng = np.random.default_rng(4)
+    rows = [(i, 0, 1, "t", v.tolist()) for i, v in enumerate(rng.normal(size=(2000, 48)).astype(np.float32))]
+    rows += [(i, 0, 1, "t", rows[7][4]) for i in range(2000, 2300)]  # many copies of one vector
+    df = spark.createDataFrame(rows, SCHEMA).repartition(4)
+    index = cells.build_cells(df, str(tmp_path / "cells"))
+    asked = [(j, rng.normal(size=48).tolist(), 3) for j in range(60)] + [(60, rows[7][4], 3)]
+    qs = spark.createDataFrame(asked, "question_id int, embedding array<double>, k int")
+    monkeypatch.setattr(cells, "BLOCK_BYTES", 8 * 48 * 20, raising=False)
+    sent = []
+
+    def counted(index, questions, plain=cells._best_in_cells):
+        sent.append(questions.count())
+        return plain(index, questions)
+
+    monkeypatch.setattr(cells, "_best_in_cells", counted)
+    got: dict[int, list] = {}
+    for r in search.top_k_batch(df, qs, index=index).orderBy("question_id", "rank").collect():
+        got.setdefault(r.question_id, []).append(r.note_id)
+    assert got == {j: [w[0] for w in brute(rows, v, k)] for j, v, k in asked}
+    assert sum(sent) <= 61 * cells.FIRST_PROBES
+
+
 def test_cells_of_nothing(spark, tmp_path):
     none = spark.createDataFrame([(1, 0, 1, "t", None), (2, 0, 1, "t", [0.0, 0.0])], SCHEMA)
     index = cells.build_cells(none, str(tmp_path / "cells"))
