@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import hashlib
+import re
 from pathlib import Path
 
 import numpy as np
@@ -27,6 +29,19 @@ def counting_model(log: Path, fail_on: str | None = None):
     return model
 
 
+def test_terms_are_split_at_six_characters_and_few_are_kept(monkeypatch):
+    monkeypatch.setattr(vs, "TERMS_KEPT", 3)
+    texts = ["a\x1cb c\x85d A\x0bB\x0cC\n", "", None, " x\ty  x\u00a0Z\u2028\r\u0130 ", " ".join("abcdefgh" * 3)]
+    known = vs.Positions(DIM)
+    got = vs.term_counts(texts, known)
+    for text, row in zip(texts, got):
+        want = np.zeros(DIM)
+        for word in re.findall(r"[^\x09-\x0D\x20]+", (text or "").lower()):
+            want[int(hashlib.md5(word.encode()).hexdigest()[:8], 16) % DIM] += 1
+        assert (row == want).all(), text
+    assert len(known) <= 3
+
+
 def test_every_distinct_text_is_embedded_once(spark, tmp_path):
     log, path = tmp_path / "calls", str(tmp_path / "vectors")
     rows = [(i, f"text {i % 7}") for i in range(100)] + [(100, None), (101, "")]

@@ -3,7 +3,6 @@
 from __future__ import annotations
 
 import hashlib
-import re
 import sys
 from collections.abc import Callable, Iterator, Sequence
 
@@ -24,32 +23,39 @@ TERMS_KEPT = 200_000
 
 cloudpickle.register_pickle_by_value(sys.modules[__name__])
 
-_WORD = re.compile(r"[^\x09-\x0D\x20]+")
 
+class Positions(dict):
+    """Word -> its position, its md5 modulo ``dim``; bounded memory."""
 
-def term_counts(texts: Sequence[str], dim: int, known: dict[str, int]) -> np.ndarray:
-    """Counts of lower-cased words; a word's position is its md5 modulo ``dim``."""
-    out = np.zeros((len(texts), dim))
+    def __init__(self, dim: int):
+        super().__init__()
+        self.dim = dim
+
+    def __missing__(self, word: bytes) -> int:
+        if len(self) >= TERMS_KEPT:
+            self.clear()
+        found = self[word] = int(hashlib.md5(word).hexdigest()[:8], 16) % self.dim
+        return found
+
+
+def term_counts(texts: Sequence[str], known: Positions) -> np.ndarray:
+    """Counts of lower-cased words by position."""
+    out = np.zeros((len(texts), known.dim))
     for row, text in enumerate(texts):
-        for word in _WORD.findall((text or "").lower()):
-            at = known.get(word)
-            if at is None:
-                if len(known) >= TERMS_KEPT:
-                    known.clear()
-                at = known[word] = int(hashlib.md5(word.encode()).hexdigest()[:8], 16) % dim
-            out[row, at] += 1
+        words = (text or "").lower().encode().split()  # bytes are split at \x09-\x0D and \x20
+        out[row] = np.bincount(np.fromiter(map(known.__getitem__, words), np.int64, len(words)), minlength=known.dim)
     return out
 
 
-def unit_counts(texts: Sequence[str], dim: int, known: dict[str, int]) -> np.ndarray:
-    counts = term_counts(texts, dim, known)
+def unit_counts(texts: Sequence[str], known: Positions) -> np.ndarray:
+    counts = term_counts(texts, known)
     length = np.sqrt((counts * counts).sum(axis=1, keepdims=True))
     return np.divide(counts, length, out=np.zeros_like(counts), where=length > 0).astype(np.float32)
 
 
 def term_model(dim: int = DIMENSION) -> Callable[[list[str]], list[list[float]]]:
     """A simple model that needs no network: hashed term counts of length 1."""
-    return lambda texts: unit_counts(texts, dim, {}).tolist()
+    return lambda texts: unit_counts(texts, Positions(dim)).tolist()
 
 
 def term_embedding(text: Column, dim: int = DIMENSION) -> Column:
@@ -57,9 +63,9 @@ def term_embedding(text: Column, dim: int = DIMENSION) -> Column:
 
     @F.arrow_udf("array<float>")
     def embedded(batches: Iterator[pa.Array]) -> Iterator[pa.Array]:
-        known: dict[str, int] = {}
+        known = Positions(dim)
         for texts in batches:
-            vectors = unit_counts(texts.to_pylist(), dim, known)
+            vectors = unit_counts(texts.to_pylist(), known)
             offsets = pa.array(np.arange(len(texts) + 1, dtype=np.int32) * dim)
             yield pa.ListArray.from_arrays(offsets, pa.array(vectors.ravel()))
 
