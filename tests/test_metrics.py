@@ -3,6 +3,9 @@
 from __future__ import annotations
 
 import datetime as dt
+from decimal import Decimal
+from functools import reduce
+from operator import add
 
 import numpy as np
 import pytest
@@ -96,3 +99,17 @@ def test_summary_document(spark):
     assert [u.provider for u in row.llm_usage_last_24h] == ["claude", "openai"]
     assert [t.risk_tier for t in row.sepsis_alerts_by_tier] == ["high", "low"]
     assert row.embedding_queue_pending == 3
+
+
+def test_sums_of_money_do_not_depend_on_the_order(spark):
+    """Many small costs beside a few large ones: plain doubles are off at the eighth place, in each order by another amount."""
+    costs = [1e7 + 0.1] + [0.00429 + i % 7 * 1e-8 for i in range(20_000)]
+    want = float(sum(Decimal(repr(c)) for c in costs))
+    assert abs(reduce(add, costs) - want) > 1e-8
+    for order, parts in (("id", 1), ("-id", 3), ("xxhash64(id)", 8)):
+        df = spark.createDataFrame(list(enumerate(costs)), "id long, c double").repartitionByRange(parts, F.expr(order))
+        got = df.sortWithinPartitions(F.expr(order)).agg(metrics.exact_sum(F.col("c")).alias("s"), metrics.exact_mean(F.col("c")).alias("m"))
+        assert got.first() == (want, want / len(costs))
+    odd = spark.createDataFrame([(1, 1.0), (1, float("inf")), (2, 1e30), (2, 1e30), (3, None)], "g int, c double")
+    got = {r.g: r.s for r in odd.groupBy("g").agg(metrics.exact_sum(F.col("c")).alias("s")).collect()}
+    assert got == {1: float("inf"), 2: 2e30, 3: None}

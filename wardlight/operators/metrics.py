@@ -51,14 +51,28 @@ def request_cost(
     return (tokens_in * rate(0) + tokens_out * rate(1)) / F.lit(1_000_000.0)
 
 
+def exact_sum(amount: Column) -> Column:
+    """Sum of doubles that does not depend on their order: added as decimals of 18 places.
+
+    Where a value or the sum has no such decimal (not finite, or 1e20 and more), doubles are added.
+    """
+    exact = amount.try_cast("decimal(38,18)")
+    total = F.when(F.count(exact) == F.count(amount), F.try_sum(exact).cast("double"))
+    return F.coalesce(total, F.sum(amount))
+
+
+def exact_mean(amount: Column) -> Column:
+    return F.try_divide(exact_sum(amount), F.count(amount))
+
+
 def usage_summary(metrics: DataFrame, as_of: Column, hours: int = 24) -> DataFrame:
     """Per provider over the last hours: count, mean and p95 latency, tokens, cost."""
     recent = metrics.filter(within_last(F.col("queried_at"), as_of, hours))
     totals = recent.groupBy("provider").agg(
         F.count(F.lit(1)).alias("total_queries"),
-        F.avg("latency_ms").alias("avg_latency_ms"),
+        exact_mean(F.col("latency_ms")).alias("avg_latency_ms"),
         F.sum("tokens_used").alias("total_tokens"),
-        F.sum("estimated_cost_usd").alias("total_cost_usd"),
+        exact_sum(F.col("estimated_cost_usd")).alias("total_cost_usd"),
     )
     p95 = exact_percentiles(recent, ["provider"], "latency_ms", {"p95_latency_ms": 0.95})
     return totals.join(p95, "provider", "left")
@@ -70,9 +84,9 @@ def cost_view(metrics: DataFrame, as_of: Column, hours: int = 24) -> DataFrame:
         .groupBy("provider")
         .agg(
             F.count(F.lit(1)).alias("query_count"),
-            F.avg("latency_ms").alias("avg_latency_ms"),
+            exact_mean(F.col("latency_ms")).alias("avg_latency_ms"),
             F.sum("tokens_used").alias("total_tokens"),
-            F.sum("estimated_cost_usd").alias("total_cost_usd"),
+            exact_sum(F.col("estimated_cost_usd")).alias("total_cost_usd"),
         )
     )
 
@@ -176,7 +190,7 @@ def query_counter(metrics: DataFrame) -> DataFrame:
         F.lit("all").alias("risk_tier"),
         F.count(F.lit(1)).alias("queries_total"),
         F.sum(F.col("tokens_in") + F.col("tokens_out")).alias("tokens_total"),
-        F.sum("estimated_cost_usd").alias("cost_usd_total"),
+        exact_sum(F.col("estimated_cost_usd")).alias("cost_usd_total"),
     )
 
 
@@ -206,7 +220,7 @@ def cost_rate(metrics: DataFrame, window_seconds: int = 3600) -> DataFrame:
         metrics.groupBy(
             F.window("queried_at", f"{window_seconds} seconds")["start"].alias("window_start"), "provider"
         )
-        .agg(F.sum("estimated_cost_usd").alias("cost_usd"))
+        .agg(exact_sum(F.col("estimated_cost_usd")).alias("cost_usd"))
         .withColumns(
             {
                 "usd_per_second": F.col("cost_usd") / F.lit(float(window_seconds)),
