@@ -179,3 +179,23 @@ def test_rerun_of_a_batch_replaces_its_version(spark, tmp_path):
     spark.createDataFrame([(1, "x")], "k int, v string").write.parquet(f"{path}/batch_id=9")
     assert sorted(tuple(r) for r in sink.latest_versions(spark, path, ["k"]).collect()) == [(1, "c"), (2, "b")]
     assert sorted(tuple(r) for r in sink.latest_children(spark, path, "k").collect()) == [(1, "c"), (2, "b")]
+
+
+def test_a_batch_of_a_large_table_has_several_files(spark, tmp_path):
+    """No file of the stream holds much more than a split of the table, and there are three batches still."""
+    from wardlight.plans import queries
+
+    spark.range(9000).repartition(9).write.parquet(str(tmp_path / "events.parquet"))
+    before = spark.conf.get("spark.sql.files.maxPartitionBytes")
+    spark.conf.set("spark.sql.files.maxPartitionBytes", "1k")
+    try:
+        stream = queries._stream(spark, str(tmp_path), "events", "id")
+    finally:
+        spark.conf.set("spark.sql.files.maxPartitionBytes", before)
+    sizes = []
+    started = stream.writeStream.option("checkpointLocation", str(tmp_path / "checkpoint")).trigger(availableNow=True)
+    started.foreachBatch(
+        lambda batch, i: sizes.append((batch.count(), batch.select(F.input_file_name()).distinct().count()))
+    ).start().awaitTermination()
+    assert sum(n for n, _ in sizes) == 9000
+    assert len(sizes) == 3 and all(files >= 3 for _, files in sizes)
