@@ -6,12 +6,14 @@ import hashlib
 import random
 import re
 import struct
+import time
 from types import SimpleNamespace
 
 import numpy as np
 import public_tokenizers
 import pytest
 import tiktoken
+import xxhash
 from compare import difference, duck
 from pyspark.sql import functions as F
 
@@ -418,3 +420,49 @@ def test_many_rows_without_an_id(spark):
     assert sorted((r.component_id or 0) for r in got) == [0] * 300 + [5] * 51
     kept = ngram_join.keep_first(docs, size=5, percent=80).collect()
     assert len(kept) == 2 and sum(r.doc_id == 5 for r in kept) == 1
+
+
+def test_toxicity_words_are_those_of_the_pattern():
+    rng = random.Random(8)
+    letters = ["a", "Z", "é", "É", "ß", "İ", "Σ", "ж", "中", "²", "ⅷ", "٣", "५", "_", "7", " ", "\n", " ", " ", "-", "🙂", "’", "́", "K", "\x00", "ª"]
+    texts = ["", "12 _ ", "Ab_c9d", "É" * 9, "".join(map(chr, [*range(0xD800), *range(0xE000, 0x11000)]))]
+    texts += ["".join(rng.choices(letters, k=rng.randrange(60))) for _ in range(400)]
+    for t in texts:
+        assert toxicity.words_of(t) == [w.encode() for w in toxicity.WORD.findall(t.lower())]
+
+
+def test_toxicity_counts_a_block_at_once(monkeypatch):
+    from collections import Counter
+
+    monkeypatch.setattr(toxicity, "WORDS_KEPT", 5)
+    monkeypatch.setattr(toxicity, "BLOCK_TEXTS", 3)
+    texts = [t or "" for _, t in toxic_rows()[0]]
+    hashes = np.sort(np.array([xxhash.xxh64_intdigest(w) for t in texts[::2] for w in set(toxicity.words_of(t))], np.uint64))
+    words = np.unique(hashes)
+    known, plain, n = toxicity.TermNumbers(words), toxicity.Numbers(), 0
+    for block in toxicity.blocks_of(texts):
+        rows, numbers, counts = known.counts(block)
+        terms = known.terms[numbers]
+        plain_rows, plain_numbers, plain_counts = plain.counts(block)
+        for i, t in enumerate(block):
+            by_hash = Counter(xxhash.xxh64_intdigest(w) for w in toxicity.words_of(t))
+            assert dict(zip(plain.hashes[plain_numbers[plain_rows == i]].tolist(), plain_counts[plain_rows == i].tolist())) == by_hash
+            of_term = {int(words[x]): c for x, c in zip(terms[rows == i], counts[rows == i].tolist()) if x >= 0}
+            assert of_term == {h: c for h, c in by_hash.items() if h in set(words.tolist())}
+            assert counts[rows == i].sum() == sum(by_hash.values())
+            n += 1
+    assert n == len(texts)
+
+
+def test_toxicity_words_take_less_time_than_the_pattern():
+    text = "Some plain words, and fifty-three more of them. " * 2_000
+
+    def best(f):
+        times = []
+        for _ in range(5):
+            began = time.thread_time()
+            f()
+            times.append(time.thread_time() - began)
+        return min(times)
+
+    assert best(lambda: toxicity.words_of(text)) < 0.6 * best(lambda: toxicity.WORD.findall(text.lower()))
