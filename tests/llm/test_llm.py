@@ -466,3 +466,43 @@ def test_toxicity_words_take_less_time_than_the_pattern():
         return min(times)
 
     assert best(lambda: toxicity.words_of(text)) < 0.6 * best(lambda: toxicity.WORD.findall(text.lower()))
+
+
+def test_long_texts_that_share_a_passage_are_not_chained(spark, monkeypatch):
+    """With 64 coordinates the bound holds for any two texts of this length, and all were one candidate group."""
+    rng, edges, components = random.Random(3), [], ngram_join.components
+    words = lambda n: " ".join(f"w{rng.randrange(5000)}" for _ in range(n))
+    passage = words(300)
+    rows = [(i, f"{words(1500)} {passage} {words(1500)}") for i in range(24)]
+    rows.append((24, rows[7][1].replace("w77", "x77")))
+    monkeypatch.setattr(ngram_join, "components", lambda e: edges.append(e.distinct().collect()) or components(e))
+    got = {r.id: r.component_id for r in ngram_join.join_documents(spark.createDataFrame(rows, "doc_id long, text string"), size=5, percent=80).collect()}
+    assert got == {i: 7 if i == 24 else i for i in range(25)}
+    assert len(edges[0]) == 1
+
+
+def test_tiles_in_blocks_give_the_same_components(spark, monkeypatch):
+    rows = near_copies(150) + [(1000 + i, t[: len(t) // 2]) for i, t in near_copies(150, seed=5)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string")
+    found = lambda: sorted((r.id, r.component_id) for r in ngram_join.join_documents(docs, size=5, percent=80).collect())
+    whole = found()
+    monkeypatch.setattr(ngram_join, "BLOCK_BYTES", 1_000)
+    assert found() == whole
+
+
+def test_shingle_sets_of_many_texts_equal_loops(monkeypatch):
+    rng = random.Random(3)
+    pieces = ["a", "B", "b", "Zz", "ééé", "x" * 8, "y" * 9, "z" * 64, "z" * 65, "q" * 200, "\x1c", " ", *(f"w{i}" for i in range(99))]
+    gaps = [" ", "\n", "  ", "\t", "\x0b", "\x0c", "\r"]
+    texts = ["".join(rng.choice(pieces) + rng.choice(gaps) for _ in range(rng.choice([0, 1, 2, 3, 4, 5, 40, 900]))) for _ in range(60)]
+    texts += ["", " ", "a", " a b ", *(f"\n{t}" for t in texts[:9])]
+    for size in (3, 5):
+        by_name = {}
+        for together in (500_000, 1_000):
+            monkeypatch.setattr(ngram_join, "TEXT_BYTES", together)
+            for text, held in zip(texts, ngram_join.shingle_sets(texts, size), strict=True):
+                words = text.encode().lower().split()
+                n = min(size, len(words))
+                wanted = {tuple(words[i : i + n]) for i in range(len(words) - n + 1)} if words else set()
+                assert len(held) == len(wanted) and (held[1:] > held[:-1]).all()
+                assert by_name.setdefault(frozenset(wanted), held.tolist()) == held.tolist()

@@ -15,9 +15,10 @@ coordinates there (a hash of the part's counts is the tile's key); the rare set
 than D parts goes to the tiles of its empty parts as well. So no linked pair is missed.
 
 Tiles with the same members count once. In each tile an R-tree finds the pairs whose bound allows
-a link; they chain documents to candidate groups, which an R-tree over points with more
-coordinates for longer documents splits up again. In both searches a point that was reached is not
-looked for again, so a tight cluster is found by its first point.
+a link; they chain documents to candidate groups. Longer documents have more coordinates there: with
+few of them the bound holds for any two long documents, which would chain all of these to one group. A
+point that was reached is not looked for again, so a tight cluster is found by its first point. A tile
+of many points is cut into blocks, and each pair of blocks is searched.
 
 Each group is then verified on the sets themselves. First every member is compared with the group's
 centre (its least node), the members dealt over many tasks; in a group of near copies most of them
@@ -38,6 +39,7 @@ from __future__ import annotations
 
 from collections.abc import Iterator
 from functools import partial
+from itertools import pairwise
 
 import numpy as np
 import pyarrow as pa
@@ -51,13 +53,15 @@ from wardlight.llm.components import components
 WORDS = 3
 PERCENT = 90
 SPARE = 1.3  # parts of a tile space per difference allowed, so that few sets have too few filled parts
-GROUPS = 64  # coordinates of the points in the R-tree of a tile
-PER_GROUP = 8  # shingles per coordinate in the finer points of a candidate group, at most
+GROUPS = 64  # coordinates of the points of short sets, and of those in the search of open members
+PER_GROUP = 8  # shingles per coordinate in the points of longer sets, at most
 BOX = 16  # children of an R-tree box
+MATRIX = 2**19  # coordinates that are compared at once, all points with all, in place of an R-tree
 BLOCK_SHINGLES = 500_000  # shingles of a block, about
 STAR_ROWS = 1_000  # members of a group that one task compares with its centre, about
 BLOCK_BYTES = 4_000_000  # of points of a block, about
-WORDS_KEPT = 80_000
+TEXT_BYTES = 500_000  # texts whose words are hashed at once, about
+LANES = 8  # words of up to so many 8 bytes are hashed together, longer ones one by one
 NODES_KEPT = 150_000
 
 _U = np.uint64
@@ -70,30 +74,64 @@ def mix(x: np.ndarray) -> np.ndarray:
     return x ^ (x >> _U(31))
 
 
-class _Words(dict):
-    """Word -> 64-bit hash, for the words used lately."""
+SPACE = np.isin(np.arange(256), list(b" \t\n\r\x0b\x0c"))
+LANE_MASKS = np.array([(1 << 8 * n) - 1 for n in range(9)], _U)
+
+
+def word_hashes(texts: list[bytes]) -> tuple[np.ndarray, np.ndarray]:
+    """Hashes of the words of all texts, A-Z lower-cased, and the place of the first word of each text and of the end."""
+    data = b"\n".join([*texts, b"\n" * 8]).lower()  # each text ends with white space, and 8 bytes can be read anywhere
+    inside = ~SPACE[np.frombuffer(data, np.uint8)]
+    edges = np.flatnonzero(inside[1:] != inside[:-1]) + 1
+    if inside[0]:
+        edges = np.concatenate([[0], edges])
+    starts, ends = edges[::2], edges[1::2]
+    lanes = np.ndarray(len(data) - 7, "<u8", data, strides=(1,))
+    left = ends - starts
+    found = left.astype(_U) * FACTORS[0]
+    at, who = starts, slice(None)
+    for _ in range(LANES):
+        found[who] = mix(found[who] * FACTORS[1] + (lanes[at] & LANE_MASKS[np.minimum(left[who], 8)]))
+        left[who] -= 8
+        who = np.flatnonzero(left > 0)
+        at = ends[who] - left[who]
+    for i in who.tolist():
+        found[i] = xxhash.xxh3_64_intdigest(data[starts[i] : ends[i]])
+    begins = np.concatenate([[0], np.cumsum([len(t) + 1 for t in texts])])
+    return found, np.searchsorted(starts, begins)
+
+
+def shingles(h: np.ndarray, size: int) -> np.ndarray:
+    """Hash of each run of ``size`` words."""
+    total = np.full(max(0, len(h) - size + 1), size, _U)
+    for i in range(size):
+        total = mix(total + h[i : i + len(total)] * FACTORS[i % len(FACTORS)])
+    return total
+
 
-    def __missing__(self, word: bytes) -> int:
-        if len(self) >= WORDS_KEPT:
-            self.clear()
-        found = self[word] = xxhash.xxh3_64_intdigest(word)
-        return found
+def distinct(h: np.ndarray) -> np.ndarray:
+    h = np.sort(h)
+    new = np.ones(len(h), bool)
+    np.not_equal(h[1:], h[:-1], out=new[1:])
+    return h[new]
 
 
-_WORDS = _Words()
+def shingle_sets(texts: list[str], size: int = WORDS) -> list[np.ndarray]:
+    """Distinct shingle hashes of whole texts, in order. Words of about TEXT_BYTES are hashed at once."""
+    data, sets = [t.encode() for t in texts], []
+    blocks = np.cumsum([len(t) for t in data]) // TEXT_BYTES
+    for start, end in pairwise([0, *(np.flatnonzero(np.diff(blocks)) + 1).tolist(), len(data)]):
+        words, firsts = word_hashes(data[start:end])
+        runs = shingles(words, size)
+        for a, b in pairwise(firsts.tolist()):
+            few = b - a < size
+            sets.append(distinct(shingles(words[a:b], b - a) if few and b > a else runs[a : max(a, b - size + 1)]))
+    return sets
 
 
 def shingle_set(text: str, size: int = WORDS) -> np.ndarray:
     """Distinct shingle hashes of a whole text, in order."""
-    words = text.encode().lower().split()
-    h = np.fromiter(map(_WORDS.__getitem__, words), _U, len(words))
-    if not len(h):
-        return h
-    size = min(size, len(h))
-    total = np.full(len(h) - size + 1, size, _U)
-    for i in range(size):
-        total = mix(total + h[i : len(h) - size + 1 + i] * FACTORS[i % len(FACTORS)])
-    return np.unique(total)
+    return shingle_sets([text], size)[0]
 
 
 _STARTS: dict[int, np.ndarray] = {}
@@ -137,18 +175,17 @@ def set_name(h: np.ndarray) -> np.ndarray:
     return mix(np.array([h.sum(dtype=_U) ^ _U(len(h) * 0x9E3779B1)], _U))
 
 
-POINTS = "id long, mark long, n long, node long, counts binary, fine binary"
+POINTS = "id long, mark long, n long, node long, fine binary"
 
 
 def points(size: int, batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     """(id, mark, text) to size and name of the set; the mark is passed on."""
     for batch in slices(batches):
-        sets = [shingle_set(t, size) for t in texts_of(batch["text"])]
+        sets = shingle_sets(texts_of(batch["text"]), size)
         names = np.concatenate([set_name(h) for h in sets]).view(np.int64)
         columns = [batch["id"], batch["mark"], pa.array([len(h) for h in sets], pa.int64()), pa.array(names)]
-        columns.append(pa.array([packed_counts(h, GROUPS) for h in sets], pa.binary()))
         columns.append(pa.array([packed_counts(h, fine_groups(len(h))) for h in sets], pa.binary()))
-        yield pa.RecordBatch.from_arrays(columns, names=["id", "mark", "n", "node", "counts", "fine"])
+        yield pa.RecordBatch.from_arrays(columns, names=["id", "mark", "n", "node", "fine"])
 
 
 def tiles(size: int, percent: int, batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -156,8 +193,7 @@ def tiles(size: int, percent: int, batches: Iterator[pa.RecordBatch]) -> Iterato
     seen: set[int] = set()
     for batch in slices(batches):
         keys, nodes = [np.zeros(0, _U)], [np.zeros(0, _U)]
-        for text in texts_of(batch["text"]):
-            h = shingle_set(text, size)
+        for h in shingle_sets(texts_of(batch["text"]), size):
             name = int(set_name(h)[0])
             if len(h) and name not in seen:
                 if len(seen) >= NODES_KEPT:
@@ -170,13 +206,14 @@ def tiles(size: int, percent: int, batches: Iterator[pa.RecordBatch]) -> Iterato
 
 
 def shared_tiles(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """Rows of (tile, node), sorted, to the members of tiles with two nodes or more.
+    """Rows of (tile, node), sorted by tile, to the members of tiles with two nodes or more.
 
     A tile is named by its members, so tiles with the same members become the same.
     """
     t, v = np.zeros(0, np.int64), np.zeros(0, np.int64)
 
     def members(t: np.ndarray, v: np.ndarray) -> pa.RecordBatch:
+        v = v[np.lexsort((v, t))]
         new = np.ones(len(t), bool)
         new[1:] = (t[1:] != t[:-1]) | (v[1:] != v[:-1])
         t, v = t[new], v[new]
@@ -212,11 +249,17 @@ def packed_counts(h: np.ndarray, groups: int) -> bytes:
 def unpacked_counts(packed: list[bytes]) -> np.ndarray:
     """Points of the least number of groups among them; finer ones are added up to it."""
     groups = min(len(p) for p in packed) - 1
-    rows = []
-    for p in packed:
-        counts = np.frombuffer(p, np.uint8, offset=1).astype(np.int64) << p[0]
-        rows.append(counts.reshape(-1, groups).sum(0))
-    return np.array(rows)
+    rows = np.empty((len(packed), groups), np.int32)
+    for row, p in zip(rows, packed):
+        counts = np.frombuffer(p, np.uint8, offset=1)
+        if p[0]:
+            counts = counts.astype(np.int32) << p[0]
+        row[:] = counts if len(counts) == groups else counts.reshape(-1, groups).sum(0)
+    return rows
+
+
+def summed_minima(one: np.ndarray, other: np.ndarray) -> np.ndarray:
+    return np.minimum(one, other).sum(-1, dtype=one.dtype).astype(np.int64)
 
 
 def bound_edges(nodes: list[int], sizes: list[int], packed: list[bytes], percent: int) -> list[tuple[int, int]]:
@@ -247,6 +290,8 @@ def edges_at_level(nodes: list[int], sizes: list[int], packed: list[bytes], perc
 
 def spanning(vectors: np.ndarray, sizes: np.ndarray, percent: int) -> list[tuple[int, int]]:
     """Pairs that connect all points which chains of bounds connect. A point that was reached is not sought again."""
+    if len(sizes) ** 2 * vectors.shape[1] <= MATRIX:
+        return spanning_few(vectors, sizes, percent)
     open_, left, found = np.ones(len(sizes), bool), len(sizes), []
     tree, held = CountTree(vectors, sizes), np.arange(len(sizes))
     for start in range(len(sizes)):
@@ -267,6 +312,27 @@ def spanning(vectors: np.ndarray, sizes: np.ndarray, percent: int) -> list[tuple
     return found
 
 
+def spanning_few(vectors: np.ndarray, sizes: np.ndarray, percent: int) -> list[tuple[int, int]]:
+    """As ``spanning``, by the bounds of all pairs."""
+    fits = summed_minima(vectors[:, None], vectors) * (100 + percent) >= percent * (sizes[:, None] + sizes)
+    fits &= (sizes[:, None] * percent <= sizes * 100) & (sizes * percent <= sizes[:, None] * 100)
+    np.fill_diagonal(fits, False)
+    if not fits.any():
+        return []
+    near, open_, found = [np.flatnonzero(row).tolist() for row in fits], [True] * len(sizes), []
+    for start in range(len(sizes)):
+        todo = [start] if open_[start] else []
+        open_[start] = False
+        while todo:
+            i = todo.pop()
+            for j in near[i]:
+                if open_[j]:
+                    open_[j] = False
+                    todo.append(j)
+                    found.append((i, j))
+    return found
+
+
 def links_by_bound(keys: int, percent: int, batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     """Rows of (``keys`` key columns, node, n, points), sorted by key, to edges within each key."""
     key, rows = None, []
@@ -310,7 +376,7 @@ class CountTree:
         at = np.arange(len(self.levels[-1][0]))
         for depth in range(len(self.levels) - 1, -1, -1):
             upper, least, most = (x[at] for x in self.levels[depth])
-            bound = np.minimum(upper, vector).sum(1)
+            bound = summed_minima(upper, vector)
             # intersection >= percent / (100 + percent) of both sizes, and sizes within percent
             keep = bound * (100 + percent) >= percent * (size + least)
             keep &= (least * percent <= size * 100) & (most * 100 >= size * percent)
@@ -364,8 +430,8 @@ def star(size: int, percent: int, batches: Iterator[pa.RecordBatch]) -> Iterator
     grp, centre = None, np.zeros(0, _U)
     for batch in slices(batches):
         out = []
-        for g, node, n, text in zip(*(batch[c].to_pylist() for c in ("grp", "node", "n")), texts_of(batch["text"])):
-            h = shingle_set(text, size)
+        sets = shingle_sets(texts_of(batch["text"]), size)
+        for g, node, n, h in zip(*(batch[c].to_pylist() for c in ("grp", "node", "n")), sets):
             if int(set_name(h).view(np.int64)[0]) != node:
                 continue
             if node == g:
@@ -390,29 +456,38 @@ def search(size: int, percent: int, batches: Iterator[pa.RecordBatch]) -> Iterat
         return as_edges([(one[i][1], two[j][1]) for i, j in found])
 
     for batch in slices(batches):
-        rows = zip(*(batch[c].to_pylist() for c in ("grp", "low", "high", "side", "node")), texts_of(batch["text"]))
-        for grp, low, high, side, node, text in rows:
+        sets = shingle_sets(texts_of(batch["text"]), size)
+        for grp, low, high, side, node, h in zip(*(batch[c].to_pylist() for c in ("grp", "low", "high", "side", "node")), sets):
             if (grp, low, high) != key:
                 if members:
                     yield answer()
                 key, members = (grp, low, high), []
-            h = shingle_set(text, size)
             if int(set_name(h).view(np.int64)[0]) == node:
                 members.append((side, node, h))
     if members:
         yield answer()
 
 
-def grouped(found: DataFrame, classes: DataFrame, weight: Column, most: int) -> DataFrame:
-    """Classes of each component with its root as ``grp`` and a block, of about ``most`` in all."""
-    held = cut_lineage(found.withColumnRenamed("root", "grp")).join(classes, "node")
-    blocks = F.ceil(F.sum(weight) / most).cast("int").alias("blocks")
-    block = F.pmod(F.xxhash64("node"), F.col("blocks")).cast("int")
-    return held.join(held.groupBy("grp").agg(blocks), "grp").withColumn("block", block)
+def in_blocks(tiles: DataFrame, classes: DataFrame) -> DataFrame:
+    """Members of tiles (``grp``) with size, point, block and number of blocks, of about BLOCK_BYTES each."""
+    points = classes.select("node", "n", "fine", F.octet_length("fine").alias("bytes"))
+    large = (  # a row for each BLOCK_BYTES of points at most
+        tiles.join(points.select("node", "bytes"), "node")
+        .groupBy("grp")
+        .agg(F.ceil(F.sum("bytes") / BLOCK_BYTES).cast("int").alias("blocks"))
+        .filter("blocks > 1")
+    )
+    blocks = F.coalesce("blocks", F.lit(1))
+    return (
+        tiles.join(points.drop("bytes"), "node")
+        .join(F.broadcast(large), "grp", "left")
+        .withColumn("blocks", blocks)
+        .withColumn("block", F.pmod(F.xxhash64("node"), F.col("blocks")).cast("int"))
+    )
 
 
 def by_blocks(members: DataFrame) -> DataFrame:
-    """Every member goes to each pair of blocks of its group that its own block is in."""
+    """Every member goes to each pair of blocks of its tile that its own block is in."""
     other = F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)).alias("other")
     return (
         members.select("*", other)
@@ -474,24 +549,19 @@ def classes_with_components(
         .agg(
             F.min(F.struct(F.col("id").isNull().alias("none"), "id", "mark")).alias("least"),
             F.first("n").alias("n"),
-            F.first("counts").alias("counts"),
             F.first("fine").alias("fine"),
         )
     )
     placed = docs.select(whole_text().alias("text")).mapInArrow(partial(tiles, size, percent), "tile long, node long")
-    shared = (
+    shared = cut_lineage(
         placed.repartition("tile")
-        .sortWithinPartitions("tile", "node")
+        .sortWithinPartitions("tile")  # by one number, which Spark sorts by its digits
         .mapInArrow(shared_tiles, "tile long, node long")
         .distinct()
-        .join(classes.select("node", "n", "counts"), "node")
-        .repartition("tile")
-        .sortWithinPartitions("tile", "node")
+        .withColumnRenamed("tile", "grp")
     )
-    edges = shared.select("tile", "node", "n", "counts").mapInArrow(partial(links_by_bound, 1, percent), "a long, b long")
-    rough = grouped(components(edges), classes, F.octet_length("fine"), BLOCK_BYTES)
-    fine = by_blocks(rough.select("grp", "blocks", "block", "node", "n", "fine"))
-    edges = fine.select("grp", "low", "high", "node", "n", "fine").mapInArrow(partial(links_by_bound, 3, percent), "a long, b long")
+    sought = by_blocks(in_blocks(shared, classes)).select("grp", "low", "high", "node", "n", "fine")
+    edges = sought.mapInArrow(partial(links_by_bound, 3, percent), "a long, b long")
     links = verified(cut_lineage(components(edges).withColumnRenamed("root", "grp")), classes, docs, id_col, size, percent)
     found = components(links).withColumnRenamed("node", "__node")
     rooted = classes.join(found, F.col("node") == F.col("__node"), "left").withColumn("root", F.coalesce("root", "node"))
