@@ -506,3 +506,16 @@ def test_shingle_sets_of_many_texts_equal_loops(monkeypatch):
                 wanted = {tuple(words[i : i + n]) for i in range(len(words) - n + 1)} if words else set()
                 assert len(held) == len(wanted) and (held[1:] > held[:-1]).all()
                 assert by_name.setdefault(frozenset(wanted), held.tolist()) == held.tolist()
+
+
+def test_pieces_are_kept_for_a_large_vocabulary():
+    """With 80,000 kept, as before, the second pass over 200,000 pieces encodes most of them anew."""
+    asked = []
+    held = byte_bpe._Pieces(lambda piece: asked.append(piece) or piece)
+    for _ in range(2):
+        for i in range(200_000):
+            assert held[f"p{i}"] == f"p{i}".encode()
+    assert len(asked) == 200_000
+    for i in range(600_000):
+        held[f"q{i}"]
+    assert len(held) + len(held.older) <= 2 * byte_bpe.PIECES_KEPT

@@ -35,7 +35,7 @@ from pyspark.sql import functions as F
 from wardlight.llm.common import each_text, small_batches
 
 #: Bounds of the memos of one worker, in entries.
-PIECES_KEPT = 80_000
+PIECES_KEPT = 250_000
 PAIRS_KEPT = 300_000
 
 
