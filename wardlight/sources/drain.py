@@ -13,8 +13,10 @@ from __future__ import annotations
 
 import json
 import sys
+import time
 import uuid
 from collections.abc import Iterator
+from contextlib import suppress
 from dataclasses import dataclass
 
 import pyarrow as pa
@@ -28,6 +30,10 @@ from pyspark.sql.types import StructType
 
 NAME = "file_drain"
 
+# Looks for files of tasks that were being stopped when a run failed, and seconds between them.
+LATE_LOOKS = 8
+LATE_PAUSE = 0.25
+
 # Executors need not have this package.
 cloudpickle.register_pickle_by_value(sys.modules[__name__])
 
@@ -63,8 +69,8 @@ FORMATS = {"json": _json_lines, "csv": _csv}
 
 
 class DrainWriter(DataSourceArrowWriter):
-    def __init__(self, path: str, kind: str):
-        self.path, self.kind, self.run = path.rstrip("/"), kind, uuid.uuid4().hex
+    def __init__(self, path: str, kind: str, run: str | None = None):
+        self.path, self.kind, self.run = path.rstrip("/"), kind, run or uuid.uuid4().hex
 
     @property
     def folder(self) -> str:
@@ -112,13 +118,23 @@ class DrainSource(DataSource):
         kind = self.options.get("kind", "json")
         if kind not in FORMATS:
             raise ValueError(f"kind must be one of {sorted(FORMATS)}")
-        return DrainWriter(self.options["path"], kind)
+        return DrainWriter(self.options["path"], kind, self.options.get("run"))
 
 
 def drain(df: DataFrame, path: str, kind: str = "json") -> None:
     """Drain all partitions of ``df`` below ``path`` as one run."""
     df.sparkSession.dataSource.register(DrainSource)
-    df.write.format(NAME).option("path", path).option("kind", kind).mode("append").save()
+    run = uuid.uuid4().hex
+    try:
+        df.write.format(NAME).option("path", path).option("kind", kind).option("run", run).mode("append").save()
+    except Exception:
+        # Spark does not wait for tasks that it stops: one of them may create its file after the abort.
+        writer = DrainWriter(path, kind, run)
+        for _ in range(LATE_LOOKS):
+            time.sleep(LATE_PAUSE)
+            with suppress(OSError, pa.ArrowInvalid):  # the run's own failure is the one to tell
+                writer.abort([])
+        raise
 
 
 def drained_runs(spark: SparkSession, path: str) -> DataFrame:
